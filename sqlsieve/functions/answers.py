@@ -30,15 +30,18 @@ def long_enough(question: Column, code: Column) -> Column:
 
 def parse_answer(answer: Column | str) -> Column:
     """Struct of instruction and code, null when the answer lacks a part or is not usable."""
-    answer = as_column(answer)
 
-    def parts(cut: Column) -> Column:
-        before = F.substring(answer, F.lit(1), cut - F.lit(1))
-        after = F.substring(answer, cut + F.lit(len(rules.ANSWER_DIVIDER)), F.length(answer))
+    def pair(text: Column, cut: Column) -> Column:
+        before = F.substring(text, F.lit(1), cut - F.lit(1))
+        after = F.substring(text, cut + F.lit(len(rules.ANSWER_DIVIDER)), F.length(text))
         question = strip(F.replace(before, F.lit(rules.ANSWER_MARKER), F.lit("")))
         code = strip(F.regexp_extract(after, _FENCE, 1))
-        pair = F.struct(question.alias("instruction"), code.alias("code"))
-        return let(pair, lambda p: F.when(long_enough(p["instruction"], p["code"]), p))
+        both = F.struct(question.alias("instruction"), code.alias("code"))
+        return let(both, lambda p: F.when(long_enough(p["instruction"], p["code"]), p))
 
-    usable = has_marker(answer) & answer.contains(rules.ANSWER_DIVIDER) & ~is_unsure(answer)
-    return F.when(usable, let(F.instr(answer, rules.ANSWER_DIVIDER), parts))
+    def read(text: Column) -> Column:
+        usable = has_marker(text) & text.contains(rules.ANSWER_DIVIDER) & ~is_unsure(text)
+        cut = F.instr(text, rules.ANSWER_DIVIDER)
+        return F.when(usable, let(cut, lambda at: pair(text, at)))
+
+    return let(as_column(answer), read)

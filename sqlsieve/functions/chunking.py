@@ -88,15 +88,18 @@ def whole_chunk(content: Column | str) -> Column:
 
 def extract_chunks(content: Column | str) -> Column:
     """The first of the three ways that gives any chunk."""
-    content = as_column(content)
-    return let(
-        batch_chunks(content),
-        lambda batches: F.when(F.size(batches) > 0, batches).otherwise(
-            let(
-                object_chunks(content),
-                lambda objects: F.when(F.size(objects) > 0, objects).otherwise(
-                    whole_chunk(content)
-                ),
-            )
-        ),
-    )
+
+    def first_of(text: Column) -> Column:
+        return let(
+            batch_chunks(text),
+            lambda batches: F.when(F.size(batches) > 0, batches).otherwise(
+                let(
+                    object_chunks(text),
+                    lambda objects: F.when(F.size(objects) > 0, objects).otherwise(
+                        whole_chunk(text)
+                    ),
+                )
+            ),
+        )
+
+    return let(as_column(content), first_of)

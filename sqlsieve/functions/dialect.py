@@ -7,6 +7,7 @@ regex never runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,6 +25,10 @@ def _folded(text: Column) -> Column:
     return reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), _UNFOLDED, F.upper(text))
 
 
+def _with_folded(text: Column | str, body: Callable[[Column, Column], Column]) -> Column:
+    return let(as_column(text), lambda t: let(_folded(t), lambda upper: body(t, upper)))
+
+
 def _may_hold(upper: Column, phrases: list[str]) -> Column:
     def one_list(words: list[str]) -> Column:
         shortest = [w for w in words if not any(v != w and v in w for v in words)]
@@ -40,15 +45,9 @@ def _finds(text: Column, upper: Column, phrases: list[str]) -> Column:
 
 def finds_any(text: Column | str, phrases: list[str]) -> Column:
     """The text holds one of the phrases."""
-    text = as_column(text)
     plain = [p for p in phrases if not is_span(p)]
-    spans = [p for p in phrases if is_span(p)]
-    return let(
-        _folded(text),
-        lambda upper: any_of(
-            [_finds(text, upper, g) for g in [plain] if g] + [_finds(text, upper, [p]) for p in spans]
-        ),
-    )
+    groups = [g for g in [plain] if g] + [[p] for p in phrases if is_span(p)]
+    return _with_folded(text, lambda t, upper: any_of([_finds(t, upper, g) for g in groups]))
 
 
 def has_foreign_markers(content: Column | str) -> Column:
@@ -57,15 +56,14 @@ def has_foreign_markers(content: Column | str) -> Column:
 
 def has_dialect_markers(content: Column | str) -> Column:
     """Most files of the dialect show a marker early, so the regex for the plain ones comes first."""
-    content = as_column(content)
     plain = [p for p in rules.DIALECT_MARKERS if not is_span(p)]
     spans = [p for p in rules.DIALECT_MARKERS if is_span(p)]
-    return content.rlike(any_phrase(plain)) | finds_any(content, spans)
+    return let(as_column(content), lambda c: c.rlike(any_phrase(plain)) | finds_any(c, spans))
 
 
 def is_dialect(content: Column | str) -> Column:
     """Plausibly the wanted dialect: no marker of another one, at least one of its own."""
-    return ~has_foreign_markers(content) & has_dialect_markers(content)
+    return let(as_column(content), lambda c: ~has_foreign_markers(c) & has_dialect_markers(c))
 
 
 def is_modern(content: Column | str) -> Column:
@@ -75,18 +73,14 @@ def is_modern(content: Column | str) -> Column:
 
 def feature_tags(content: Column | str) -> Column:
     """Names of the features found, in table order."""
-    content = as_column(content)
-    return let(
-        _folded(content),
-        lambda upper: F.array_compact(
-            F.array(
-                *[
-                    F.when(_finds(content, upper, phrases), F.lit(tag))
-                    for tag, _, phrases in rules.FEATURES
-                ]
-            )
-        ),
-    )
+
+    def tags(text: Column, upper: Column) -> Column:
+        found = [
+            F.when(_finds(text, upper, phrases), F.lit(tag)) for tag, _, phrases in rules.FEATURES
+        ]
+        return F.array_compact(F.array(*found))
+
+    return _with_folded(content, tags)
 
 
 def feature_score(tags: Column | str) -> Column:

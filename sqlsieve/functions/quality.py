@@ -99,17 +99,22 @@ def reject_reason(content: Column | str, path: Column | str) -> Column:
 
     A missing content fails the first rule; a missing path is an empty one.
     """
-    content, path = as_column(content), as_column(path)
 
-    def after_size(split: Column) -> Column:
-        (first, ok), *rest = quality_rules(content, path, split)
-        verdict = F.when(~ok, F.lit(first))
-        for reason, ok in rest:
-            verdict = verdict.when(~ok, F.lit(reason))
-        return verdict
+    def judge(file: Column) -> Column:
+        text, name = file["content"], file["path"]
 
-    right_size = F.coalesce(size_ok(content), F.lit(False))
-    return F.when(~right_size, F.lit("size")).otherwise(let(split_lines(content), after_size))
+        def after_size(split: Column) -> Column:
+            (first, ok), *rest = quality_rules(text, name, split)
+            verdict = F.when(~ok, F.lit(first))
+            for reason, ok in rest:
+                verdict = verdict.when(~ok, F.lit(reason))
+            return verdict
+
+        right_size = F.coalesce(size_ok(text), F.lit(False))
+        return F.when(~right_size, F.lit("size")).otherwise(let(split_lines(text), after_size))
+
+    file = F.struct(as_column(content).alias("content"), as_column(path).alias("path"))
+    return let(file, judge)
 
 
 def is_quality(content: Column | str, path: Column | str) -> Column:

@@ -133,9 +133,11 @@ def line_stats(text: Column | str) -> Column:
 
 
 def alnum_share(text: Column | str) -> Column:
-    text = as_column(text)
-    kept = F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))
-    return kept / F.greatest(F.length(text), F.lit(1))
+    def share(t: Column) -> Column:
+        kept = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
+        return kept / F.greatest(F.length(t), F.lit(1))
+
+    return let(as_column(text), share)
 
 
 def path_suffix(path: Column | str) -> Column:

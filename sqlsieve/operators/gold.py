@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .joins import salted_join
+
 
 def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
@@ -34,7 +36,13 @@ def top_products(lineitem: DataFrame, orders: DataFrame, part: DataFrame, n: int
         (F.col("o_orderdate") >= F.add_months(quarter, -3)) & (F.col("o_orderdate") < quarter)
     )
     price = money("l_extendedprice") * (1 - money("l_discount"))
-    sold = lineitem.join(last.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    items = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount")
+    sold = salted_join(
+        items,
+        last.select(F.col("o_orderkey").alias("l_orderkey")),
+        "l_orderkey",
+        spread_by=["l_partkey", "l_linenumber"],
+    )
     top = (
         sold.groupBy(F.col("l_partkey").alias("p_partkey"))
         .agg(F.sum(price).cast("double").alias("revenue"))
@@ -47,14 +55,14 @@ def top_products(lineitem: DataFrame, orders: DataFrame, part: DataFrame, n: int
 def members_with_group_mean(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Suppliers with the mean balance of their nation.
 
-    The means are aggregated first and joined back: one row per nation, never a whole nation in
-    one window.
+    The means are aggregated first and joined back, so no window holds a whole nation.
     """
     means = supplier.groupBy("s_nationkey").agg(
         (F.sum(money("s_acctbal")).cast("double") / F.count("s_acctbal")).alias("mean_acctbal")
     )
     named = means.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return supplier.join(named.select("s_nationkey", "n_name", "mean_acctbal"), "s_nationkey").select(
+    named = named.select("s_nationkey", "n_name", "mean_acctbal")
+    return salted_join(supplier, named, "s_nationkey", spread_by=["s_suppkey"]).select(
         "n_name", "s_name", F.round("mean_acctbal", 4).alias("mean_acctbal")
     )
 
@@ -95,8 +103,11 @@ def duplicate_values(df: DataFrame, value: str, key: str) -> DataFrame:
 
 def days_to_ship(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Mean days from order to shipment per product type."""
-    shipped = lineitem.select("l_orderkey", "l_partkey", "l_shipdate").join(
-        orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
+    shipped = salted_join(
+        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"),
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"),
+        "l_orderkey",
+        spread_by=["l_partkey", "l_linenumber"],
     )
     per_part = shipped.groupBy("l_partkey").agg(
         F.sum(F.date_diff("l_shipdate", "o_orderdate").cast("bigint")).alias("days"),

@@ -444,7 +444,7 @@ def chunk_cap_then_length(t: Tables) -> DataFrame:
     "prompts",
 ))
 def prompt_table(t: Tables) -> DataFrame:
-    return t.prompts().select(
+    return prompts.prompt_table(t.corpus_records()).select(
         "prompt_id", "repo_name", "path", "chunk_no", "is_modern", "is_repo", "feature_score",
         "n_stars", F.md5("prompt").alias("prompt_digest"),
     )
@@ -770,5 +770,5 @@ def v10_upsert(t: Tables) -> DataFrame:
 
 def flagship(t: Tables) -> DataFrame:
     """From files to ranked prompts."""
-    table = t.prompts()
+    table = prompts.prompt_table(t.corpus_records())
     return table.select("prompt_id", *ranking.RANK_COLUMNS, "repo_name", "path", "chunk_no", "prompt")

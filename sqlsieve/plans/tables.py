@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,11 @@ from ..functions.dialect import feature_tags, is_modern
 from ..operators.corpus import kept
 from ..operators.prompts import prompt_table
 from ..operators.repos import is_sql_path
+from ..session import new_table_path, spread
 from . import fixtures
 
+_stored: dict[tuple[str, str, str], str] = {}
+
 
 class Tables:
     """``t("orders")`` is the given table; the derived ones have methods."""
@@ -32,7 +36,10 @@ class Tables:
 
     def sql_files(self, rich: bool = False) -> DataFrame:
         query = fixtures.SQL_FILES_RICH if rich else fixtures.SQL_FILES
-        return self.sql(query, orders=self("orders"))
+        orders = self("orders").select("o_orderkey", "o_custkey")
+        return self.stored(
+            "rich_files" if rich else "sql_files", lambda: self.sql(query, orders=spread(orders))
+        )
 
     def _flat_repos(self) -> DataFrame:
         return self.sql(fixtures.REPOS, customer=self("customer"))
@@ -53,10 +60,16 @@ class Tables:
         )
 
     def index(self) -> DataFrame:
+        return self.stored("index", self._index)
+
+    def blobs(self) -> DataFrame:
+        return self.stored("blobs", self._blobs)
+
+    def _index(self) -> DataFrame:
         rows = self.sql(fixtures.INDEX_ROWS, sql_files=self.sql_files())
         return rows.withColumn("detected_licenses", F.array("license_name")).drop("license_name")
 
-    def blobs(self) -> DataFrame:
+    def _blobs(self) -> DataFrame:
         """Packed contents: one per index row that has its own, and one that many rows share."""
         files = self.sql_files()
         own = files.select(
@@ -82,10 +95,24 @@ class Tables:
             "tsql_features", feature_tags("content")
         )
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``build()`` as a table in the shared folder, written once per application and folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _stored:
+            path = new_table_path(self.spark, name)
+            build().write.parquet(path)
+            _stored[key] = path
+        return self.spark.read.parquet(_stored[key])
+
     def prompts(self) -> DataFrame:
-        return prompt_table(self.corpus_records())
+        """The prompt table as it leaves for the model."""
+        return self.stored("prompts", lambda: prompt_table(self.corpus_records()))
 
     def responses(self) -> DataFrame:
+        """The answer table as it comes back."""
+        return self.stored("responses", self._responses)
+
+    def _responses(self) -> DataFrame:
         records = self.corpus_records()
         # The prompt id depends on the chunk alone, so the file's number may travel as its source.
         ids = prompt_table(records.withColumn("source", F.col("file_id").cast("string")))

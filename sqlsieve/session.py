@@ -53,6 +53,16 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give narrow rows that came in fewer pieces than there are cores to all of them.
+
+    For small inputs in few files whose rows grow or cost much later on; inputs that already come
+    in many pieces are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as written to the shared folder, so that they are never computed anew."""
     shared_folder(df.sparkSession)

@@ -94,10 +94,14 @@ def quality_rules(
     ]
 
 
-def reject_reason(content: Column | str, path: Column | str) -> Column:
+def reject_reason(
+    content: Column | str, path: Column | str, *after: Column | str
+) -> Column:
     """Name of the first rule that a file fails, null when it is kept.
 
-    A missing content fails the first rule; a missing path is an empty one.
+    A missing content fails the first rule; a missing path is an empty one. ``after`` names
+    columns that have to be there first: a filter that mentions columns of a join's other side
+    stays above that join, so only the rows that the join leaves are judged.
     """
 
     def judge(file: Column) -> Column:
@@ -113,9 +117,11 @@ def reject_reason(content: Column | str, path: Column | str) -> Column:
         right_size = F.coalesce(size_ok(text), F.lit(False))
         return F.when(~right_size, F.lit("size")).otherwise(let(split_lines(text), after_size))
 
-    file = F.struct(as_column(content).alias("content"), as_column(path).alias("path"))
+    file = F.struct(
+        as_column(content).alias("content"), as_column(path).alias("path"), *map(as_column, after)
+    )
     return let(file, judge)
 
 
-def is_quality(content: Column | str, path: Column | str) -> Column:
-    return reject_reason(content, path).isNull()
+def is_quality(content: Column | str, path: Column | str, *after: Column | str) -> Column:
+    return reject_reason(content, path, *after).isNull()

@@ -41,8 +41,9 @@ def judged(files: DataFrame) -> DataFrame:
     return files.withColumn("reject_reason", reject_reason("content", "path"))
 
 
-def kept(files: DataFrame) -> DataFrame:
-    return files.where(is_quality("content", "path"))
+def kept(files: DataFrame, *after: str) -> DataFrame:
+    """Files that pass the quality rules, judged once the columns ``after`` are joined."""
+    return files.where(is_quality("content", "path", *after))
 
 
 def _or_empty(name: str, empty: Column) -> Column:

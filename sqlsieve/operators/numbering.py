@@ -22,7 +22,8 @@ def number_rows(
     """Add ``name``: 1, 2, 3, … within each group in the given order.
 
     Group and order together must tell rows apart; the numbers follow them alone then, however
-    the rows are spread. Order entries may be columns with ``.desc()``.
+    the rows are spread. Order entries may be columns with ``.desc()``. The range bounds take a
+    first pass over ``df``, so costly columns should come from a written table.
     """
     keys = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
     placed = (

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import rules
 from ..functions.text import any_of, path_suffix
+from ..session import cut_lineage
 from .corpus import kept, modern_only, repo_records
 from .joins import broadcast_within
 
@@ -160,6 +161,8 @@ def collect_repo_files(
 ) -> DataFrame:
     """From repository and file tables to corpus records."""
     chosen = choose_repos(repos, repo_files, max_repos, require_readme, require_project)
-    files = kept(repo_files_to_read(chosen, repo_files, max_repos, max_files))
+    # A short list that is needed in several places: worked out once.
+    chosen = cut_lineage(chosen.select("repo_name", "stars", "license"))
+    files = kept(repo_files_to_read(chosen, repo_files, max_repos, max_files), "stars")
     records = repo_records(files)
     return modern_only(records) if only_modern else records

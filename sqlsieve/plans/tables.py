@@ -88,6 +88,10 @@ class Tables:
         return own.unionByName(shared).withColumn("data", packed("data"))
 
     def corpus_records(self) -> DataFrame:
+        """The corpus table as the collectors leave it."""
+        return self.stored("corpus", self._corpus_records)
+
+    def _corpus_records(self) -> DataFrame:
         """Kept SQL files with the fields of a corpus record; the flag is missing for the dataset."""
         files = kept(self.sql_files().where(is_sql_path("path")))
         modern = F.when(F.col("source") == "github-scraped", is_modern("content"))

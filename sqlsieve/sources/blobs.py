@@ -39,7 +39,8 @@ def decoded(data: Column | str, encoding: Column | str) -> Column:
     def decode(data: pd.Series, encoding: pd.Series) -> pd.Series:
         return pd.Series([text(d, e) for d, e in zip(data, encoding)], dtype=object)
 
-    return decode(data, encoding)
+    # Marked so that a filter on the text does not make the optimizer decode a second time.
+    return decode.asNondeterministic()(data, encoding)
 
 
 def attach_content(

@@ -21,12 +21,22 @@ from .text import any_of, as_column, let
 _UNFOLDED = [("\u212a", "K"), ("\u0130", "I")]
 
 
-def _folded(text: Column) -> Column:
-    return reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), _UNFOLDED, F.upper(text))
+def folded(text: Column) -> Column:
+    """Upper-cased text for the substring searches; rules over one text may share it."""
 
+    def fold_rest(upper: Column) -> Column:
+        rest = reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), _UNFOLDED, upper)
+        return F.when(F.octet_length(upper) == F.length(upper), upper).otherwise(rest)
 
-def _with_folded(text: Column | str, body: Callable[[Column, Column], Column]) -> Column:
-    return let(as_column(text), lambda t: let(_folded(t), lambda upper: body(t, upper)))
+    return let(F.upper(text), fold_rest)
+
+
+def _with_folded(
+    text: Column | str, upper: Column | None, body: Callable[[Column, Column], Column]
+) -> Column:
+    if upper is not None:
+        return body(as_column(text), upper)
+    return let(as_column(text), lambda t: let(folded(t), lambda u: body(t, u)))
 
 
 def _may_hold(upper: Column, phrases: list[str]) -> Column:
@@ -43,27 +53,31 @@ def _finds(text: Column, upper: Column, phrases: list[str]) -> Column:
     return _may_hold(upper, phrases) & text.rlike(any_phrase(phrases))
 
 
-def finds_any(text: Column | str, phrases: list[str]) -> Column:
-    """The text holds one of the phrases."""
+def finds_any(text: Column | str, phrases: list[str], upper: Column | None = None) -> Column:
+    """The text holds one of the phrases; ``upper`` is its folded form if already at hand."""
     plain = [p for p in phrases if not is_span(p)]
     groups = [g for g in [plain] if g] + [[p] for p in phrases if is_span(p)]
-    return _with_folded(text, lambda t, upper: any_of([_finds(t, upper, g) for g in groups]))
+    return _with_folded(text, upper, lambda t, u: any_of([_finds(t, u, g) for g in groups]))
 
 
-def has_foreign_markers(content: Column | str) -> Column:
-    return finds_any(content, rules.FOREIGN_MARKERS)
+def has_foreign_markers(content: Column | str, upper: Column | None = None) -> Column:
+    return finds_any(content, rules.FOREIGN_MARKERS, upper)
 
 
-def has_dialect_markers(content: Column | str) -> Column:
+def has_dialect_markers(content: Column | str, upper: Column | None = None) -> Column:
     """Most files of the dialect show a marker early, so the regex for the plain ones comes first."""
     plain = [p for p in rules.DIALECT_MARKERS if not is_span(p)]
     spans = [p for p in rules.DIALECT_MARKERS if is_span(p)]
-    return let(as_column(content), lambda c: c.rlike(any_phrase(plain)) | finds_any(c, spans))
+    return _with_folded(
+        content, upper, lambda t, u: t.rlike(any_phrase(plain)) | finds_any(t, spans, u)
+    )
 
 
-def is_dialect(content: Column | str) -> Column:
+def is_dialect(content: Column | str, upper: Column | None = None) -> Column:
     """Plausibly the wanted dialect: no marker of another one, at least one of its own."""
-    return let(as_column(content), lambda c: ~has_foreign_markers(c) & has_dialect_markers(c))
+    return _with_folded(
+        content, upper, lambda t, u: ~has_foreign_markers(t, u) & has_dialect_markers(t, u)
+    )
 
 
 def is_modern(content: Column | str) -> Column:
@@ -80,7 +94,7 @@ def feature_tags(content: Column | str) -> Column:
         ]
         return F.array_compact(F.array(*found))
 
-    return _with_folded(content, tags)
+    return _with_folded(content, None, tags)
 
 
 def feature_score(tags: Column | str) -> Column:

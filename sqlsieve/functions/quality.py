@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules, text
-from .dialect import finds_any, is_dialect
+from .dialect import finds_any, folded, is_dialect
 from .patterns import any_phrase, any_text, either
 from .text import any_of, as_column, let, split_lines
 
@@ -39,10 +39,10 @@ def comments_ok(split: Column) -> Column:
     return text.comment_share(split) <= rules.MAX_COMMENT_SHARE
 
 
-def not_generated(split: Column) -> Column:
-    """No generator's note in the first lines."""
+def not_generated(split: Column, upper: Column | None = None) -> Column:
+    """No generator's note in the first lines. ``upper`` may be that of the whole text."""
     head = F.array_join(F.slice(split, 1, rules.HEADER_LINES), "\n")
-    return ~let(head, lambda h: finds_any(h, rules.GENERATED_PHRASES))
+    return ~finds_any(head, rules.GENERATED_PHRASES, upper)
 
 
 # Rules over the whole text.
@@ -78,7 +78,7 @@ def has_statement(content: Column | str) -> Column:
 
 
 def quality_rules(
-    content: Column | str, path: Column | str, split: Column
+    content: Column | str, path: Column | str, split: Column, upper: Column
 ) -> list[tuple[str, Column]]:
     """(reason, condition that must hold), in the order in which they apply after the size."""
     return [
@@ -87,9 +87,9 @@ def quality_rules(
         ("mean_line", mean_line_ok(split)),
         ("alnum", alnum_ok(content)),
         ("comments", comments_ok(split)),
-        ("autogen", not_generated(split)),
+        ("autogen", not_generated(split, upper)),
         ("migration", ~is_migration(path, content)),
-        ("dialect", is_dialect(content)),
+        ("dialect", is_dialect(content, upper)),
         ("statement", has_statement(content)),
     ]
 
@@ -107,15 +107,17 @@ def reject_reason(
     def judge(file: Column) -> Column:
         text, name = file["content"], file["path"]
 
-        def after_size(split: Column) -> Column:
-            (first, ok), *rest = quality_rules(text, name, split)
+        def after_size(split: Column, upper: Column) -> Column:
+            (first, ok), *rest = quality_rules(text, name, split, upper)
             verdict = F.when(~ok, F.lit(first))
             for reason, ok in rest:
                 verdict = verdict.when(~ok, F.lit(reason))
             return verdict
 
         right_size = F.coalesce(size_ok(text), F.lit(False))
-        return F.when(~right_size, F.lit("size")).otherwise(let(split_lines(text), after_size))
+        return F.when(~right_size, F.lit("size")).otherwise(
+            let(split_lines(text), lambda s: let(folded(text), lambda u: after_size(s, u)))
+        )
 
     file = F.struct(
         as_column(content).alias("content"), as_column(path).alias("path"), *map(as_column, after)

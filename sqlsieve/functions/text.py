@@ -25,7 +25,7 @@ def as_column(c: Column | str) -> Column:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with ``value`` evaluated once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def any_of(conditions: list[Column]) -> Column:

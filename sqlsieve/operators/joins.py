@@ -11,7 +11,10 @@ MAX_HOT_KEYS = 100
 TRACKED_KEYS = 10_000
 ROWS_PER_SPLIT = 1_000_000
 
-# Largest number of narrow rows that is broadcast on the strength of a limit alone.
+JOINS = ("inner", "left", "left_semi", "left_anti")
+
+# Largest number of narrow rows that is broadcast on the strength of a limit alone: names and
+# paths of some hundred bytes, so tens of megabytes.
 MAX_BROADCAST_ROWS = 500_000
 
 
@@ -44,10 +47,10 @@ def salted_join(
 
     ``right`` has few rows per key. A left row of a hot key gets a salt from a hash of its
     ``spread_by`` columns, which tell rows of one key apart; the right rows of hot keys are
-    repeated once per salt. Without hot keys this is the plain join. ``how``: inner or left.
+    repeated once per salt. Without hot keys this is the plain join.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
+    if how not in JOINS:
+        raise ValueError(f"how must be one of {JOINS}")
     hot = hot_keys(left, key, rows_per_split)
     if not hot:
         return left.join(right, key, how)

@@ -94,9 +94,15 @@ def prompt_table(
     )
 
 
-def pending(prompts: DataFrame, done: DataFrame) -> DataFrame:
+COPY_COLUMNS = ["repo_name", "path", "content_hash", "chunk_no"]  # tell copies of a chunk apart
+
+
+def pending(
+    prompts: DataFrame, done: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
+) -> DataFrame:
     """Prompts without an answer yet."""
-    return prompts.join(done.select("prompt_id").distinct(), "prompt_id", "left_anti")
+    ids = done.select("prompt_id").distinct()
+    return salted_join(prompts, ids, "prompt_id", "left_anti", COPY_COLUMNS, rows_per_split)
 
 
 def with_answers(
@@ -105,14 +111,7 @@ def with_answers(
     """Left join with the answers. ``prompt_id`` is unique in ``responses``; in ``prompts`` one id
     may stand for very many copies of a chunk, whose rows are then spread."""
     narrow = prompts.drop("prompt", "chunk")
-    return salted_join(
-        narrow,
-        responses,
-        "prompt_id",
-        "left",
-        spread_by=["repo_name", "path", "content_hash", "chunk_no"],
-        rows_per_split=rows_per_split,
-    )
+    return salted_join(narrow, responses, "prompt_id", "left", COPY_COLUMNS, rows_per_split)
 
 
 def with_outcome(answered: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def generate_until(
         answers = answered_so_far(spark, answers_path)
         outcomes = with_outcome(with_answers(prompts, answers))
         n = accepted(outcomes).limit(max_pairs).count()
-        todo = pending(distinct_prompts(prompts), answers)
+        todo = distinct_prompts(prompts).join(answers, "prompt_id", "left_anti")
         batch = todo.orderBy(*prompt_order()).limit(wave or max(2 * (max_pairs - n), 100))
         if n >= max_pairs or batch.isEmpty():
             return top_pairs(outcomes, max_pairs)

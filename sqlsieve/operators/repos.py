@@ -93,7 +93,14 @@ def project_repos(repo_files: DataFrame) -> DataFrame:
     return repo_files.where(at_root & project).select("repo_name").distinct()
 
 
-def with_project(repos: DataFrame, repo_files: DataFrame) -> DataFrame:
+def with_project(
+    repos: DataFrame, repo_files: DataFrame, max_repos: int | None = None
+) -> DataFrame:
+    """Repositories with a project. When no more than ``max_repos`` are asked about, their names
+    go to the scan of the files, and only names found there come back."""
+    if max_repos is not None:
+        names = broadcast_within(repos.select("repo_name"), max_repos)
+        repo_files = repo_files.join(names, "repo_name", "left_semi")
     return repos.join(project_repos(repo_files), "repo_name", "left_semi")
 
 
@@ -109,7 +116,7 @@ def choose_repos(
     if require_readme:
         chosen = with_readme(chosen)
     if require_project:
-        chosen = with_project(chosen, repo_files)
+        chosen = with_project(chosen, repo_files, max_repos)
     return chosen
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from ..functions import text as measures
 from ..functions.text import let, split_lines
 from ..operators import corpus, gold, prompts, ranking, report, repos
 from ..operators.numbering import assign_parts
+from ..operators.user_code import keep_if, map_batches
 from ..session import new_table_path
 from ..sources import blobs, jsonl, sinks
 from ..streaming import collect
@@ -568,6 +570,26 @@ def chatml_text(t: Tables) -> DataFrame:
     return sinks.as_train_text(t("conversations").select("conv_id", "turn", messages))
 
 
+# --- the caller's own code -------------------------------------------------------------------
+
+
+@query(twin("select file_id from sql_files where len(string_split(content, 'SELECT')) > 2", "sql_files"))
+def user_predicate(t: Tables) -> DataFrame:
+    """A row test in plain Python."""
+    return t.sql_files().where(keep_if(lambda text: text.count("SELECT") > 1, "content")).select("file_id")
+
+
+@query(twin("select file_id, md5(concat(path, ':', content)) as digest from sql_files", "sql_files"))
+def user_batches(t: Tables) -> DataFrame:
+    """A map over batches in pandas."""
+    joined = map_batches(
+        t.sql_files().select("file_id", "path", "content"),
+        lambda b: pd.DataFrame({"file_id": b["file_id"], "both": b["path"] + ":" + b["content"]}),
+        "file_id bigint, both string",
+    )
+    return joined.select("file_id", F.md5("both").alias("digest"))
+
+
 # --- files of lines --------------------------------------------------------------------------
 
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of single Column operations: costly for expressions of this size.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

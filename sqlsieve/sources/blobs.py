@@ -19,9 +19,14 @@ INDEX_SCHEMA = (
 )
 
 
-def read_index(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(INDEX_SCHEMA).parquet(path)
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(INDEX_SCHEMA).parquet(path)
+
+
+def stream_index(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Index rows as their files arrive, ``files_per_batch`` per micro-batch."""
+    reader = spark.readStream.schema(INDEX_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def decoded(data: Column | str, encoding: Column | str) -> Column:

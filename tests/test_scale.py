@@ -22,7 +22,7 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", joins.JOINS)
 def test_salted_join(spark, skewed, how):
     right = spark.range(0, 800, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), "id")
     right = right.unionByName(spark.createDataFrame([("hot", -1)], "k string, id long"))

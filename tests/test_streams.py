@@ -28,12 +28,12 @@ def test_dataset_stream(spark, tmp_path):
     index, store = tables.index().select(*[c.split()[0] for c in blobs.INDEX_SCHEMA.split(", ")]), tables.blobs()
     source, out, done = (str(tmp_path / n) for n in ("in", "out", "done"))
     for _ in halves(index, source):
-        stream = blobs.read_index(spark, source, stream=True)
+        stream = blobs.stream_index(spark, source, files_per_batch=3)
         collect.write_stream(collect.stream_dataset(stream, store), out, done).awaitTermination()
     batch = blobs.collect_dataset(index, store)
     got = spark.read.schema(batch.schema).json(out)
     assert rows(got) == rows(batch) and got.count() > 100
-    again = blobs.read_index(spark, source, stream=True)
+    again = blobs.stream_index(spark, source, files_per_batch=3)
     collect.write_stream(collect.stream_dataset(again, store), out, done).awaitTermination()
     assert spark.read.schema(batch.schema).json(out).count() == batch.count()
 

@@ -1,12 +1,14 @@
 """Row numbers in a total order, without one task that sees a whole group.
 
-``row_number`` over a window brings each group to one task. Here the rows are range-partitioned
-and sorted, so a group may span any number of tasks; a row's number is its place within its task
-plus the rows of its group in earlier tasks. Only one small row per task and group is aggregated.
+``row_number`` over a window brings each group to one task. Here a group may span any number of
+tasks: a row's number is its place within its piece of the group plus the rows in earlier pieces.
+Only one small row per piece is aggregated.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -16,6 +18,30 @@ from ..session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id: task number above, row number below
 
 
+def _with_place(df: DataFrame) -> DataFrame:
+    """Add ``_place``, rising with each task's row order, and fix it.
+
+    Whatever drew the tasks' bounds, a sample or a file listing, is not repeated.
+    """
+    return cut_lineage(df.withColumn("_place", F.monotonically_increasing_id()))
+
+
+def _number_placed(placed: DataFrame, group: list[str], piece: str, name: str) -> DataFrame:
+    """Number rows whose pieces lie unbroken in ``_place`` and follow each other by ``piece``."""
+    sizes = placed.groupBy(*group, piece).agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    earlier = W.partitionBy(*group).orderBy(piece).rowsBetween(W.unboundedPreceding, -1)
+    keys = [*group, piece]
+    starts = sizes.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    numbered = placed.join(starts, same, "inner")
+    return numbered.withColumn(name, F.col("_place") + F.col("_shift"))
+
+
 def number_rows(
     df: DataFrame, group: list[str], order: list[Column | str], name: str = "row_no"
 ) -> DataFrame:
@@ -26,36 +52,29 @@ def number_rows(
     first pass over ``df``, so costly columns should come from a written table.
     """
     keys = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    # Range bounds come from a sample: they are drawn once, and both uses below see the same rows.
-    placed = cut_lineage(placed).withColumn("_task", F.shiftright("_place", _ROW_BITS))
-    per_task = placed.groupBy(*group, "_task").agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    earlier = W.partitionBy(*group).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
-    starts = per_task.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col("_task").alias("_t"),
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift"),
-    )
-    same = F.col("_task") == F.col("_t")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return (
-        placed.join(starts, same, "inner")
-        .withColumn(name, F.col("_place") + F.col("_shift"))
-        .select(*df.columns, name)
-    )
+    placed = _with_place(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    placed = placed.withColumn("_task", F.shiftright("_place", _ROW_BITS))
+    return _number_placed(placed, group, "_task", name).select(*df.columns, name)
+
+
+def number_in_read_order(df: DataFrame, group: list[str], block: str, name: str) -> DataFrame:
+    """Number rows as they come from files, without moving them.
+
+    ``block`` is the offset of the part of the file that a row was read from: a block is read by
+    one task in file order, and blocks follow each other by offset.
+    """
+    return _number_placed(_with_place(df), group, block, name).select(*df.columns, name)
+
+
+def part_of(row_no: Column | str, rows_per_part: int) -> Column:
+    """0 for the first ``rows_per_part`` rows, then 1, and so on."""
+    row_no = F.col(row_no) if isinstance(row_no, str) else row_no
+    return F.floor((row_no - 1) / F.lit(rows_per_part)).cast("long")
 
 
 def assign_parts(
     df: DataFrame, rows_per_part: int, group: list[str], order: list[Column | str]
 ) -> DataFrame:
-    """Add ``part``: 0 for the first ``rows_per_part`` rows of a group, then 1, and so on."""
+    """Add ``part`` of each row within its group."""
     numbered = number_rows(df, group, order, "_row_no")
-    part = F.floor((F.col("_row_no") - 1) / F.lit(rows_per_part)).cast("long")
-    return numbered.withColumn("part", part)
+    return numbered.withColumn("part", part_of("_row_no", rows_per_part)).drop("_row_no")

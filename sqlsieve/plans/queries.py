@@ -15,7 +15,7 @@ from ..functions.text import let, split_lines
 from ..operators import corpus, gold, prompts, ranking, report, repos
 from ..operators.numbering import assign_parts
 from ..operators.user_code import keep_if, map_batches
-from ..session import new_table_path
+from ..session import new_table_path, spread
 from ..sources import blobs, jsonl, sinks
 from ..streaming import collect
 from . import twins
@@ -604,24 +604,23 @@ def shard_assignment(t: Tables) -> DataFrame:
     return parts.select("file_id", "part")
 
 
+def _json_lines(t: Tables) -> DataFrame:
+    return t.sql(twins.fixtures.JSON_LINES, events=spread(t("events").select("event_id", "props")))
+
+
 @query(twin("select event_id, event_id % 10 not in (0, 1, 3, 4, 5) as valid from json_lines", "json_lines"))
 def jsonl_validity(t: Tables) -> DataFrame:
-    lines = t.sql(twins.fixtures.JSON_LINES, events=t("events"))
-    return lines.select("event_id", jsonl.is_json("value").alias("valid"))
+    return _json_lines(t).select("event_id", jsonl.is_json("value").alias("valid"))
 
 
-@query(twin(
-    """select event_id, trim("value") as "value",
-              (row_number() over (order by event_id) - 1) // 700 as part
-       from json_lines where event_id % 10 not in (0, 1, 3, 4, 5)""",
-    "json_lines",
-))
-def resplit_parts(t: Tables) -> DataFrame:
-    lines = t.sql(twins.fixtures.JSON_LINES, events=t("events"))
-    lines = lines.select(
-        "value", F.lit("events").alias("source"), F.lit(0).alias("block"), F.col("event_id").alias("line")
-    )
-    return jsonl.numbered_parts(lines, 700).select(F.col("line").alias("event_id"), "value", "part")
+@query(twin("""select trim("value") as "value" from json_lines where event_id % 10 not in (0, 1, 3, 4, 5)""",
+            "json_lines"))
+def resplit_lines(t: Tables) -> DataFrame:
+    """Line files with faults, split again into parts of valid lines, and read back."""
+    source, parts = new_table_path(t.spark, "lines"), new_table_path(t.spark, "parts")
+    _json_lines(t).select("value").write.text(source)
+    jsonl.resplit(t.spark, source, parts, rows_per_part=700, glob="*.txt")
+    return t.spark.read.text(parts).select("value")
 
 
 @query(twin(f"select count(*) as n_rows from ({_PAIRS}) p", "outcomes"))
@@ -648,10 +647,10 @@ def jsonl_round_trip(t: Tables) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-def _order_stream(t: Tables) -> DataFrame:
-    """The order table as a stream of its file."""
-    schema = t("orders").schema
-    return t.spark.readStream.schema(schema).parquet(f"{t.folder}/orders*.parquet")
+def _file_stream(t: Tables) -> DataFrame:
+    """The SQL files as a stream of the files that hold them."""
+    files = t.sql_files()
+    return t.spark.readStream.schema(files.schema).parquet(t.stored_path("sql_files"))
 
 
 @query(twin(
@@ -660,7 +659,7 @@ def _order_stream(t: Tables) -> DataFrame:
     "judged",
 ))
 def stream_collect(t: Tables) -> DataFrame:
-    files = t.sql(twins.fixtures.SQL_FILES, orders=_order_stream(t)).select(
+    files = _file_stream(t).select(
         "content", "path", "repo_name",
         F.array().cast("array<string>").alias("detected_licenses"),
         F.length("content").cast("bigint").alias("size"),
@@ -675,9 +674,8 @@ def stream_collect(t: Tables) -> DataFrame:
 
 @query(twin("select distinct repo_name from sql_files", "sql_files"))
 def stream_first_seen(t: Tables) -> DataFrame:
-    files = t.sql(twins.fixtures.SQL_FILES, orders=_order_stream(t))
     out, done = new_table_path(t.spark, "names-out"), new_table_path(t.spark, "names-done")
-    collect.write_stream(collect.first_seen_names(files), out, done).awaitTermination()
+    collect.write_stream(collect.first_seen_names(_file_stream(t)), out, done).awaitTermination()
     return t.spark.read.schema("repo_name string").json(out)
 
 

@@ -108,6 +108,9 @@ class Tables:
             _stored[key] = path
         return self.spark.read.parquet(_stored[key])
 
+    def stored_path(self, name: str) -> str:
+        return _stored[(self.spark.sparkContext.applicationId, self.folder, name)]
+
     def prompts(self) -> DataFrame:
         """The prompt table as it leaves for the model."""
         return self.stored("prompts", lambda: prompt_table(self.corpus_records()))

@@ -12,7 +12,7 @@ from pyspark.sql.types import BooleanType
 from ..functions import rules
 from ..functions.text import as_column, strip
 from ..operators.corpus import CORPUS_SCHEMA
-from ..operators.numbering import assign_parts
+from ..operators.numbering import number_in_read_order, part_of
 
 CHAT_SCHEMA = "messages array<struct<role:string,content:string>>"
 
@@ -83,12 +83,6 @@ def read_chat(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(CHAT_SCHEMA).json(paths)
 
 
-def numbered_parts(lines: DataFrame, rows_per_part: int) -> DataFrame:
-    """Valid lines, stripped, with ``part`` per ``source`` in the order of ``block`` and ``line``."""
-    clean = lines.withColumn("value", strip("value")).where((F.col("value") != "") & is_json("value"))
-    return assign_parts(clean, rows_per_part, ["source"], ["block", "line"])
-
-
 def resplit(
     spark: SparkSession,
     path: str,
@@ -96,22 +90,23 @@ def resplit(
     rows_per_part: int = rules.RESPLIT_ROWS,
     glob: str = "*.jsonl",
 ) -> None:
-    """Write each file below ``path`` as parts of ``rows_per_part`` lines, in file order.
+    """Write the valid lines of each file below ``path`` as parts of ``rows_per_part``, in order.
 
-    Lands in ``out/source=…/part=…``, apart from the input. A big file is read in many blocks;
-    a line's place is its block's offset and its place within the block.
+    Lands in ``out/source=…/part=…``, apart from the input. A big file is read in many blocks and
+    no task sees all of it; a part, which is bounded, is written by one task.
     """
     name = F.regexp_replace("_metadata.file_path", r"\.[^./]*\z", "")
     lines = read_lines(spark, [path], glob).select(
-        "value",
+        strip("value").alias("value"),
         F.regexp_replace(name, r"\A.*?\Q" + path.rstrip("/") + r"\E/*", "").alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
     )
-    parts = numbered_parts(lines, rows_per_part)
+    valid = lines.where((F.col("value") != "") & is_json("value"))
+    numbered = number_in_read_order(valid, ["source"], "block", "line")
     (
-        parts.repartition("source", "part")
-        .sortWithinPartitions("source", "part", "block", "line")
+        numbered.withColumn("part", part_of("line", rows_per_part))
+        .repartition("source", "part")
+        .sortWithinPartitions("source", "part", "line")
         .select("value", "source", "part")
         .write.partitionBy("source", "part")
         .text(out)

@@ -11,6 +11,7 @@ from ..functions.text import any_of, path_suffix
 from ..session import cut_lineage
 from .corpus import kept, modern_only, repo_records
 from .joins import broadcast_within
+from .numbering import number_rows
 
 
 def is_sql_path(path: Column | str) -> Column:
@@ -124,16 +125,19 @@ def listed_files(files: DataFrame, max_files: int = rules.MAX_FILES_PER_REPO) ->
     """(repo_name, path) of each repository's first SQL files in path order.
 
     Reads names only. Each task drops what is beyond the cap before the shuffle, so a repository
-    with very many files sends ``max_files`` rows per task at most.
+    with very many files sends ``max_files`` rows per task at most. Spark does so up to a certain
+    cap; beyond it the rows are numbered without bringing a repository to one task.
     """
-    order = W.partitionBy("repo_name").orderBy("path")
-    return (
-        files.where((F.col("entry_type") == "blob") & is_sql_path("path"))
-        .select("repo_name", "path")
-        .withColumn("_no", F.row_number().over(order))
-        .where(F.col("_no") <= max_files)
-        .drop("_no")
+    names = files.where((F.col("entry_type") == "blob") & is_sql_path("path")).select(
+        "repo_name", "path"
     )
+    cut_first = int(files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if max_files <= cut_first:
+        order = W.partitionBy("repo_name").orderBy("path")
+        numbered = names.withColumn("_no", F.row_number().over(order))
+    else:
+        numbered = number_rows(names, ["repo_name"], ["path"], "_no")
+    return numbered.where(F.col("_no") <= max_files).drop("_no")
 
 
 def repo_files_to_read(

@@ -570,6 +570,23 @@ def chatml_text(t: Tables) -> DataFrame:
     return sinks.as_train_text(t("conversations").select("conv_id", "turn", messages))
 
 
+@query(twin(
+    """select distinct prompt_id,
+              case when length(prompt) % 2 = 0 then cast(length(prompt) as string) end as response_text,
+              case when length(prompt) % 2 = 1 then 'ValueError: odd' end as error from prompts""",
+    "prompts",
+))
+def generated_answers(t: Tables) -> DataFrame:
+    """Each distinct prompt asked once inside the tasks, here of a stand-in for the model."""
+
+    def answer(prompt: str) -> str:
+        if len(prompt) % 2:
+            raise ValueError("odd")
+        return str(len(prompt))
+
+    return prompts.generate(prompts.distinct_prompts(t.prompts()), answer)
+
+
 # --- the caller's own code -------------------------------------------------------------------
 
 
@@ -679,6 +696,34 @@ def stream_first_seen(t: Tables) -> DataFrame:
     return t.spark.read.schema("repo_name string").json(out)
 
 
+@query(twin(f"select instruction, '' as input, {_FENCED} as output from ({_PAIRS}) p", "outcomes"))
+def stream_pairs(t: Tables) -> DataFrame:
+    """Accepted pairs as a stream into all three outputs; the Alpaca one read back."""
+    pairs = t.stored("pairs", lambda: _pairs(t))
+    stream = t.spark.readStream.schema(pairs.schema).parquet(t.stored_path("pairs"))
+    out, done = new_table_path(t.spark, "pairs-out"), new_table_path(t.spark, "pairs-done")
+    collect.write_pair_stream(stream, out, done).awaitTermination()
+    back = t.spark.read.schema(sinks.as_alpaca(pairs).schema).json(f"{out}/alpaca")
+    return back.select("instruction", "input", "output")
+
+
+@query(twin(
+    f"""select path, repo_name, {twins.TAGS} as tags, md5(content) as digest
+        from (select *, {twins.REASON} as reject_reason from contents) j where reject_reason is null""",
+    "index_rows", "contents", contents=_CONTENTS,
+))
+def stream_dataset_records(t: Tables) -> DataFrame:
+    """The index as a stream against the blob table."""
+    t.index()
+    stream = blobs.stream_index(t.spark, t.stored_path("index"))
+    out, done = new_table_path(t.spark, "records-out"), new_table_path(t.spark, "records-done")
+    collect.write_stream(collect.stream_dataset(stream, t.blobs()), out, done).awaitTermination()
+    back = jsonl.read_corpus(t.spark, [out])
+    return back.select(
+        "path", "repo_name", listed("tsql_features").alias("tags"), F.md5("content").alias("digest")
+    )
+
+
 # --- business questions ----------------------------------------------------------------------
 
 

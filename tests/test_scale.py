@@ -81,6 +81,8 @@ def test_file_cap_cuts_before_the_shuffle(spark):
     listed = repos.listed_files(files, 15)
     assert listed.where("repo_name = 'big'").orderBy("path").first().path == "src/00000.sql"
     assert {r["count"] for r in listed.groupBy("repo_name").count().collect()} == {15}
+    many = repos.listed_files(files, 1200)
+    assert many.where("repo_name = 'big'").count() == 1200 and many.count() == 2200
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,8 +192,8 @@ def answered_so_far(spark: SparkSession, path: str) -> DataFrame:
     """The answer table at ``path``, empty before the first wave."""
     try:
         return spark.read.schema(ANSWERS_SCHEMA).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], ANSWERS_SCHEMA)
 

@@ -124,8 +124,8 @@ def _documents(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""select doc_id, length(content) as n_chars, len({twins.LINES}) as n_lines,
-               {twins.LONGEST} as longest, round({twins.MEAN}, 6) as mean_length
+    f"""select doc_id, cast(length(content) as int) as n_chars, cast(len({twins.LINES}) as int) as n_lines,
+               cast({twins.LONGEST} as int) as longest, round({twins.MEAN}, 6) as mean_length
         from {_DOCUMENTS}"""
 )
 def size_line_stats(t: Tables) -> DataFrame:
@@ -144,7 +144,7 @@ def alnum_ratio(t: Tables) -> DataFrame:
 
 
 @query(twin(
-    f"""select file_id, {twins.COMMENTS} as n_comments,
+    f"""select file_id, cast({twins.COMMENTS} as int) as n_comments,
                round({twins.COMMENTS} / len({twins.LINES}), 6) as share from sql_files""",
     "sql_files",
 ))
@@ -239,7 +239,7 @@ def metadata_prefilter(t: Tables) -> DataFrame:
     return corpus.with_blob(corpus.small_enough(t.index())).select("file_id", "blob_id")
 
 
-@query(twin("select file_id, length(content) as n_chars, md5(content) as digest from contents",
+@query(twin("select file_id, cast(length(content) as int) as n_chars, md5(content) as digest from contents",
             "index_rows", "contents", contents=_CONTENTS))
 def blob_contents(t: Tables) -> DataFrame:
     files = blobs.attach_content(t.index(), t.blobs())
@@ -401,7 +401,7 @@ _ALL_FILES = {"corpus": "select file_id, content from sql_files"}
 
 
 @query(twin(
-    """select file_id, cast(unnest(generate_series(1, len(parts))) as bigint) as chunk_no,
+    """select file_id, cast(unnest(generate_series(1, len(parts))) as int) as chunk_no,
               unnest(parts) as chunk from batches where len(parts) > 0""",
     "sql_files", "batches", **_ALL_FILES,
 ))
@@ -430,7 +430,7 @@ def all_chunks(t: Tables) -> DataFrame:
 
 
 @query(twin(
-    f"""select repo_name, path, chunk_no, length(chunk) as n_chars
+    f"""select repo_name, path, chunk_no, cast(length(chunk) as int) as n_chars
         from chunks c join corpus f on f.file_id = c.file_id
         where chunk_no <= 1 and length(chunk) >= {rules.MIN_SENT_CHUNK}""",
     "chunks",
@@ -771,7 +771,7 @@ def v4_open_orders(t: Tables) -> DataFrame:
 @query(twin(
     """select "month", cast(sales as double) as sales,
               cast(sum(sales) over (order by "month") as double) as running_total from (
-         select month(o_orderdate) as "month", sum(cast(o_totalprice as decimal(18,2))) as sales
+         select cast(month(o_orderdate) as int) as "month", sum(cast(o_totalprice as decimal(18,2))) as sales
          from orders, now_is where o_orderdate >= date_trunc('year', now) group by 1) m""",
     "now_is",
 ))
@@ -810,8 +810,8 @@ def v8_big_spenders(t: Tables) -> DataFrame:
 
 @query(
     """select o_custkey, o_orderkey, place from (
-         select o_custkey, o_orderkey, row_number() over (
-           partition by o_custkey order by o_orderdate desc, o_orderkey desc) as place
+         select o_custkey, o_orderkey, cast(row_number() over (
+           partition by o_custkey order by o_orderdate desc, o_orderkey desc) as int) as place
          from orders) o where place <= 3"""
 )
 def v9_recent_orders(t: Tables) -> DataFrame:

@@ -6,6 +6,7 @@ import gzip
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -102,11 +103,16 @@ class Tables:
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """``build()`` as a table in the shared folder, written once per application and folder."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _stored:
-            path = new_table_path(self.spark, name)
-            build().write.parquet(path)
-            _stored[key] = path
-        return self.spark.read.parquet(_stored[key])
+        if key in _stored:
+            try:
+                return self.spark.read.parquet(_stored[key])
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        path = new_table_path(self.spark, name)
+        build().write.parquet(path)
+        _stored[key] = path
+        return self.spark.read.parquet(path)
 
     def stored_path(self, name: str) -> str:
         return _stored[(self.spark.sparkContext.applicationId, self.folder, name)]

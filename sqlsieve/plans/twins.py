@@ -112,16 +112,16 @@ def _chunk_parts(source: str) -> dict[str, str]:
                 on e.file_id = s.file_id and e.i = s.i
               where s.open_at >= 0) p on p.file_id = b.file_id""",
         "objects": f"""
-            select file_id, row_number() over (partition by file_id order by begins) as chunk_no, chunk
+            select file_id, cast(row_number() over (partition by file_id order by begins) as int) as chunk_no, chunk
             from pieces where length(chunk) >= {rules.MIN_STORED_CHUNK}""",
         "chunks": f"""
-            select file_id, cast(unnest(generate_series(1, len(parts))) as bigint) as chunk_no,
+            select file_id, cast(unnest(generate_series(1, len(parts))) as int) as chunk_no,
                    unnest(parts) as chunk
             from batches where len(parts) > 0
             union all
             select file_id, chunk_no, chunk from objects
             union all
-            select file_id, 1, trim(content, {_STRIP}) from batches
+            select file_id, cast(1 as int), trim(content, {_STRIP}) from batches
             where len(parts) = 0 and length(content) between {rules.MIN_STORED_CHUNK} and {rules.MAX_CHUNK}
               and file_id not in (select file_id from objects)""",
     }

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import INLINE_SPACES, LINE_END, LINE_ENDS, SPACE_CHARS, escape
+from .patterns import LINE_END, LINE_ENDS, SPACE_CHARS, escape
 from .rules import COMMENT_STARTS
 
 _INLINE_SPACE_CHARS = "".join(c for c in SPACE_CHARS if len(f"a{c}b".splitlines()) == 1)

@@ -24,13 +24,14 @@ import json
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import or_empty, others, vocabulary_path
 
-LEAF_CHARS = 16_384
+LEAF_CHARS = 32_768
 FIRST_WINDOW = 32
 MARGIN = 16
 VOCABULARY = "byte_bpe_50k.json"
@@ -137,9 +138,8 @@ def _encoder(path: str):
     def encode_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = load(path)
         for texts in batches:
-            yield pd.Series(
-                [coder.encode(t, allowed_special="all") for t in texts], index=texts.index
-            )
+            found = [coder.encode_to_numpy(t, allowed_special="all") for t in texts]
+            yield pd.Series(found, index=texts.index, dtype=object)
 
     return encode_texts.asNondeterministic()
 
@@ -149,9 +149,11 @@ def _joiner(path: str):
     def join_leaves(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = load(path)
         for rows in batches:
-            yield pd.Series(
-                [join_tree(coder, [list(map(int, n)) for n in r]) for r in rows], index=rows.index
-            )
+            found = [
+                np.array(join_tree(coder, [n.tolist() for n in nodes]), dtype=np.int32)
+                for nodes in rows
+            ]
+            yield pd.Series(found, index=rows.index, dtype=object)
 
     return join_leaves.asNondeterministic()
 
@@ -160,35 +162,31 @@ def encode(
     docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None,
     leaf_chars: int = LEAF_CHARS,
 ) -> DataFrame:
-    """``docs`` with the token ids of a text column, special tokens' texts as those tokens.
+    """The columns of ``docs`` but the text, and in its place the token ids.
 
-    Only long texts are shuffled: their leaves, and the other columns of their rows as JSON, by
-    which equal rows meet and are counted.
+    A special token's text is that token. Only long texts are shuffled, as leaves; equal rows are
+    combined before that, counted, and given back as often.
     """
     path = path or vocabulary_path(VOCABULARY)
-    kept = others(docs, ids)
+    kept = others(docs, ids, text) or [F.lit(None).cast("int").alias("_nothing")]
     plain = F.coalesce(docs[f"`{text}`"], F.lit(""))
     rows = docs.select(F.struct(*kept).alias("row"), plain.alias("body"))
     short = rows.where(F.length("body") <= leaf_chars)
     long = rows.where(F.length("body") > leaf_chars)
     short = short.select("row", _encoder(path)("body").alias("ids"))
 
-    leaf = F.expr(f"substring(body, 1 + leaf * {leaf_chars}, {leaf_chars})")
+    cut = F.expr(f"explode(sequence(0, int((length(body) - 1) div {leaf_chars})))")
+    part = F.expr(f"substring(body, 1 + leaf * {leaf_chars}, {leaf_chars})")
     leaves = (
-        long.withColumn("key", F.sha2(F.to_json(F.struct("row")), 256))
-        .select(
-            "key",
-            F.expr(f"explode(sequence(0, int((length(body) - 1) div {leaf_chars})))").alias("leaf"),
-            "body", "row",
-        )
-        .select("key", "leaf", leaf.alias("part"), F.when(F.col("leaf") == 0, F.col("row")).alias("row"))
-        .repartition("key", "leaf")
-        .select("key", "leaf", "row", _encoder(path)("part").alias("ids"))
+        long.select(F.sha2(F.to_json(F.struct("row", "body")), 256).alias("key"), "row", "body")
+        .select("key", "row", "body", cut.alias("leaf"))
+        .select("key", "leaf", part.alias("part"), F.when(F.expr("leaf = 0"), F.col("row")).alias("row"))
+        .groupBy("key", "leaf")
+        .agg(F.first("part").alias("part"), F.first("row").alias("row"), F.count("*").alias("n"))
+        .select("key", "leaf", "row", "n", _encoder(path)("part").alias("ids"))
     )
     trees = (
-        leaves.groupBy("key", "leaf")
-        .agg(F.first("ids").alias("ids"), F.first("row").alias("row"), F.count("*").alias("n"))
-        .groupBy("key")
+        leaves.groupBy("key")
         .agg(
             F.sort_array(F.collect_list(F.struct("leaf", "ids"))).alias("nodes"),
             F.first("row", ignorenulls=True).alias("row"),
@@ -198,7 +196,8 @@ def encode(
         .select("row", "ids", F.expr("explode(sequence(1, int(n)))").alias("copy"))
         .select("row", "ids")
     )
-    return short.unionByName(trees).select("row.*", F.col("ids").alias(ids))
+    both = short.unionByName(trees).select("row.*", F.col("ids").alias(ids))
+    return both.drop("_nothing")
 
 
 def decode(ids: Column | str, path: str | None = None) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, token_counts
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op1_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"))
 
 
+def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
+    "op8_prefix_token_counts": op8_prefix_token_counts,
 }
 
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, token_counts, toxicity
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,14 @@ def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
 
+def op9_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
     "op8_prefix_token_counts": op8_prefix_token_counts,
+    "op9_toxicity_ngrams": op9_toxicity_ngrams,
 }
 
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts, toxicity
+from . import bpe, decontamination, token_counts, toxicity
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,12 @@ def op1_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"))
 
 
+def op3_benchmark_edits(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    )
+
+
 def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -26,6 +32,7 @@ def op9_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
+    "op3_benchmark_edits": op3_benchmark_edits,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, token_counts, toxicity
+from . import bpe, decontamination, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op3_benchmark_edits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.page_verdicts(read(spark, folder, "pages"))
+
+
 def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -33,8 +37,11 @@ def op9_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_benchmark_edits": op3_benchmark_edits,
+    "op4_redirect_equivalence": op4_redirect_equivalence,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_redirect_equivalence": url_filters.SQL,
+}

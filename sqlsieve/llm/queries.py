@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, token_counts, toxicity, url_filters
+from . import bpe, chat_format, decontamination, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op4_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.page_verdicts(read(spark, folder, "pages"))
 
 
+def op5_typed_parts(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.chat_digests(read(spark, folder, "conversations"))
+
+
 def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -38,10 +42,12 @@ QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_benchmark_edits": op3_benchmark_edits,
     "op4_redirect_equivalence": op4_redirect_equivalence,
+    "op5_typed_parts": op5_typed_parts,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
 }
 
 SQL: dict[str, str] = {
     "op4_redirect_equivalence": url_filters.SQL,
+    "op5_typed_parts": chat_format.SQL,
 }

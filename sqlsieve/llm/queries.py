@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontamination, token_counts, toxicity, url_filters
+from . import bpe, chat_format, decontamination, secrets, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op5_typed_parts(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.chat_digests(read(spark, folder, "conversations"))
 
 
+def op6_randomness_battery(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_spans(read(spark, folder, "documents"))
+
+
 def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Run] = {
     "op3_benchmark_edits": op3_benchmark_edits,
     "op4_redirect_equivalence": op4_redirect_equivalence,
     "op5_typed_parts": op5_typed_parts,
+    "op6_randomness_battery": op6_randomness_battery,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
 }

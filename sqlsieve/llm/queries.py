@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontamination, secrets, token_counts, toxicity, url_filters
+from . import bpe, chat_format, decontamination, html_text, secrets, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op9_toxicity_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op10_page_differences(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(read(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_benchmark_edits": op3_benchmark_edits,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Run] = {
     "op6_randomness_battery": op6_randomness_battery,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
+    "op10_page_differences": op10_page_differences,
 }
 
 SQL: dict[str, str] = {

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, others, vocabulary_path
+from .common import by_chars, or_empty, others, vocabulary_path
 
 LEAF_CHARS = 32_768
 FIRST_WINDOW = 32
@@ -133,47 +133,54 @@ def join_tree(coder, nodes: list[list[int]]) -> list[int]:
     return nodes[0] if nodes else []
 
 
-def _encoder(path: str):
-    @F.pandas_udf("array<int>")
-    def encode_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _result(coder, ids: list[np.ndarray], decoded: bool) -> pd.DataFrame:
+    """Ids, and the texts decoded from them where asked for."""
+    texts = [coder.decode(i.tolist()) if decoded else None for i in ids]
+    return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(texts, dtype=object)})
+
+
+def _encoder(path: str, decoded: bool):
+    @F.pandas_udf("ids array<int>, decoded string")
+    def encode_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = load(path)
-        for texts in batches:
-            found = [coder.encode_to_numpy(t, allowed_special="all") for t in texts]
-            yield pd.Series(found, index=texts.index, dtype=object)
+        for batch in batches:
+            for texts in by_chars(batch):
+                ids = [coder.encode_to_numpy(t, allowed_special="all") for t in texts]
+                yield _result(coder, ids, decoded)
 
     return encode_texts.asNondeterministic()
 
 
-def _joiner(path: str):
-    @F.pandas_udf("array<int>")
-    def join_leaves(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _joiner(path: str, decoded: bool):
+    @F.pandas_udf("ids array<int>, decoded string")
+    def join_leaves(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = load(path)
-        for rows in batches:
-            found = [
-                np.array(join_tree(coder, [n.tolist() for n in nodes]), dtype=np.int32)
-                for nodes in rows
-            ]
-            yield pd.Series(found, index=rows.index, dtype=object)
+        for batch in batches:
+            for rows in by_chars(batch, 32):
+                trees = (join_tree(coder, [n.tolist() for n in nodes]) for nodes in rows)
+                yield _result(coder, [np.array(t, dtype=np.int32) for t in trees], decoded)
 
     return join_leaves.asNondeterministic()
 
 
 def encode(
     docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None,
-    leaf_chars: int = LEAF_CHARS,
+    leaf_chars: int = LEAF_CHARS, decoded: str | None = None,
 ) -> DataFrame:
     """The columns of ``docs`` but the text, and in its place the token ids.
 
+    ``decoded`` names a further column for the text that the ids decode to.
+
     A special token's text is that token. Only long texts are shuffled, as leaves; equal rows are
     combined before that, counted, and given back as often.
     """
     path = path or vocabulary_path(VOCABULARY)
-    kept = others(docs, ids, text) or [F.lit(None).cast("int").alias("_nothing")]
+    kept = others(docs, ids, text, *([decoded] if decoded else [])) or [F.lit(None).cast("int").alias("_nothing")]
     plain = F.coalesce(docs[f"`{text}`"], F.lit(""))
     rows = docs.select(F.struct(*kept).alias("row"), plain.alias("body"))
     short = rows.where(F.length("body") <= leaf_chars)
     long = rows.where(F.length("body") > leaf_chars)
-    short = short.select("row", _encoder(path)("body").alias("ids"))
+    short = short.select("row", _encoder(path, bool(decoded))("body").alias("found"))
 
     cut = F.expr(f"explode(sequence(0, int((length(body) - 1) div {leaf_chars})))")
     part = F.expr(f"substring(body, 1 + leaf * {leaf_chars}, {leaf_chars})")
@@ -183,21 +190,23 @@ def encode(
         .select("key", "leaf", part.alias("part"), F.when(F.expr("leaf = 0"), F.col("row")).alias("row"))
         .groupBy("key", "leaf")
         .agg(F.first("part").alias("part"), F.first("row").alias("row"), F.count("*").alias("n"))
-        .select("key", "leaf", "row", "n", _encoder(path)("part").alias("ids"))
+        .select("key", "leaf", "row", "n", _encoder(path, False)("part").alias("found"))
     )
     trees = (
         leaves.groupBy("key")
         .agg(
-            F.sort_array(F.collect_list(F.struct("leaf", "ids"))).alias("nodes"),
+            F.sort_array(F.collect_list(F.struct("leaf", "found.ids"))).alias("nodes"),
             F.first("row", ignorenulls=True).alias("row"),
             F.max("n").alias("n"),
         )
-        .select("row", "n", _joiner(path)(F.col("nodes.ids")).alias("ids"))
-        .select("row", "ids", F.expr("explode(sequence(1, int(n)))").alias("copy"))
-        .select("row", "ids")
+        .select("row", "n", _joiner(path, bool(decoded))(F.col("nodes.ids")).alias("found"))
+        .select("row", "found", F.expr("explode(sequence(1, int(n)))").alias("copy"))
+        .select("row", "found")
     )
-    both = short.unionByName(trees).select("row.*", F.col("ids").alias(ids))
-    return both.drop("_nothing")
+    new = [F.col("found.ids").alias(ids)]
+    if decoded:
+        new.append(F.col("found.decoded").alias(decoded))
+    return short.unionByName(trees).select("row.*", *new).drop("_nothing")
 
 
 def decode(ids: Column | str, path: str | None = None) -> Column:
@@ -218,8 +227,7 @@ def decode(ids: Column | str, path: str | None = None) -> Column:
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document the digests of its ids and of the text decoded from them."""
-    coded = encode(docs.select("doc_id", "text"), path=path).select("doc_id", "ids")
-    both = coded.select("doc_id", "ids", decode("ids", path).alias("decoded"))
+    both = encode(docs.select("doc_id", "text"), path=path, decoded="decoded")
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(
         "doc_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,46 @@ def others(df: DataFrame, *names: str) -> list[Column]:
     """The columns of ``df`` but those that a new column of the same name replaces."""
     taken = {n.lower() for n in names}
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in taken]
+
+
+def by_chars(texts, limit: int = 1_000_000) -> Iterator[list]:
+    """Texts, or lists, in runs of about ``limit`` characters, so that results leave in small batches."""
+    part, chars = [], 0
+    for text in texts:
+        part.append(text)
+        chars += len(text)
+        if chars >= limit:
+            yield part
+            part, chars = [], 0
+    if part:
+        yield part
+
+
+def running(numbers: Column, block: int = 256) -> Column:
+    """Sums of an array of numbers up to each of its positions.
+
+    Worked out by blocks, as an array that grows by one element at a time is copied each time.
+    """
+    zero = F.lit(0).cast("long")
+    grow = lambda done, n: F.concat(
+        done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), zero) + n)
+    )
+    none = F.array().cast("array<bigint>")
+    steps = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / block).cast("int"))
+    parts = F.when(F.size(numbers) == 0, F.array().cast("array<array<bigint>>")).otherwise(
+        F.transform(
+            steps, lambda b: F.aggregate(F.slice(numbers, b * block + 1, block), none, grow)
+        )
+    )
+    before = F.aggregate(
+        parts,
+        F.array(zero),
+        lambda done, p: F.concat(done, F.array(F.element_at(done, -1) + F.element_at(p, -1))),
+    )
+    return F.flatten(
+        F.zip_with(
+            parts,
+            F.slice(before, 1, F.size(parts)),
+            lambda p, b: F.transform(p, lambda n: n + b),
+        )
+    )

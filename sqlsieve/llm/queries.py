@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontamination, html_text, secrets, token_counts, toxicity, url_filters
+from . import bpe, chat_format, decontamination, html_text, imatch, secrets, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op6_randomness_battery(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(read(spark, folder, "documents"))
 
 
+def op7_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprints(read(spark, folder, "documents"))
+
+
 def op8_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Run] = {
     "op4_redirect_equivalence": op4_redirect_equivalence,
     "op5_typed_parts": op5_typed_parts,
     "op6_randomness_battery": op6_randomness_battery,
+    "op7_imatch": op7_imatch,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
     "op10_page_differences": op10_page_differences,

@@ -252,8 +252,9 @@ def secret_spans(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """Per document the numbers of known forms, their digest, and all spans."""
     found = scan(docs.select("doc_id", "text"), "found", rate=rate)
     base = F.filter("found", lambda s: s["kind"] < 3)
+    kinds = F.transform("found", lambda s: s["kind"])
     numbers = [
-        F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
         for k, name in enumerate(KINDS)
     ]
     return found.select(

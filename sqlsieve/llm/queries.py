@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontamination, html_text, imatch, secrets, token_counts, toxicity, url_filters
+from . import bpe, chat_format, decontamination, html_text, imatch, jaccard_join, secrets, token_counts, toxicity, url_filters
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,11 @@ def op1_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"))
 
 
+def op2_grouped_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    return jaccard_join.components_of(documents, width=3, threshold=Fraction(9, 10))
+
+
 def op3_benchmark_edits(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(
         read(spark, folder, "documents"), read(spark, folder, "benchmark")
@@ -52,6 +58,7 @@ def op10_page_differences(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
+    "op2_grouped_prefix_join": op2_grouped_prefix_join,
     "op3_benchmark_edits": op3_benchmark_edits,
     "op4_redirect_equivalence": op4_redirect_equivalence,
     "op5_typed_parts": op5_typed_parts,

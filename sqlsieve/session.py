@@ -55,6 +55,12 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a table that ``new_table_path`` named, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give narrow rows that came in fewer pieces than there are cores to all of them.
 

@@ -37,6 +37,14 @@ def others(df: DataFrame, *names: str) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in taken]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def by_chars(texts, limit: int = 1_000_000) -> Iterator[list]:
     """Texts, or lists, in runs of about ``limit`` characters, so that results leave in small batches."""
     part, chars = [], 0

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, others
+from .common import free_name, or_empty, others
 
 RATE = 0.1
 BLOCK_CHARS = 4_000_000
@@ -214,5 +214,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The documents in which no test item occurs, with their columns."""
-    found = matches(docs, benchmark, name="_matches", rate=rate)
-    return found.where(F.size("_matches") == 0).drop("_matches")
+    name = free_name(docs, "matches")
+    found = matches(docs, benchmark, name=name, rate=rate)
+    return found.where(F.size(name) == 0).drop(name)

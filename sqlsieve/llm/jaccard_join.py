@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_chars, or_empty
+from .common import by_chars, free_name, or_empty
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -50,7 +50,7 @@ BITS = 512
 LIST_BLOCK = 1_000
 GROUP_PART = 64
 BUCKETS = 1 << 20
-ROW = "doc_id long, n long, key binary, g long, prefix array<long>, bits binary"
+ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary"
 
 
 def least_overlap(threshold: Fraction, sizes) -> int:
@@ -124,7 +124,8 @@ def prepare(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
                     group = int.from_bytes(set_key(np.append(prefix, n))[:8], "little", signed=True)
                     out.append((n, set_key(found), group, prefix, sketch(found)))
                 part = pd.DataFrame(out, columns=["n", "key", "g", "prefix", "bits"])
-                part.insert(0, "doc_id", rows["doc_id"].iloc[begin : begin + len(texts)].array)
+                for place, name in enumerate(("doc_id", "h")):
+                    part.insert(place, name, rows[name].iloc[begin : begin + len(texts)].array)
                 begin += len(texts)
                 yield part
 
@@ -263,8 +264,10 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction)
 
 
 def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
-    """Per document its id, the size of its set, and the least id of its component."""
+    """Per document its id, the hash of its text, the size of its set, the least id of its
+    component, and the component's name, null for an empty set."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("body"))
+    docs = docs.withColumn("h", F.xxhash64("body"))
     rows = prepare(docs, width, threshold)
     classes = rows.where("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("g").alias("g"),
@@ -319,27 +322,36 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     if labels is not None:
         named = least.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
         ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-        least = named.join(ids, "root").select("key", "component_id")
+        least = named.join(ids, "root").select("key", "root", "component_id")
     else:
-        least = least.select("key", F.col("least").alias("component_id"))
-    found = rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
+        least = least.select("key", F.col("key").alias("root"), F.col("least").alias("component_id"))
+    found = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.join(least, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
+        "doc_id", "h", F.col("n").alias("n_shingles"), own.alias("component_id"), "root"
     )
 
 
 def components_of(docs: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for each document."""
-    return classed(docs, width, threshold)
+    found = classed(docs, width, threshold)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
-    """The document with the least id of each component; documents without an id all stay.
+    """``docs`` with one document of each component, the one with the least id, then text hash.
 
-    Of rows with the same id and text one stays.
+    Documents without words stay; a document without an id stays if no other of its component has
+    one; of rows that are equal in id and text one stays.
     """
-    found = components_of(docs, width, threshold).select("doc_id", "component_id").distinct()
-    kept = found.where("doc_id = component_id").select("doc_id")
-    firsts = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return firsts.unionByName(docs.where("doc_id is null"))
+    found = classed(docs, width, threshold)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    first = found.where("root is not null").groupBy("root").agg(F.min(rank).alias("first"))
+    kept = first.select("first.doc_id", "first.h").union(
+        found.where("root is null").select("doc_id", "h")
+    )
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")).distinct()
+    name = free_name(docs, "h")
+    rows = docs.withColumn(name, F.xxhash64(or_empty("text")))
+    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (rows[name] == kept["kept_h"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import or_empty, others, running
+from .common import free_name, or_empty, others, running
 
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+))"
@@ -211,41 +211,35 @@ def listed(found: Column) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", rate: float = RATE) -> DataFrame:
-    """``docs`` with every span of the text replaced by a mark; overlapping spans by one mark."""
-    found = scan(docs, "_spans", text, rate)
-    body = F.col(f"`{text}`")
-    # Starts of merged stretches: spans that begin after all earlier ones have ended.
+    """``docs`` with every span of the text replaced by a mark, overlapping spans by one mark."""
+    name = free_name(docs, "spans")
+    found = scan(docs, name, text, rate)
+    body, empty = F.col(f"`{text}`"), F.array().cast("array<struct<start:bigint,end:bigint>>")
+    last = lambda done: F.try_element_at(done, F.lit(-1))
+    one = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
     merged = F.aggregate(
-        "_spans",
-        F.array().cast("array<struct<start:bigint,end:bigint>>"),
+        name,
+        empty,
         lambda done, s: F.when(
-            F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(-1)) > s["start"],
+            F.coalesce(last(done)["end"] > s["start"], F.lit(False)),
             F.concat(
-                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(done, F.lit(-1))["end"], s["end"]).alias("end"),
-                    )
-                ),
+                F.slice(done, 1, F.size(done) - 1),
+                one(last(done)["start"], F.greatest(last(done)["end"], s["end"])),
             ),
-        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
+        ).otherwise(F.concat(done, one(s["start"], s["end"]))),
     )
     piece = lambda a, b: F.substring(body, a.cast("int") + 1, (b - a).cast("int"))
     zero = F.lit(0).cast("long")
     pieces = F.transform(
-        "_merged",
+        name,
         lambda s, i: F.concat(
-            piece(F.when(i == 0, zero).otherwise(F.get("_merged", i - 1)["end"]), s["start"]),
+            piece(F.when(i == 0, zero).otherwise(F.get(name, i - 1)["end"]), s["start"]),
             F.lit(MARK),
         ),
     )
-    rest = piece(F.element_at("_merged", -1)["end"], F.length(body).cast("long"))
-    clean = F.when(F.size("_merged") == 0, body).otherwise(
-        F.concat(F.array_join(pieces, ""), rest)
-    )
-    out = found.withColumn("_merged", merged).withColumn(text, clean)
-    return out.drop("_spans", "_merged")
+    rest = piece(last(F.col(name))["end"], F.length(body).cast("long"))
+    clean = F.when(F.size(name) == 0, body).otherwise(F.concat(F.array_join(pieces, ""), rest))
+    return found.withColumn(name, merged).withColumn(text, clean).drop(name)
 
 
 def secret_spans(docs: DataFrame, rate: float = RATE) -> DataFrame:

@@ -1,7 +1,8 @@
 """Toxicity scores from a linear classifier over character n-grams.
 
 The features are the presence of character n-grams of several lengths in the lower-cased text,
-hashed into a fixed number of buckets. Each is scaled by its naive Bayes log-count ratio, how much
+hashed into a fixed number of buckets; those that both classes have about as often are left out.
+Each is scaled by its naive Bayes log-count ratio, how much
 likelier it is in toxic training texts than in others, and a logistic regression is fitted on the
 scaled features. The n-grams of a text say nothing about its length, language or source.
 
@@ -26,13 +27,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, others
+from .common import free_name, or_empty, others
 
 LENGTHS = (4, 5)
-BUCKETS = 1 << 21
-MAX_ROWS = 3_000
-TRAIN_CHARS = 40_000
+BUCKETS = 1 << 19
+MAX_ROWS = 1_200
+TRAIN_CHARS = 20_000
 LEAST_TEXTS = 4
+LEAST_RATIO = 0.7
 ROUNDS = 40
 PENALTY = 1.0
 SMALLEST = 0.05
@@ -84,21 +86,20 @@ def linear(texts: list[str], weights: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> tuple[np.ndarray, float]:
     """Weights per bucket and the intercept; ``share`` of the texts outside are toxic."""
-    sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    label = np.repeat(toxic, sizes)
-    counts = np.bincount(flat, minlength=BUCKETS)
-    used = np.flatnonzero(counts >= LEAST_TEXTS)
+    bad, counts = np.zeros(BUCKETS, dtype=np.int32), np.zeros(BUCKETS, dtype=np.int32)
+    for row, marked in zip(rows, toxic):
+        counts[row] += 1
+        if marked:
+            bad[row] += 1
+    ratio = np.log((bad + 1.0) / (toxic.sum() + 2.0))
+    ratio -= np.log((counts - bad + 1.0) / ((~toxic).sum() + 2.0))
+    used = np.flatnonzero((counts >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO))
     number = np.full(BUCKETS, -1, dtype=np.int32)
     number[used] = np.arange(len(used))
-    bad = np.bincount(flat[label], minlength=BUCKETS)[used] + 1.0
-    good = counts[used] - bad + 2.0
-    ratio = np.log(bad / (toxic.sum() + 2.0)) - np.log(good / ((~toxic).sum() + 2.0))
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    column = number[flat]
-    seen = column >= 0
-    owner, column = owner[seen], column[seen]
-    del flat, label, seen
+    ratio = ratio[used]
+    found = [n[n >= 0] for n in (number[row] for row in rows)]
+    column = np.concatenate(found)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f in found])
     # Each class counts as its share, and a text by its features' total scale.
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     target = toxic.astype(float)
@@ -194,3 +195,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The documents that score below 0.5, with their columns."""
+    name = free_name(docs, "score")
+    scored = score(docs, train(docs, labels, max_rows), name)
+    return scored.where(F.col(name) < 0.5).drop(name)

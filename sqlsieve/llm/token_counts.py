@@ -9,8 +9,8 @@ where to cut it.
 
 No piece crosses from other characters into a white-space mark or holds a character outside the
 vocabulary, so texts fall into segments that do not affect each other. Segments repeat: each
-worker keeps the counts of those it has met, and forgets them all once they number ``MEMORY``, so
-that its memory is bounded; what it forgets it computes again.
+worker process keeps the counts of those it has met, from task to task, and forgets them all once
+they number ``MEMORY``, so that its memory is bounded; what it forgets it computes again.
 
 Rows: a null text counts as an empty one and has no tokens; control strings such as ``</s>`` inside
 a text are ordinary characters; repeated rows give repeated results; an empty table gives an empty
@@ -19,7 +19,10 @@ one; a column of the input that has the name of a new one is replaced.
 
 from __future__ import annotations
 
+import itertools
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, others, vocabulary_path
+from .common import by_chars, or_empty, others, vocabulary_path
 
 VOCABULARY = "piece_bpe_32k.model"
-MEMORY = 500_000
+MEMORY = 600_000
+CELLS = 1_000_000
 SPACE = "▁"
+BASE = 0x5851F42D4C957F2D
+MIXERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+TABLE_BITS = 20
+NONE, OUTSIDE = -2, -1
 
 
 class Pieces:
@@ -53,100 +61,189 @@ class Pieces:
         known = "".join(sorted({c for p in self.score if len(p) > 1 for c in p} - {SPACE}))
         self.segments = re.compile(f"{SPACE}*[{re.escape(known)}]+|{SPACE}+|.", re.DOTALL)
         self.score = {p: v for p, v in self.score.items() if self.merged(p) == [p]}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.names = list(self.score)
+        self._index_pieces()
+        self.apart: dict[int, bool] = {}
         self.memory = memory
         self.forget()
 
-    def forget(self) -> None:
-        """Drops the kept segments: their places in ``flat``, and the counts there."""
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, dtype=np.int32)
-        self.start = np.zeros(self.memory + 2, dtype=np.int64)
-
-    def place(self, segment: str) -> int:
-        """Number of a segment; its counts are ``flat[start[n] : start[n + 1]]``."""
-        n = len(self.known)
-        counts, begin = self.count(segment), self.start[n]
-        end = begin + len(counts)
-        if end > len(self.flat):
-            grown = np.zeros(max(end, 2 * len(self.flat)), dtype=np.int32)
-            grown[:begin] = self.flat[:begin]
-            self.flat = grown
-        self.flat[begin:end] = counts
-        self.start[n + 1] = end
-        self.known[segment] = n
-        return n
+    def _index_pieces(self) -> None:
+        """Two tables from parts of a piece's hash to its number; what meets in one is in the other."""
+        lengths = np.fromiter(map(len, self.names), dtype=np.int64, count=len(self.names))
+        self.powers = np.power(np.uint64(BASE), np.arange(self.longest + 1, dtype=np.uint64))
+        self.hashes = np.empty(len(self.names), dtype=np.uint64)
+        for length in np.unique(lengths):
+            of = np.flatnonzero(lengths == length)
+            codes = _codes([self.names[i] for i in of]).reshape(len(of), length)
+            self.hashes[of] = _prefix_hashes(codes)[:, -1]
+        self.tables = [np.full(1 << TABLE_BITS, -1, dtype=np.int32) for _ in range(2)]
+        first, second = self.tables
+        first[self._slot(self.hashes, 0)] = np.arange(len(self.names))
+        rest = np.flatnonzero(first[self._slot(self.hashes, 0)] != np.arange(len(self.names)))
+        slots = self._slot(self.hashes[rest], 1)
+        if len(np.unique(slots)) < len(slots):
+            raise ValueError("two pieces meet in both tables: choose another BASE")
+        second[slots] = rest
+
+    @staticmethod
+    def _slot(hashes: np.ndarray, table: int) -> np.ndarray:
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(MIXERS[table])
+        return (mixed >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1 where there is none."""
+        found = self.tables[0][self._slot(hashes, 0)]
+        wrong = np.flatnonzero((found < 0) | (self.hashes[found] != hashes))
+        again = self.tables[1][self._slot(hashes[wrong], 1)]
+        again[(again >= 0) & (self.hashes[again] != hashes[wrong])] = -1
+        found[wrong] = again
+        return found
 
     def merged(self, text: str) -> list[str]:
         """Merges of a short text: the best-scored pair first, the leftmost of equals."""
-        parts = list(text)
+        parts, score = list(text), self.score
         while len(parts) > 1:
-            pairs = [self.score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-            best = max(range(len(pairs)), key=pairs.__getitem__)
-            if pairs[best] == -np.inf:
+            pairs = [score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+            best = max(pairs)
+            if best == -np.inf:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            at = pairs.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stay(self, a: str, b: str) -> bool:
-        """Whether two tokens are the encoding of their concatenation."""
-        found = self.merged(a + b) == [a, b]
-        if len(self.apart) >= self.memory:
-            self.apart.clear()
-        self.apart[a, b] = found
-        return found
+    def stay(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Whether pairs of tokens are the encodings of their concatenations."""
+        keys, places = np.unique(before.astype(np.int64) << 32 | after, return_inverse=True)
+        apart, names = self.apart, self.names
+        if len(apart) + len(keys) > 2 * self.memory:
+            apart.clear()
+        out = []
+        for key in keys.tolist():
+            found = apart.get(key)
+            if found is None:
+                a, b = names[key >> 32], names[key & 0xFFFFFFFF]
+                found = apart[key] = self.merged(a + b) == [a, b]
+            out.append(found)
+        return np.array(out, dtype=bool)[places]
+
+    def count(self, segments: list[str]) -> list[np.ndarray]:
+        """Tokens of each non-empty prefix of the segments, which are about equally long."""
+        lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        width = int(lengths.max())
+        codes = np.zeros((len(segments), width), dtype=np.uint32)
+        codes[np.arange(width) < lengths[:, None]] = _codes(segments)
+        hashes = _prefix_hashes(codes)
+        last = np.full((len(segments), width + 1), NONE, dtype=np.int32)
+        counts = np.zeros((len(segments), width + 1), dtype=np.int32)
+        for end in range(1, width + 1):
+            left = np.flatnonzero(lengths >= end)
+            for size in range(min(self.longest, end), 0, -1):
+                begin = end - size
+                number = self.numbers(hashes[left, end] - hashes[left, begin] * self.powers[size])
+                rows = left[number >= 0]
+                if not len(rows):
+                    continue
+                piece, before = number[number >= 0], last[rows, begin]
+                good = before < 0
+                check = np.flatnonzero(~good)
+                if len(check):
+                    good[check] = self.stay(before[check], piece[check])
+                rows = rows[good]
+                last[rows, end] = piece[good]
+                counts[rows, end] = counts[rows, begin] + 1
+                left = left[last[left, end] == NONE]
+                if not len(left):
+                    break
+            if len(left):  # a character outside the vocabulary: one token for each of its bytes
+                last[left, end] = OUTSIDE
+                code = codes[left, end - 1]
+                size = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+                counts[left, end] = counts[left, end - 1] + size
+        return [counts[i, 1 : n + 1] for i, n in enumerate(lengths.tolist())]
 
-    def count(self, segment: str) -> list[int]:
-        """Tokens of each non-empty prefix of a segment."""
-        score, longest, apart = self.score, self.longest, self.apart
-        last, counts = [""], [0]
-        for end in range(1, len(segment) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                piece = segment[start:end]
-                if piece in score:
-                    if start == 0:
-                        break
-                    stay = apart.get((last[start], piece))
-                    if stay or (stay is None and self.stay(last[start], piece)):
-                        break
-            else:  # a character outside the vocabulary: one token for each of its bytes
-                piece, start = segment[end - 1], end - 1
-            size = 1 if piece in score else len(piece.encode("utf-8"))
-            last.append(piece)
-            counts.append(counts[start] + size)
-        return counts[1:]
-
-    def prefix_counts(self, text: str) -> np.ndarray:
-        """Tokens of each non-empty prefix of a text, the whole text last."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        segments = self.segments.findall(SPACE + text.replace(" ", SPACE))
-        found, begin = [], 0
-        for begin in range(0, len(segments), self.memory):
-            found.append(self.of_segments(segments[begin : begin + self.memory]))
-        for before, after in zip(found, found[1:]):
-            after += before[-1]
-        return np.concatenate(found)[1:] if len(found) > 1 else found[0][1:]
-
-    def of_segments(self, segments: list[str]) -> np.ndarray:
-        """Running counts over segments that follow each other, no more than are kept."""
-        numbers = list(map(self.known.get, segments))
-        if None in numbers:
-            new = {s for s, n in zip(segments, numbers) if n is None}
-            if len(self.known) + len(new) > self.memory:
-                self.forget()
-                new = set(segments)
-            for segment in new:
-                self.place(segment)
-            numbers = list(map(self.known.get, segments))
-        at = np.array(numbers)
+    def forget(self) -> None:
+        """Drops the kept segments: their places in ``flat``, and the counts there."""
+        self.known: dict[str, int] = {}
+        self.flat = np.zeros(1 << 20, dtype=np.int32)
+        self.start = np.zeros(1 << 16, dtype=np.int64)
+
+    def learn(self, segments: set[str]) -> None:
+        """Counts new segments, those of like length together, and keeps them."""
+        ordered = sorted(segments, key=lambda s: (len(s), s))
+        begin = 0
+        while begin < len(ordered):
+            end, width = begin, 0
+            while end < len(ordered) and (end == begin or (end - begin) * width < CELLS):
+                width = len(ordered[end])
+                end += 1
+            counts = self.count(ordered[begin:end])
+            n, top = len(self.known), self.start[len(self.known)]
+            sizes = np.fromiter(map(len, counts), dtype=np.int64, count=len(counts))
+            ends = top + np.cumsum(sizes)
+            if n + len(sizes) >= len(self.start):
+                grown = max(2 * len(self.start), n + len(sizes) + 1)
+                self.start = np.concatenate((self.start, np.zeros(grown, dtype=np.int64)))
+            if ends[-1] > len(self.flat):
+                grown = max(len(self.flat), int(ends[-1]))
+                self.flat = np.concatenate((self.flat, np.zeros(grown, dtype=np.int32)))
+            self.start[n + 1 : n + 1 + len(sizes)] = ends
+            self.flat[top : ends[-1]] = np.concatenate(counts)
+            self.known.update(zip(ordered[begin:end], range(n, n + len(sizes))))
+            begin = end
+
+    def prefix_counts(self, texts: list[str]) -> list[np.ndarray]:
+        """Per text the tokens of each non-empty prefix, the whole text last."""
+        found = [
+            self.segments.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts
+        ]
+        segments = list(itertools.chain.from_iterable(found))
+        if not segments:
+            return [np.zeros(0, dtype=np.int32) for _ in texts]
+        new = set(segments).difference(self.known)
+        if new and len(self.known) + len(new) > self.memory:
+            self.forget()
+            new = set(segments)
+        self.learn(new)
+        at = np.fromiter(map(self.known.__getitem__, segments), dtype=np.int64, count=len(segments))
         begin = self.start[at]
         sizes = self.start[at + 1] - begin
         ends = np.cumsum(sizes)
-        totals = np.cumsum(self.flat[begin + sizes - 1])
+        totals = np.concatenate(([0], np.cumsum(self.flat[begin + sizes - 1])))
         index = np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)
-        before = np.concatenate(([0], totals[:-1]))
-        return self.flat[index] + np.repeat(before, sizes).astype(np.int32)
+        counts = self.flat[index] + np.repeat(totals[:-1], sizes)
+        # Each text starts anew, after the mark that is put before it.
+        firsts = np.concatenate(([0], np.cumsum(list(map(len, found)))))
+        places = np.concatenate(([0], ends))[firsts]
+        return [
+            (counts[a + 1 : b] - totals[f]).astype(np.int32) if b > a else np.zeros(0, np.int32)
+            for a, b, f in zip(places, places[1:], firsts)
+        ]
+
+
+def _pieces(path: str) -> Pieces:
+    """The pieces of a model, with what this worker process has counted before.
+
+    The function that runs in a worker is unpickled anew for each task, so what is to outlive a
+    task hangs on a module of the process.
+    """
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if ("pieces", path) not in kept:
+        kept["pieces", path] = Pieces(path)
+    return kept["pieces", path]
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32)
+
+
+def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
+    """Per row the polynomial hashes of all its prefixes, the empty one first."""
+    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(MIXERS[0])
+    mixed ^= mixed >> np.uint64(31)
+    out = np.zeros((len(codes), codes.shape[1] + 1), dtype=np.uint64)
+    for i in range(codes.shape[1]):
+        out[:, i + 1] = out[:, i] * np.uint64(BASE) + mixed[:, i]
+    return out
 
 
 def prefix_counts(text: Column | str, path: str | None = None) -> Column:
@@ -155,9 +252,10 @@ def prefix_counts(text: Column | str, path: str | None = None) -> Column:
 
     @F.pandas_udf("array<int>")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = Pieces(path)
+        pieces = _pieces(path)
         for texts in batches:
-            yield pd.Series([pieces.prefix_counts(t) for t in texts], index=texts.index)
+            for part in by_chars(texts):
+                yield pd.Series(pieces.prefix_counts(part), dtype=object)
 
     return counted.asNondeterministic()(or_empty(text))
 

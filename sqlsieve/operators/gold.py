@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .joins import salted_join
 
 
 def money(c: Column | str) -> Column:
@@ -36,20 +35,15 @@ def top_products(lineitem: DataFrame, orders: DataFrame, part: DataFrame, n: int
         (F.col("o_orderdate") >= F.add_months(quarter, -3)) & (F.col("o_orderdate") < quarter)
     )
     price = money("l_extendedprice") * (1 - money("l_discount"))
-    items = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount")
-    sold = salted_join(
-        items,
-        last.select(F.col("o_orderkey").alias("l_orderkey")),
-        "l_orderkey",
-        spread_by=["l_partkey", "l_linenumber"],
-    )
+    items = lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
+    sold = items.join(last.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     top = (
         sold.groupBy(F.col("l_partkey").alias("p_partkey"))
         .agg(F.sum(price).cast("double").alias("revenue"))
         .orderBy(F.desc("revenue"), "p_partkey")
         .limit(n)
     )
-    return part.select("p_partkey", "p_name").join(F.broadcast(top), "p_partkey")
+    return part.select("p_partkey", "p_name").join(top, "p_partkey")
 
 
 def members_with_group_mean(supplier: DataFrame, nation: DataFrame) -> DataFrame:
@@ -62,7 +56,7 @@ def members_with_group_mean(supplier: DataFrame, nation: DataFrame) -> DataFrame
     )
     named = means.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     named = named.select("s_nationkey", "n_name", "mean_acctbal")
-    return salted_join(supplier, named, "s_nationkey", spread_by=["s_suppkey"]).select(
+    return supplier.join(named, "s_nationkey").select(
         "n_name", "s_name", F.round("mean_acctbal", 4).alias("mean_acctbal")
     )
 
@@ -103,11 +97,8 @@ def duplicate_values(df: DataFrame, value: str, key: str) -> DataFrame:
 
 def days_to_ship(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Mean days from order to shipment per product type."""
-    shipped = salted_join(
-        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"),
-        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"),
-        "l_orderkey",
-        spread_by=["l_partkey", "l_linenumber"],
+    shipped = lineitem.select("l_orderkey", "l_partkey", "l_shipdate").join(
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey"
     )
     per_part = shipped.groupBy("l_partkey").agg(
         F.sum(F.date_diff("l_shipdate", "o_orderdate").cast("bigint")).alias("days"),

@@ -7,63 +7,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 100
-TRACKED_KEYS = 10_000
 ROWS_PER_SPLIT = 1_000_000
 
 JOINS = ("inner", "left", "left_semi", "left_anti")
 
-# Largest number of narrow rows that is broadcast on the strength of a limit alone: names and
-# paths of some hundred bytes, so tens of megabytes.
-MAX_BROADCAST_ROWS = 500_000
 
+def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Keys with more than ``rows_per_split`` rows, and how many ``_splits`` each needs.
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> dict:
-    """Keys with more than ``rows_per_split`` rows, and how many splits each needs.
-
-    One pass over the key column with a fixed-size frequency sketch: no shuffle of keys, and at
-    most ``MAX_HOT_KEYS`` rows come back. The sketch only guides the split, never the result.
+    An exact count with partial sums; of a table of n rows at most n / ``rows_per_split`` keys
+    can be hot.
     """
-    top = (
-        df.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("k"))
-        .agg(F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"))
-        .select(F.explode("top").alias("t"))
-        .where(F.col("t.count") > rows_per_split)
-        .select("t.item", "t.count")
-    )
-    return {r["item"]: -(-r["count"] // rows_per_split) for r in top.collect()}
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    splits = F.ceil(F.col("_rows") / F.lit(rows_per_split)).cast("int")
+    return counts.where(F.col("_rows") > rows_per_split).select(key, splits.alias("_splits"))
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    how: str = "inner",
-    spread_by: Sequence[str] = (),
+    how: str,
+    spread_by: Sequence[str],
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Equi-join in which rows of hot left keys are spread over several tasks.
 
     ``right`` has few rows per key. A left row of a hot key gets a salt from a hash of its
     ``spread_by`` columns, which tell rows of one key apart; the right rows of hot keys are
-    repeated once per salt. Without hot keys this is the plain join.
+    repeated once per salt. The table of hot keys is broadcast: its size is bounded by the
+    left rows over ``rows_per_split``.
     """
     if how not in JOINS:
         raise ValueError(f"how must be one of {JOINS}")
-    hot = hot_keys(left, key, rows_per_split)
-    if not hot:
-        return left.join(right, key, how)
-    splits = F.create_map(*[F.lit(v) for k, n in hot.items() for v in (k, int(n))])
-    n_splits = F.coalesce(F.try_element_at(splits, F.col(key)), F.lit(1))
+    hot = F.broadcast(hot_keys(left, key, rows_per_split))
+    n_splits = F.coalesce("_splits", F.lit(1))
     salt = F.pmod(F.xxhash64(*spread_by), n_splits).cast("int")
-    salted = left.withColumn("_salt", salt)
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), n_splits - 1)))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
-
-
-def broadcast_within(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint for a table that cannot have more than ``max_rows`` narrow rows."""
-    if max_rows is not None and max_rows <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    salted = left.join(hot, key, "left").withColumn("_salt", salt).drop("_splits")
+    repeated = (
+        right.join(hot, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_splits - 1)))
+        .drop("_splits")
+    )
+    joined = salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return joined.select(*left.columns, *[c for c in joined.columns if c not in left.columns])

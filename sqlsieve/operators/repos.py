@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import rules
 from ..functions.text import any_of, path_suffix
 from ..session import cut_lineage
 from .corpus import kept, modern_only, repo_records
-from .joins import broadcast_within
 from .numbering import number_rows
 
 
@@ -45,10 +43,15 @@ def search_hits(repos: DataFrame) -> DataFrame:
 def first_seen(hits: DataFrame) -> DataFrame:
     """One row per repository: that of its lowest rule, most stars first.
 
-    An aggregate with partial results, so a name that repeats often costs its task nothing.
+    Rows that agree in both follow the latest push, then the license, then the row as text, so
+    the choice never depends on the order of the input. An aggregate with partial results, so a
+    name that repeats often costs its task nothing.
     """
     others = [c for c in hits.columns if c != "repo_name"]
-    first = F.min_by(F.struct(*others), F.struct("rule", -F.col("stars")))
+    ties = [-F.unix_date(c) if c == "pushed_at" else F.col(c)
+            for c in ("pushed_at", "license") if c in others]
+    order = F.struct("rule", -F.col("stars"), *ties, F.to_json(F.struct(*others)))
+    first = F.min_by(F.struct(*others), order)
     return hits.groupBy("repo_name").agg(first.alias("_first")).select("repo_name", "_first.*")
 
 
@@ -58,9 +61,16 @@ def first_hits(repos: DataFrame) -> DataFrame:
     return first_seen(found)
 
 
-def cap_repos(found: DataFrame, max_repos: int = rules.MAX_REPOS) -> DataFrame:
-    """The first repositories in the order in which the searches visit them."""
-    return found.orderBy("rule", F.desc("stars"), "repo_name").limit(max_repos)
+def cap_repos(found: DataFrame, max_repos: int | None = None) -> DataFrame:
+    """The first repositories in the order in which the searches visit them; all without a cap.
+
+    Only names and their place in the order meet for the cut; the rows are joined back.
+    """
+    if max_repos is None:
+        return found
+    order = ["rule", F.desc("stars"), "repo_name"]
+    first = found.select("repo_name", "rule", "stars").orderBy(*order).limit(max_repos)
+    return found.join(first.select("repo_name"), "repo_name", "left_semi")
 
 
 def sql_share(languages: Column | str = "languages") -> Column:
@@ -94,86 +104,77 @@ def project_repos(repo_files: DataFrame) -> DataFrame:
     return repo_files.where(at_root & project).select("repo_name").distinct()
 
 
-def with_project(
-    repos: DataFrame, repo_files: DataFrame, max_repos: int | None = None
-) -> DataFrame:
-    """Repositories with a project. When no more than ``max_repos`` are asked about, their names
-    go to the scan of the files, and only names found there come back."""
-    if max_repos is not None:
-        names = broadcast_within(repos.select("repo_name"), max_repos)
-        repo_files = repo_files.join(names, "repo_name", "left_semi")
+def with_project(repos: DataFrame, repo_files: DataFrame) -> DataFrame:
+    """Repositories with a project; only names come back from the scan of the files."""
     return repos.join(project_repos(repo_files), "repo_name", "left_semi")
 
 
 def choose_repos(
     repos: DataFrame,
     repo_files: DataFrame | None = None,
-    max_repos: int = rules.MAX_REPOS,
+    max_repos: int | None = None,
     require_readme: bool = False,
     require_project: bool = False,
 ) -> DataFrame:
-    """Search, keep first sights, cap, then gate: a repository counts toward the cap when seen."""
+    """Search, keep first sights, cap if asked to, then gate.
+
+    A repository counts toward the cap when it is seen, before its gates.
+    """
     chosen = with_sql_share(cap_repos(first_hits(repos), max_repos))
     if require_readme:
         chosen = with_readme(chosen)
     if require_project:
-        chosen = with_project(chosen, repo_files, max_repos)
+        chosen = with_project(chosen, repo_files)
     return chosen
 
 
-def listed_files(files: DataFrame, max_files: int = rules.MAX_FILES_PER_REPO) -> DataFrame:
-    """(repo_name, path) of each repository's first SQL files in path order.
+def listed_files(files: DataFrame, max_files: int | None = None) -> DataFrame:
+    """(repo_name, path) of each repository's SQL files; with a cap the first in path order.
 
-    Reads names only. Each task drops what is beyond the cap before the shuffle, so a repository
-    with very many files sends ``max_files`` rows per task at most. Spark does so up to a certain
-    cap; beyond it the rows are numbered without bringing a repository to one task.
+    Reads names only. Under a cap rows are numbered without bringing a repository to one task.
     """
     names = files.where((F.col("entry_type") == "blob") & is_sql_path("path")).select(
         "repo_name", "path"
     )
-    cut_first = int(files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if max_files <= cut_first:
-        order = W.partitionBy("repo_name").orderBy("path")
-        numbered = names.withColumn("_no", F.row_number().over(order))
-    else:
-        numbered = number_rows(names, ["repo_name"], ["path"], "_no")
-    return numbered.where(F.col("_no") <= max_files).drop("_no")
+    if max_files is None:
+        return names
+    return number_rows(names, ["repo_name"], ["path"], "_no").where(
+        F.col("_no") <= max_files
+    ).drop("_no")
 
 
 def repo_files_to_read(
-    chosen: DataFrame,
-    repo_files: DataFrame,
-    max_repos: int = rules.MAX_REPOS,
-    max_files: int = rules.MAX_FILES_PER_REPO,
+    chosen: DataFrame, repo_files: DataFrame, max_files: int | None = None
 ) -> DataFrame:
-    """Files of the chosen repositories within the cap, with the repository's own columns.
+    """Files of the chosen repositories, within the cap if there is one, with the repository's
+    own columns. ``(repo_name, path)`` is the key of the file table.
 
-    The cap counts listed paths, before any look at content. Both lists are bounded by the caps
-    (repositories, and repositories times files), so the table with the contents is never
-    shuffled: it is scanned once against the broadcast list. ``(repo_name, path)`` is its key.
+    The cap counts listed paths, before any look at content. Without one, contents meet the list
+    of repositories alone; with one, the keys are cut first. Whether the narrow side is broadcast
+    is left to its size as measured when it is there.
     """
-    names = broadcast_within(chosen.select("repo_name"), max_repos)
-    listed = listed_files(repo_files.join(names, "repo_name", "left_semi"), max_files)
     columns = [c for c in ("repo_name", "stars", "license") if c in chosen.columns]
-    listed = listed.join(broadcast_within(chosen.select(*columns), max_repos), "repo_name")
-    wanted = broadcast_within(listed, max_repos * max_files)
-    contents = repo_files.where("entry_type = 'blob'").select("repo_name", "path", "content")
-    return contents.join(wanted, ["repo_name", "path"])
+    wanted = (F.col("entry_type") == "blob") & is_sql_path("path")
+    contents = repo_files.where(wanted).select("repo_name", "path", "content")
+    if max_files is not None:
+        asked = repo_files.join(chosen.select("repo_name"), "repo_name", "left_semi")
+        contents = contents.join(listed_files(asked, max_files), ["repo_name", "path"], "left_semi")
+    return contents.join(chosen.select(*columns), "repo_name")
 
 
 def collect_repo_files(
     repos: DataFrame,
     repo_files: DataFrame,
-    max_repos: int = rules.MAX_REPOS,
-    max_files: int = rules.MAX_FILES_PER_REPO,
+    max_repos: int | None = None,
+    max_files: int | None = None,
     require_readme: bool = False,
     require_project: bool = False,
     only_modern: bool = False,
 ) -> DataFrame:
     """From repository and file tables to corpus records."""
     chosen = choose_repos(repos, repo_files, max_repos, require_readme, require_project)
-    # A short list that is needed in several places: worked out once.
+    # A narrow list, worked out once; its size is known when the joins are planned.
     chosen = cut_lineage(chosen.select("repo_name", "stars", "license"))
-    files = kept(repo_files_to_read(chosen, repo_files, max_repos, max_files), "stars")
+    files = kept(repo_files_to_read(chosen, repo_files, max_files), "stars")
     records = repo_records(files)
     return modern_only(records) if only_modern else records

@@ -53,21 +53,26 @@ def attach_content(
 ) -> DataFrame:
     """Small enough index rows with their text; rows without one drop out.
 
-    ``blob_id`` is unique in ``blobs``; index rows of one much-copied blob are spread. Only the
-    bytes and the charset go to Python, in size-bounded Arrow batches.
+    ``blob_id`` is unique in ``blobs``. Blobs that no row asks for are dropped before their bytes
+    move, and each is unpacked once per charset, however many rows share it; the texts then meet
+    the index rows, those of a much-copied blob spread. Only bytes and charsets go to Python, in
+    size-bounded Arrow batches. A stream meets the blobs row by row; its micro-batches are small.
     """
     wanted = with_blob(small_enough(index))
     if wanted.isStreaming:
         joined = wanted.join(blobs, "blob_id")
-    else:
-        joined = salted_join(
-            wanted, blobs, "blob_id", spread_by=["repo_name", "path"], rows_per_split=rows_per_split
-        )
-    return (
-        joined.withColumn("content", decoded("data", "src_encoding"))
-        .drop("data")
+        texts = joined.withColumn("content", decoded("data", "src_encoding")).drop("data")
+        return texts.where("content is not null")
+    asked = wanted.select("blob_id", "src_encoding").distinct()
+    texts = (
+        blobs.join(asked, "blob_id")
+        .select("blob_id", "src_encoding", decoded("data", "src_encoding").alias("content"))
         .where("content is not null")
+        .select(F.struct("blob_id", "src_encoding").alias("_blob"), "content")
     )
+    keyed = wanted.withColumn("_blob", F.struct("blob_id", "src_encoding"))
+    spread_by = ["repo_name", "path"]
+    return salted_join(keyed, texts, "_blob", "inner", spread_by, rows_per_split).drop("_blob")
 
 
 def collect_dataset(

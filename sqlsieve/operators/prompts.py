@@ -1,17 +1,20 @@
 """From corpus records to a prompt table, and from answers to accepted pairs.
 
 The model call stays outside: prompts leave as a table, answers come back as one. Both carry
-``prompt_id``, a digest of template version and chunk, so equal chunks share one answer.
+``prompt_id``, a digest of template, its version and chunk, so equal chunks share one answer.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import rules
 from ..functions.answers import parse_answer
@@ -45,7 +48,7 @@ customers and orders", and "Sales so far, month by month" to "Use a running wind
 """
 
 FILE_COLUMNS = ["path", "repo_name", "source", "modern_tsql", "tsql_features"]
-ANSWERS_SCHEMA = "prompt_id string, response_text string, error string"
+ANSWERS_SCHEMA = "prompt_id string, response_text string, error string, attempt int"
 
 
 def prompt_order() -> list[Column]:
@@ -57,16 +60,21 @@ def render_prompt(chunk: Column, template: str = TEMPLATE) -> Column:
     return F.concat(F.lit(before), chunk, F.lit(after))
 
 
-def prompt_id(chunk: Column, version: str = TEMPLATE_VERSION) -> Column:
-    return F.sha2(F.concat_ws("\x00", F.lit(version), chunk), 256)
+def prompt_id(
+    chunk: Column, version: str = TEMPLATE_VERSION, template: str = TEMPLATE
+) -> Column:
+    digest = hashlib.sha256(template.encode("utf-8")).hexdigest()
+    return F.sha2(F.concat_ws("\x00", F.lit(version), F.lit(digest), chunk), 256)
 
 
-def file_chunks(
-    records: DataFrame, max_chunks: int = rules.MAX_CHUNKS_PER_FILE
-) -> DataFrame:
-    """One row per chunk: the first chunks of each file, numbered from 1, short ones included."""
+def file_chunks(records: DataFrame, max_chunks: int | None = None) -> DataFrame:
+    """One row per chunk of each file, numbered from 1, short ones included.
+
+    ``max_chunks`` keeps the first ones of each file.
+    """
     keyed = with_rank_key(with_content(records))
-    capped = F.slice(extract_chunks("content"), 1, max_chunks)
+    chunks = extract_chunks("content")
+    capped = chunks if max_chunks is None else F.slice(chunks, 1, max_chunks)
     chunks = keyed.select(
         *FILE_COLUMNS, *RANK_COLUMNS, "content_hash", F.posexplode(capped).alias("_pos", "chunk")
     )
@@ -82,11 +90,11 @@ def prompt_table(
     records: DataFrame,
     template: str = TEMPLATE,
     version: str = TEMPLATE_VERSION,
-    max_chunks: int = rules.MAX_CHUNKS_PER_FILE,
+    max_chunks: int | None = None,
 ) -> DataFrame:
     """Prompts with their file's columns and rank key. No shuffle."""
     return sendable(file_chunks(records, max_chunks)).select(
-        prompt_id(F.col("chunk"), version).alias("prompt_id"),
+        prompt_id(F.col("chunk"), version, template).alias("prompt_id"),
         *FILE_COLUMNS,
         *RANK_COLUMNS,
         "content_hash",
@@ -101,11 +109,20 @@ COPY_COLUMNS = ["repo_name", "path", "content_hash", "chunk_no"]  # tell copies
 def pending(
     prompts: DataFrame, done: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """Prompts without an answer yet."""
-    ids = done.select("prompt_id").distinct()
+    """Prompts without an answer yet; a failed call leaves its prompt open."""
+    answered = done.where("error is null") if "error" in done.columns else done
+    ids = answered.select("prompt_id").distinct()
     return salted_join(prompts, ids, "prompt_id", "left_anti", COPY_COLUMNS, rows_per_split)
 
 
+def latest(answers: DataFrame) -> DataFrame:
+    """One row per prompt: an answer before an error, then that of the last attempt."""
+    others = [c for c in answers.columns if c != "prompt_id"]
+    order = F.struct(F.col("error").isNull(), F.coalesce("attempt", F.lit(1)))
+    best = F.max_by(F.struct(*others), order).alias("_best")
+    return answers.groupBy("prompt_id").agg(best).select("prompt_id", "_best.*")
+
+
 def with_answers(
     prompts: DataFrame, responses: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
@@ -144,9 +161,27 @@ def pair_columns() -> list[Column]:
     ]
 
 
-def top_pairs(outcomes: DataFrame, max_pairs: int = rules.MAX_PAIRS) -> DataFrame:
-    """The first accepted pairs in rank order."""
-    return accepted(outcomes).orderBy(*prompt_order()).limit(max_pairs).select(*pair_columns())
+def first_in_order(rows: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows in rank order, all without a number.
+
+    Only the columns of the order meet for the cut; the rows are joined back to those that are
+    within it. Rows that agree in the whole order are copies of each other.
+    """
+    if n is None:
+        return rows
+    keys = [*RANK_COLUMNS, *TIE_COLUMNS, "chunk_no"]
+    cut = rows.select(*keys).orderBy(*prompt_order()).limit(n)
+    cut = cut.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    copies = W.partitionBy(*keys).orderBy("prompt_id")
+    kept = rows.join(cut, same).withColumn("_no", F.row_number().over(copies))
+    return kept.where("_no <= _n").select(*rows.columns)
+
+
+def top_pairs(outcomes: DataFrame, max_pairs: int | None = None) -> DataFrame:
+    """Accepted pairs in rank order with their prompt ids, the first ``max_pairs`` if given."""
+    first = first_in_order(accepted(outcomes), max_pairs)
+    return first.orderBy(*prompt_order()).select("prompt_id", *pair_columns())
 
 
 def distinct_prompts(prompts: DataFrame) -> DataFrame:
@@ -168,7 +203,8 @@ def distinct_prompts(prompts: DataFrame) -> DataFrame:
 def generate(prompts: DataFrame, answer: Callable[[str], str]) -> DataFrame:
     """Ask ``answer`` once per row of ``prompts`` inside the tasks; errors become a column.
 
-    A lost task asks again for its prompts; the result is keyed by ``prompt_id``.
+    A lost task asks again for its prompts; the result is keyed by ``prompt_id``. A column
+    ``attempt`` of ``prompts`` is passed on, else it is the first one.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,10 +218,12 @@ def generate(prompts: DataFrame, answer: Callable[[str], str]) -> DataFrame:
                     texts.append(None)
                     errors.append(f"{type(e).__name__}: {e}")
             yield pd.DataFrame(
-                {"prompt_id": batch["prompt_id"], "response_text": texts, "error": errors}
-            )
+                {"prompt_id": batch["prompt_id"], "response_text": texts, "error": errors,
+                 "attempt": batch["attempt"]}
+            )
 
-    return prompts.select("prompt_id", "prompt").mapInPandas(ask, ANSWERS_SCHEMA)
+    attempt = F.col("attempt") if "attempt" in prompts.columns else F.lit(1).alias("attempt")
+    return prompts.select("prompt_id", "prompt", attempt).mapInPandas(ask, ANSWERS_SCHEMA)
 
 
 def answered_so_far(spark: SparkSession, path: str) -> DataFrame:
@@ -202,22 +240,43 @@ def generate_until(
     prompts: DataFrame,
     answer: Callable[[str], str],
     answers_path: str,
-    max_pairs: int = rules.MAX_PAIRS,
+    max_pairs: int | None = None,
     wave: int | None = None,
+    max_attempts: int = 3,
+    max_errors: int | None = None,
 ) -> DataFrame:
     """Ask in rank order, wave by wave, until enough pairs are accepted or no prompt is left.
 
-    Answers are appended to the table at ``answers_path``, so a second call goes on where the
-    first one stopped and nothing is asked twice. Returns the top pairs.
+    Without ``max_pairs`` everything is asked. Answers are appended to the table at
+    ``answers_path``, so a second call goes on where the first one stopped and what has an answer
+    is not asked again. A failed call leaves its prompt open for a later wave or call, up to
+    ``max_attempts`` in all; more than ``max_errors`` failed calls end this call early. Returns
+    the top pairs.
     """
     spark = prompts.sparkSession
+    failed = 0
     while True:
         answers = answered_so_far(spark, answers_path)
-        outcomes = with_outcome(with_answers(prompts, answers))
-        n = accepted(outcomes).limit(max_pairs).count()
-        todo = distinct_prompts(prompts).join(answers, "prompt_id", "left_anti")
-        batch = todo.orderBy(*prompt_order()).limit(wave or max(2 * (max_pairs - n), 100))
-        if n >= max_pairs or batch.isEmpty():
+        outcomes = with_outcome(with_answers(prompts, latest(answers)))
+        tried = answers.groupBy("prompt_id").agg(
+            F.max(F.coalesce("attempt", F.lit(1))).alias("_tried"),
+            F.max(F.col("error").isNull()).alias("_done"),
+        )
+        todo = distinct_prompts(prompts).join(tried, "prompt_id", "left")
+        todo = todo.where(
+            f"not coalesce(_done, false) and coalesce(_tried, 0) < {max_attempts}"
+        ).withColumn("attempt", F.coalesce("_tried", F.lit(0)) + 1)
+        size, n = wave, 0
+        if max_pairs is not None:
+            n = accepted(outcomes).limit(max_pairs).count()
+            size = wave or max(2 * (max_pairs - n), 100)
+        batch = first_in_order(todo.drop("_tried", "_done"), size)
+        enough = max_pairs is not None and n >= max_pairs
+        spent = max_errors is not None and failed > max_errors
+        if enough or spent or batch.isEmpty():
             return top_pairs(outcomes, max_pairs)
         spread = batch.repartition(spark.sparkContext.defaultParallelism)
-        generate(spread, answer).write.mode("append").parquet(answers_path)
+        answered = generate(spread, answer)
+        before = answers.where("error is not null").count()
+        answered.write.mode("append").parquet(answers_path)
+        failed += answered_so_far(spark, answers_path).where("error is not null").count() - before

@@ -315,20 +315,18 @@ def files_per_repo_cap(t: Tables) -> DataFrame:
 _REPO_RECORDS = f"""
     select f.path, f.repo_name, f.content, c.stars, coalesce(c.license, 'unknown') as license,
            c.root_kind, c.has_readme
-    from capped c join listed l on l.repo_name = c.repo_name
-      join repo_files f on f.repo_name = l.repo_name and f.path = l.path
-    where f.entry_type = 'blob' and {_SHARE} >= 0.2"""
+    from first_hits c join repo_files f on f.repo_name = c.repo_name
+    where f.entry_type = 'blob' and {twins.IS_SQL} and {_SHARE} >= 0.2"""
 
 
 @query(twin(
     f"""select path, repo_name, stars, license, {twins.MODERN} as modern_tsql, {twins.TAGS} as tags,
                'github-scraped' as source, md5(content) as digest
         from (select *, {twins.REASON} as reject_reason from records) j where reject_reason is null""",
-    "repo_files", "first_hits", "capped", "listed", "records",
-    capped=_CAPPED, listed=_LISTED, records=_REPO_RECORDS,
+    "repo_files", "first_hits", "records", records=_REPO_RECORDS,
 ))
 def repo_records(t: Tables) -> DataFrame:
-    records = repos.collect_repo_files(t.repos(), t.repo_files(), REPO_CAP, FILE_CAP)
+    records = repos.collect_repo_files(t.repos(), t.repo_files())
     return records.select(
         "path", "repo_name", "stars", "license", "modern_tsql",
         listed("tsql_features").alias("tags"), "source", F.md5("content").alias("digest"),
@@ -339,27 +337,25 @@ def repo_records(t: Tables) -> DataFrame:
     f"""select path, repo_name, md5(content) as digest
         from (select *, {twins.REASON} as reject_reason from records) j
         where reject_reason is null and has_readme and root_kind in (0, 1, 2) and {twins.MODERN}""",
-    "repo_files", "first_hits", "capped", "listed", "records",
-    capped=_CAPPED, listed=_LISTED, records=_REPO_RECORDS,
+    "repo_files", "first_hits", "records", records=_REPO_RECORDS,
 ))
 def repo_records_strict(t: Tables) -> DataFrame:
     records = repos.collect_repo_files(
-        t.repos(), t.repo_files(), REPO_CAP, FILE_CAP,
+        t.repos(), t.repo_files(),
         require_readme=True, require_project=True, only_modern=True,
     )
     return records.select("path", "repo_name", F.md5("content").alias("digest"))
 
 
 @query(twin(
-    f"""select (select count(distinct repo_name) from capped) as n_repos,
+    f"""select (select count(distinct repo_name) from first_hits) as n_repos,
                (select count(*) from (select *, {twins.REASON} as reject_reason from records) j
                 where reject_reason is null) as n_files""",
-    "repo_files", "first_hits", "capped", "listed", "records",
-    capped=_CAPPED, listed=_LISTED, records=_REPO_RECORDS,
+    "repo_files", "first_hits", "records", records=_REPO_RECORDS,
 ))
 def collection_totals(t: Tables) -> DataFrame:
-    visited = repos.cap_repos(repos.first_hits(t.repos()), REPO_CAP)
-    records = repos.collect_repo_files(t.repos(), t.repo_files(), REPO_CAP, FILE_CAP)
+    visited = repos.first_hits(t.repos())
+    records = repos.collect_repo_files(t.repos(), t.repo_files())
     return report.collection_totals(visited, records)
 
 
@@ -370,13 +366,13 @@ def collection_totals(t: Tables) -> DataFrame:
         union all
         select path, repo_name, license, null, stars, {twins.MODERN}, {twins.TAGS}, 'github-scraped'
         from (select *, {twins.REASON} as reject_reason from records) j where reject_reason is null""",
-    "index_rows", "contents", "repo_files", "first_hits", "capped", "listed", "records",
-    contents=_CONTENTS, capped=_CAPPED, listed=_LISTED, records=_REPO_RECORDS,
+    "index_rows", "contents", "repo_files", "first_hits", "records",
+    contents=_CONTENTS, records=_REPO_RECORDS,
 ))
 def corpus_union(t: Tables) -> DataFrame:
     both = corpus.corpus(
         blobs.collect_dataset(t.index(), t.blobs()),
-        repos.collect_repo_files(t.repos(), t.repo_files(), REPO_CAP, FILE_CAP),
+        repos.collect_repo_files(t.repos(), t.repo_files()),
     )
     return both.select(
         "path", "repo_name", listed("license").alias("license"), "size", "stars", "modern_tsql",
@@ -474,7 +470,7 @@ def answer_outcomes(t: Tables) -> DataFrame:
     f"""select outcome, count(*) as n_chunks from (
           select outcome from outcomes union all
           select 'short_chunk' from chunks
-          where chunk_no <= {rules.MAX_CHUNKS_PER_FILE} and length(chunk) < {rules.MIN_SENT_CHUNK}) o
+          where length(chunk) < {rules.MIN_SENT_CHUNK}) o
         group by outcome""",
     "outcomes",
 ))
@@ -493,12 +489,45 @@ _TOP = f"""select * from outcomes where outcome = 'accepted'
 ))
 def top_pairs(t: Tables) -> DataFrame:
     pairs = prompts.top_pairs(_outcomes(t), PAIR_CAP)
-    return pairs.withColumn("tsql_features", listed("tsql_features"))
+    return pairs.drop("prompt_id").withColumn("tsql_features", listed("tsql_features"))
+
+
+_TOP_20 = _TOP.replace(f"limit {PAIR_CAP}", "limit 20")
+
+
+@query(twin(
+    "select prompt_id, path as source_path, repo_name as source_repo, instruction from top",
+    "outcomes", "top", top=_TOP_20,
+))
+def resumed_pairs(t: Tables) -> DataFrame:
+    """The first 10 pairs written, then the first 20 into the same folder: none lies there twice."""
+    path = new_table_path(t.spark, "resumed")
+    for n in (10, 20):
+        sinks.write_pairs(prompts.top_pairs(_outcomes(t), n), path)
+    raw = t.spark.read.json(f"{path}/raw")
+    return raw.select("prompt_id", "source_path", "source_repo", "instruction")
+
+
+@query(twin(
+    """select repo_name, path, chunk_no, case when outcome = 'missing' then 'error' else outcome end as outcome
+       from outcomes""",
+    "outcomes",
+))
+def retried_answers(t: Tables) -> DataFrame:
+    """Every call fails at first; the second attempts bring the answers that there are."""
+    outage = t.prompts().select("prompt_id").distinct().select(
+        "prompt_id", F.lit(None).cast("string").alias("response_text"),
+        F.lit("outage").alias("error"), F.lit(1).alias("attempt"),
+    )
+    second = t.responses().withColumn("attempt", F.lit(2))
+    answers = outage.unionByName(second.select(*outage.columns))
+    outcomes = prompts.with_outcome(prompts.with_answers(t.prompts(), prompts.latest(answers)))
+    return outcomes.select("repo_name", "path", "chunk_no", "outcome")
 
 
 @query(twin(
     """select repo_name, path, chunk_no from prompts
-       where prompt_id not in (select prompt_id from responses)""",
+       where prompt_id not in (select prompt_id from responses where error is null)""",
     "responses",
 ))
 def resume_anti(t: Tables) -> DataFrame:
@@ -593,7 +622,7 @@ def generated_answers(t: Tables) -> DataFrame:
 @query(twin("select file_id from sql_files where len(string_split(content, 'SELECT')) > 2", "sql_files"))
 def user_predicate(t: Tables) -> DataFrame:
     """A row test in plain Python."""
-    return t.sql_files().where(keep_if(lambda text: text.count("SELECT") > 1, "content")).select("file_id")
+    return t.sql_files().where(keep_if(lambda texts: texts.str.count("SELECT") > 1, "content")).select("file_id")
 
 
 @query(twin("select file_id, md5(concat(path, ':', content)) as digest from sql_files", "sql_files"))
@@ -640,6 +669,31 @@ def resplit_lines(t: Tables) -> DataFrame:
     return t.spark.read.text(parts).select("value")
 
 
+def _rename_only_file(t: Tables, folder: str, to: str) -> None:
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(f"{folder}/part-*")
+    store = files.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    store.rename(store.globStatus(files)[0].getPath(), hadoop.Path(to))
+
+
+@query(twin(
+    """select case when event_id % 2 = 0 then 'lines.json' else 'lines.jsonl' end as source,
+              trim("value") as "value", count(*) over (partition by event_id % 2 order by event_id) as line,
+              (count(*) over (partition by event_id % 2 order by event_id) - 1) // 700 as part
+       from json_lines where event_id % 10 not in (0, 1, 3, 4, 5)""",
+    "json_lines",
+))
+def resplit_parts(t: Tables) -> DataFrame:
+    """Two files that share a stem: each keeps its own lines, in order, in its own parts."""
+    folder = new_table_path(t.spark, "stems")
+    for rest, suffix in ((0, "json"), (1, "jsonl")):
+        lines = _json_lines(t).where(F.col("event_id") % 2 == rest)
+        file = lines.repartition(1).sortWithinPartitions("event_id").select("value")
+        file.write.text(f"{folder}/{suffix}")
+        _rename_only_file(t, f"{folder}/{suffix}", f"{folder}/lines.{suffix}")
+    return jsonl.numbered_lines(t.spark, folder, 700, "lines.{json,jsonl}")
+
+
 @query(twin(f"select count(*) as n_rows from ({_PAIRS}) p", "outcomes"))
 def written_pairs(t: Tables) -> DataFrame:
     """Write the pairs in all forms and count what lies there."""
@@ -654,7 +708,7 @@ def jsonl_round_trip(t: Tables) -> DataFrame:
     path = new_table_path(t.spark, "corpus")
     records = t.corpus_records().withColumn("size", F.col("file_id"))
     sinks.write_shards(records.drop("file_id", "tpl"), path)
-    back = jsonl.read_corpus(t.spark, [path])
+    back = jsonl.read_corpus(t.spark, [path], "*.json")
     return back.select(
         F.col("size").alias("file_id"), listed("tsql_features").alias("tags"),
         F.md5("content").alias("digest"),
@@ -683,7 +737,7 @@ def stream_collect(t: Tables) -> DataFrame:
     )
     out, done = new_table_path(t.spark, "stream-out"), new_table_path(t.spark, "stream-done")
     collect.write_stream(collect.stream_files(files), out, done).awaitTermination()
-    back = jsonl.read_corpus(t.spark, [out])
+    back = jsonl.read_corpus(t.spark, [out], "*.json")
     return back.select(
         "path", "repo_name", listed("tsql_features").alias("tags"), F.md5("content").alias("digest")
     )
@@ -718,7 +772,7 @@ def stream_dataset_records(t: Tables) -> DataFrame:
     stream = blobs.stream_index(t.spark, t.stored_path("index"))
     out, done = new_table_path(t.spark, "records-out"), new_table_path(t.spark, "records-done")
     collect.write_stream(collect.stream_dataset(stream, t.blobs()), out, done).awaitTermination()
-    back = jsonl.read_corpus(t.spark, [out])
+    back = jsonl.read_corpus(t.spark, [out], "*.json")
     return back.select(
         "path", "repo_name", listed("tsql_features").alias("tags"), F.md5("content").alias("digest")
     )

@@ -170,11 +170,11 @@ PARTS = {
         from judged where reject_reason is null and {IS_SQL}""",
     **_chunk_parts("corpus"),
     "prompts": f"""
-        select sha256(concat('{TEMPLATE_VERSION}', chr(0), chunk)) as prompt_id, c.file_id, chunk_no,
+        select sha256(concat('{TEMPLATE_VERSION}', chr(0), sha256({text(TEMPLATE)}), chr(0), chunk)) as prompt_id, c.file_id, chunk_no,
                replace({text(TEMPLATE)}, '{{code}}', chunk) as prompt,
                repo_name, path, source, modern_tsql, tags, is_modern, is_repo, feature_score, n_stars
         from chunks c join corpus f on f.file_id = c.file_id
-        where chunk_no <= {rules.MAX_CHUNKS_PER_FILE} and length(chunk) >= {rules.MIN_SENT_CHUNK}""",
+        where length(chunk) >= {rules.MIN_SENT_CHUNK}""",
     "prompt_keys": "select prompt_id, min(file_id) as file_id from prompts group by prompt_id",
     "responses": fixtures.RESPONSES,
     "outcomes": f"""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -10,6 +11,7 @@ from ..functions.chat import alpaca_columns, chat_messages, chat_text
 from ..session import cut_lineage
 
 FORMATS = ("alpaca", "chatml", "both")
+PAIR_KEY = ["prompt_id", "source_repo", "source_path"]
 
 
 def write_shards(
@@ -51,10 +53,28 @@ def pair_tables(pairs: DataFrame, formats: str = "both") -> dict[str, DataFrame]
     return tables
 
 
+def written_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the raw pairs below ``path``, none before the first were written."""
+    schema = ", ".join(f"{k} string" for k in PAIR_KEY)
+    try:
+        return spark.read.schema(schema).json(path).distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_pairs(
     pairs: DataFrame, path: str, formats: str = "both", mode: str = "append", subfolder: str = ""
 ) -> None:
-    """Raw pairs always, Alpaca and chat forms as asked, each in its folder below ``path``."""
+    """Raw pairs always, Alpaca and chat forms as asked, each in its folder below ``path``.
+
+    Pairs with a ``prompt_id`` are written once: those that the raw folder has already, from the
+    same file, are left out of all forms.
+    """
+    if mode == "append" and "prompt_id" in pairs.columns:
+        raw = "/".join(p for p in (path.rstrip("/"), "raw", subfolder) if p)
+        pairs = pairs.join(written_ids(pairs.sparkSession, raw), PAIR_KEY, "left_anti")
     for name, table in pair_tables(cut_lineage(pairs), formats).items():
         folder = "/".join(p for p in (path.rstrip("/"), name, subfolder) if p)
         write_shards(table, folder, mode=mode)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sqlsieve.functions import rules
 from sqlsieve.operators import prompts, ranking, report
+from sqlsieve.sources import sinks
 
 CODE = "SELECT CustomerId, OrderId, Total FROM dbo.Orders WHERE OrderId = {} AND Total > 0 ORDER BY 1"
 
@@ -48,8 +49,9 @@ def test_cap_counts_short_chunks(spark):
     short = "SELECT " + "x" * 80
     content = "\nGO\n".join([short, body(1), body(2), body(3)])
     table = records(spark, [(content, "p", "r", "s", 0, False, [])])
-    assert [r.chunk_no for r in prompts.file_chunks(table).orderBy("chunk_no").collect()] == [1, 2, 3]
-    sent = prompts.prompt_table(table)
+    assert [r.chunk_no for r in prompts.file_chunks(table, 3).orderBy("chunk_no").collect()] == [1, 2, 3]
+    assert prompts.file_chunks(table).count() == 4
+    sent = prompts.prompt_table(table, max_chunks=3)
     assert sorted(r.chunk_no for r in sent.collect()) == [2, 3]
     assert body(1).strip() in sent.where("chunk_no = 2").first().prompt
 
@@ -103,17 +105,55 @@ def test_generate_until(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == expected and len(expected) == 20
     asked = spark.read.parquet(path)
     assert 20 <= asked.count() < 60
-    assert asked.count() == asked.select("prompt_id").distinct().count()
+    assert asked.count() == asked.select("prompt_id", "attempt").distinct().count()
     assert asked.where("error like 'TimeoutError%'").count() > 0
+    assert asked.where("error is null").groupBy("prompt_id").count().where("count > 1").count() == 0
 
     first = asked.count()
     prompts.generate_until(table, answer, path, max_pairs=20, wave=9)
     assert spark.read.parquet(path).count() == first
     rest = prompts.generate_until(table, answer, path, max_pairs=1000, wave=25)
-    assert rest.count() == 66 and spark.read.parquet(path).count() == 60
+    asked = spark.read.parquet(path)
+    assert rest.count() == 66 and asked.select("prompt_id").distinct().count() == 60
+    assert asked.where("error is not null").groupBy("prompt_id").count().select("count").distinct().collect() == [(3,)]
     table.unpersist()
 
 
+def test_an_outage_leaves_prompts_open(spark, tmp_path):
+    """Failed calls are asked again by the next call; an error budget ends one early."""
+    rows = [(body(i), f"p{i:03d}", "r", rules.REPO_SOURCE, i, False, []) for i in range(1, 41) if i % 5 > 1]
+    table = prompts.prompt_table(records(spark, rows)).cache()
+    path = str(tmp_path / "answers")
+
+    def down(prompt):
+        raise ConnectionError("down")
+
+    none = prompts.generate_until(table, down, path, wave=8, max_errors=7)
+    assert none.count() == 0 and spark.read.parquet(path).count() == 8
+    some = prompts.generate_until(table, answerer(), path)
+    assert some.count() == len(rows)
+    table.unpersist()
+
+
+def test_pairs_are_written_once(spark, tmp_path):
+    rows = [(body(i), f"p{i:03d}", "r", rules.REPO_SOURCE, i, False, []) for i in range(1, 31) if i % 5 > 1]
+    rows += [(body(7), "copy", "r", rules.DATASET_SOURCE, None, None, [])]
+    table = prompts.prompt_table(records(spark, rows)).cache()
+    for n in (5, 10, None, None):
+        pairs = prompts.generate_until(table, answerer(), str(tmp_path / "answers"), max_pairs=n)
+        sinks.write_pairs(pairs, str(tmp_path / "out"))
+    raw = spark.read.json(str(tmp_path / "out/raw"))
+    assert raw.count() == len(rows) == raw.select("prompt_id", "source_path").distinct().count()
+    assert spark.read.json(str(tmp_path / "out/chatml")).count() == len(rows)
+    table.unpersist()
+
+
+def test_prompt_id_follows_the_template_text(spark):
+    table = records(spark, [(body(1), "a", "r", "s", 0, False, [])])
+    ids = {prompts.prompt_table(table, t).first().prompt_id for t in (prompts.TEMPLATE, "Say: {code}")}
+    assert len(ids) == 2
+
+
 def test_copies_are_spread_and_complete(spark):
     rows = [(body(2), f"copy{i}", "r", "s", 0, False, []) for i in range(200)]
     rows += [(body(i), f"p{i}", "r", "s", 0, False, []) for i in range(3, 50)]

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 
-def keep_if(test: Callable[..., bool], *columns: str) -> Column:
-    """Condition that calls ``test`` with the named columns of each row.
+def keep_if(test: Callable[..., pd.Series], *columns: str) -> Column:
+    """Condition that calls ``test`` with the named columns, a batch of rows at a time.
 
-    For rules that Column expressions cannot state; only the named columns go to Python.
+    For rules that Column expressions cannot state; only the named columns go to Python, and
+    ``test`` gets each as a Series and returns one of truth values.
     """
 
     @F.pandas_udf(BooleanType())
     def run(*series: pd.Series) -> pd.Series:
-        return pd.Series([bool(test(*row)) for row in zip(*series)], dtype=bool)
+        return pd.Series(test(*series)).astype(bool)
 
     return run(*columns)
 

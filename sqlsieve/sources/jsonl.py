@@ -33,8 +33,10 @@ def _lenient(line: Column) -> Column:
     """Valid for Python's reader. Built inside a function, so that it travels by value."""
 
     def ok(text: str | None) -> bool:
+        if text is None:
+            return False
         try:
-            json.loads(text or "")
+            json.loads(text)
             return True
         except (ValueError, RecursionError):
             return False
@@ -69,20 +71,58 @@ def parse_records(lines: DataFrame, schema: str) -> DataFrame:
     return objects.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-def read_corpus(spark: SparkSession, paths: list[str], glob: str = "*.{jsonl,json}") -> DataFrame:
-    """Corpus records of many folders; the license may be one name or a list."""
+def read_corpus(spark: SparkSession, paths: list[str], glob: str = "*.jsonl") -> DataFrame:
+    """Corpus records of many folders; the license may be one name or a list.
+
+    Whole numbers are taken however they are written: 12, 12.0 and "12" are the same. A license
+    that merely begins with a bracket is a name. Spark passes over files whose names begin with
+    ``_`` or ``.``; rename such files to have them read.
+    """
+    numbers = [c.split()[0] for c in CORPUS_SCHEMA.split(", ") if c.endswith(" bigint")]
     schema = CORPUS_SCHEMA.replace("license array<string>", "license string")
+    schema = schema.replace(" bigint", " string")
     records = parse_records(read_lines(spark, paths, glob), schema)
-    names = F.when(
-        F.col("license").startswith("["), F.from_json("license", "array<string>")
-    ).when(F.col("license").isNotNull(), F.array("license"))
-    return records.withColumn("license", names)
+    listed = F.when(F.col("license").startswith("["), F.from_json("license", "array<string>"))
+    names = F.coalesce(listed, F.when(F.col("license").isNotNull(), F.array("license")))
+
+    def whole(name: str) -> Column:
+        exact = F.expr(f"try_cast({name} as bigint)")
+        rounded = F.expr(f"try_cast(try_cast({name} as double) as bigint)")
+        return F.when(F.col(name).rlike(r"\A\s*[+-]?[0-9]+\s*\z"), exact).otherwise(rounded)
+
+    return records.withColumns({"license": names} | {c: whole(c) for c in numbers})
 
 
 def read_chat(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(CHAT_SCHEMA).json(paths)
 
 
+def numbered_lines(
+    spark: SparkSession, path: str, rows_per_part: int = rules.RESPLIT_ROWS, glob: str = "*.jsonl"
+) -> DataFrame:
+    """Valid lines of each file below ``path``: ``source``, ``part``, ``line`` from 1, ``value``.
+
+    ``source`` is the file's path below ``path`` without its suffix; files that differ in the
+    suffix alone keep it. A big file is read in many blocks and no task sees all of it.
+    """
+    lines = read_lines(spark, [path], glob).select(
+        strip("value").alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    valid = lines.where((F.col("value") != "") & is_json("value"))
+    numbered = number_in_read_order(valid, ["file"], "block", "line")
+    below = F.regexp_replace("file", r"\A.*?\Q" + path.rstrip("/") + r"\E/*", "")
+    stem = F.regexp_replace(below, r"\.[^./]*\z", "")
+    files = numbered.select("file").distinct().select("file", below.alias("name"), stem.alias("stem"))
+    shared = files.groupBy("stem").agg((F.count(F.lit(1)) > 1).alias("several"))
+    named = files.join(shared, "stem").select(
+        "file", F.when(F.col("several"), F.col("name")).otherwise(F.col("stem")).alias("source")
+    )
+    part = part_of("line", rows_per_part).alias("part")
+    return numbered.join(named, "file").select("source", part, "line", "value")
+
+
 def resplit(
     spark: SparkSession,
     path: str,
@@ -92,19 +132,11 @@ def resplit(
 ) -> None:
     """Write the valid lines of each file below ``path`` as parts of ``rows_per_part``, in order.
 
-    Lands in ``out/source=…/part=…``, apart from the input. A big file is read in many blocks and
-    no task sees all of it; a part, which is bounded, is written by one task.
+    Lands in ``out/source=…/part=…``, apart from the input. A part, which is bounded, is written
+    by one task.
     """
-    name = F.regexp_replace("_metadata.file_path", r"\.[^./]*\z", "")
-    lines = read_lines(spark, [path], glob).select(
-        strip("value").alias("value"),
-        F.regexp_replace(name, r"\A.*?\Q" + path.rstrip("/") + r"\E/*", "").alias("source"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    valid = lines.where((F.col("value") != "") & is_json("value"))
-    numbered = number_in_read_order(valid, ["source"], "block", "line")
     (
-        numbered.withColumn("part", part_of("line", rows_per_part))
+        numbered_lines(spark, path, rows_per_part, glob)
         .repartition("source", "part")
         .sortWithinPartitions("source", "part", "line")
         .select("value", "source", "part")

@@ -60,8 +60,12 @@ def write_pair_stream(
     """Raw, Alpaca and chat outputs per micro-batch; a repeated batch replaces its own folders."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for name, table in pair_tables(batch, formats).items():
-            write_shards(table, f"{path.rstrip('/')}/{name}/batch={batch_id}", mode="overwrite")
+        batch = batch.persist()
+        try:
+            for name, table in pair_tables(batch, formats).items():
+                write_shards(table, f"{path.rstrip('/')}/{name}/batch={batch_id}", mode="overwrite")
+        finally:
+            batch.unpersist()
 
     return (
         pairs.writeStream.foreachBatch(write)

@@ -1,44 +1,41 @@
 """Answers and output forms against plain Python."""
 
-import random
-import re
-
 from pyspark.sql import functions as F
 
 from sqlsieve.functions import chat, rules
 from sqlsieve.functions.answers import parse_answer
 from sqlsieve.sources import sinks
 
-UNSURE = re.compile("|".join(map(re.escape, rules.LOW_CONFIDENCE_TEXTS)), re.I)
-
-
-def read(text):
-    if "INSTRUCTION:" not in text or "---" not in text or UNSURE.search(text):
-        return None
-    before, after = text.split("---", 1)
-    fence = re.search(r"```(tsql|sql|t-sql)?\n(.*?)```", after, re.S | re.I)
-    if fence is None:
-        return None
-    question, code = before.replace("INSTRUCTION:", "").strip(), fence.group(2).strip()
-    return (question, code) if len(question) >= 20 and len(code) >= 80 else None
-
-
-def test_random_answers(values):
-    rnd = random.Random(3)
-    bits = ["INSTRUCTION:", "---", "```", "```tsql\n", "```T-SQL\n", "```sql\n", "```\n", "```python\n", "\n", " ",
-            "question " * 3, "SELECT a FROM b " * 6, "trivial", "UNCLEAR", "é", "I'm not sure"]
-    weights = [4, 4, 4, 3, 2, 2, 2, 1, 4, 3, 5, 5, 0.2, 0.2, 1, 0.2]
-
-    def some(most):
-        return "".join(rnd.choices(bits, weights, k=rnd.randrange(most)))
-
-    texts = [some(14) for _ in range(4000)]
-    texts += ["INSTRUCTION:" + some(5) + "---" + some(3) + "```sql\n" + some(7) for _ in range(3000)]
-    texts += ["INSTRUCTION: " + "w" * n + "\n---\n```tsql\n" + "c" * m + "\n```" for n in (19, 20) for m in (79, 80)]
-    got = values(texts, parse_answer("content"))
-    expected = [read(t) for t in texts]
-    assert [tuple(g) if g else None for g in got] == expected
-    assert 50 < sum(e is not None for e in expected) < len(texts) / 2
+ASK = "Which customers left us?"
+CODE = "SELECT CustomerId FROM dbo.Customers WHERE LeftOn IS NOT NULL ORDER BY CustomerId;" * 2
+FENCE = "```"
+
+# Each answer beside what it says: a pair, or nothing.
+ANSWERS = [
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}tsql\n{CODE}\n{FENCE}", (ASK, CODE)),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}\n{CODE}\n{FENCE}", (ASK, CODE)),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}T-SQL\n{CODE}\n{FENCE}", (ASK, CODE)),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}SQL\n\n {CODE} \n\n{FENCE} and {FENCE}\nmore\n{FENCE}", (ASK, CODE)),
+    (f"  INSTRUCTION:\n{ASK} INSTRUCTION: Please.\n--- some words {FENCE}sql\n{CODE}{FENCE}", (f"{ASK}  Please.", CODE)),
+    (f"Of course. INSTRUCTION: {ASK}---{FENCE}\n{CODE}{FENCE}", (f"Of course.  {ASK}", CODE)),
+    (f"INSTRUCTION: {ASK}\n----\n{FENCE}\n{CODE}{FENCE}", (ASK, CODE)),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}python\n{CODE}\n{FENCE}\n{CODE}{FENCE}", (ASK, CODE)),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}python\n{CODE}\n{FENCE}", None),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}tsql {CODE}\n{FENCE}", None),
+    (f"INSTRUCTION: {ASK}\n---\n{FENCE}tsql\n{CODE}", None),
+    (f"INSTRUCTION: {ASK}\n--\n{FENCE}tsql\n{CODE}\n{FENCE}", None),
+    (f"instruction: {ASK}\n---\n{FENCE}tsql\n{CODE}\n{FENCE}", None),
+    (f"{FENCE}tsql\n{CODE}\n{FENCE}\n---\nINSTRUCTION: {ASK}", None),
+    ("", None),
+    *[(f"INSTRUCTION: {ASK}\n---\n{FENCE}\n{CODE} -- {doubt.upper()}\n{FENCE}", None) for doubt in rules.LOW_CONFIDENCE_TEXTS],
+    *[(f"INSTRUCTION: {'w' * n}\n---\n{FENCE}sql\n{'c' * m}\n{FENCE}", ("w" * n, "c" * m) if n >= 20 and m >= 80 else None)
+      for n in (19, 20) for m in (79, 80)],
+]
+
+
+def test_written_out_answers(values):
+    got = values([text for text, _ in ANSWERS], parse_answer("content"))
+    assert [tuple(g) if g else None for g in got] == [pair for _, pair in ANSWERS]
 
 
 def test_code_may_hold_the_divider(values):

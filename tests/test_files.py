@@ -50,6 +50,13 @@ def test_read_corpus(spark, tmp_path):
     (tmp_path / "a/deep/one.jsonl").write_text("\n".join(first), encoding="utf-8")
     (tmp_path / "b/two.jsonl").write_text(second + "\r\n")
     (tmp_path / "b/two.txt").write_text(second)
+    (tmp_path / "b/two.json").write_text(second)
+    odd = [{"license": "[MIT]", "stars": 12.0, "size": "12", "path": "o1"}, {"stars": "1e3", "size": "x", "path": "o2"}]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/odd.jsonl").write_text("\n".join(map(json.dumps, odd)))
+    found = {r.path: r for r in jsonl.read_corpus(spark, [str(tmp_path / "c")]).collect()}
+    assert (found["o1"].license, found["o1"].stars, found["o1"].size) == (["[MIT]"], 12, 12)
+    assert (found["o2"].license, found["o2"].stars, found["o2"].size) == (None, 1000, None)
     got = jsonl.read_corpus(spark, [str(tmp_path / "a"), str(tmp_path / "b")]).orderBy("size").collect()
     assert len(got) == 2
     assert got[0].license == ["unknown"] and got[0].stars == 5 and got[0].modern_tsql is True and got[0].size is None
@@ -87,6 +94,15 @@ def test_resplit(spark, tmp_path):
         assert got == lines
 
 
+def test_files_that_share_a_stem(spark, tmp_path):
+    for suffix, n in (("json", 30), ("jsonl", 50)):
+        (tmp_path / f"a.{suffix}").write_text("\n".join(json.dumps([suffix, i]) for i in range(n)))
+    rows = jsonl.numbered_lines(spark, str(tmp_path), 20, "*.{json,jsonl}").collect()
+    for suffix, n in (("json", 30), ("jsonl", 50)):
+        own = sorted((r for r in rows if r.source == f"a.{suffix}"), key=lambda r: r.line)
+        assert [(r.line, r.part, json.loads(r.value)) for r in own] == [(i + 1, i // 20, [suffix, i]) for i in range(n)]
+
+
 def test_shards(spark, tmp_path):
     rows = spark.range(25, numPartitions=1).select(F.lit("é").alias("a"), F.lit(None).cast("int").alias("b"))
     sinks.write_shards(rows, str(tmp_path / "s"), rows_per_shard=10)

@@ -18,7 +18,7 @@ from ..operators.user_code import keep_if, map_batches
 from ..session import new_table_path, spread
 from ..sources import blobs, jsonl, sinks
 from ..streaming import collect
-from . import twins
+from . import marked, twins
 from .tables import Tables, listed
 from .twins import twin
 
@@ -114,6 +114,32 @@ def feature_score(t: Tables) -> DataFrame:
     return tagged.select("file_id", dialect.feature_score("tags").alias("feature_score"))
 
 
+@query(f"select file_id, {marked.verdicts()} as verdict from ({marked.MARKED_FILES}) m")
+def marked_files(t: Tables) -> DataFrame:
+    """What the rules say about files that differ in one line, against what was written down."""
+    judged = corpus.judged(t.sql(marked.MARKED_FILES, orders=spread(t("orders"))))
+    flag = lambda c: c.cast("int").cast("string")
+    verdict = F.concat_ws(
+        "|",
+        flag(dialect.has_foreign_markers("content")), flag(dialect.has_dialect_markers("content")),
+        flag(dialect.is_modern("content")), listed(dialect.feature_tags("content")),
+        F.coalesce("reject_reason", F.lit("kept")),
+    )
+    return judged.select("file_id", verdict.alias("verdict"))
+
+
+@query(
+    f"""select file_id, content as chunk from ({marked.MARKED_FILES}) m
+        where variant = {marked.STATEMENT_FREE}"""
+)
+def statement_free_chunk(t: Tables) -> DataFrame:
+    """Files without any statement are one chunk each, whole."""
+    files = t.sql(marked.MARKED_FILES, orders=t("orders")).where(
+        F.col("variant") == marked.STATEMENT_FREE
+    )
+    return files.select("file_id", F.explode(chunking.extract_chunks("content")).alias("chunk"))
+
+
 # --- size, lines, quality --------------------------------------------------------------------
 
 _DOCUMENTS = "(select doc_id, text as content, '' as path from documents) d"

@@ -168,61 +168,80 @@ def postings(groups: DataFrame) -> DataFrame:
 
 
 def _passing(threshold: Fraction, per: int):
-    """Finds, in a pair of list blocks, pairs of members that may link and are not connected."""
-
-    def find(rows: pd.DataFrame) -> pd.DataFrame:
-        lower, upper = rows["i"].iloc[0], rows["j"].iloc[0]
-        rows = rows.sort_values(["n", "q"]).reset_index(drop=True)
-        sizes = rows["members"].map(len).to_numpy()
-        members = [m for ms in rows["members"] for m in ms]
-        n = np.repeat(rows["n"].to_numpy(), sizes)
-        place = np.repeat(rows["place"].to_numpy(), sizes)
-        block = np.repeat(rows["block"].to_numpy(), sizes)
-        group = np.repeat(np.arange(len(rows)), sizes)
-        bits = np.frombuffer(b"".join(m["bits"] for m in members), dtype=np.uint64)
-        bits = bits.reshape(-1, BITS // 64)
-        names = [m["key"] for m in members]
-        labels = [m["label"] for m in members]
-        failed = [set(m["failed"]) if m["failed"] is not None else () for m in members]
-        number = {label: i for i, label in enumerate(dict.fromkeys(labels))}
-        label = np.array([number[x] for x in labels])
-        parent = list(range(len(number)))
-        given: dict[tuple[int, int], int] = {}
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        a, b = threshold.numerator, threshold.denominator
-        reach = np.searchsorted(n, n * b // a, side="right")
-        out = []
-        for x in range(len(names)):
-            y = np.arange(x + 1, reach[x])
-            y = y[label[y] != label[x]]
-            if lower != upper:
-                y = y[block[y] != block[x]]
-            if not len(y):
-                continue
-            need = least_overlap(threshold, n[x] + n[y])
-            rest = 1 + np.minimum(n[x] - place[x], n[y] - place[y]) - 1
-            far = np.minimum(place[x], place[y]) + rest < need
-            y, need = y[~far | (group[y] == group[x])], need[~far | (group[y] == group[x])]
-            differ = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
-            for z in y[differ <= n[x] + n[y] - 2 * need].tolist():
-                if names[z] in failed[x]:
-                    continue
-                pair = (min(label[x], label[z]), max(label[x], label[z]))
-                if root(label[x]) == root(label[z]) and not 0 < given.get(pair, 0) < per:
-                    continue
-                parent[root(label[x])] = root(label[z])
-                given[pair] = given.get(pair, 0) + 1
-                out.append(sorted((names[x], names[z])))
-        return pd.DataFrame(out, columns=["a", "b"])
+    """Finds, in whole posting lists, pairs of members that may link and are not connected.
+
+    Rows come sorted by list, then size; a list that a batch breaks off waits for the next one.
+    """
+    keys = ["token", "i", "j"]
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for rows in batches:
+            rows = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
+            same = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy()
+            whole = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0
+            rest = rows.iloc[whole:]
+            if whole:
+                yield _pairs_in(rows.iloc[:whole], threshold, per)
+        if rest is not None and len(rest):
+            yield _pairs_in(rest, threshold, per)
 
     return find
 
 
+def _pairs_in(rows: pd.DataFrame, threshold: Fraction, per: int) -> pd.DataFrame:
+    a, b = threshold.numerator, threshold.denominator
+    token, i, j, n, place, block, q = (
+        rows[c].to_numpy(np.int64) for c in ("token", "i", "j", "n", "place", "block", "q")
+    )
+    label = pd.factorize(rows["label"])[0]
+    names, failed = rows["key"].tolist(), rows["failed"].tolist()
+    bits = np.frombuffer(b"".join(rows["bits"]), dtype=np.uint64).reshape(-1, BITS // 64)
+    starts = np.ones(len(rows), dtype=bool)
+    starts[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    number = np.cumsum(starts) - 1
+    end = np.append(np.flatnonzero(starts)[1:], len(rows))[number]
+
+    found, x, step = [], np.arange(len(rows)), 0
+    while len(x):
+        step += 1  # all pairs of rows of a list that are so many rows apart
+        x = x[x + step < end[x]]
+        x = x[n[x + step] * a <= n[x] * b]
+        y = x + step
+        good = (label[x] != label[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
+        left, right = x[good], y[good]
+        total = n[left] + n[right]
+        need = least_overlap(threshold, total)
+        most = np.minimum(place[left], place[right])
+        most += np.minimum(n[left] - place[left], n[right] - place[right])
+        near = (most >= need) | (q[left] == q[right])
+        left, right, spare = left[near], right[near], (total - 2 * need)[near]
+        differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1)
+        near = differ <= spare
+        found.append(np.stack([left[near], right[near]]))
+
+    parent: dict[tuple[int, int], tuple[int, int]] = {}
+    given: dict[tuple[int, int, int], int] = {}
+
+    def root(node: tuple[int, int]) -> tuple[int, int]:
+        while parent.get(node, node) != node:
+            parent[node] = node = parent.get(parent[node], parent[node])
+        return node
+
+    out = []
+    for x, y in np.concatenate(found, axis=1).T.tolist() if found else []:
+        if failed[x] is not None and names[y] in set(failed[x]):
+            continue
+        one, two = (number[x], label[x]), (number[x], label[y])
+        pair = (number[x], min(label[x], label[y]), max(label[x], label[y]))
+        if root(one) == root(two) and not 0 < given.get(pair, 0) < per:
+            continue
+        parent[root(one)] = root(two)
+        given[pair] = given.get(pair, 0) + 1
+        out.append(sorted((names[x], names[y])))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
 def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     """``pairs`` of set names with ``linked``, from the whole sets."""
     names = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
@@ -295,17 +314,15 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
                 .withColumn("label", F.coalesce("root", "key"))
                 .join(failed, "key", "left")
             )
-        known = members.groupBy("q", "n").agg(
-            F.collect_list(F.struct("key", "bits", "label", "failed")).alias("members")
-        )
         chosen = lists.where("i = j") if diagonal else lists
-        pairs = (
-            chosen.join(known, "q")
-            .select("token", "i", "j", "block", "q", "n", "place", "members")
-            .groupBy("token", "i", "j")
-            .applyInPandas(_passing(threshold, 4**step), "a binary, b binary")
-            .distinct()
+        entries = (
+            chosen.join(members, "q")
+            .select("token", "i", "j", "block", "q", "n", "place", "key", "bits", "label", "failed")
+            .repartition("token", "i", "j")
+            .sortWithinPartitions("token", "i", "j", "n", "q", "key")
         )
+        find = _passing(threshold, 4**step)
+        pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
         pairs = cut_lineage(pairs)
         if pairs.isEmpty():
             if not diagonal:

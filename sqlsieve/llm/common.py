@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path, new_table_path
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,6 +40,35 @@ def others(df: DataFrame, *names: str) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in taken]
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of shuffle files that nothing needs any more, as after a checkpoint.
+
+    Spark deletes them once the driver's collector finds that no plan refers to them; left to
+    itself that may come long after the disks are full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, read back; ``drop_stored`` removes it.
+
+    For steps that repeat: unlike a checkpoint a table has a size of its own, not one that the
+    planner works out from all the steps before it.
+    """
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(*tables: DataFrame | None) -> None:
+    for table in tables:
+        if table is not None:
+            delete_path(table.sparkSession, table.stored_path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -13,24 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .common import drop_stored, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``: equal for two nodes if and only if a path links them.
 
     ``edges`` has the columns ``a`` and ``b`` of one orderable type. Nulls and loops are ignored;
-    nodes without an edge do not occur in the result. The edges of each round are checkpointed.
+    nodes without an edge do not occur in the result. The edges of each round are written to the
+    shared folder, and go again once the result has been; that stays for as long as it is used.
     """
-    edges = edges.select("a", "b").where("a <> b").distinct()
-    edges = cut_lineage(edges)
+    edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
     steps: list[DataFrame] = []
+    tables = [edges]
     while not edges.isEmpty():
+        seed = F.lit(len(steps))
+        rank = lambda name: F.struct(F.xxhash64(name, seed).alias("h"), F.col(name).alias("n"))  # noqa: E731,B023
         both = edges.union(edges.select("b", "a"))
-        rank = F.struct(F.xxhash64("b", F.lit(len(steps))).alias("h"), F.col("b").alias("n"))
-        first = both.groupBy(F.col("a").alias("node")).agg(F.min(rank).alias("other"))
-        own = F.struct(F.xxhash64("node", F.lit(len(steps))).alias("h"), F.col("node").alias("n"))
-        to = cut_lineage(first.select("node", F.least("other", own)["n"].alias("to")))
+        first = both.groupBy(F.col("a").alias("node")).agg(F.min(rank("b")).alias("other"))
+        # Made again from the written edges where it is needed, which is cheaper than a table.
+        to = first.select("node", F.least("other", rank("node"))["n"].alias("to"))
         steps.append(to)
         edges = (
             edges.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
@@ -39,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = cut_lineage(edges)
+        edges = stored(edges, "edges")
+        tables.append(edges)
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("root"))
     # From the last round back: a node's root is that of the node it points at.
@@ -47,4 +50,6 @@ def components(edges: DataFrame) -> DataFrame:
     for to in reversed(steps[:-1]):
         later = roots.select(F.col("node").alias("to"), F.col("root").alias("end"))
         roots = to.join(later, "to", "left").select("node", F.coalesce("end", "to").alias("root"))
+    roots = stored(roots, "components")
+    drop_stored(*tables)
     return roots

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_chars, free_name, or_empty
+from .common import by_chars, drop_stored, free_name, or_empty, stored
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -295,6 +295,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     groups = cut_lineage(grouped(classes))
     lists = cut_lineage(postings(groups))
     tried: DataFrame | None = None
+    roots: DataFrame | None = None
     labels: DataFrame | None = None
     step, diagonal = 0, not lists.where("i < j").isEmpty()
     while True:
@@ -323,17 +324,22 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         )
         find = _passing(threshold, 4**step)
         pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
-        pairs = cut_lineage(pairs)
+        pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
+            drop_stored(pairs)
             if not diagonal:
                 break
             diagonal = False
             continue
         new = verified(docs, pairs, width, threshold)
-        tried = cut_lineage(new if tried is None else tried.union(new))
-        labels = components(tried.where("linked").select("a", "b"))
-        labels = cut_lineage(labels.select(F.col("node").alias("key"), "root"))
+        before, tried = tried, stored(new if tried is None else tried.union(new), "tried")
+        drop_stored(pairs, before)
+        if roots is not None and hasattr(roots, "stored_path"):
+            drop_stored(roots)
+        roots = components(tried.where("linked").select("a", "b"))
+        labels = roots.select(F.col("node").alias("key"), "root")
         step, diagonal = step + 1, False
+    drop_stored(tried)
 
     least = classes.select("key", "least")
     if labels is not None:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import or_empty
+from .common import or_empty, release
 from .neighbours import with_neighbours
 
 SUBSETS = 32
@@ -70,177 +70,182 @@ def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def hashes(members: DataFrame, lexicon: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Hashes per document, lexicon and version of its text.
+    """Per key the hashes of both versions' terms, an array over the lexicons for each thinning.
 
-    ``members`` has the key ``d`` and ``h``, ``term``, ``versions`` (1: the text, 2: the edited
-    one, 3: both) and the levels ``l1`` and ``l2``.
+    ``members`` has the key ``k``, ``term`` and ``about``: the versions (1: the text, 2: the edited
+    one, 3: both) and their levels in one number. Null stands for a lexicon without a term.
     """
     if frequent.count() <= BROADCAST_TERMS:
         members = members.join(F.broadcast(frequent), "term", "left_anti")
-    known = members.join(lexicon, "term").withColumn("r", subset(F.col("term")))
-    per_subset = known.groupBy("d", "h", "r").agg(
+    known = members.join(lexicon, "term").select("k", "term", "about")
+    about = F.col("about")
+    per_subset = known.groupBy("k", subset(F.col("term")).alias("r")).agg(
         *[
             F.sort_array(
-                F.collect_list(F.when(F.col("versions").bitwiseAND(v) > 0, F.col("term")))
+                F.collect_list(F.when(about.bitwiseAND(v) > 0, F.col("term")))
             ).alias(f"t{v}")
             for v in (1, 2)
         ],
-        F.first("l1").alias("l1"),
-        F.first("l2").alias("l2"),
+        F.first("about").alias("about"),
     )
     found = []
     for v in (1, 2):
-        dense, halved = F.col(f"t{v}"), F.col(f"l{v}") + 1
+        dense = F.col(f"t{v}")
+        halved = F.shiftright("about", 2 if v == 1 else 8).bitwiseAND(63) + 1
         for step, of in enumerate((dense, F.filter(dense, _surviving(halved)))):
             found.append(F.when(F.size(of) > 0, F.hash(of)).alias(f"h{v}{step}"))
-    return (
-        per_subset.select("d", "h", "r", *found)
-        .groupBy("d", "h")
+    gathered = (
+        per_subset.select("k", "r", *found)
+        .groupBy("k")
         .agg(F.collect_list(F.struct("r", "h10", "h11", "h20", "h21")).alias("found"))
     )
+    return gathered.select("k", *[laid_out("found", c[:3]).alias(c[3:]) for c in _LAID])
+
+
+_LAID = ("h10dense1", "h11thin1", "h20dense2", "h21thin2")
 
 
 def laid_out(found: str, field: str) -> Column:
     """Hashes by number of the lexicon, null where the document has no term in one."""
-    pairs = F.map_from_entries(
-        F.transform(F.coalesce(F.col(found), F.array().cast(_FOUND)), lambda x: F.struct(x["r"], x[field]))
-    )
+    pairs = F.map_from_entries(F.transform(found, lambda x: F.struct(x["r"], x[field])))
     return F.transform(
         F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda r: F.try_element_at(pairs, r)
     )
 
 
-_FOUND = "array<struct<r:int,h10:int,h11:int,h20:int,h21:int>>"
+def fingerprint(at: Column, dense: Column, thin: Column, digest: Column) -> Column:
+    """Level and hashes as one string; the text's digest where there is no hash."""
 
+    def shown(hashed: Column) -> Column:
+        word = lambda x: F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+        return F.array_join(F.transform(hashed, lambda x: F.coalesce(word(x), F.lit("-"))), ",")
 
-def fingerprint(at: Column, dense: Column, thin: Column, text_digest: Column) -> Column:
-    """Level and hashes as one string; the text's digest where there is no hash."""
-    shown = lambda a: F.array_join(F.transform(a, lambda x: F.coalesce(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit("-"))), ",")  # noqa: E731,E501
     return F.when(
-        F.exists(dense, lambda x: x.isNotNull()),
+        dense.isNotNull() & F.exists(dense, lambda x: x.isNotNull()),
         F.concat_ws(";", at.cast("string"), shown(dense), shown(thin)),
-    ).otherwise(F.concat(F.lit("text:"), text_digest))
-
-
-def likeness(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Of two fingerprints, each given as string, level, dense and thin hashes."""
-    seen = lambda x, y: F.zip_with(x, y, lambda p, q: (p.isNotNull() | q.isNotNull()).cast("int"))  # noqa: E731,E501
-    same = lambda x, y: F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int"))  # noqa: E731,E501
-    total = lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x)
-    share = lambda x, y: F.try_divide(total(same(x, y)), total(seen(x, y)))
-    (text_a, level_a, dense_a, thin_a), (text_b, level_b, dense_b, thin_b) = a, b
-    return (
-        F.when(text_a == text_b, F.lit(1.0))
-        .when(
-            level_a == level_b,
-            share(F.concat(dense_a, thin_a), F.concat(dense_b, thin_b)),
-        )
-        .when(level_a + 1 == level_b, share(thin_a, dense_b))
-        .when(level_b + 1 == level_a, share(dense_a, thin_b))
-    )
+    ).otherwise(F.concat(F.lit("text:"), F.lower(F.hex(digest))))
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of documents, of their edited texts, and their likeness to these and the next.
+def likeness(a: tuple[Column, ...], b: tuple[Column, ...], equal: Column) -> Column:
+    """Of two fingerprints, each given as level, dense and thin hashes; ``equal``: of equal texts."""
+    (level_a, dense_a, thin_a), (level_b, dense_b, thin_b) = a, b
 
-    The edited text of a document has its last quarter replaced by as many first characters of the
-    next document.
-    """
-    rows = docs.select("doc_id", or_empty("text").alias("body")).select(
-        "doc_id", "body",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("d"),
-        F.xxhash64("body").alias("h"),
-    )
+    def total(counted: Column) -> Column:
+        return F.aggregate(counted, F.lit(0), lambda n, x: n + x)
+
+    def share(x: Column, y: Column) -> Column:
+        seen = F.zip_with(x, y, lambda p, q: (p.isNotNull() | q.isNotNull()).cast("int"))
+        same = F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int"))
+        return F.try_divide(total(same), total(seen))
+
+    both = F.when(
+        level_a == level_b, share(F.concat(dense_a, thin_a), F.concat(dense_b, thin_b))
+    ).when(level_a + 1 == level_b, share(thin_a, dense_b))
+    both = both.when(level_b + 1 == level_a, share(dense_a, thin_b))
+    return F.when(equal, F.lit(1.0)).otherwise(F.coalesce(both, F.lit(0.0)))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """``d`` and ``h`` of each distinct document with those of its neighbours, round the ends."""
     narrow = rows.groupBy("d", "h").agg(F.max(F.length("body")).alias("n"))
     order = with_neighbours(narrow, ["d", "h"], ["d", "h", "n"])
-    ends = narrow.agg(
-        F.min(F.struct("d", "h", "n")).alias("first"), F.max(F.struct("d", "h", "n")).alias("last")
-    ).first()
+    key = F.struct("d", "h", "n")
+    ends = narrow.agg(F.min(key).alias("first"), F.max(key).alias("last")).first()
     for name, end in (("after", "first"), ("before", "last")):
         if ends[end] is not None:
-            value = [F.lit(ends[end][k]).cast("int" if k == "n" else "long").alias(k) for k in "dhn"]
+            kinds = {"d": "long", "h": "long", "n": "int"}
+            value = [F.lit(ends[end][k]).cast(kind).alias(k) for k, kind in kinds.items()]
             order = order.withColumn(name, F.coalesce(name, F.struct(*value)))
-    order = order.select("d", "h", "before", "after")
+    return order.select("d", "h", "before", "after")
+
 
+def edited_texts(rows: DataFrame) -> DataFrame:
+    """Distinct documents with ``copies``, their next one's key, and their edited text.
+
+    The last quarter of a text is replaced by as many first characters of the next document. Each
+    text is shuffled once; of the next documents' texts only what is needed is sent on.
+    """
+    order = in_order(rows)
+    quarter = lambda n: F.floor(n / 4).cast("int")
     distinct = rows.groupBy("d", "h").agg(
-        F.first("body").alias("body"), F.first("doc_id").alias("doc_id"), F.count("*").alias("copies")
+        F.first("body").alias("body"), F.count("*").alias("copies")
     )
-    quarter = lambda n: F.floor(n / 4).cast("int")
+    # Both uses of the distinct texts read all their columns, so that one shuffle serves them.
+    head = F.substring(F.col("body"), F.lit(1), quarter(F.col("before.n")))
     heads = distinct.join(order, ["d", "h"]).select(
         F.col("before.d").alias("d"), F.col("before.h").alias("h"),
-        F.substring(F.col("body"), F.lit(1), quarter(F.col("before.n"))).alias("head"),
+        F.when(F.col("copies") > 0, head).alias("head"),
     )
-    pairs = (
-        distinct.join(heads.select("d", "h", "head"), ["d", "h"])
-        .join(order.select("d", "h", F.col("after.d").alias("nd"), F.col("after.h").alias("nh")), ["d", "h"])
-        .withColumn("n", F.length("body"))
-    )
+    following = order.select("d", "h", F.col("after.d").alias("nd"), F.col("after.h").alias("nh"))
+    pairs = distinct.join(heads, ["d", "h"]).join(following, ["d", "h"])
+    pairs = pairs.withColumn("n", F.length("body"))
     kept = F.substring(F.col("body"), F.lit(1), F.col("n") - quarter(F.col("n")))
-    pairs = pairs.withColumn("edited", F.concat(kept, F.col("head")))
-
-    both = pairs.select("d", "h", terms(F.col("body")).alias("a"), terms(F.col("edited")).alias("b"))
-    both = both.select(
-        "d", "h", "a", "b", level(F.size("a")).alias("l1"), level(F.size("b")).alias("l2")
-    ).select(
-        "d", "h", "l1", "l2",
-        F.filter("a", lambda t: survives(t, F.col("l1"))).alias("a"),
-        F.filter("b", lambda t: survives(t, F.col("l2"))).alias("b"),
-    )
-    member = F.transform(
-        F.array_union("a", "b"),
-        lambda t: F.struct(
-            t.alias("term"),
-            (F.array_contains("a", t).cast("int") + 2 * F.array_contains("b", t).cast("int")).alias("versions"),
-        ),
-    )
-    members = both.select("d", "h", "l1", "l2", F.explode(member).alias("m")).select(
-        "d", "h", F.col("l1").cast("byte").alias("l1"), F.col("l2").cast("byte").alias("l2"),
-        "m.term", F.col("m.versions").cast("byte").alias("versions"),
+    return pairs.withColumn("edited", F.concat(kept, F.col("head")))
+
+
+def with_fingerprints(docs: DataFrame) -> DataFrame:
+    """Distinct documents with the hashes of their terms and of their edited texts' terms."""
+    rows = docs.select(or_empty("text").alias("body"), F.col("doc_id").cast("long").alias("d"))
+    rows = rows.select(
+        F.coalesce("d", F.lit(FIRST_ID)).alias("d"), F.xxhash64("body").alias("h"), "body"
+    )
+    pairs = edited_texts(rows)
+    texts = pairs.select(
+        "d", "h", "nd", "nh", "copies", F.col("n").cast("long").alias("n_chars"),
+        F.unhex(F.sha2("body", 256)).alias("digest"), F.unhex(F.sha2("edited", 256)).alias("edited"),
+        terms(F.col("body")).alias("a"), terms(F.col("edited")).alias("b"),
+    ).withColumns({"l1": level(F.size("a")), "l2": level(F.size("b"))})
+    needed = texts.withColumns(
+        {
+            "a": F.filter("a", lambda t: survives(t, F.col("l1"))),
+            "b": F.filter("b", lambda t: survives(t, F.col("l2"))),
+        }
+    )
+    facts = needed.select(
+        "d", "h", "nd", "nh", "copies", "n_chars", "digest", "edited", "l1", "l2",
+        F.array_intersect("a", "b").alias("both"), F.array_except("a", "b").alias("own"),
+        F.array_except("b", "a").alias("new"), F.monotonically_increasing_id().alias("k"),
     )
+    facts = cut_lineage(facts)
+    release(docs.sparkSession)
 
-    counts = frequencies(docs)
+    member = lambda name, v: F.transform(
+        name, lambda t: F.struct(t.alias("term"), F.lit(v).alias("versions"))
+    )
+    every = F.concat(member("both", 3), member("own", 1), member("new", 2))
+    levels = F.col("l1") * 4 + F.col("l2") * 256
+    members = facts.select("k", levels.alias("levels"), F.explode(every).alias("m")).select(
+        "k", "m.term", (F.col("levels") + F.col("m.versions")).cast("int").alias("about")
+    )
+    counts = frequencies(docs).where(F.col("df") >= LEAST_DOCS)
+    counts = cut_lineage(counts)
     most = F.greatest(F.lit(LEAST_DOCS), F.lit(MOST_SHARE * docs.count()))
-    lexicon = counts.where((F.col("df") >= LEAST_DOCS) & (F.col("df") <= most)).select("term")
+    lexicon = counts.where(F.col("df") <= most).select("term")
     frequent = counts.where(F.col("df") > most).select("term")
-
-    facts = pairs.select(
-        "d", "h", "doc_id", "copies", "nd", "nh", F.col("n").cast("long").alias("n_chars"),
-        F.sha2("body", 256).alias("digest"), F.sha2("edited", 256).alias("edited_sha256"),
-        level(F.size(terms(F.col("body")))).alias("l1"),
-        level(F.size(terms(F.col("edited")))).alias("l2"),
-    )
-    done = facts.join(hashes(members, lexicon, frequent), ["d", "h"], "left")
-    for v in (1, 2):
-        for step, name in enumerate(("dense", "thin")):
-            done = done.withColumn(f"{name}{v}", laid_out("found", f"h{v}{step}"))
-    done = done.drop("found")
-    return (
-        done.withColumn("fingerprint", fingerprint(F.col("l1"), F.col("dense1"), F.col("thin1"), F.col("digest")))
-        .withColumn("edited_fingerprint", fingerprint(F.col("l2"), F.col("dense2"), F.col("thin2"), F.col("edited_sha256")))
-    )
+    release(docs.sparkSession)
+    found = cut_lineage(hashes(members, lexicon, frequent))
+    release(docs.sparkSession)
+    return facts.drop("both", "own", "new").join(found, "k", "left").drop("k")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document both fingerprints and their likenesses."""
-    done = cut_lineage(with_fingerprints(docs))
-    parts = lambda name, v: tuple(F.col(c) for c in (name, f"l{v}", f"dense{v}", f"thin{v}"))
-    own = parts("fingerprint", 1)
-    edited = F.coalesce(likeness(own, parts("edited_fingerprint", 2)), F.lit(0.0))
-    near = done.select(
-        "d", "h", "nd", "nh", "doc_id", "copies", "n_chars", "edited_sha256", "fingerprint",
-        "edited_fingerprint", edited.alias("near_edited"), "l1", "dense1", "thin1",
-    )
-    other = done.select(
-        F.col("d").alias("nd"), F.col("h").alias("nh"), F.col("fingerprint").alias("nf"),
-        F.col("l1").alias("nl"), F.col("dense1").alias("n_dense"), F.col("thin1").alias("n_thin"),
-    )
-    following = tuple(F.col(c) for c in ("nf", "nl", "n_dense", "n_thin"))
-    return (
-        near.join(other, ["nd", "nh"], "left")
-        .withColumn("near_next", F.coalesce(likeness(own, following), F.lit(0.0)))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(
-            "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-            "near_edited", "near_next",
-        )
+    done = with_fingerprints(docs)
+    own, edited = (tuple(F.col(f"{c}{v}") for c in ("l", "dense", "thin")) for v in (1, 2))
+    following = done.select(
+        F.col("d").alias("nd"), F.col("h").alias("nh"), F.col("l1").alias("l3"),
+        F.col("dense1").alias("dense3"), F.col("thin1").alias("thin3"),
     )
+    after = tuple(F.col(f"{c}3") for c in ("l", "dense", "thin"))
+    rows = done.join(following, ["nd", "nh"], "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    )
+    return rows.select(
+        F.nullif("d", F.lit(FIRST_ID)).alias("doc_id"),
+        "n_chars",
+        F.lower(F.hex("edited")).alias("edited_sha256"),
+        fingerprint(*own, F.col("digest")).alias("fingerprint"),
+        fingerprint(*edited, F.col("edited")).alias("edited_fingerprint"),
+        likeness(own, edited, F.col("digest") == F.col("edited")).alias("near_edited"),
+        likeness(own, after, F.col("h") == F.col("nh")).alias("near_next"),
+    )

@@ -10,10 +10,10 @@ very many documents share is in a prefix only where there is little else.
    sizes and by the places of the shingle in both; then groups are expanded, and pairs of members
    are filtered by a 512-bit sketch of each set, whose differing bits are no more than the shingles
    that differ.
-3. Of the pairs that pass in a list only a spanning forest goes on to be verified against the whole sets.
-   Links are merged into components, and the next round looks for pairs that pass, are not
-   yet connected and have not failed, until there are none. So each list gives as many pairs
-   a round as it has members, not their square, and no link between components is missed.
+3. Of the pairs that pass in a list a spanning forest, with a few spare pairs for each member, is
+   verified against the whole sets. Links are merged into components, and the next round looks for pairs that pass, are not
+   yet connected and have not failed, until there are none. So each list gives a few pairs a
+   round for each of its members, not their square, and no link between components is missed.
 
 Long posting lists are cut into blocks, and each pair of blocks is a group of its own; large groups are cut
 into parts. The order comes from counts of hashed shingles over all documents in a table of fixed
@@ -48,6 +48,7 @@ COUNTERS = 1 << 18
 PIECES = 16
 BITS = 512
 LIST_BLOCK = 1_000
+SPARES = 4
 GROUP_PART = 64
 BUCKETS = 1 << 20
 ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary"
@@ -167,7 +168,7 @@ def postings(groups: DataFrame) -> DataFrame:
     )
 
 
-def _passing(threshold: Fraction, per: int):
+def _passing(threshold: Fraction, spares: int):
     """Finds, in whole posting lists, pairs of members that may link and are not connected.
 
     Rows come sorted by list, then size; a list that a batch breaks off waits for the next one.
@@ -182,14 +183,14 @@ def _passing(threshold: Fraction, per: int):
             whole = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0
             rest = rows.iloc[whole:]
             if whole:
-                yield _pairs_in(rows.iloc[:whole], threshold, per)
+                yield _pairs_in(rows.iloc[:whole], threshold, spares)
         if rest is not None and len(rest):
-            yield _pairs_in(rest, threshold, per)
+            yield _pairs_in(rest, threshold, spares)
 
     return find
 
 
-def _pairs_in(rows: pd.DataFrame, threshold: Fraction, per: int) -> pd.DataFrame:
+def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFrame:
     a, b = threshold.numerator, threshold.denominator
     token, i, j, n, place, block, q = (
         rows[c].to_numpy(np.int64) for c in ("token", "i", "j", "n", "place", "block", "q")
@@ -221,7 +222,7 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, per: int) -> pd.DataFrame
         found.append(np.stack([left[near], right[near]]))
 
     parent: dict[tuple[int, int], tuple[int, int]] = {}
-    given: dict[tuple[int, int, int], int] = {}
+    given = [0] * len(rows)
 
     def root(node: tuple[int, int]) -> tuple[int, int]:
         while parent.get(node, node) != node:
@@ -232,12 +233,12 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, per: int) -> pd.DataFrame
     for x, y in np.concatenate(found, axis=1).T.tolist() if found else []:
         if failed[x] is not None and names[y] in set(failed[x]):
             continue
-        one, two = (number[x], label[x]), (number[x], label[y])
-        pair = (number[x], min(label[x], label[y]), max(label[x], label[y]))
-        if root(one) == root(two) and not 0 < given.get(pair, 0) < per:
+        one, two = root((number[x], label[x])), root((number[x], label[y]))
+        if one == two and max(given[x], given[y]) >= spares:
             continue
-        parent[root(one)] = root(two)
-        given[pair] = given.get(pair, 0) + 1
+        parent[one] = two
+        given[x] += 1
+        given[y] += 1
         out.append(sorted((names[x], names[y])))
     return pd.DataFrame(out, columns=["a", "b"])
 
@@ -322,7 +323,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
             .repartition("token", "i", "j")
             .sortWithinPartitions("token", "i", "j", "n", "q", "key")
         )
-        find = _passing(threshold, 4**step)
+        find = _passing(threshold, SPARES * 2**step)
         pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():

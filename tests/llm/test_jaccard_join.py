@@ -61,7 +61,7 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("width,threshold,block,part", [
-    (3, Fraction(9, 10), 1000, 64), (5, Fraction(4, 5), 7, 2), (2, Fraction(1, 2), 20, 1),
+    (3, Fraction(9, 10), 1000, 64), (2, Fraction(3, 5), 7, 2),
 ])
 def test_components(spark, monkeypatch, width, threshold, block, part):
     monkeypatch.setattr(j, "LIST_BLOCK", block)

@@ -289,6 +289,23 @@ def dataset_records(t: Tables) -> DataFrame:
 # --- repositories ----------------------------------------------------------------------------
 
 
+@query(twin(
+    f"""select least(100, count(*)) as n_rows, true as among_all
+        from (select *, {twins.REASON} as reject_reason from contents) j where reject_reason is null""",
+    "index_rows", "contents", contents=_CONTENTS,
+))
+def sampled_records(t: Tables) -> DataFrame:
+    """A cap on the dataset records: so many rows, all of them among the records."""
+    records = blobs.collect_dataset(t.index(), t.blobs()).select("repo_name", "path")
+    sample = blobs.collect_dataset(t.index(), t.blobs(), max_samples=100)
+    known = records.distinct().withColumn("known", F.lit(True))
+    marked = sample.join(known, ["repo_name", "path"], "left")
+    return marked.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.every(F.coalesce("known", F.lit(False))), F.lit(True)).alias("among_all"),
+    )
+
+
 @query(twin("select repo_name, rule from found", "found"))
 def repo_rules(t: Tables) -> DataFrame:
     return repos.search_hits(t.repos()).select("repo_name", "rule")
@@ -720,6 +737,19 @@ def resplit_parts(t: Tables) -> DataFrame:
     return jsonl.numbered_lines(t.spark, folder, 700, "lines.{json,jsonl}")
 
 
+@query(twin(
+    f"""select concat('user: ', instruction, chr(10), 'assistant: ', {_FENCED}) as chat
+        from ({_PAIRS}) p""",
+    "outcomes",
+))
+def chat_reader(t: Tables) -> DataFrame:
+    """Message lists written as JSON lines and read back, in order and in pairs."""
+    path = new_table_path(t.spark, "chats")
+    sinks.write_shards(sinks.as_chat(_pairs(t)), path, rules.REPO_SHARD_ROWS)
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
+    return jsonl.read_chat(t.spark, path).select(F.array_join(lines, "\n").alias("chat"))
+
+
 @query(twin(f"select count(*) as n_rows from ({_PAIRS}) p", "outcomes"))
 def written_pairs(t: Tables) -> DataFrame:
     """Write the pairs in all forms and count what lies there."""
@@ -804,6 +834,19 @@ def stream_dataset_records(t: Tables) -> DataFrame:
     )
 
 
+@query(twin("select file_id from sql_files", "sql_files"))
+def stream_restart(t: Tables) -> DataFrame:
+    """Half of the files, then all of them, with one checkpoint: each file's rows arrive once."""
+    source, out = new_table_path(t.spark, "growing"), new_table_path(t.spark, "restart-out")
+    done = new_table_path(t.spark, "restart-done")
+    files = t.sql_files().select("file_id")
+    for rest in (0, 1):
+        files.where(F.col("file_id") % 2 == rest).write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema(files.schema).parquet(source)
+        collect.write_stream(stream, out, done).awaitTermination()
+    return t.spark.read.schema("file_id long").json(out)
+
+
 # --- business questions ----------------------------------------------------------------------
 
 
@@ -913,6 +956,22 @@ def v10_upsert(t: Tables) -> DataFrame:
 # --- flagship --------------------------------------------------------------------------------
 
 
+_SIDES = """
+    with a as (select o_custkey from orders where o_orderkey % 3 = 0),
+         b as (select o_custkey from orders where o_orderkey % 3 = 1)
+    select o_custkey, 'candidate' as side from (select o_custkey from a except all select o_custkey from b) x
+    union all
+    select o_custkey, 'gold' from (select o_custkey from b except all select o_custkey from a) y"""
+
+
+@query(_SIDES)
+def answer_difference(t: Tables) -> DataFrame:
+    """Two answers of many repeated rows, compared as multisets."""
+    keys = t("orders").select("o_orderkey", "o_custkey")
+    sides = [keys.where(F.col("o_orderkey") % 3 == n).select("o_custkey") for n in (0, 1)]
+    return gold.difference(*sides)
+
+
 def flagship(t: Tables) -> DataFrame:
     """From files to ranked prompts."""
     table = prompts.prompt_table(t.corpus_records())

@@ -10,15 +10,16 @@ very many documents share is in a prefix only where there is little else.
    sizes and by the places of the shingle in both; then groups are expanded, and pairs of members
    are filtered by a 512-bit sketch of each set, whose differing bits are no more than the shingles
    that differ.
-3. Of the pairs that pass in a list a spanning forest, with a few spare pairs for each member, is
-   verified against the whole sets. Links are merged into components, and the next round looks for pairs that pass, are not
-   yet connected and have not failed, until there are none. So each list gives a few pairs a
-   round for each of its members, not their square, and no link between components is missed.
+3. Of the pairs that pass in a list a spanning forest is verified against the whole sets. Links are
+   merged into components, and the next round looks for pairs that pass, are not yet connected and
+   have not failed, until there are none; from the second round on a few spare pairs for each
+   member go with the forest. So each list gives a few pairs a round for each of its members, not
+   their square, and no link between components is missed.
 
-Long posting lists are cut into blocks, and each pair of blocks is a group of its own; large groups are cut
-into parts. The order comes from counts of hashed shingles over all documents in a table of fixed
-size; it affects speed and never the result. Sets are not kept: those that a round needs are made again from
-the texts, chosen by a bit table of fixed size, and met by an exact join.
+Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
+are cut into parts. The order comes from counts of hashed shingles over all documents in a table of
+fixed size; it affects speed and never the result. Sets are not kept: those that a round needs are
+made again from the texts, chosen by a bit table of fixed size, and met by an exact join.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
 same with a chance of less than one in 10**10.
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import by_chars, drop_stored, free_name, or_empty, stored
+from .common import by_chars, drop_stored, free_name, or_empty, release, stored
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -295,6 +296,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     )
     groups = cut_lineage(grouped(classes))
     lists = cut_lineage(postings(groups))
+    release(docs.sparkSession)
     tried: DataFrame | None = None
     roots: DataFrame | None = None
     labels: DataFrame | None = None
@@ -323,9 +325,10 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
             .repartition("token", "i", "j")
             .sortWithinPartitions("token", "i", "j", "n", "q", "key")
         )
-        find = _passing(threshold, SPARES * 2**step)
+        find = _passing(threshold, SPARES * step)
         pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
         pairs = stored(pairs, "pairs")
+        release(docs.sparkSession)
         if pairs.isEmpty():
             drop_stored(pairs)
             if not diagonal:
@@ -335,6 +338,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         new = verified(docs, pairs, width, threshold)
         before, tried = tried, stored(new if tried is None else tried.union(new), "tried")
         drop_stored(pairs, before)
+        release(docs.sparkSession)
         if roots is not None and hasattr(roots, "stored_path"):
             drop_stored(roots)
         roots = components(tried.where("linked").select("a", "b"))

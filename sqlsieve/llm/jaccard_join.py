@@ -218,9 +218,9 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFr
         most += np.minimum(n[left] - place[left], n[right] - place[right])
         near = (most >= need) | (q[left] == q[right])
         left, right, spare = left[near], right[near], (total - 2 * need)[near]
-        differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1)
+        differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1).astype(np.int64)
         near = differ <= spare
-        found.append(np.stack([left[near], right[near]]))
+        found.append(np.stack([left[near], right[near], differ[near]]))
 
     parent: dict[tuple[int, int], tuple[int, int]] = {}
     given = [0] * len(rows)
@@ -230,8 +230,12 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFr
             parent[node] = node = parent.get(parent[node], parent[node])
         return node
 
+    # All lists take their pairs in one order, likely links first, so that they choose the same ones.
+    left, right, differ = np.concatenate(found, axis=1)
+    low = np.frombuffer(b"".join(name[:8] for name in names), dtype=np.uint64)
+    order = np.lexsort((mix(low[left] + low[right]), differ))
     out = []
-    for x, y in np.concatenate(found, axis=1).T.tolist() if found else []:
+    for x, y in zip(left[order].tolist(), right[order].tolist()):
         if failed[x] is not None and names[y] in set(failed[x]):
             continue
         one, two = root((number[x], label[x])), root((number[x], label[y]))

@@ -19,7 +19,8 @@ very many documents share is in a prefix only where there is little else.
 Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
 are cut into parts. The order comes from counts of hashed shingles over all documents in a table of
 fixed size; it affects speed and never the result. Sets are not kept: those that a round needs are
-made again from the texts, chosen by a bit table of fixed size, and met by an exact join.
+made again from the texts, chosen by a bit table of fixed size, and met by an exact join, after
+sketches as wide as the sets have ruled out what they can.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
 same with a chance of less than one in 10**10.
@@ -52,7 +53,7 @@ LIST_BLOCK = 1_000
 SPARES = 4
 GROUP_PART = 64
 BUCKETS = 1 << 20
-ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary"
+ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary, wide binary"
 
 
 def least_overlap(threshold: Fraction, sizes) -> int:
@@ -98,13 +99,25 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(4 * np.log2(1 + counts / mean)), 0, 255).astype(np.uint64)
 
 
-def sketch(found: np.ndarray) -> bytes:
-    """Bit i is the parity of the number of shingles that hash to i."""
-    place = (mix(found) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
-    odd = np.bincount(place, minlength=BITS) & 1
+def sketch(found: np.ndarray, bits: int = BITS) -> bytes:
+    """Bit i is the parity of the number of shingles that hash to i. ``bits`` is a power of two."""
+    place = (mix(found) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def wide_sketch(found: np.ndarray) -> bytes:
+    """A sketch with two to four bits for each shingle."""
+    return sketch(found, max(BITS, 2 << max(len(found) - 1, 0).bit_length()))
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Differing bits of two sketches; halves of the longer one are laid over each other."""
+    x, y = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def prepare(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     """Per document the size, name, prefix and sketch of its set."""
     classes = rarity(shingle_counts(docs, width))
@@ -124,8 +137,9 @@ def prepare(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
                         order = np.partition(order, size)[:size]
                     prefix = np.sort(order).astype(np.int64)
                     group = int.from_bytes(set_key(np.append(prefix, n))[:8], "little", signed=True)
-                    out.append((n, set_key(found), group, prefix, sketch(found)))
-                part = pd.DataFrame(out, columns=["n", "key", "g", "prefix", "bits"])
+                    wide = wide_sketch(found)
+                    out.append((n, set_key(found), group, prefix, sketch(found), wide))
+                part = pd.DataFrame(out, columns=["n", "key", "g", "prefix", "bits", "wide"])
                 for place, name in enumerate(("doc_id", "h")):
                     part.insert(place, name, rows[name].iloc[begin : begin + len(texts)].array)
                 begin += len(texts)
@@ -248,6 +262,21 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFr
     return pd.DataFrame(out, columns=["a", "b"])
 
 
+def likely(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFrame:
+    """``pairs`` with ``linked``: false where the wide sketches rule a link out, else null."""
+
+    @F.pandas_udf("boolean")
+    def too_far(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
+        most = [int(t) - 2 * least_overlap(threshold, int(t)) for t in n]
+        return pd.Series([differing(*xy) > m for *xy, m in zip(x, y, most)], dtype=bool)
+
+    left = sketches.select(F.col("key").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x"))
+    right = sketches.select(F.col("key").alias("b"), F.col("n").alias("k"), F.col("wide").alias("y"))
+    far = too_far("x", "y", F.col("m") + F.col("k"))
+    linked = F.when(far, F.lit(False)).alias("linked")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", linked)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     """``pairs`` of set names with ``linked``, from the whole sets."""
     names = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
@@ -298,6 +327,9 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("g").alias("g"),
         F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
     )
+    sketches = rows.where("n > 0").groupBy("key").agg(
+        F.first("n").alias("n"), F.first("wide").alias("wide")
+    )
     groups = cut_lineage(grouped(classes))
     lists = cut_lineage(postings(groups))
     release(docs.sparkSession)
@@ -339,9 +371,11 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
                 break
             diagonal = False
             continue
-        new = verified(docs, pairs, width, threshold)
+        judged = stored(likely(pairs, sketches, threshold), "judged")
+        new = verified(docs, judged.where("linked is null"), width, threshold)
+        new = new.union(judged.where("linked is not null"))
         before, tried = tried, stored(new if tried is None else tried.union(new), "tried")
-        drop_stored(pairs, before)
+        drop_stored(pairs, judged, before)
         release(docs.sparkSession)
         if roots is not None and hasattr(roots, "stored_path"):
             drop_stored(roots)

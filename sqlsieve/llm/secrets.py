@@ -1,11 +1,14 @@
 """Secrets in texts: known forms, and tokens that look random.
 
 Known forms are assignments to a secret's name, access key ids and long hexadecimal runs. Beyond
-them, every run of at least ``LEAST`` key characters with both letters and digits that touches
-no known form is put through a battery of tests, seen as numbers in the narrowest encoding that
-holds all its characters (hexadecimal, base 32 or base 64): a chi-squared test of the alphabet's
-four quarters, a runs test about the middle and a test of the correlation of neighbours. A token's
-p value is three times the least of the three.
+them, every run of at least ``LEAST`` key characters that touches no known form and has letters
+and digits, or letters of both cases within a word, is put through a battery of tests, seen as
+numbers in the narrowest of ``ALPHABETS`` that holds all its characters: a chi-squared test of the
+alphabet's four quarters, a runs test about the middle and a test of the correlation of
+neighbours. A token's p value is three times the least of the three. A random key is as random in
+a narrower alphabet that happens to hold it. Alphabets up to base 36 are of either case, and
+separators that cut a token into groups of one size, and those of a UUID, are left out. Alphabets
+of words begin with the letters that words use most, so that the quarters tell words from keys.
 
 Words, names and paths fail these tests, keys pass them. Which p values count as failed is set by
 false-discovery control among tokens of about the same length and the same encoding, as short ones
@@ -15,7 +18,7 @@ of a decade, over all documents; the rest is one pass without a shuffle. What is
 of the kind ``random``.
 
 Everything is DataFrame functions. The counts that come to the driver are one number for each
-class: at most three encodings times the powers of two up to the longest text.
+class: at most one for each alphabet times the powers of two up to the longest text.
 
 Rows: a null text is an empty one without spans; repeated rows give repeated results and count as
 often in the control; an empty table gives an empty one; a column of the input that has the name
@@ -39,10 +42,15 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST = 20
 TOKEN = rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
+UUID = r"^(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$"
 KINDS = ("assign", "access", "hex", "random")
+COMMON = "ETAOINSHRDLUCMFWYPVBGKJQXZ"
 ALPHABETS = {
     "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base32": COMMON + "234567",
+    "base36": COMMON + "0123456789",
+    "base52": COMMON.lower() + COMMON,
+    "base62": COMMON.lower() + COMMON + "0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 RATE = 0.05
@@ -86,13 +94,24 @@ def known_spans(text: Column) -> Column:
     )
 
 
-def encoding(token: Column) -> Column:
-    """The narrowest encoding that holds all characters; null for words and plain numbers."""
-    plain = F.regexp_replace(token, "=+$", "")
+def plain(token: Column) -> Column:
+    """The token without padding and without the separators of even groups and UUIDs."""
+    body = F.regexp_replace(token, "=+$", "")
+    sizes = F.array_distinct(F.transform(F.split(body, "[-_]"), lambda g: F.length(g)))
+    even = (F.size(sizes) == 1) & (F.get(sizes, F.lit(0)) > 1)
+    grouped = body.rlike("[-_]") & (even | body.rlike(UUID))
+    return F.when(grouped, F.translate(body, "-_", "")).otherwise(F.translate(body, "-_", "+/"))
+
+
+def encoding(body: Column) -> Column:
+    """The narrowest encoding of a plain token; null for words and plain numbers."""
     return (
-        F.when(~plain.rlike("[0-9]") | ~plain.rlike("[A-Za-z]"), None)
-        .when(plain.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
-        .when(plain.rlike("^[A-Z2-7]+$"), F.lit("base32"))
+        F.when(~body.rlike("[A-Za-z]") | ~body.rlike("[0-9]|[a-z][A-Z]"), None)
+        .when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
+        .when(body.rlike("^([A-Z2-7]+|[a-z2-7]+)$"), F.lit("base32"))
+        .when(body.rlike("^([A-Z0-9]+|[a-z0-9]+)$"), F.lit("base36"))
+        .when(body.rlike("^[A-Za-z]+$"), F.lit("base52"))
+        .when(body.rlike("^[A-Za-z0-9]+$"), F.lit("base62"))
         .otherwise(F.lit("base64"))
     )
 
@@ -103,13 +122,14 @@ def _tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z))
 
 
-def p_value(token: Column, kind: Column) -> Column:
+def p_value(body: Column, kind: Column) -> Column:
     """Three times the least p value of the battery, for the hypothesis that the token is random."""
-    plain = F.translate(F.regexp_replace(token, "=+$", ""), "-_", "+/")
-    plain = F.when(kind == "hex", F.lower(plain)).otherwise(plain)
-    chars = F.filter(F.split(plain, ""), lambda c: c != "")
+    folded = F.when(kind == "hex", F.lower(body)).when(
+        kind.isin("base32", "base36"), F.upper(body)
+    )
+    chars = F.filter(F.split(F.coalesce(folded, body), ""), lambda c: c != "")
     alphabet = F.lit(ALPHABETS["base64"])
-    for name in ("hex", "base32"):
+    for name in ALPHABETS:
         alphabet = F.when(kind == name, F.lit(ALPHABETS[name])).otherwise(alphabet)
     size = F.length(alphabet)
     state = F.struct(
@@ -123,10 +143,10 @@ def _battery(v: Column, k: Column) -> Column:
     n = F.size(v).cast("double")
     total = lambda a: F.aggregate(a, zero, lambda x, y: x + y)
     share = lambda test: total(F.transform(v, lambda x: test(x).cast("double")))
-    quarter = n / 4
     chi = zero
     for q in range(4):
         seen = share(lambda x, q=q: F.floor(x * 4 / k) == q)
+        quarter = n * (F.ceil(k * (q + 1) / 4) - F.ceil(k * q / 4)) / k
         chi = chi + (seen - quarter) * (seen - quarter) / quarter
     spread = 2.0 / 27
     uniform = _tail((F.pow(chi / 3, F.lit(1.0 / 3)) - (1 - spread)) / math.sqrt(spread))
@@ -159,13 +179,18 @@ def tokens(text: Column, known: Column) -> Column:
 
     def tested(s: Column) -> Column:
         token = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
-        kind = encoding(token)
-        p = F.greatest(p_value(token, kind), F.lit(1e-25))
+        body = plain(token)
+        return F.struct(s.alias("span"), body.alias("body"), encoding(body).alias("kind"))
+
+    def rated(t: Column) -> Column:
+        p = F.greatest(p_value(t["body"], t["kind"]), F.lit(1e-25))
         step = F.least(F.floor(-F.log10(p) * STEPS), F.lit(LAST_STEP)).cast("int")
-        size = F.floor(F.log2(F.length(token).cast("double"))).cast("string")
-        return F.struct(s.alias("span"), F.concat(kind, F.lit(":"), size).alias("class"), step.alias("step"))
+        size = F.floor(F.log2(F.length(t["body"]).cast("double"))).cast("string")
+        name = F.concat(t["kind"], F.lit(":"), size)
+        return F.struct(t["span"].alias("span"), name.alias("class"), step.alias("step"))
 
-    return F.filter(F.transform(free, tested), lambda t: t["class"].isNotNull())
+    candidates = F.filter(F.transform(free, tested), lambda t: t["kind"].isNotNull())
+    return F.transform(candidates, rated)
 
 
 def cleared_from(candidates: DataFrame, rate: float = RATE) -> dict[str, int]:

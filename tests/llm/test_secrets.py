@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -65,6 +66,52 @@ def test_random_tokens_are_found_and_names_are_not(spark):
     assert found[one]["spans"] == f"random:4:{4 + len(random_keys[one])}"
 
 
+LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+FORMS = {
+    "base36": LOWER + DIGITS, "base36 upper": LOWER.upper() + DIGITS, "base32": LOWER + "234567",
+    "base32 upper": LOWER.upper() + "234567", "letters": LOWER + LOWER.upper(),
+    "base62": LOWER + LOWER.upper() + DIGITS, "base64": LOWER + LOWER.upper() + DIGITS + "+/",
+    "base64 url": LOWER + LOWER.upper() + DIGITS + "-_", "hex upper": DIGITS + "ABCDEF",
+}
+
+
+def made(rng, form: str, size: int) -> str:
+    if form == "uuid":
+        return str(uuid.UUID(int=rng.getrandbits(128), version=4))
+    if form == "grouped":
+        return "-".join("".join(rng.choice(FORMS["base36 upper"]) for _ in range(5)) for _ in range(5))
+    return "".join(rng.choice(FORMS[form]) for _ in range(size))
+
+
+def recall(spark, keys_of: dict, others=()) -> dict:
+    """Share of each name's keys that are reported whole, over one table of all keys."""
+    rows = [(name, key) for name, found in keys_of.items() for key in found] + [("", o) for o in others]
+    table = spark.createDataFrame([(i, f"use {k} here") for i, (_, k) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.secret_spans(table).collect()}
+    whole = [(name, found[i] == f"random:4:{4 + len(k)}") for i, (name, k) in enumerate(rows)]
+    return {n: sum(w for m, w in whole if m == n) / len(found_keys) for n, found_keys in keys_of.items()}
+
+
+def test_random_keys_of_each_alphabet_and_length(spark):
+    rng = random.Random(11)
+    for size in (20, 24, 32, 40, 64):
+        keys_of = {form: [made(rng, form, size) for _ in range(150)] for form in FORMS}
+        keys_of |= {"uuid": [made(rng, "uuid", 0) for _ in range(150)], "grouped": [made(rng, "grouped", 0) for _ in range(150)]}
+        shares = recall(spark, keys_of)
+        assert {f: s for f, s in shares.items() if s < 0.93} == {}, size
+
+
+def test_random_keys_among_others_of_their_length(spark):
+    rng = random.Random(12)
+    words = ["release", "candidate", "version", "of", "the", "documentation", "final", "draft", "notes", "with"]
+    names = ["".join(rng.choice(words) for _ in range(5)) + str(i) for i in range(600)]
+    base64 = [made(rng, "base64", 40) for _ in range(600)]
+    keys_of = {form: [made(rng, form, 40) for _ in range(60)] for form in FORMS}
+    shares = recall(spark, keys_of | {"names": names}, base64)
+    assert shares.pop("names") < 0.05
+    assert {f: s for f, s in shares.items() if s < 0.85} == {}
+
+
 def test_false_discovery_rule(spark):
     rng = random.Random(5)
     steps = [rng.randint(0, 3) for _ in range(500)] + [rng.randint(60, 200) for _ in range(80)]

@@ -2,7 +2,11 @@
 
 Terms are runs of letters and digits, lower-cased. The lexicon is the terms whose inverse document
 frequency lies in a band: in at least ``LEAST_DOCS`` documents and in at most the share
-``MOST_SHARE`` of them, counted over all documents. It is split at random into ``SUBSETS`` lexicons, and
+``MOST_SHARE`` of them, counted over the distinct texts, so that exact copies, however many, count
+as one and take no term of theirs out of the band. A group of near copies of more than
+``MOST_SHARE`` of the distinct texts does lift the terms they all have above the band: its members
+are compared by the other terms, and have their digest as fingerprint if there are none. The
+lexicon is split at random into ``SUBSETS`` lexicons, and
 each of these is thinned at random by halves. For each lexicon the fingerprint holds the hash of
 the sorted distinct terms that the document has in it: at the thinning where a document of its
 number of terms has about one or two in each, and at the next. So a change of some words changes
@@ -13,8 +17,8 @@ digest of its text as fingerprint, and is like equal texts only.
 
 On Spark everything is DataFrame functions. Which terms a document may need is known from their hashes
 alone, so only these are looked up in the lexicon: a bounded number for a document of any
-length. The terms over the band's upper end, which could be hot keys, are dropped first; there are at most
-as many as the mean number of terms of a document over ``MOST_SHARE``.
+length. The terms that more than ``MOST_SHARE`` of the rows have could be hot keys and are broadcast; there
+are at most as many as the mean number of terms of a row over ``MOST_SHARE``.
 
 Rows: a null text is an empty one; a null id comes before all others; documents are ordered by id,
 then by the hash of their text; rows equal in both are one document in that order and are given
@@ -63,21 +67,35 @@ def _surviving(halvings: Column):
     return lambda term: survives(term, halvings)
 
 
-def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Number of documents that have each term."""
-    every = docs.select(F.explode(terms(or_empty(text))).alias("term"))
-    return every.groupBy("term").agg(F.count("*").alias("df"))
+def frequencies(docs: DataFrame, text: str = "text", repeated: DataFrame | None = None) -> DataFrame:
+    """Number of rows (``rows``) and of distinct texts (``df``) that have each term.
+
+    ``repeated`` has the ``terms`` of each text of several rows, and their number ``held``; without
+    it all texts count as distinct.
+    """
+    every = docs.select(
+        F.explode(terms(or_empty(text))).alias("term"), F.lit(1).alias("rows"), F.lit(0).alias("less")
+    )
+    if repeated is not None:
+        more = F.col("held") - 1
+        every = every.union(repeated.select(F.explode("terms"), F.lit(0), more))
+    counts = every.groupBy("term").agg(F.sum("rows").alias("rows"), F.sum("less").alias("less"))
+    return counts.select("term", "rows", (F.col("rows") - F.col("less")).alias("df"))
 
 
 def hashes(members: DataFrame, lexicon: DataFrame, frequent: DataFrame) -> DataFrame:
     """Per key the hashes of both versions' terms, an array over the lexicons for each thinning.
 
     ``members`` has the key ``k``, ``term`` and ``about``: the versions (1: the text, 2: the edited
-    one, 3: both) and their levels in one number. Null stands for a lexicon without a term.
+    one, 3: both) and their levels in one number. ``frequent`` has the terms of many rows, and
+    ``within``: whether they are in the lexicon. Null stands for a lexicon without a term.
     """
     if frequent.count() <= BROADCAST_TERMS:
-        members = members.join(F.broadcast(frequent), "term", "left_anti")
-    known = members.join(lexicon, "term").select("k", "term", "about")
+        rare = members.join(F.broadcast(frequent), "term", "left_anti").join(lexicon, "term")
+        hot = members.join(F.broadcast(frequent.where("within")), "term")
+        known = rare.select("k", "term", "about").union(hot.select("k", "term", "about"))
+    else:
+        known = members.join(lexicon, "term").select("k", "term", "about")
     about = F.col("about")
     per_subset = known.groupBy("k", subset(F.col("term")).alias("r")).agg(
         *[
@@ -146,8 +164,10 @@ def likeness(a: tuple[Column, ...], b: tuple[Column, ...], equal: Column) -> Col
 
 
 def in_order(rows: DataFrame) -> DataFrame:
-    """``d`` and ``h`` of each distinct document with those of its neighbours, round the ends."""
-    narrow = rows.groupBy("d", "h").agg(F.max(F.length("body")).alias("n"))
+    """``d`` and ``h`` of each distinct document with its copies and neighbours, round the ends."""
+    narrow = rows.groupBy("d", "h").agg(
+        F.max(F.length("body")).alias("n"), F.count("*").alias("c")
+    )
     order = with_neighbours(narrow, ["d", "h"], ["d", "h", "n"])
     key = F.struct("d", "h", "n")
     ends = narrow.agg(F.min(key).alias("first"), F.max(key).alias("last")).first()
@@ -156,14 +176,15 @@ def in_order(rows: DataFrame) -> DataFrame:
             kinds = {"d": "long", "h": "long", "n": "int"}
             value = [F.lit(ends[end][k]).cast(kind).alias(k) for k, kind in kinds.items()]
             order = order.withColumn(name, F.coalesce(name, F.struct(*value)))
-    return order.select("d", "h", "before", "after")
+    return order.select("d", "h", "c", "before", "after")
 
 
 def edited_texts(rows: DataFrame) -> DataFrame:
     """Distinct documents with ``copies``, their next one's key, and their edited text.
 
     The last quarter of a text is replaced by as many first characters of the next document. Each
-    text is shuffled once; of the next documents' texts only what is needed is sent on.
+    text is shuffled once; of the next documents' texts only what is needed is sent on. The first
+    document of each text has the number of all rows of that text as ``held``.
     """
     order = in_order(rows)
     quarter = lambda n: F.floor(n / 4).cast("int")
@@ -176,7 +197,10 @@ def edited_texts(rows: DataFrame) -> DataFrame:
         F.col("before.d").alias("d"), F.col("before.h").alias("h"),
         F.when(F.col("copies") > 0, head).alias("head"),
     )
-    following = order.select("d", "h", F.col("after.d").alias("nd"), F.col("after.h").alias("nh"))
+    held = order.groupBy("h").agg(F.min("d").alias("d"), F.sum("c").alias("held"))
+    following = order.select(
+        "d", "h", F.col("after.d").alias("nd"), F.col("after.h").alias("nh")
+    ).join(held, ["d", "h"], "left")
     pairs = distinct.join(heads, ["d", "h"]).join(following, ["d", "h"])
     pairs = pairs.withColumn("n", F.length("body"))
     kept = F.substring(F.col("body"), F.lit(1), F.col("n") - quarter(F.col("n")))
@@ -191,18 +215,19 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     )
     pairs = edited_texts(rows)
     texts = pairs.select(
-        "d", "h", "nd", "nh", "copies", F.col("n").cast("long").alias("n_chars"),
+        "d", "h", "nd", "nh", "copies", "held", F.col("n").cast("long").alias("n_chars"),
         F.unhex(F.sha2("body", 256)).alias("digest"), F.unhex(F.sha2("edited", 256)).alias("edited"),
         terms(F.col("body")).alias("a"), terms(F.col("edited")).alias("b"),
     ).withColumns({"l1": level(F.size("a")), "l2": level(F.size("b"))})
     needed = texts.withColumns(
         {
+            "terms": F.when(F.col("held") > 1, F.col("a")),
             "a": F.filter("a", lambda t: survives(t, F.col("l1"))),
             "b": F.filter("b", lambda t: survives(t, F.col("l2"))),
         }
     )
     facts = needed.select(
-        "d", "h", "nd", "nh", "copies", "n_chars", "digest", "edited", "l1", "l2",
+        "d", "h", "nd", "nh", "copies", "n_chars", "digest", "edited", "l1", "l2", "held", "terms",
         F.array_intersect("a", "b").alias("both"), F.array_except("a", "b").alias("own"),
         F.array_except("b", "a").alias("new"), F.monotonically_increasing_id().alias("k"),
     )
@@ -217,15 +242,20 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     members = facts.select("k", levels.alias("levels"), F.explode(every).alias("m")).select(
         "k", "m.term", (F.col("levels") + F.col("m.versions")).cast("int").alias("about")
     )
-    counts = frequencies(docs).where(F.col("df") >= LEAST_DOCS)
+    totals = facts.agg(F.sum("copies").alias("rows"), F.count("held").alias("texts")).first()
+    most_rows, most = (
+        max(float(LEAST_DOCS), MOST_SHARE * (totals[name] or 0)) for name in ("rows", "texts")
+    )
+    counts = frequencies(docs, repeated=facts.where("terms is not null").select("terms", "held"))
+    counts = counts.where((F.col("df") >= LEAST_DOCS) | (F.col("rows") > most_rows))
     counts = cut_lineage(counts)
-    most = F.greatest(F.lit(LEAST_DOCS), F.lit(MOST_SHARE * docs.count()))
-    lexicon = counts.where(F.col("df") <= most).select("term")
-    frequent = counts.where(F.col("df") > most).select("term")
+    within = (F.col("df") >= LEAST_DOCS) & (F.col("df") <= most)
+    lexicon = counts.where(within).select("term")
+    frequent = counts.where(F.col("rows") > most_rows).select("term", within.alias("within"))
     release(docs.sparkSession)
     found = cut_lineage(hashes(members, lexicon, frequent))
     release(docs.sparkSession)
-    return facts.drop("both", "own", "new").join(found, "k", "left").drop("k")
+    return facts.drop("both", "own", "new", "held", "terms").join(found, "k", "left").drop("k")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -54,3 +54,25 @@ def test_odd_rows(spark):
 def test_frequencies_and_band(spark):
     docs = spark.createDataFrame([(1, "A a b"), (2, "a c"), (3, None)], "doc_id long, text string")
     assert sorted(r["df"] for r in imatch.frequencies(docs).collect()) == [1, 1, 2]
+
+
+def test_large_group_of_copies_keeps_its_terms(spark):
+    """A third of the rows are one text, at the share of documents that is used in earnest."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(15_000)]
+    texts = [" ".join(rng.choice(words) for _ in range(100)) for _ in range(300)]
+    rows = list(enumerate(texts)) + [(i, texts[0]) for i in range(300, 450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in imatch.fingerprints(docs).collect()}
+    group = [found[i] for i in (0, *range(300, 450))]
+    assert not any(r["fingerprint"].startswith("text:") for r in group)
+    assert min(r["near_edited"] for r in group) > 0.3
+    assert len({r["fingerprint"] for r in group}) == 1
+    assert all(found[i]["near_next"] == 1.0 for i in range(300, 449))
+
+
+def test_frequencies_of_repeated_texts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "a c")], "doc_id long, text string")
+    ab = docs.limit(1).select(imatch.terms(docs["text"]).alias("terms")).selectExpr("terms", "2L as held")
+    found = imatch.frequencies(docs, repeated=ab).collect()
+    assert sorted((r["rows"], r["df"]) for r in found) == [(1, 1), (2, 1), (3, 2)]

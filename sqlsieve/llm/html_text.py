@@ -8,7 +8,9 @@ they share are deleted, as menus, notices and the like are what pages of a site
 Markup then settles what it is certain about. Lines inside navigation, footers, sidebars, forms,
 adverts, comments and so on go whether shared or not. Where a page marks its article, the lines in
 it stay even if a neighbour has the same ones, and lines outside go. So a shared line is deleted
-wherever markup does not name it part of the article. A page that would lose all its undecided lines is a
+wherever markup does not name it part of the article. Forms and what only its class or id names a
+frame may be wrappers of the page: an article or main part in one counts if it holds more text than
+what lies outside, and where all lines are in such frames the outermost ones are undecided. A page that would lose all its undecided lines is a
 copy of its neighbour rather than a frame without content, and keeps them.
 
 On Spark: hashes of lines, not the lines, are dealt out by ranges of host and path, so a host with
@@ -34,7 +36,7 @@ from .neighbours import with_neighbours
 from .url_filters import host, path
 
 DROPPED = frozenset(
-    "nav footer aside form button select textarea option dialog menu iframe object embed svg math "
+    "nav footer aside button select textarea option dialog menu iframe object embed svg math "
     "canvas audio video map head title noscript template".split()
 )
 RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|xmp"
@@ -63,7 +65,12 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-FRAME, PLAIN, ARTICLE, MAIN = range(4)
+FRAME, PLAIN, ARTICLE, MAIN, SOFT, DEEP, WITHIN, INNER, INNER_MAIN = range(9)
+#: Frames by class, id or form, by what they lie in: a wrapper, one in another, one in an article.
+SOFTER = {
+    PLAIN: SOFT, MAIN: SOFT, SOFT: DEEP, DEEP: DEEP, INNER_MAIN: DEEP,
+    ARTICLE: WITHIN, INNER: WITHIN, WITHIN: WITHIN,
+}
 LARGE = 50_000_000
 
 
@@ -73,23 +80,31 @@ def _attributes(rest: str) -> dict[str, str]:
 
 def _region(name: str, rest: str, inside: int) -> int:
     """What an element makes of the text in it, given what it lies in."""
-    if inside == FRAME or name in DROPPED or (name == "header" and inside == PLAIN):
+    outside = inside in (PLAIN, SOFT, DEEP)
+    if inside == FRAME or name in DROPPED or (name == "header" and outside):
         return FRAME
+    article = ARTICLE if inside in (PLAIN, ARTICLE, MAIN, WITHIN) else INNER
+    main = MAIN if inside == PLAIN else INNER_MAIN
+    soft = name == "form"
     if "=" in rest or "hidden" in rest.lower():
         found = _attributes(rest)
         words = set(re.split(r"[^a-z0-9]+", found.get("class", "") + " " + found.get("id", "")))
         style = re.sub(r"\s", "", found.get("style", ""))
         gone = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
-        named = REPLIES if name in ("article", "main") else NAMES
-        if name not in ("body", "html") and (gone or words & named or found.get("role") in ROLES):
-            return FRAME
+        role = found.get("role")
+        if name not in ("body", "html"):
+            if gone or words & REPLIES or (role in ROLES and role != "form"):
+                return FRAME
+            soft = soft or role == "form" or bool(words & NAMES)
         if found.get("itemprop") == "articlebody":
-            return ARTICLE
-        if found.get("role") == "main" and inside == PLAIN:
-            return MAIN
-    if name == "article":
-        return ARTICLE
-    return MAIN if name == "main" and inside == PLAIN else inside
+            return article
+        if role == "main" and outside:
+            return main
+    if name == "article" and inside != WITHIN:
+        return article
+    if name == "main" and outside:
+        return main
+    return SOFTER[inside] if soft and name not in ("article", "main") else inside
 
 
 def lines(page: str) -> tuple[list[str], list[bool | None]]:
@@ -139,9 +154,16 @@ def lines(page: str) -> tuple[list[str], list[bool | None]]:
     if last < len(page):
         parts.append(page[last:])
     flush()
-    wanted = ARTICLE if ARTICLE in regions else MAIN if MAIN in regions else None
+    sizes = dict.fromkeys(range(9), 0)
+    for text, region in zip(texts, regions):
+        sizes[region] += len(text)
+    wanted = ARTICLE if sizes[ARTICLE] else MAIN if sizes[MAIN] else None
+    inner = INNER if sizes[INNER] else INNER_MAIN
+    if wanted != ARTICLE and sizes[inner] > sizes[wanted or PLAIN]:
+        wanted = inner
     if wanted is None:
-        return texts, [False if r == FRAME else None for r in regions]
+        outermost = next((r for r in (PLAIN, SOFT, DEEP) if sizes[r]), PLAIN)
+        return texts, [None if r in (outermost, INNER, INNER_MAIN) else False for r in regions]
     return texts, [r == wanted for r in regions]
 
 

@@ -50,6 +50,26 @@ def test_single_pages(spark):
     assert found == {i: (text, len(text)) for i, (_, text) in enumerate(PAGES)}
 
 
+WRAPPED = [
+    ("<div class='content-sidebar-wrap'><main><article><p>body</p></article></main><aside>s</aside></div>", "body"),
+    ("<h1>S</h1><div class='site has-sidebar'><article><p>body</p><div class=share>no</div></article></div>", "body"),
+    ("<div id='no-sidebar'><main><p>body</p></main></div>", "body"),
+    ("<body><form id=aspnetForm><nav>n</nav><article><p>body</p></article><div class=footer>f</div></form>", "body"),
+    ("<form><p>body</p><button>go</button><div class=sidebar>s</div></form>", "body"),
+    ("<article><h1>T</h1><div class='with-ads'><div itemprop=articleBody>body</div>ad</div></article>", "T body"),
+    ("<main><h1>T</h1><div class='with-ads'><article>body</article></div></main>", "body"),
+    ("<article>body</article><div class=related><article>a longer teaser</article></div>", "body"),
+    ("<p>body</p><div id=comments><article>a much longer reply</article></div>", "body"),
+    ("<article>body<div class=related><article>a longer teaser</article></div></article>", "body"),
+]
+
+
+@pytest.mark.parametrize("page, text", WRAPPED)
+def test_wrappers_do_not_swallow_the_article(page, text):
+    texts, main = h.lines(page)
+    assert " ".join(t for t, m in zip(texts, main) if m is not False) == text
+
+
 def test_shared_lines_go(spark):
     page = lambda *own: "<p>Our site</p>" + "".join(f"<p>{o}</p>" for o in own) + "<p>All rights reserved</p>"
     rows = [

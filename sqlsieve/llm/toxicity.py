@@ -7,9 +7,9 @@ likelier it is in toxic training texts than in others, and a logistic regression
 scaled features. The n-grams of a text say nothing about its length, language or source.
 
 Training uses at most ``MAX_ROWS`` labelled texts of each class, those with the smallest hash of
-their id; their features come from the executors and the weights are fitted on the driver, whose
-memory is bounded by that number and by ``TRAIN_CHARS``, up to which a training text is read. The
-model is one array of ``BUCKETS`` numbers, whatever the size of the corpus. Scoring reads whole
+their id, read whole. Of the rows of one id the text with the smallest hash is taken, on the
+executors. Features come from the executors and the weights are fitted on the driver, whose memory
+is bounded by that number times ``BUCKETS``, as a text has each bucket once at most. The model is one array of ``BUCKETS`` numbers, whatever the size of the corpus. Scoring reads whole
 texts in one pass without a shuffle.
 
 Rows: a null text is an empty one and gets the score of a text without n-grams; rows without id
@@ -32,7 +32,6 @@ from .common import free_name, or_empty, others
 LENGTHS = (4, 5)
 BUCKETS = 1 << 19
 MAX_ROWS = 1_200
-TRAIN_CHARS = 20_000
 LEAST_TEXTS = 4
 LEAST_RATIO = 0.7
 ROUNDS = 40
@@ -142,19 +141,21 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     part = [min(1.0, 0.9 * max_rows / sizes[k]) for k in (False, True)]
     chosen = marks.where(place < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0]))
-    texts = docs.select("doc_id", F.substring(or_empty("text"), 1, TRAIN_CHARS).alias("body"))
+    texts = docs.select("doc_id", or_empty("text").alias("body"))
+    # Partial results leave one text of an id for each task, so that no id is a hot key.
+    own = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min(F.struct(F.xxhash64("body"), "body"))["body"].alias("body"))
+    )
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             found = [features(t) for t in rows["body"]]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "toxic": rows["toxic"] == 1, "f": found})
 
-    rows = (
-        texts.join(F.broadcast(chosen), "doc_id")
-        .mapInPandas(counted, "doc_id long, toxic boolean, f array<int>")
-        .toPandas()
-    )
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    rows = own.mapInPandas(counted, "doc_id long, toxic boolean, f array<int>").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
     if rows["toxic"].nunique() < 2:
         return np.zeros(BUCKETS), float(np.log(sizes[True] / sizes[False]))
     return fit(list(rows["f"]), rows["toxic"].to_numpy(), sizes[True] / total)

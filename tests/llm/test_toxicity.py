@@ -72,3 +72,21 @@ def test_scores_do_not_depend_on_neighbours():
     model = toxicity.fit([toxicity.features(t) for t in texts], __import__("numpy").arange(40) % 5 == 0, 0.2)[0]
     together = toxicity.linear(texts, model)
     assert all(toxicity.linear([t], model)[0] == s for t, s in zip(texts, together))
+
+
+def test_whole_texts_are_trained_on_and_ids_once(spark, monkeypatch):
+    """Toxic passages lie behind 30,000 other characters; one id has many rows with several texts."""
+    taken = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, *a: taken.append(rows) or fit(rows, *a))
+    rows = [(i, "tha er ing " * 2_800 + t, k) for i, t, k in corpus(60)]
+    docs, labels = tables(spark, rows)
+    repeats = spark.range(300).selectExpr("1L as doc_id", "concat('other text ', id % 7) as text", "'x' as score")
+    models = [
+        toxicity.train(docs.unionByName(repeats).repartition(n, "text"), labels) for n in (3, 8)
+    ]
+    assert all((a == b).all() for a, b in zip(models[0][:1], models[1][:1]))
+    assert len(taken[0]) <= 60
+    marked = toxicity.features("grublik vorzak xemmpo")
+    assert any(set(marked.tolist()) & set(r.tolist()) for r in taken[0])
+    assert models[0][0][marked].max() > 0

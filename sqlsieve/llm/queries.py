@@ -7,7 +7,10 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontamination, html_text, imatch, jaccard_join, secrets, token_counts, toxicity, url_filters
+from . import (
+    bpe, chat_format, decontamination, html_text, imatch, jaccard_join, periodic_runs, secrets, source_divergence,
+    token_counts, toxicity, url_filters,
+)
 from .common import read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +59,14 @@ def op10_page_differences(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(read(spark, folder, "pages"))
 
 
+def op11_dyadic_squares(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digests(read(spark, folder, "documents"))
+
+
+def op13_pair_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.divergence(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_bpe_tree": op1_bpe_tree,
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
@@ -67,9 +78,12 @@ QUERIES: dict[str, Run] = {
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
     "op10_page_differences": op10_page_differences,
+    "op11_dyadic_squares": op11_dyadic_squares,
+    "op13_pair_merge": op13_pair_merge,
 }
 
 SQL: dict[str, str] = {
     "op4_redirect_equivalence": url_filters.SQL,
     "op5_typed_parts": chat_format.SQL,
+    "op13_pair_merge": source_divergence.SQL,
 }

@@ -11,7 +11,9 @@ distance lies in that range. A suffix that equals a catcher q words before it, a
 copies at distances of q before that, is compared word by word to both sides. That gives a square of
 period q and the run that it lies in; later squares of the run merge into it, and it stays open while
 appended words extend it. So a text of n words costs 2 n comparisons for each of log2(n) levels, all
-of a level made at once, and some 20 bytes a word, whatever its length.
+of a level made at once, and some 40 bytes a word, whatever its length. Stretches of appended words
+are compared at once, which finds what word by word finds; short texts share a stretch, with gaps
+between them that equal nothing.
 
 Squares within a run whose period divides theirs are multiples of it and start nothing new: if q
 words in a row have a period that divides q, all the stretch of period q has it.
@@ -37,23 +39,28 @@ from .common import by_chars, free_name, or_empty
 POWERS = 4
 LEAST = 6
 STRETCH = 1 << 16
+KEPT_POWERS = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
+Run = tuple[int, int, int]
 RUNS = "array<struct<start: bigint, length: bigint, period: bigint>>"
 
 
 class Catchers:
-    """Catches squares as words are appended; words are given as numbers, equal for equal words."""
+    """Catches squares as words are appended; words are given as numbers, equal for equal words.
 
-    def __init__(self, powers: int = POWERS, least: int = LEAST):
+    ``longest``: a length that no run exceeds, where one is known.
+    """
+
+    def __init__(self, powers: int = POWERS, least: int = LEAST, longest: int | None = None):
         if powers < 2:
             raise ValueError("a run has at least two periods")
-        self.powers, self.least = powers, least
+        self.powers, self.least, self.longest = powers, least, longest
         self.n = 0
         self._words = np.zeros(64, dtype=np.int64)
         self._sums = np.zeros(65, dtype=np.uint64)  # hash of all words before each place
         self._run_at = np.full(64, -1, dtype=np.int32)  # a found run that holds the word
-        self._powers_of_base = np.ones(1, dtype=np.uint64)
         self._starts: list[int] = []
         self._unmarked: list[bool] = []
         self._ends = np.zeros(64, dtype=np.int64)
@@ -66,7 +73,7 @@ class Catchers:
         for i in range(0, len(words), STRETCH):
             self._append(np.asarray(words[i : i + STRETCH], dtype=np.int64))
 
-    def runs(self) -> list[tuple[int, int, int]]:
+    def runs(self) -> list[Run]:
         """Start, length and period of the runs of the words so far, by start, then period."""
         least: dict[tuple[int, int], int] = {}
         for run, start in enumerate(self._starts):
@@ -86,8 +93,8 @@ class Catchers:
             self._hash(old, words)
             for run in list(self._open):
                 self._extend(run)
-            level = 0
-            while (self.powers - 1) * ((2 << level) - 1) + (1 << level) <= self.n:
+            level, longest = 0, self.n if self.longest is None else min(self.longest, self.n)
+            while (self.powers - 1) * ((2 << level) - 1) + (1 << level) <= longest:
                 self._catch(level, old)
                 level += 1
 
@@ -96,31 +103,31 @@ class Catchers:
         mixed ^= mixed >> np.uint64(32)
         mixed *= SPREAD
         mixed ^= mixed >> np.uint64(29)
-        while len(self._powers_of_base) <= self.n:
-            table = self._powers_of_base
-            self._powers_of_base = np.concatenate((table, table * (table[-1] * BASE)))
-        sums = np.cumsum(mixed * self._powers_of_base[old : self.n])
+        sums = np.cumsum(mixed * _table(BASE, self.n)[old : self.n])
         self._sums[old + 1 : self.n + 1] = self._sums[old] + sums
 
-    def _same(self, left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
-        """Whether the ``size`` words at two places, the left one first, have one hash."""
-        x = self._sums[left + size] - self._sums[left]
-        y = self._sums[right + size] - self._sums[right]
-        return x * self._powers_of_base[right - left] == y
-
     def _catch(self, level: int, old: int) -> None:
-        """Compares the suffixes that end in the words from ``old`` on with their catchers."""
+        """Compares the suffixes that end in the words from ``old`` on with their catchers.
+
+        The suffix at 2 * size - 1 + t meets the catchers of the blocks with the numbers t // size
+        and t // size - 1.
+        """
         size = 1 << level
-        far = 4 * size - 2
-        at = np.arange(max(old - size + 1, 2 * size - 1), self.n - size + 1, dtype=np.int64)
-        nearer = ((at - 2 * size + 1) >> level) << level
+        first = max(old - size + 1 - (2 * size - 1), 0)  # of the suffixes that are new
+        begin = max((first >> level) - 1, 0) << level  # of the blocks
+        sums = self._sums[begin : self.n + 1]
+        hashes = sums[size:] - sums[:-size]
+        hashes *= _table(INVERSE, self.n + 1)[begin : begin + len(hashes)]
+        suffixes = hashes[2 * size - 1 :]
+        catchers = np.repeat(hashes[: len(suffixes) : size], size)[: len(suffixes)]
         found, periods = [], []
-        for block in (nearer, nearer - size):
-            period = at - block
-            there = (block - (self.powers - 2) * period >= 0) & (period <= far)
-            here, block, period = at[there], block[there], period[there]
-            same = self._same(block, here, size)
-            here, block, period = here[same], block[same], period[same]
+        for earlier in (0, size):
+            t = earlier + np.flatnonzero(suffixes[earlier:] == catchers[: max(len(suffixes) - earlier, 0)])
+            block = ((t >> level) << level) - earlier
+            here = t + 2 * size - 1
+            period = here - block
+            kept = (t + begin >= first) & (block + begin >= (self.powers - 2) * period)
+            block, period, here = block[kept] + begin, period[kept], here[kept] + begin
             for _ in range(self.powers - 2):
                 before = block - period
                 same = self._same(before, block, size)
@@ -132,19 +139,27 @@ class Catchers:
             periods.append(period[~inside])
         here, period = np.concatenate(found), np.concatenate(periods)
         order = np.lexsort((here, period))
+        last, end = 0, 0
         for j, q in zip(here[order].tolist(), period[order].tolist()):
-            self._square(j, q, size)
+            if q != last or j + size > end:
+                last, end = q, self._square(j, q, size)
+
+    def _same(self, left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+        """Whether the ``size`` words at two places, the left one first, have one hash."""
+        x = self._sums[left + size] - self._sums[left]
+        y = self._sums[right + size] - self._sums[right]
+        return x * _table(BASE, self.n + 1)[right - left] == y
 
-    def _square(self, at: int, period: int, size: int) -> None:
-        """A suffix at ``at`` that equals the words ``period`` before it: the run around it."""
+    def _square(self, at: int, period: int, size: int) -> int:
+        """A suffix at ``at`` that equals the words ``period`` before it: the end of their run."""
         last = self._last.get(period, -1)
         if last >= 0 and at + size <= self._ends[last] and at - period >= self._starts[last]:
-            return
+            return int(self._ends[last])
         over = int(self._run_at[at - period])
         if over >= 0 and period % self._periods[over] == 0 and at + size <= self._ends[over]:
-            return
+            return int(self._ends[over])
         if not np.array_equal(self._words[at : at + size], self._words[at - period : at - period + size]):
-            return
+            return 0
         start = at - period - self._equal_before(at - period, at)
         run = len(self._starts)
         self._starts.append(start)
@@ -155,6 +170,7 @@ class Catchers:
         self._periods[run], self._ends[run] = period, at + size
         self._last[period] = run
         self._extend(run)
+        return int(self._ends[run])
 
     def _extend(self, run: int) -> None:
         """The run as far as the words so far go on with its period."""
@@ -198,6 +214,23 @@ class Catchers:
         part[(part < 0) | (self._periods[part] > self._periods[run])] = run
 
 
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _table(base: np.uint64, size: int) -> np.ndarray:
+    """The first powers of a number, at least ``size`` of them; kept, as all texts need the same."""
+    table = _TABLES.get(int(base))
+    if table is not None and len(table) >= size:
+        return table
+    table = np.ones(1, dtype=np.uint64) if table is None else table
+    with np.errstate(over="ignore"):
+        while len(table) < size:
+            table = np.concatenate((table, table * (table[-1] * base)))
+    if len(table) <= KEPT_POWERS:
+        _TABLES[int(base)] = table
+    return table
+
+
 def _room(array: np.ndarray, size: int, fill: int) -> np.ndarray:
     """The array, or one of twice the size or more if it has no room for ``size``."""
     if size <= len(array):
@@ -208,18 +241,31 @@ def _room(array: np.ndarray, size: int, fill: int) -> np.ndarray:
 
 def numbered(words: list[bytes]) -> np.ndarray:
     """A number for each word, equal for equal words."""
-    numbers: dict[bytes, int] = {}
-    found = [numbers.setdefault(w, len(numbers)) for w in words]
-    return np.array(found, dtype=np.int64)
-
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
 
-def runs_of(numbers: np.ndarray, powers: int = POWERS, least: int = LEAST) -> list[tuple[int, int, int]]:
-    catchers = Catchers(powers, least)
-    catchers.append(numbers)
-    return catchers.runs()
 
+def runs_of(texts: list[np.ndarray], powers: int = POWERS, least: int = LEAST) -> list[list[Run]]:
+    """Start, length and period of the runs of each text, by start, then period.
 
-def repeats(n: int, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    Texts are appended one after the other, so that short ones share the work of a stretch, with
+    numbers between them that no word and no other gap has.
+    """
+    out: list[list[Run]] = []
+    for part in by_chars(texts, STRETCH):
+        catchers = Catchers(powers, least, max(map(len, part)))
+        gaps = [np.array([-1 - i], dtype=np.int64) for i in range(len(part))]
+        catchers.append(np.concatenate([x for pair in zip(part, gaps) for x in pair]))
+        begins = np.cumsum([0, *(len(t) + 1 for t in part)])
+        found: list[list[Run]] = [[] for _ in part]
+        for start, length, period in catchers.runs():
+            text = int(np.searchsorted(begins, start, side="right")) - 1
+            found[text].append((start - int(begins[text]), length, period))
+        out += found
+    return out
+
+
+def repeats(n: int, runs: list[Run]) -> np.ndarray:
     """Per word whether some run holds it after that run's first period."""
     edges = np.zeros(n + 1, dtype=np.int64)
     for start, length, period in runs:
@@ -228,6 +274,14 @@ def repeats(n: int, runs: list[tuple[int, int, int]]) -> np.ndarray:
     return np.cumsum(edges[:n]) > 0
 
 
+def first_periods(words: list[bytes], runs: list[Run]) -> bytes:
+    """The words joined by blanks, each run cut to its first period."""
+    if not runs:
+        return b" ".join(words)
+    gone = repeats(len(words), runs)
+    return b" ".join([words[i] for i in np.flatnonzero(~gone).tolist()])
+
+
 def made_periodic(words: list[bytes], doc_id: int | None) -> list[bytes]:
     """The words, or for one id in ten their first part and then repeats of a piece of them."""
     h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
@@ -240,7 +294,7 @@ def made_periodic(words: list[bytes], doc_id: int | None) -> list[bytes]:
     return words[:a] + (piece * -(-(n - a) // len(piece)))[: n - a]
 
 
-def strongest(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
+def strongest(runs: list[Run]) -> Run | None:
     """The run with the greatest exact exponent; of ties the first, then the shortest period."""
     best = None
     for run in runs:  # by start, then period
@@ -261,7 +315,7 @@ def periodic_runs(text: Column | str, powers: int = POWERS, least: int = LEAST)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             for texts in by_chars(batch):
-                runs = (runs_of(numbered(_words(t)), powers, least) for t in texts)
+                runs = runs_of([numbered(_words(t)) for t in texts], powers, least)
                 named = [[{"start": s, "length": n, "period": q} for s, n, q in r] for r in runs]
                 yield pd.Series(named, dtype=object)
 
@@ -278,14 +332,10 @@ def collapsed(docs: DataFrame, text: str = "text", powers: int = POWERS, least:
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             for texts in by_chars(batch):
-                out = []
-                for whole in texts:
-                    words = _words(whole)
-                    runs = runs_of(numbered(words), powers, least)
-                    gone = repeats(len(words), runs).tolist()
-                    kept = b" ".join(w for w, g in zip(words, gone) if not g)
-                    out.append(kept.decode("utf-8") if runs else None)
-                yield pd.Series(out, dtype=object)
+                words = [_words(t) for t in texts]
+                runs = runs_of([numbered(w) for w in words], powers, least)
+                new = [first_periods(w, r).decode("utf-8") if r else None for w, r in zip(words, runs)]
+                yield pd.Series(new, dtype=object)
 
     name = free_name(docs, "cut")
     made = docs.withColumn(name, cut.asNondeterministic()(or_empty(docs[f"`{text}`"])))
@@ -299,18 +349,15 @@ DIGEST = (
 )
 
 
-def _digest(words: list[bytes]) -> tuple:
-    runs = runs_of(numbered(words))
+def _digest(words: list[bytes], runs: list[Run]) -> tuple:
     best = strongest(runs)
     listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
-    gone = repeats(len(words), runs).tolist()
-    kept = b" ".join(w for w, g in zip(words, gone) if not g)
     return (
         len(runs),
         *(best or (None, None, None)),
         1000 * best[1] // best[2] if best else None,
         hashlib.sha256(listed.encode()).hexdigest(),
-        hashlib.sha256(kept).hexdigest(),
+        hashlib.sha256(first_periods(words, runs)).hexdigest(),
     )
 
 
@@ -326,10 +373,10 @@ def run_digests(docs: DataFrame) -> DataFrame:
             for texts in by_chars(batch):
                 names = ids.iloc[begin : begin + len(texts)]
                 begin += len(texts)
-                rows = [
-                    _digest(made_periodic(_words(t), None if i is None else int(i)))
-                    for i, t in zip(names, texts)
+                words = [
+                    made_periodic(_words(t), None if i is None else int(i)) for i, t in zip(names, texts)
                 ]
+                rows = map(_digest, words, runs_of([numbered(w) for w in words]))
                 found = pd.DataFrame(rows, columns=columns)
                 numbers = {c: "Int64" for c in columns[:5]}
                 yield found.astype(numbers)

@@ -41,11 +41,19 @@ def texts(seed, count=300):
         yield words
 
 
+def runs(numbers, *bounds):
+    """One text by itself, and the same between others."""
+    alone = p.runs_of([numbers], *bounds)
+    among = p.runs_of([np.zeros(9, dtype=np.int64), numbers, np.zeros(0, dtype=np.int64), numbers], *bounds)
+    assert among[1] == among[3] == alone[0] and among[2] == []
+    return alone[0]
+
+
 @pytest.mark.parametrize("powers,least", [(4, 6), (2, 2), (3, 7)])
 def test_runs_are_those_of_the_definition(powers, least):
     for words in texts(powers):
         numbers = p.numbered([w.encode() for w in words])
-        assert p.runs_of(numbers, powers, least) == brute(words, powers, least)
+        assert runs(numbers, powers, least) == brute(words, powers, least)
 
 
 def test_runs_are_known_after_every_word():
@@ -62,18 +70,18 @@ def test_runs_over_stretches(monkeypatch):
     monkeypatch.setattr(p, "STRETCH", 37)
     for words in texts(5, 60):
         numbers = p.numbered([w.encode() for w in words])
-        assert p.runs_of(numbers) == brute(words)
+        assert runs(numbers) == brute(words)
 
 
 def test_long_runs():
     n = 400_000
-    assert p.runs_of(np.zeros(n, dtype=np.int64)) == [(0, n, 1)]
+    assert runs(np.zeros(n, dtype=np.int64)) == [(0, n, 1)]
     piece = np.arange(70_001)
-    assert p.runs_of(np.concatenate((np.full(3, -5), np.tile(piece, 5)))) == [(3, 350_005, 70_001)]
+    assert runs(np.concatenate((np.full(3, -5), np.tile(piece, 5)))) == [(3, 350_005, 70_001)]
     fibonacci = ["b", "a"]
     while len(fibonacci[-1]) < 3000:
         fibonacci.append(fibonacci[-1] + fibonacci[-2])
-    assert p.runs_of(p.numbered([c.encode() for c in fibonacci[-1]]), 3, 2) == brute(fibonacci[-1], 3, 2)
+    assert runs(p.numbered([c.encode() for c in fibonacci[-1]]), 3, 2) == brute(fibonacci[-1], 3, 2)
 
 
 def expected(doc_id, text):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import delete_path, new_table_path
 
+#: Removes the shuffle files of a query once it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,10 +56,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder, read back; ``drop_stored`` removes it.
 
     For steps that repeat: unlike a checkpoint a table has a size of its own, not one that the
-    planner works out from all the steps before it.
+    planner works out from all the steps before it. The shuffle files of the step go with it.
     """
-    path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path, before = new_table_path(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # Planned anew, as plans keep the setting they were made with.
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out

@@ -103,7 +103,7 @@ class Catchers:
         mixed ^= mixed >> np.uint64(32)
         mixed *= SPREAD
         mixed ^= mixed >> np.uint64(29)
-        sums = np.cumsum(mixed * _table(BASE, self.n)[old : self.n])
+        sums = np.cumsum(mixed * table_of(BASE, self.n)[old : self.n])
         self._sums[old + 1 : self.n + 1] = self._sums[old] + sums
 
     def _catch(self, level: int, old: int) -> None:
@@ -117,7 +117,7 @@ class Catchers:
         begin = max((first >> level) - 1, 0) << level  # of the blocks
         sums = self._sums[begin : self.n + 1]
         hashes = sums[size:] - sums[:-size]
-        hashes *= _table(INVERSE, self.n + 1)[begin : begin + len(hashes)]
+        hashes *= table_of(INVERSE, self.n + 1)[begin : begin + len(hashes)]
         suffixes = hashes[2 * size - 1 :]
         catchers = np.repeat(hashes[: len(suffixes) : size], size)[: len(suffixes)]
         found, periods = [], []
@@ -148,7 +148,7 @@ class Catchers:
         """Whether the ``size`` words at two places, the left one first, have one hash."""
         x = self._sums[left + size] - self._sums[left]
         y = self._sums[right + size] - self._sums[right]
-        return x * _table(BASE, self.n + 1)[right - left] == y
+        return x * table_of(BASE, self.n + 1)[right - left] == y
 
     def _square(self, at: int, period: int, size: int) -> int:
         """A suffix at ``at`` that equals the words ``period`` before it: the end of their run."""
@@ -217,7 +217,7 @@ class Catchers:
 _TABLES: dict[int, np.ndarray] = {}
 
 
-def _table(base: np.uint64, size: int) -> np.ndarray:
+def table_of(base: np.uint64, size: int) -> np.ndarray:
     """The first powers of a number, at least ``size`` of them; kept, as all texts need the same."""
     table = _TABLES.get(int(base))
     if table is not None and len(table) >= size:

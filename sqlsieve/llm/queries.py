@@ -8,8 +8,8 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, chat_format, decontamination, html_text, imatch, jaccard_join, periodic_runs, secrets, source_divergence,
-    token_counts, toxicity, url_filters,
+    bpe, chat_format, decontamination, html_text, imatch, jaccard_join, periodic_runs, repeated_phrases,
+    secrets, source_divergence, token_counts, toxicity, url_filters,
 )
 from .common import read
 
@@ -63,6 +63,10 @@ def op11_dyadic_squares(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.run_digests(read(spark, folder, "documents"))
 
 
+def op12_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_phrases.repeat_digests(read(spark, folder, "documents"))
+
+
 def op13_pair_merge(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence.divergence(read(spark, folder, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Run] = {
     "op9_toxicity_ngrams": op9_toxicity_ngrams,
     "op10_page_differences": op10_page_differences,
     "op11_dyadic_squares": op11_dyadic_squares,
+    "op12_phrase_automata": op12_phrase_automata,
     "op13_pair_merge": op13_pair_merge,
 }
 

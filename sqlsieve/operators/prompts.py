@@ -179,9 +179,9 @@ def first_in_order(rows: DataFrame, n: int | None) -> DataFrame:
 
 
 def top_pairs(outcomes: DataFrame, max_pairs: int | None = None) -> DataFrame:
-    """Accepted pairs in rank order with their prompt ids, the first ``max_pairs`` if given."""
+    """Accepted pairs in rank order with their prompt ids and chunk numbers, the first ``max_pairs`` if given."""
     first = first_in_order(accepted(outcomes), max_pairs)
-    return first.orderBy(*prompt_order()).select("prompt_id", *pair_columns())
+    return first.orderBy(*prompt_order()).select("prompt_id", "chunk_no", *pair_columns())
 
 
 def distinct_prompts(prompts: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
@@ -16,7 +17,7 @@ from ..operators import corpus, gold, prompts, ranking, report, repos
 from ..operators.numbering import assign_parts
 from ..operators.user_code import keep_if, map_batches
 from ..session import new_table_path, spread
-from ..sources import blobs, jsonl, sinks
+from ..sources import blobs, commits, jsonl, sinks
 from ..streaming import collect
 from . import marked, twins
 from .tables import Tables, listed
@@ -532,7 +533,7 @@ _TOP = f"""select * from outcomes where outcome = 'accepted'
 ))
 def top_pairs(t: Tables) -> DataFrame:
     pairs = prompts.top_pairs(_outcomes(t), PAIR_CAP)
-    return pairs.drop("prompt_id").withColumn("tsql_features", listed("tsql_features"))
+    return pairs.drop("prompt_id", "chunk_no").withColumn("tsql_features", listed("tsql_features"))
 
 
 _TOP_20 = _TOP.replace(f"limit {PAIR_CAP}", "limit 20")
@@ -551,6 +552,55 @@ def resumed_pairs(t: Tables) -> DataFrame:
     return raw.select("prompt_id", "source_path", "source_repo", "instruction")
 
 
+class _Outage(Exception):
+    """A writer that fails half way, in a trial."""
+
+
+@query(twin(
+    f"""select form, prompt_id, path as source_path, chunk_no, n_copies
+        from (select distinct prompt_id, path, chunk_no, 1 as n_copies, instruction, code from outcomes where outcome = 'accepted') p
+        cross join (select unnest(['alpaca', 'chatml', 'raw']) as form) f""",
+    "outcomes",
+))
+def recovered_pairs(t: Tables) -> DataFrame:
+    """Half of the pairs written; all of them, failing after the raw output; then all of them again.
+
+    Each form must hold each pair once. Forms without a key are told apart by their texts.
+    """
+    path = new_table_path(t.spark, "recovered")
+    pairs = t.stored("all_pairs", lambda: prompts.top_pairs(_outcomes(t)))
+    sinks.write_pairs(pairs.where(F.pmod(F.xxhash64("prompt_id"), F.lit(2)) == 0), path)
+
+    def failing(rows: DataFrame, folder: str) -> None:
+        if not folder.endswith("/raw"):
+            raise _Outage(folder)
+        sinks.write_shards(rows, folder)
+
+    try:
+        commits.commit(path, sinks.pair_tables(pairs), failing)
+    except _Outage:
+        sinks.write_pairs(pairs, path)
+    asked = pairs.select("prompt_id", "source_path", "chunk_no", "instruction", F.col("code"))
+    text = F.sha2(F.concat_ws("\u0000", "instruction", *chat.alpaca_columns("instruction", "code")[2:]), 256)
+    asked = asked.withColumn("digest", text)
+    n_asked = asked.groupBy("digest").agg(F.count(F.lit(1)).alias("n_asked"))
+    counted = []
+    for form, schema, instruction, output in (
+        ("raw", "instruction string, code string", F.col("instruction"), None),
+        ("alpaca", "instruction string, output string", F.col("instruction"), F.col("output")),
+        ("chatml", "messages array<struct<role: string, content: string>>",
+         F.col("messages")[0]["content"], F.col("messages")[1]["content"]),
+    ):
+        rows = commits.read(t.spark, path, form, schema)
+        output = chat.alpaca_columns("instruction", "code")[2] if output is None else output
+        digest = F.sha2(F.concat_ws("\u0000", instruction, output), 256).alias("digest")
+        counted.append(rows.select(F.lit(form).alias("form"), digest))
+    found = reduce(DataFrame.unionByName, counted).groupBy("form", "digest").agg(F.count(F.lit(1)).alias("n_found"))
+    copies = (F.col("n_found") / F.col("n_asked")).cast("int").alias("n_copies")
+    met = found.join(n_asked, "digest").select("form", "digest", copies)
+    return met.join(asked, "digest").select("form", "prompt_id", "source_path", "chunk_no", "n_copies")
+
+
 @query(twin(
     """select repo_name, path, chunk_no, case when outcome = 'missing' then 'error' else outcome end as outcome
        from outcomes""",
@@ -645,7 +695,7 @@ def chatml_text(t: Tables) -> DataFrame:
 @query(twin(
     """select distinct prompt_id,
               case when length(prompt) % 2 = 0 then cast(length(prompt) as string) end as response_text,
-              case when length(prompt) % 2 = 1 then 'ValueError: odd' end as error from prompts""",
+              case when length(prompt) % 2 = 1 then 'ValueError: odd' end as error, 1 as attempt from prompts""",
     "prompts",
 ))
 def generated_answers(t: Tables) -> DataFrame:

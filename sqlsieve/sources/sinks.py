@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.chat import alpaca_columns, chat_messages, chat_text
-from ..session import cut_lineage
+from ..session import delete_path, new_table_path
+from . import commits
 
 FORMATS = ("alpaca", "chatml", "both")
-PAIR_KEY = ["prompt_id", "source_repo", "source_path"]
+PAIR_KEY = ["prompt_id", "source_repo", "source_path", "chunk_no"]
+PAIR_KEY_SCHEMA = "prompt_id string, source_repo string, source_path string, chunk_no int"
 
 
 def write_shards(
@@ -53,31 +54,39 @@ def pair_tables(pairs: DataFrame, formats: str = "both") -> dict[str, DataFrame]
     return tables
 
 
-def written_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Keys of the raw pairs below ``path``, none before the first were written."""
-    schema = ", ".join(f"{k} string" for k in PAIR_KEY)
-    try:
-        return spark.read.schema(schema).json(path).distinct()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def written_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the pairs committed below ``path``."""
+    return commits.read(spark, path, "raw", PAIR_KEY_SCHEMA).distinct()
 
 
-def write_pairs(
-    pairs: DataFrame, path: str, formats: str = "both", mode: str = "append", subfolder: str = ""
-) -> None:
+def write_pairs(pairs: DataFrame, path: str, formats: str = "both", name: str | None = None) -> bool:
     """Raw pairs always, Alpaca and chat forms as asked, each in its folder below ``path``.
 
-    Pairs with a ``prompt_id`` are written once: those that the raw folder has already, from the
-    same file, are left out of all forms.
+    The forms are one commit: after a failure in any of them none counts as written, and the next call
+    writes all of them. Pairs with a ``prompt_id`` are written once: those that were committed before,
+    from the same chunk of the same file, are left out of all forms. ``name`` makes the commit itself
+    happen once; false if it was there before.
     """
-    if mode == "append" and "prompt_id" in pairs.columns:
-        raw = "/".join(p for p in (path.rstrip("/"), "raw", subfolder) if p)
-        pairs = pairs.join(written_ids(pairs.sparkSession, raw), PAIR_KEY, "left_anti")
-    for name, table in pair_tables(cut_lineage(pairs), formats).items():
-        folder = "/".join(p for p in (path.rstrip("/"), name, subfolder) if p)
-        write_shards(table, folder, mode=mode)
+    spark = pairs.sparkSession
+    keys = [k for k in PAIR_KEY if k in pairs.columns]
+    if "prompt_id" in keys:
+        done = written_keys(spark, path)
+        same = [pairs[k].eqNullSafe(done[k]) for k in keys]
+        pairs = pairs.join(done, same, "left_anti")
+    kept = stored_rows(pairs)
+    try:
+        return commits.commit(path, pair_tables(kept, formats), write_shards, name)
+    finally:
+        delete_path(spark, kept.stored_path)
+
+
+def stored_rows(rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, so that all outputs are made from the same ones."""
+    path = new_table_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    out = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    out.stored_path = path
+    return out
 
 
 def row_count(df: DataFrame) -> DataFrame:

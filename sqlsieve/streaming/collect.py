@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import rules
 from ..operators.corpus import dataset_records, kept
 from ..sources.blobs import attach_content
-from ..sources.sinks import pair_tables, write_shards
+from ..sources.sinks import write_pairs
 
 
 def stream_dataset(index: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -57,15 +57,10 @@ def write_stream(
 def write_pair_stream(
     pairs: DataFrame, path: str, checkpoint: str, formats: str = "both"
 ) -> StreamingQuery:
-    """Raw, Alpaca and chat outputs per micro-batch; a repeated batch replaces its own folders."""
+    """Raw, Alpaca and chat outputs, a commit per micro-batch; a repeated batch writes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for name, table in pair_tables(batch, formats).items():
-                write_shards(table, f"{path.rstrip('/')}/{name}/batch={batch_id}", mode="overwrite")
-        finally:
-            batch.unpersist()
+        write_pairs(batch, path, formats, name=f"batch-{batch_id:08d}")
 
     return (
         pairs.writeStream.foreachBatch(write)
@@ -73,4 +68,3 @@ def write_pair_stream(
         .trigger(availableNow=True)
         .start()
     )
-

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sqlsieve.operators import corpus
-from sqlsieve.sources import blobs, jsonl, sinks
+from sqlsieve.sources import blobs, commits, jsonl, sinks
 
 LINES = [
     '{"a":1}', ' {"a":1} ', '{"a":1} x', '{"a":1}]', '{"a":1}}', "", "   ", "{a:1}", "{'a':1}", '{"a":1,}',
@@ -116,7 +116,7 @@ def test_write_pairs(spark, tmp_path, formats, folders):
     pairs = spark.createDataFrame([("Ask", "SELECT 1")], "instruction string, code string")
     for _ in range(2):
         sinks.write_pairs(pairs, str(tmp_path / "p"), formats)
-    names = sorted(os.listdir(tmp_path / "p"))
+    names = sorted(n for n in os.listdir(tmp_path / "p") if n[0] not in "._")
     assert len(names) == folders and "raw" in names
     assert sinks.row_count(spark.read.json(str(tmp_path / "p/raw"))).first()[0] == 2
     if "chatml" in names:
@@ -124,6 +124,57 @@ def test_write_pairs(spark, tmp_path, formats, folders):
         assert texts.first().text.startswith("<|im_start|>user\nAsk<|im_end|>\n")
 
 
+def pairs_of(spark, *rows):
+    return spark.createDataFrame(
+        [(i, "r", "p", n, f"Ask {i}", f"SELECT {n}") for i, n in rows],
+        "prompt_id string, source_repo string, source_path string, chunk_no int, instruction string, code string",
+    )
+
+
+def forms(spark, path):
+    schemas = {"raw": "instruction string", "alpaca": "instruction string", "chatml": "messages array<struct<content: string>>"}
+    read = {n: commits.read(spark, path, n, s) for n, s in schemas.items()}
+    texts = {n: r.select("instruction" if n != "chatml" else r.messages[0].content) for n, r in read.items()}
+    return {n: sorted(t[0] for t in r.collect()) for n, r in texts.items()}
+
+
+@pytest.mark.parametrize("fail_at", ["raw", "alpaca", "chatml", "manifest", "move"])
+def test_a_failed_write_is_made_good(spark, tmp_path, monkeypatch, fail_at):
+    path = str(tmp_path / "out")
+    sinks.write_pairs(pairs_of(spark, ("a", 0)), path)
+    later = pairs_of(spark, ("a", 0), ("a", 1), ("b", 0))
+    with monkeypatch.context() as m:
+        def failing(rows, folder, write=sinks.write_shards):
+            write(rows, folder)
+            if folder.endswith(fail_at):
+                raise OSError(folder)
+
+        m.setattr(sinks, "write_shards", failing)
+        if fail_at == "manifest":
+            m.setattr(commits.Folder, "write_new", lambda *a: 1 / 0)
+        if fail_at == "move":
+            m.setattr(commits.Folder, "move", lambda *a: 1 / 0)
+        with pytest.raises((OSError, ZeroDivisionError)):
+            sinks.write_pairs(later, path)
+    if fail_at == "move":  # all was written: readers see it before it has been moved
+        assert forms(spark, path)["alpaca"] == ["Ask a", "Ask a", "Ask b"]
+    else:
+        assert forms(spark, path) == dict.fromkeys(("raw", "alpaca", "chatml"), ["Ask a"])
+    assert spark.read.json(f"{path}/raw").count() == spark.read.json(f"{path}/chatml").count() == 1
+    sinks.write_pairs(later, path)
+    assert forms(spark, path) == dict.fromkeys(("raw", "alpaca", "chatml"), ["Ask a", "Ask a", "Ask b"])
+    assert spark.read.json(f"{path}/raw").count() == spark.read.json(f"{path}/chatml").count() == 3
+    assert not os.listdir(f"{path}/_staging")
+
+
+def test_a_named_commit_happens_once(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([("Ask", "SELECT 1")], "instruction string, code string")
+    assert sinks.write_pairs(rows, path, name="batch-1") and not sinks.write_pairs(rows, path, name="batch-1")
+    assert sinks.write_pairs(rows, path) and list(commits.committed(spark, path)) == ["00000000", "batch-1"]
+    assert forms(spark, path)["raw"] == ["Ask", "Ask"]
+
+
 def test_formats_are_checked(spark):
     with pytest.raises(ValueError):
         sinks.pair_tables(spark.range(1), "xml")

@@ -55,10 +55,10 @@ def test_pair_stream(spark, tmp_path):
     for _ in halves(data, source):
         stream = spark.readStream.schema(data.schema).parquet(source)
         collect.write_pair_stream(stream.drop("size"), out, done).awaitTermination()
-    written = spark.read.schema("instruction string, code string").json(f"{out}/raw").drop("batch")
+    written = spark.read.schema("instruction string, code string").json(f"{out}/raw").drop("commit")
     assert rows(written) == rows(data.drop("size"))
     expected = sinks.as_alpaca(data)
-    assert rows(spark.read.schema(expected.schema).json(f"{out}/alpaca").drop("batch")) == rows(expected)
+    assert rows(spark.read.schema(expected.schema).json(f"{out}/alpaca").drop("commit")) == rows(expected)
     assert spark.read.json(f"{out}/chatml").count() == 40
 
 

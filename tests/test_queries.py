@@ -24,7 +24,7 @@ def plain(rows):
     return sorted(tuple(str(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(TWINS))
 def test_query_equals_twin(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     names = sorted(df.columns)

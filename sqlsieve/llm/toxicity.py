@@ -170,6 +170,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = sent.value.astype(np.float64)
         for texts in batches:
+            if not np.isfinite(base):  # one class alone: all texts are of it
+                yield pd.Series(np.full(len(texts), float(base > 0)))
+                continue
             texts, begin, sums = list(texts), 0, []
             while begin < len(texts):
                 end, chars = begin, 0

@@ -199,6 +199,8 @@ def confirmed(rows: DataFrame, seen: DataFrame, bucket: Callable) -> DataFrame:
     whole = known.where("n > 1").select("anchor", "context")
     whole = (
         seen.join(whole, ["anchor", "context"], "left_semi")
+        # Dealt anew before they are grouped, so that the join may split a context with many rows.
+        .repartition(bucket("row"))
         .groupBy(bucket("row").alias("bucket"), "anchor", "context")
         .agg(F.min(place).alias("place"))
         .select("bucket", "place.*", "context", F.lit(None).cast("array<int>").alias("offsets"))

@@ -38,7 +38,7 @@ def main() -> None:
 
     inputs = {
         name: seconds(getattr(tables, name))
-        for name in ("sql_files", "index", "blobs", "corpus_records", "prompts", "responses")
+        for name in ("sql_files", "index", "blobs", "blob_store", "corpus_records", "prompts", "responses")
     }
     inputs["rich_files"] = seconds(lambda: tables.sql_files(rich=True))
     cold, warm = {}, {}

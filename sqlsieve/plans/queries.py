@@ -269,7 +269,7 @@ def metadata_prefilter(t: Tables) -> DataFrame:
 @query(twin("select file_id, cast(length(content) as int) as n_chars, md5(content) as digest from contents",
             "index_rows", "contents", contents=_CONTENTS))
 def blob_contents(t: Tables) -> DataFrame:
-    files = blobs.attach_content(t.index(), t.blobs())
+    files = blobs.attach_content(t.index(), t.blob_store())
     return files.select("file_id", F.length("content").alias("n_chars"), F.md5("content").alias("digest"))
 
 
@@ -280,7 +280,7 @@ def blob_contents(t: Tables) -> DataFrame:
     "index_rows", "contents", contents=_CONTENTS,
 ))
 def dataset_records(t: Tables) -> DataFrame:
-    records = blobs.collect_dataset(t.index(), t.blobs())
+    records = blobs.collect_dataset(t.index(), t.blob_store())
     return records.select(
         "path", "repo_name", listed("license").alias("license"), "size", "source",
         listed("tsql_features").alias("tags"), F.md5("content").alias("digest"),
@@ -297,8 +297,8 @@ def dataset_records(t: Tables) -> DataFrame:
 ))
 def sampled_records(t: Tables) -> DataFrame:
     """A cap on the dataset records: so many rows, all of them among the records."""
-    records = blobs.collect_dataset(t.index(), t.blobs()).select("repo_name", "path")
-    sample = blobs.collect_dataset(t.index(), t.blobs(), max_samples=100)
+    records = blobs.collect_dataset(t.index(), t.blob_store()).select("repo_name", "path")
+    sample = blobs.collect_dataset(t.index(), t.blob_store(), max_samples=100)
     known = records.distinct().withColumn("known", F.lit(True))
     marked = sample.join(known, ["repo_name", "path"], "left")
     return marked.agg(
@@ -415,7 +415,7 @@ def collection_totals(t: Tables) -> DataFrame:
 ))
 def corpus_union(t: Tables) -> DataFrame:
     both = corpus.corpus(
-        blobs.collect_dataset(t.index(), t.blobs()),
+        blobs.collect_dataset(t.index(), t.blob_store()),
         repos.collect_repo_files(t.repos(), t.repo_files()),
     )
     return both.select(
@@ -873,12 +873,12 @@ def stream_pairs(t: Tables) -> DataFrame:
     "index_rows", "contents", contents=_CONTENTS,
 ))
 def stream_dataset_records(t: Tables) -> DataFrame:
-    """The index as a stream against the blob table."""
+    """The index as a stream against the bucketed blobs, rows of the much-copied one set apart."""
     t.index()
     stream = blobs.stream_index(t.spark, t.stored_path("index"))
     out, done = new_table_path(t.spark, "records-out"), new_table_path(t.spark, "records-done")
-    collect.write_stream(collect.stream_dataset(stream, t.blobs()), out, done).awaitTermination()
-    back = jsonl.read_corpus(t.spark, [out], "*.json")
+    collect.write_dataset_stream(stream, t.blob_store(), out, done, rows_per_split=100).awaitTermination()
+    back = jsonl.read_corpus(t.spark, [f"{out}/records"], "*.json")
     return back.select(
         "path", "repo_name", listed("tsql_features").alias("tags"), F.md5("content").alias("digest")
     )

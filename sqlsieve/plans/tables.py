@@ -16,6 +16,7 @@ from ..operators.corpus import kept
 from ..operators.prompts import prompt_table
 from ..operators.repos import is_sql_path
 from ..session import new_table_path, spread
+from ..sources.blobs import save_store
 from . import fixtures
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -66,6 +67,19 @@ class Tables:
     def blobs(self) -> DataFrame:
         return self.stored("blobs", self._blobs)
 
+    def blob_store(self, buckets: int = 16) -> DataFrame:
+        """The blobs bucketed by their id."""
+        key = (self.spark.sparkContext.applicationId, self.folder, "blob_store")
+        if key in _stored and self.spark.catalog.tableExists(_stored[key]):
+            try:
+                return self.spark.table(_stored[key])
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        path = new_table_path(self.spark, "blob_store")
+        _stored[key] = "blob_store_" + path[-32:]
+        return save_store(self.blobs(), _stored[key], path, buckets)
+
     def _index(self) -> DataFrame:
         rows = self.sql(fixtures.INDEX_ROWS, sql_files=self.sql_files())
         return rows.withColumn("detected_licenses", F.array("license_name")).drop("license_name")

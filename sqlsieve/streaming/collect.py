@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules
 from ..operators.corpus import dataset_records, kept
+from ..operators.joins import ROWS_PER_SPLIT
+from ..sources import commits
 from ..sources.blobs import attach_content
-from ..sources.sinks import write_pairs
+from ..sources.sinks import write_pairs, write_shards
 
 
 def stream_dataset(index: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -19,6 +21,30 @@ def stream_dataset(index: DataFrame, blobs: DataFrame) -> DataFrame:
     return dataset_records(kept(attach_content(index, blobs)))
 
 
+def write_dataset_stream(
+    index: DataFrame, blobs: DataFrame, path: str, checkpoint: str,
+    rows_per_shard: int = rules.DATASET_SHARD_ROWS, rows_per_split: int = ROWS_PER_SPLIT,
+) -> StreamingQuery:
+    """Records of a stream of index rows as JSON shards, a commit per micro-batch.
+
+    Each micro-batch is planned as a batch: it is sent to the store's buckets, and the rows of a blob
+    that makes up much of it are split.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = dataset_records(kept(attach_content(batch, blobs, rows_per_split)))
+        commits.commit(
+            path, {"records": rows}, lambda df, to: write_shards(df, to, rows_per_shard), f"batch-{batch_id:08d}"
+        )
+
+    return (
+        index.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_files(files: DataFrame) -> DataFrame:
     """Records of a stream of files that come with their content; no state."""
     return dataset_records(kept(files))

@@ -1,12 +1,17 @@
 """Hot keys, caps and numbering: same rows as the plain form, and no task with a whole group."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sqlsieve.operators import gold, joins, numbering, repos
+from sqlsieve.operators import corpus, gold, joins, numbering, repos
 from sqlsieve.plans.queries import REGISTRY
 from sqlsieve.plans.tables import Tables
+from sqlsieve.sources import blobs
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -177,3 +182,49 @@ def test_repo_order_and_cap(spark):
     gated = repos.choose_repos(table, max_repos=5)
     assert sorted(r.repo_name for r in gated.collect()) == ["b", "g"]
     assert repos.with_readme(gated).count() == 1
+
+
+def exchanges(df):
+    """Columns that each exchange of the plan that ran moves."""
+    df.collect()
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    final = text.split("== Initial Plan ==")[0]
+    numbers = re.findall(r"Exchange \((\d+)\)", final)
+    parts = [re.search(rf"\({n}\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)[1] for n in numbers]
+    return [re.sub(r"#\d+L?", "", p).split(", ") for p in parts], text
+
+
+@pytest.mark.parametrize("rows_per_split", [10**6, 50])
+def test_blobs_and_texts_stay_where_they_are(spark, rows_per_split):
+    tables = Tables(spark, FOLDER)
+    store, index = tables.blob_store(), tables.index()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        hot = blobs.hot_blobs(corpus.with_blob(corpus.small_enough(index)), rows_per_split)
+        assert hot == (["blob-shared"] if rows_per_split == 50 else [])
+        met = blobs.attach_content(index, store, rows_per_split)
+        moved, text = exchanges(met)
+        assert moved and "SelectedBucketsCount: 16 out of 16" in text
+        wide = [m for m in moved if {"data", "content"} & set(m)]
+        # Hot blobs are few: only their texts may move.
+        assert len(wide) <= (1 if hot else 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plain = blobs.attach_content(index, tables.blobs(), 10**6)
+    assert sorted(map(str, met.select("path", "content").collect())) == sorted(
+        map(str, plain.select("path", "content").collect())
+    )
+
+
+def test_a_store_is_opened_again(spark, tmp_path):
+    rows = spark.createDataFrame([(f"b{i}", bytearray(b"x")) for i in range(50)], "blob_id string, data binary")
+    blobs.save_store(rows, "store_one", str(tmp_path / "s"), 4)
+    again = blobs.open_store(spark, "store_two", str(tmp_path / "s"), 4)
+    keys = spark.range(50).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("blob_id"))
+    joined = again.join(keys.hint("shuffle_hash"), "blob_id").select("blob_id", "data")
+    assert joined.count() == 50 and all("data" not in m for m in exchanges(joined)[0])
+    for table in ("store_one", "store_two"):
+        spark.sql(f"drop table {table}")

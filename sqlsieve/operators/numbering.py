@@ -57,6 +57,45 @@ def number_rows(
     return _number_placed(placed, group, "_task", name).select(*df.columns, name)
 
 
+def running_sum(
+    df: DataFrame, order: list[Column | str], value: str, name: str
+) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows up to this one in a total order.
+
+    Each task sums its range of the order; only the totals of the tasks are added up in one place.
+    """
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    placed = _with_place(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    placed = placed.withColumn("_task", F.shiftright("_place", _ROW_BITS))
+    totals = placed.groupBy("_task").agg(F.sum(value).alias("_total"))
+    earlier = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    before = totals.select("_task", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    own = F.sum(value).over(W.partitionBy("_task").orderBy("_place"))
+    summed = placed.withColumn("_own", own).join(before, "_task")
+    return summed.withColumn(name, F.col("_own") + F.col("_before")).select(*df.columns, name)
+
+
+def first_at_or_after(points: DataFrame, queries: DataFrame, at: str, found: str) -> DataFrame:
+    """``queries`` with the ``found`` of the first of ``points`` whose ``at`` is no less than theirs.
+
+    Both are sorted together over any number of tasks; a task without a point for its last queries
+    takes the first one of the tasks after it. ``points`` has ``at`` and ``found``.
+    """
+    names = queries.columns
+    both = queries.withColumn(found, F.lit(None).cast(points.schema[found].dataType)).withColumn(
+        "_point", F.lit(False)
+    ).unionByName(points.select(at, found).withColumn("_point", F.lit(True)), allowMissingColumns=True)
+    placed = _with_place(both.repartitionByRange(at, "_point").sortWithinPartitions(at, "_point"))
+    placed = placed.withColumn("_task", F.shiftright("_place", _ROW_BITS))
+    firsts = placed.where("_point").groupBy("_task").agg(F.min_by(found, "_place").alias("_first"))
+    tasks = placed.select("_task").distinct().join(firsts, "_task", "left")
+    later = W.orderBy("_task").rowsBetween(1, W.unboundedFollowing)
+    tasks = tasks.select("_task", F.first("_first", ignorenulls=True).over(later).alias("_later"))
+    rest = W.partitionBy("_task").orderBy("_place").rowsBetween(0, W.unboundedFollowing)
+    filled = placed.withColumn("_own", F.first(found, ignorenulls=True).over(rest)).where("not _point")
+    return filled.join(tasks, "_task").select(*names, F.coalesce("_own", "_later").alias(found))
+
+
 def number_in_read_order(df: DataFrame, group: list[str], block: str, name: str) -> DataFrame:
     """Number rows as they come from files, without moving them.
 

@@ -15,9 +15,10 @@ from ..functions import text as measures
 from ..functions.text import let, split_lines
 from ..operators import corpus, gold, prompts, ranking, report, repos
 from ..operators.numbering import assign_parts
+from ..operators.packing import pack_groups
 from ..operators.user_code import keep_if, map_batches
 from ..session import new_table_path, spread
-from ..sources import blobs, commits, jsonl, sinks
+from ..sources import blobs, commits, jsonl, shards, sinks
 from ..streaming import collect
 from . import marked, twins
 from .tables import Tables, listed
@@ -743,6 +744,48 @@ def shard_assignment(t: Tables) -> DataFrame:
     return parts.select("file_id", "part")
 
 
+_REPO_SHARDS = """
+    with recursive sizes as (
+      select repo_name, count(*) as n, row_number() over (order by repo_name) as i from sql_files group by repo_name),
+    walk as (
+      select i, repo_name, n, n as filled, 0 as shard from sizes where i = 1
+      union all
+      select s.i, s.repo_name, s.n, case when w.filled >= 700 then s.n else w.filled + s.n end,
+             case when w.filled >= 700 then w.shard + 1 else w.shard end
+      from walk w join sizes s on s.i = w.i + 1)
+    select cast(shard as bigint) as shard, count(*) as n_repos, cast(sum(n) as bigint) as n_rows,
+           min(repo_name) as first_repo, max(repo_name) as last_repo from walk group by shard"""
+
+
+@query(twin(f"select * from ({_REPO_SHARDS}) s", "sql_files"))
+def repo_shards(t: Tables) -> DataFrame:
+    """Shards of 700 rows or more that begin and end between repositories."""
+    files = t.sql_files().select("repo_name", "file_id")
+    return pack_groups(files, "repo_name", 700).groupBy("shard").agg(
+        F.count_distinct("repo_name").alias("n_repos"), F.count(F.lit(1)).alias("n_rows"),
+        F.min("repo_name").alias("first_repo"), F.max("repo_name").alias("last_repo"),
+    )
+
+
+@query(twin(
+    """select 'shard_' || lpad(cast(part as varchar), 4, '0') || '.jsonl' as name, count(*) as n_lines,
+              cast(sum(file_id) as bigint) as ids
+       from (select file_id, (row_number() over (order by repo_name, path, file_id) - 1) // 400 as part from sql_files) p
+       group by part""",
+    "sql_files",
+))
+def named_shards(t: Tables) -> DataFrame:
+    """Files written as shards of exactly 400 with names by number, and read back by name."""
+    files = t.sql_files().select("file_id", "repo_name", "path")
+    placed = assign_parts(files, 400, [], ["repo_name", "path", "file_id"])
+    path = new_table_path(t.spark, "named")
+    shards.write_numbered(placed, path, "part", ["repo_name", "path", "file_id"])
+    lines = t.spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("name"), F.get_json_object("value", "$.file_id").cast("long").alias("id")
+    )
+    return lines.groupBy("name").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("id").alias("ids"))
+
+
 def _json_lines(t: Tables) -> DataFrame:
     return t.sql(twins.fixtures.JSON_LINES, events=spread(t("events").select("event_id", "props")))
 

@@ -12,6 +12,7 @@ from ..session import delete_path, new_table_path
 
 #: Removes the shuffle files of a query once it has run.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,20 +53,24 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """The rows as a table in the shared folder, read back; ``drop_stored`` removes it.
 
     For steps that repeat: unlike a checkpoint a table has a size of its own, not one that the
     planner works out from all the steps before it. The shuffle files of the step go with it.
+    ``batch_rows``: rows that go to Python at a time, for rows that are wide.
     """
-    spark = df.sparkSession
-    path, before = new_table_path(spark, name), spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    spark, path = df.sparkSession, new_table_path(df.sparkSession, name)
+    wanted = {CLEANUP: "true"} | ({BATCH_ROWS: str(batch_rows)} if batch_rows else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
-        # Planned anew, as plans keep the setting they were made with.
+        # Planned anew, as plans keep the settings they were made with.
         df.select("*").write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out

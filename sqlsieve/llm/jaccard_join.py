@@ -51,6 +51,7 @@ PIECES = 16
 BITS = 512
 LIST_BLOCK = 1_000
 SPARES = 4
+PAIRS_AT_ONCE = 256  # pairs of whole sets that go to Python together
 GROUP_PART = 64
 BUCKETS = 1 << 20
 ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary, wide binary"
@@ -364,7 +365,6 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         find = _passing(threshold, SPARES * step)
         pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
         pairs = stored(pairs, "pairs")
-        release(docs.sparkSession)
         if pairs.isEmpty():
             drop_stored(pairs)
             if not diagonal:
@@ -374,7 +374,8 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         judged = stored(likely(pairs, sketches, threshold), "judged")
         new = verified(docs, judged.where("linked is null"), width, threshold)
         new = new.union(judged.where("linked is not null"))
-        before, tried = tried, stored(new if tried is None else tried.union(new), "tried")
+        new = new if tried is None else tried.union(new)
+        before, tried = tried, stored(new, "tried", PAIRS_AT_ONCE)
         drop_stored(pairs, judged, before)
         release(docs.sparkSession)
         if roots is not None and hasattr(roots, "stored_path"):

@@ -18,9 +18,9 @@ very many documents share is in a prefix only where there is little else.
 
 Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
 are cut into parts. The order comes from counts of hashed shingles over all documents in a table of
-fixed size; it affects speed and never the result. Sets are not kept: those that a round needs are
-made again from the texts, chosen by a bit table of fixed size, and met by an exact join, after
-sketches as wide as the sets have ruled out what they can.
+fixed size; it affects speed and never the result. Sets are made from the texts, chosen by a bit table
+of fixed size and an exact join, once sketches as wide as the sets have ruled out what they can; they
+are kept until the end, so that a round reads texts only for sets that no earlier one needed.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
 same with a chance of less than one in 10**10.
@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -278,9 +279,8 @@ def likely(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFr
     return pairs.join(left, "a").join(right, "b").select("a", "b", linked)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
-    """``pairs`` of set names with ``linked``, from the whole sets."""
-    names = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def sets_of(docs: DataFrame, names: DataFrame, width: int) -> DataFrame:
+    """The whole sets of these names: ``key`` and ``found``."""
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket")
     wanted = np.zeros(BUCKETS, dtype=bool)
     wanted[names.select(bucket).distinct().toPandas()["bucket"].to_numpy()] = True
@@ -300,7 +300,11 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction)
 
     made = docs.mapInPandas(sets, "key binary, found binary")
     made = made.where(is_wanted(bucket)).groupBy("key").agg(F.first("found").alias("found"))
-    made = made.join(names, "key", "left_semi")
+    return made.join(names, "key", "left_semi")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
+    """``pairs`` of set names with ``linked``, from the whole sets."""
 
     @F.pandas_udf("boolean")
     def link(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -313,8 +317,8 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, threshold: Fraction)
                 out.append(both * threshold.denominator >= total * threshold.numerator)
             yield pd.Series(out, index=left.index)
 
-    left = made.select(F.col("key").alias("a"), F.col("found").alias("x"))
-    right = made.select(F.col("key").alias("b"), F.col("found").alias("y"))
+    left = sets.select(F.col("key").alias("a"), F.col("found").alias("x"))
+    right = sets.select(F.col("key").alias("b"), F.col("found").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", link("x", "y").alias("linked"))
 
 
@@ -337,6 +341,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     tried: DataFrame | None = None
     roots: DataFrame | None = None
     labels: DataFrame | None = None
+    sets: list[DataFrame] = []
     step, diagonal = 0, not lists.where("i < j").isEmpty()
     while True:
         members = groups.join(lists.select("q").distinct(), "q", "left_semi").select(
@@ -372,7 +377,14 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
             diagonal = False
             continue
         judged = stored(likely(pairs, sketches, threshold), "judged")
-        new = verified(docs, judged.where("linked is null"), width, threshold)
+        unknown = judged.where("linked is null")
+        names = unknown.select(F.col("a").alias("key")).union(unknown.select("b")).distinct()
+        for known in sets:
+            names = names.join(known.select("key"), "key", "left_anti")
+        if not names.isEmpty():  # as in the first round; later ones mostly pair what was paired before
+            sets.append(stored(sets_of(docs, names, width), "sets"))
+        known = reduce(DataFrame.union, sets) if sets else None
+        new = verified(known, unknown, threshold) if sets else unknown
         new = new.union(judged.where("linked is not null"))
         new = new if tried is None else tried.union(new)
         before, tried = tried, stored(new, "tried", PAIRS_AT_ONCE)
@@ -383,7 +395,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         roots = components(tried.where("linked").select("a", "b"))
         labels = roots.select(F.col("node").alias("key"), "root")
         step, diagonal = step + 1, False
-    drop_stored(tried)
+    drop_stored(tried, *sets)
 
     least = classes.select("key", "least")
     if labels is not None:

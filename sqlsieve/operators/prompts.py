@@ -8,19 +8,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import rules
 from ..functions.answers import parse_answer
 from ..functions.chunking import extract_chunks
+from ..session import cut_lineage
 from .corpus import with_content
 from .joins import ROWS_PER_SPLIT, salted_join
+from .numbering import number_rows
 from .ranking import RANK_COLUMNS, TIE_COLUMNS, rank_order, with_rank_key
 
 TEMPLATE_VERSION = "1"
@@ -164,18 +164,38 @@ def pair_columns() -> list[Column]:
 def first_in_order(rows: DataFrame, n: int | None) -> DataFrame:
     """The first ``n`` rows in rank order, all without a number.
 
-    Only the columns of the order meet for the cut; the rows are joined back to those that are
-    within it. Rows that agree in the whole order are copies of each other.
+    The row at place ``n`` is found on the columns of the order alone: a count of each value of the
+    first ones, of which there are few, says which of these values it has, and a sort over all tasks
+    numbers the rows of that value. All rows are then compared with it; none is moved, and no task
+    holds ``n`` rows. Rows that agree in the whole order are copies of each other.
     """
     if n is None:
         return rows
-    keys = [*RANK_COLUMNS, *TIE_COLUMNS, "chunk_no"]
-    cut = rows.select(*keys).orderBy(*prompt_order()).limit(n)
-    cut = cut.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    copies = W.partitionBy(*keys).orderBy("prompt_id")
-    kept = rows.join(cut, same).withColumn("_no", F.row_number().over(copies))
-    return kept.where("_no <= _n").select(*rows.columns)
+    few, many = RANK_COLUMNS[:-1], [RANK_COLUMNS[-1], *TIE_COLUMNS, "chunk_no"]
+    keys = cut_lineage(rows.select(*RANK_COLUMNS, *TIE_COLUMNS, "chunk_no"))
+    head = [(-F.coalesce(c, F.lit(-1))).alias(c) for c in few]  # ascending, missing ones last
+    steps = keys.groupBy(*head).agg(F.count(F.lit(1)).alias("_rows")).orderBy(*few).collect()
+    at, left = None, max(n, 0)
+    for step in steps:
+        if left <= step["_rows"]:
+            at = step
+            break
+        left -= step["_rows"]
+    if at is None:
+        return rows
+    if left == 0:
+        return rows.limit(0)
+    head_of, head_at = F.struct(*head), F.struct(*[F.lit(at[c]).cast("int").alias(c) for c in few])
+    tail = [(-F.coalesce(many[0], F.lit(-1))).alias(many[0]), *many[1:]]
+    placed = number_rows(keys.where(head_of == head_at).select(*tail), [], many, "_no")
+    last = placed.where(F.col("_no") == left).first()
+    types = {f.name: f.dataType for f in placed.schema}
+    tail_at = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in many])
+    copies = placed.where((F.col("_no") <= left) & F.struct(*many).eqNullSafe(tail_at)).count()
+    tail_of = F.struct(*tail)
+    before = (head_of < head_at) | ((head_of == head_at) & (tail_of < tail_at))
+    same = rows.where((head_of == head_at) & tail_of.eqNullSafe(tail_at))
+    return rows.where(before).unionByName(same.limit(copies))
 
 
 def top_pairs(outcomes: DataFrame, max_pairs: int | None = None) -> DataFrame:

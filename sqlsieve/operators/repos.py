@@ -64,12 +64,13 @@ def first_hits(repos: DataFrame) -> DataFrame:
 def cap_repos(found: DataFrame, max_repos: int | None = None) -> DataFrame:
     """The first repositories in the order in which the searches visit them; all without a cap.
 
-    Only names and their place in the order meet for the cut; the rows are joined back.
+    Names alone are numbered, in a sort over all tasks, and the rows are joined back.
     """
     if max_repos is None:
         return found
     order = ["rule", F.desc("stars"), "repo_name"]
-    first = found.select("repo_name", "rule", "stars").orderBy(*order).limit(max_repos)
+    placed = number_rows(found.select("repo_name", "rule", "stars"), [], order, "_no")
+    first = placed.where(F.col("_no") <= max_repos)
     return found.join(first.select("repo_name"), "repo_name", "left_semi")
 
 

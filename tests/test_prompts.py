@@ -1,5 +1,7 @@
 """Prompt order, the generation loop, resuming, and outcomes."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from sqlsieve.functions import rules
@@ -181,3 +183,21 @@ def test_observed_counts(spark):
     df, seen = report.observed(judged)
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"seen": 10, "kept": 6}
+
+
+def test_cuts_at_any_place(spark):
+    """The rows of a plain sort, also within copies, without a task that holds them all."""
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 1), rng.randint(0, 1), rng.choice([0, 3, 3, None]), rng.choice([0, 9]), rng.choice([None, "r", "s"]),
+             rng.choice(["p", "q"]), rng.randint(-2, 2), rng.randint(0, 2), i) for i in range(200)]
+    schema = ", ".join(f"{c} {t}" for c, t in zip(
+        [*ranking.RANK_COLUMNS, *ranking.TIE_COLUMNS, "chunk_no", "i"],
+        ["int", "int", "int", "long", "string", "string", "long", "int", "long"]))
+    table = spark.createDataFrame(rows, schema).repartition(4)
+    keys = [*ranking.RANK_COLUMNS, *ranking.TIE_COLUMNS, "chunk_no"]
+    whole = [tuple(r) for r in table.orderBy(*prompts.prompt_order()).select(*keys).collect()]
+    for n in (0, 1, 50, 100, 199, 200, 500):
+        first = prompts.first_in_order(table, n)
+        assert sorted(map(str, map(tuple, first.select(*keys).collect()))) == sorted(map(str, whole[:n]))
+        assert first.select("i").distinct().count() == min(n, 200)
+        assert "TakeOrderedAndProject" not in first._jdf.queryExecution().executedPlan().toString()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.answers import parse_answer
 from ..functions.chunking import extract_chunks
-from ..session import cut_lineage
+from ..session import delete_path, write_table
 from .corpus import with_content
 from .joins import ROWS_PER_SPLIT, salted_join
 from .numbering import number_rows
@@ -172,27 +172,28 @@ def first_in_order(rows: DataFrame, n: int | None) -> DataFrame:
     if n is None:
         return rows
     few, many = RANK_COLUMNS[:-1], [RANK_COLUMNS[-1], *TIE_COLUMNS, "chunk_no"]
-    keys = cut_lineage(rows.select(*RANK_COLUMNS, *TIE_COLUMNS, "chunk_no"))
     head = [(-F.coalesce(c, F.lit(-1))).alias(c) for c in few]  # ascending, missing ones last
-    steps = keys.groupBy(*head).agg(F.count(F.lit(1)).alias("_rows")).orderBy(*few).collect()
-    at, left = None, max(n, 0)
-    for step in steps:
-        if left <= step["_rows"]:
-            at = step
-            break
-        left -= step["_rows"]
-    if at is None:
-        return rows
-    if left == 0:
-        return rows.limit(0)
-    head_of, head_at = F.struct(*head), F.struct(*[F.lit(at[c]).cast("int").alias(c) for c in few])
     tail = [(-F.coalesce(many[0], F.lit(-1))).alias(many[0]), *many[1:]]
-    placed = number_rows(keys.where(head_of == head_at).select(*tail), [], many, "_no")
-    last = placed.where(F.col("_no") == left).first()
-    types = {f.name: f.dataType for f in placed.schema}
-    tail_at = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in many])
-    copies = placed.where((F.col("_no") <= left) & F.struct(*many).eqNullSafe(tail_at)).count()
-    tail_of = F.struct(*tail)
+    head_of, tail_of = F.struct(*head), F.struct(*tail)
+    keys, path = write_table(rows.select(*RANK_COLUMNS, *TIE_COLUMNS, "chunk_no"), "pair-keys")
+    try:
+        steps = keys.groupBy(*head).agg(F.count(F.lit(1)).alias("_rows")).orderBy(*few).collect()
+        at, left = None, max(n, 0)
+        for step in steps:
+            if left <= step["_rows"]:
+                at = step
+                break
+            left -= step["_rows"]
+        if at is None or left == 0:
+            return rows if at is None else rows.limit(0)
+        head_at = F.struct(*[F.lit(at[c]).cast("int").alias(c) for c in few])
+        placed = number_rows(keys.where(head_of == head_at).select(*tail), [], many, "_no")
+        last = placed.where(F.col("_no") == left).first()
+        types = {f.name: f.dataType for f in placed.schema}
+        tail_at = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in many])
+        copies = placed.where((F.col("_no") <= left) & F.struct(*many).eqNullSafe(tail_at)).count()
+    finally:
+        delete_path(rows.sparkSession, path)
     before = (head_of < head_at) | ((head_of == head_at) & (tail_of < tail_at))
     same = rows.where((head_of == head_at) & tail_of.eqNullSafe(tail_at))
     return rows.where(before).unionByName(same.limit(copies))

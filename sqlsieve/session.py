@@ -61,6 +61,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows as a table in the shared folder, computed once, and its path for ``delete_path``."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give narrow rows that came in fewer pieces than there are cores to all of them.
 

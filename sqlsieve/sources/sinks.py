@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.chat import alpaca_columns, chat_messages, chat_text
-from ..session import delete_path, new_table_path
+from ..session import delete_path, write_table
 from . import commits
 
 FORMATS = ("alpaca", "chatml", "both")
@@ -73,20 +73,11 @@ def write_pairs(pairs: DataFrame, path: str, formats: str = "both", name: str |
         done = written_keys(spark, path)
         same = [pairs[k].eqNullSafe(done[k]) for k in keys]
         pairs = pairs.join(done, same, "left_anti")
-    kept = stored_rows(pairs)
+    kept, kept_path = write_table(pairs, "pairs")  # all forms are made from the same rows
     try:
         return commits.commit(path, pair_tables(kept, formats), write_shards, name)
     finally:
-        delete_path(spark, kept.stored_path)
-
-
-def stored_rows(rows: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder, so that all outputs are made from the same ones."""
-    path = new_table_path(rows.sparkSession, "rows")
-    rows.write.parquet(path)
-    out = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    out.stored_path = path
-    return out
+        delete_path(spark, kept_path)
 
 
 def row_count(df: DataFrame) -> DataFrame:

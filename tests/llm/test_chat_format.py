@@ -41,6 +41,21 @@ def test_digests_are_those_of_the_turns(spark):
         assert (found[key]["loss_chars"], found[key]["loss_sha256"]) == (len(loss), sha(loss))
 
 
+def test_tied_turns_follow_by_their_raw_text(spark):
+    texts = ["<s>", "<a", "\\\\", "\\x", "[INST]", "[I", "</s>", "</t", "<s>"]
+    rows = [(1, 0, "assistant", t, "x") for t in texts]
+    found = {r["conv_id"]: r for r in c.chat_digests(table(spark, rows)).collect()}[1]
+    assert found["turns_sha256"] == sha("".join(f"assistant\n{t}\n" for t in sorted(texts)))
+    assert found["loss_sha256"] == sha("".join(sorted(texts)))
+
+
+def test_many_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}", "x") for i in range(3_000)]
+    found = {r["conv_id"]: r for r in c.chat_digests(table(spark, rows)).collect()}[1]
+    assert found["n_turns"] == 3_000
+    assert found["loss_sha256"] == sha("".join(f"t{i}" for i in range(1, 3_000, 2)))
+
+
 def test_typed_parts(spark):
     part = lambda **k: {"type": None, "text": None, "ref": None, "width": None, "height": None, "seconds": None, "pages": None} | k  # noqa: E731,E501
     parts = [

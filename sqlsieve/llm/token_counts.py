@@ -9,8 +9,9 @@ where to cut it.
 
 No piece crosses from other characters into a white-space mark or holds a character outside the
 vocabulary, so texts fall into segments that do not affect each other. Segments repeat: each
-worker process keeps the counts of those it has met, from task to task, and forgets them all once
-they number ``MEMORY``, so that its memory is bounded; what it forgets it computes again.
+worker process keeps the counts of those of up to ``LONGEST_KEPT`` characters that it has met, from
+task to task, and forgets them all once they number ``MEMORY`` or hold ``KEPT_CHARS`` characters, so
+that its memory is bounded; what it forgets it computes again.
 
 Rows: a null text counts as an empty one and has no tokens; control strings such as ``</s>`` inside
 a text are ordinary characters; repeated rows give repeated results; an empty table gives an empty
@@ -34,6 +35,8 @@ from .common import by_chars, or_empty, others, vocabulary_path
 
 VOCABULARY = "piece_bpe_32k.model"
 MEMORY = 600_000
+KEPT_CHARS = 16_000_000  # characters of all segments that a worker keeps
+LONGEST_KEPT = 64
 CELLS = 1_000_000
 SPACE = "▁"
 BASE = 0x5851F42D4C957F2D
@@ -200,7 +203,9 @@ class Pieces:
         if not segments:
             return [np.zeros(0, dtype=np.int32) for _ in texts]
         new = set(segments).difference(self.known)
-        if new and len(self.known) + len(new) > self.memory:
+        short = sum(n for n in map(len, new) if n <= LONGEST_KEPT)
+        full = len(self.known) + len(new) > self.memory
+        if new and (full or self.start[len(self.known)] + short > KEPT_CHARS):
             self.forget()
             new = set(segments)
         self.learn(new)
@@ -211,6 +216,10 @@ class Pieces:
         totals = np.concatenate(([0], np.cumsum(self.flat[begin + sizes - 1])))
         index = np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)
         counts = self.flat[index] + np.repeat(totals[:-1], sizes)
+        # Long segments came last, so that dropping their names leaves the others' places as they are.
+        for segment in new:
+            if len(segment) > LONGEST_KEPT:
+                del self.known[segment]
         # Each text starts anew, after the mark that is put before it.
         firsts = np.concatenate(([0], np.cumsum(list(map(len, found)))))
         places = np.concatenate(([0], ends))[firsts]

@@ -37,6 +37,22 @@ def test_long_texts(library):
         assert counts[-1] == len(library.encode(text))
 
 
+@pytest.mark.parametrize("chars", [100, 16_000_000])
+def test_kept_segments_are_bounded_by_characters(library, monkeypatch, chars):
+    monkeypatch.setattr(token_counts, "KEPT_CHARS", chars)
+    rng = random.Random(5)
+    pieces = token_counts.Pieces(PATH)
+    words = [rng.choice("abcdeit") * rng.randint(1, 20) for _ in range(60)]
+    for _ in range(5):
+        long = "".join(rng.choice("abcdeit") for _ in range(300))
+        cases = [long, " ".join(rng.sample(words, 6)), long[:70] + " " + words[0], "x " + long[:200]]
+        for text, counts in zip(cases, pieces.prefix_counts(cases)):
+            assert counts[-1] == len(library.encode(text)) and len(counts) == len(text)
+        kept = pieces.start[len(pieces.known)]
+        assert kept == sum(map(len, pieces.known)) <= max(chars, 4 * 20 * 8)
+        assert max(map(len, pieces.known)) <= token_counts.LONGEST_KEPT
+
+
 def test_rows(spark, library):
     rows = [(1, "A text of words"), (2, None), (3, ""), (1, "A text of words"), (None, "é</s>")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -8,7 +8,7 @@ is blocked. An explicit allow goes first: a URL that a rule allows stays allowed
 aliases are, and only block decisions are carried over.
 
 Everything is DataFrame functions. Rules are a short list that the caller states; links are
-compared as URLs without a fragment. Classes come from rounds of joins over the link table, and of
+compared as URLs without a fragment, their schemes and hosts in lower case. Classes come from rounds of joins over the link table, and of
 the URLs only those that occur in a link are looked up there.
 
 Rows: a null URL, or one without ``://``, has an empty host and path and fits no rule; repeated
@@ -42,8 +42,10 @@ def path(url: Column) -> Column:
 
 
 def page(url: Column) -> Column:
-    """The URL without its fragment, by which links and pages meet."""
-    return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    """The URL without its fragment, scheme and host in lower case, by which links and pages meet."""
+    whole = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    head = F.regexp_extract(whole, r"(?s)^([^/?]*://[^/?]*)", 1)
+    return F.concat(ascii_lower(head), F.substr(whole, F.length(head) + 1))
 
 
 def rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -133,13 +135,16 @@ def page_verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
 
 SQL = r"""
 WITH RECURSIVE split AS (
-  SELECT page_id, url, regexp_extract(url, '^([^#]*)', 1) AS node, html,
+  SELECT page_id, url, html,
+    regexp_extract(url, '(?s)^([^#]*)', 1) AS whole,
+    regexp_extract(url, '(?s)^([^/?#]*://[^/?#]*)', 1) AS head,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
   FROM pages
 ), ruled AS (
-  SELECT page_id, node, host, path, CASE
+  SELECT page_id, translate(head, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      || substr(whole, length(head) + 1) AS node, host, path, CASE
       WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
       WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
       WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
@@ -147,22 +152,43 @@ WITH RECURSIVE split AS (
     END AS rule
   FROM split
 ), tags AS (
-  SELECT node, unnest(regexp_extract_all(html, '(?is)(<link\b[^>]*>|<meta\b[^>]*>)', 1)) AS tag
+  SELECT url, unnest(regexp_extract_all(html, '(?is)(<link\b[^>]*>|<meta\b[^>]*>)', 1)) AS tag
   FROM split WHERE url IS NOT NULL
 ), targets AS (
-  SELECT node AS a, replace(CASE
+  SELECT url, replace(CASE
       WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?\s*canonical\b')
         THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
       WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?\s*refresh\b')
         THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
-    END, '&amp;', '&') AS b
+    END, '&amp;', '&') AS t
   FROM tags
+), resolved AS (
+  SELECT url AS x, CASE
+      WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+      WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || t
+      WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
+      ELSE regexp_replace(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '([^/])$', '\1/') || t
+    END AS y
+  FROM targets WHERE t <> ''
+), cut AS (
+  SELECT regexp_extract(x, '(?s)^([^#]*)', 1) AS x, regexp_extract(y, '(?s)^([^#]*)', 1) AS y,
+    regexp_extract(x, '(?s)^([^/?#]*://[^/?#]*)', 1) AS p, regexp_extract(y, '(?s)^([^/?#]*://[^/?#]*)', 1) AS q
+  FROM resolved
 ), links AS (
-  SELECT a, regexp_extract(b, '^([^#]*)', 1) AS b FROM targets WHERE b <> ''
+  SELECT translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(x, length(p) + 1) AS a,
+    translate(q, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || substr(y, length(q) + 1) AS b
+  FROM cut
 ), edges AS (
   SELECT a, b FROM links UNION SELECT b, a FROM links
+), ends AS (
+  SELECT DISTINCT a AS node, regexp_extract(a, '(?s)^.*?://([^/?#]*)', 1) AS host,
+    regexp_extract(a, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM edges
 ), reached AS (
-  SELECT node FROM ruled WHERE rule IN ('net/', 'example.com/de/')
+  SELECT node FROM ends
+  WHERE ((host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/')
+      AND NOT ((host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/')))
+    OR ((host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/'))
   UNION
   SELECT edges.b FROM reached JOIN edges ON reached.node = edges.a
 )

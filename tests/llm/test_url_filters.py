@@ -1,3 +1,5 @@
+import duckdb
+
 from sqlsieve.llm import url_filters
 from sqlsieve.llm.components import components
 
@@ -51,6 +53,25 @@ def test_links_of_pages(spark):
     assert url_filters.page_verdicts(pages.limit(0)).count() == 0
 
 
+def test_twin_with_planted_links(spark):
+    rows = [
+        (1, "http://a.org/1", '<link rel="canonical" href="/2">'),
+        (2, "http://A.org/2", '<link rel="canonical" href="http://BAD.net/x">'),
+        (3, "http://B.example.edu/y/w", '<link rel="canonical" href="z">'),
+        (4, "http://b.example.edu/y/z", '<meta http-equiv="refresh" content="0; url=//q.net/">'),
+        (5, "HTTP://B.example.edu/y/w#part", None), (6, "http://clean.edu/A", '<link rel="canonical" href="/a">'),
+        (7, None, '<link rel="canonical" href="http://bad.net/x">'), (8, "http://x.org/fr/1", '<link rel="canonical" href="http://bad.net/x">'),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    got = sorted(tuple(r[c] for c in columns) for r in url_filters.page_verdicts(pages).collect())
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    assert got == sorted(con.execute(f"select page_id, host, path, rule, verdict from ({url_filters.SQL})").fetchall())
+    assert [r[4] for r in got] == ["block"] * 5 + ["allow"] * 3
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (None, 7), (201, 200)]
     df = spark.createDataFrame(edges, "a long, b long")

@@ -17,10 +17,15 @@ very many documents share is in a prefix only where there is little else.
    their square, and no link between components is missed.
 
 Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
-are cut into parts. The order comes from counts of hashed shingles over all documents in a table of
-fixed size; it affects speed and never the result. Sets are made from the texts, chosen by a bit table
-of fixed size and an exact join, once sketches as wide as the sets have ruled out what they can; they
-are kept until the end, so that a round reads texts only for sets that no earlier one needed.
+are cut into parts. A list whose members are connected already is not looked at again.
+
+The order comes from exact counts. Texts are read once: their sets are written in chunks of bounded
+size, with equal sets of a chunk once. Each chunk sends its distinct shingles to buckets of their
+hashes, a shingle that several of its sets have as one entry with their number, so a shingle of very
+many documents comes to its bucket once a chunk; back go the counts above one. What no other set
+has needs no list, and a set with more shingles of its own than its prefix is long is in none.
+Later steps take whole sets from the written table, chosen by a bit table of fixed size and an exact
+join, once sketches as wide as the sets have ruled out what they can.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
 same with a chance of less than one in 10**10.
@@ -39,23 +44,30 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import by_chars, drop_stored, free_name, or_empty, release, stored
+from .common import by_chars, drop_stored, free_name, or_empty, stored
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
-COUNTERS = 1 << 18
-PIECES = 16
 BITS = 512
 LIST_BLOCK = 1_000
 SPARES = 4
 PAIRS_AT_ONCE = 256  # pairs of whole sets that go to Python together
+FOREST_PAIRS = 200_000  # pairs that are put in order together
 GROUP_PART = 64
 BUCKETS = 1 << 20
-ROW = "doc_id long, h long, n long, key binary, g long, prefix array<long>, bits binary, wide binary"
+CHUNK_ROWS = 1 << 13
+CHUNK_SHINGLES = 1 << 20
+SEVERAL = 0xFFFF  # in place of the place of a set: several sets of the chunk have the shingle
+ROW = (
+    "doc_id long, h long, chunk long, place int, n long, key binary, bits binary, wide binary, "
+    "found binary"
+)
+BLOB = "bucket long, chunk long, hashes binary, places binary, counts binary, sizes binary, keys binary"
+PREFIX = "key binary, n long, skip long, g long, prefix array<long>"
 
 
 def least_overlap(threshold: Fraction, sizes) -> int:
@@ -68,39 +80,6 @@ def prefix_size(threshold: Fraction, n: int) -> int:
     return n - -(-threshold.numerator * n // threshold.denominator) + 1
 
 
-def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Documents with each shingle, in ``COUNTERS`` hashed counters, over all documents."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for rows in batches:
-            for texts in by_chars(rows["body"]):
-                flat = np.concatenate([*shingle_sets(texts, width), np.zeros(0, dtype=np.uint64)])
-                total += np.bincount(_counter(flat), minlength=COUNTERS)
-        small = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        parts = [p.tobytes() for p in np.split(small, PIECES)]
-        yield pd.DataFrame({"piece": range(PIECES), "counts": parts})
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, dtype=np.uint32).astype(np.float64) for c in rows["counts"])
-        return pd.DataFrame({"piece": rows["piece"][:1], "counts": [total.tobytes()]})
-
-    schema = "piece int, counts binary"
-    added = docs.mapInPandas(count, schema).groupBy("piece").applyInPandas(add, schema)
-    found = {r["piece"]: np.frombuffer(r["counts"]) for r in added.collect()}
-    return np.concatenate([found.get(i, np.zeros(COUNTERS // PIECES)) for i in range(PIECES)])
-
-
-def _counter(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
-
-
-def rarity(counts: np.ndarray) -> np.ndarray:
-    """Per counter a class from 0 for rare to 255."""
-    mean = max(counts.mean(), 1.0)
-    return np.clip(np.floor(4 * np.log2(1 + counts / mean)), 0, 255).astype(np.uint64)
-
-
 def sketch(found: np.ndarray, bits: int = BITS) -> bytes:
     """Bit i is the parity of the number of shingles that hash to i. ``bits`` is a power of two."""
     place = (mix(found) & np.uint64(bits - 1)).astype(np.int64)
@@ -120,53 +99,185 @@ def differing(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def prepare(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
-    """Per document the size, name, prefix and sketch of its set."""
-    classes = rarity(shingle_counts(docs, width))
-    sent = docs.sparkSession.sparkContext.broadcast(classes.astype(np.uint8))
+def set_rows(docs: DataFrame, width: int) -> DataFrame:
+    """Per document its set, the set's size, name and sketches, and its place in a chunk.
+
+    ``found``, the set itself, is null where an earlier row of the chunk has the same one.
+    """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank = sent.value.astype(np.uint64)
+        chunk, seen, shingles = TaskContext.get().partitionId() << 32, set(), 0
         for rows in batches:
             begin = 0
             for texts in by_chars(rows["body"]):
                 out = []
                 for found in shingle_sets(texts, width):
-                    n = len(found)
-                    order = (rank[_counter(found)] << np.uint64(56)) | (found >> np.uint64(8))
-                    size = prefix_size(threshold, n) if n else 0
-                    if size < n:
-                        order = np.partition(order, size)[:size]
-                    prefix = np.sort(order).astype(np.int64)
-                    group = int.from_bytes(set_key(np.append(prefix, n))[:8], "little", signed=True)
-                    wide = wide_sketch(found)
-                    out.append((n, set_key(found), group, prefix, sketch(found), wide))
-                part = pd.DataFrame(out, columns=["n", "key", "g", "prefix", "bits", "wide"])
+                    n, key = len(found), set_key(found)
+                    new = n > 0 and key not in seen
+                    if new and seen and (len(seen) == CHUNK_ROWS or shingles + n > CHUNK_SHINGLES):
+                        chunk, seen, shingles = chunk + 1, set(), 0
+                    place = len(seen)
+                    if new:
+                        seen.add(key)
+                        shingles += n
+                    kept = found.tobytes() if new else None
+                    out.append((chunk, place, n, key, sketch(found), wide_sketch(found), kept))
+                names = ["chunk", "place", "n", "key", "bits", "wide", "found"]
+                part = pd.DataFrame(out, columns=names)
                 for place, name in enumerate(("doc_id", "h")):
                     part.insert(place, name, rows[name].iloc[begin : begin + len(texts)].array)
                 begin += len(texts)
                 yield part
 
-    return cut_lineage(docs.mapInPandas(describe, ROW))
+    return stored(docs.mapInPandas(describe, ROW), "sets")
+
+
+def _sent(buckets: int):
+    """Cuts the distinct shingles of each chunk by bucket; what several sets have stays with it, too."""
+
+    def part(chunk: int, rows: list[tuple[int, int, bytes, bytes]]) -> pd.DataFrame:
+        places, sizes, keys, sets = zip(*rows)
+        flat = np.frombuffer(b"".join(sets), dtype=np.uint64)
+        place = np.repeat(np.array(places, dtype=np.uint16), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, place = flat[order], place[order]
+        begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        count = np.diff(np.append(begin, len(flat)))
+        several = np.repeat(count > 1, count)
+        own = (
+            None, chunk, flat[several].tobytes(), place[several].tobytes(), None,
+            np.array([places, sizes], dtype=np.int64).tobytes(), b"".join(keys),
+        )
+        flat, place = flat[begin], np.where(count > 1, SEVERAL, place[begin]).astype(np.uint16)
+        count = count.astype(np.uint32)
+        bucket = ((flat >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() + [len(flat)]
+        out = [
+            (int(bucket[i]), chunk, flat[i:j].tobytes(), place[i:j].tobytes(), count[i:j].tobytes(), None, None)
+            for i, j in zip(cuts, cuts[1:])
+        ]
+        names = ["bucket", "chunk", "hashes", "places", "counts", "sizes", "keys"]
+        return pd.DataFrame([own, *out], columns=names).astype({"bucket": "Int64"})
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, kept = None, []
+        for rows in batches:
+            for chunk, *row in zip(rows["chunk"], rows["place"], rows["n"], rows["key"], rows["found"]):
+                if kept and chunk != now:
+                    yield part(now, kept)
+                    kept = []
+                now = chunk
+                kept.append(row)
+        if kept:
+            yield part(now, kept)
+
+    return send
+
+
+def _counted(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket the entries whose shingle several sets of the corpus have, with their number."""
+    hashes = np.frombuffer(b"".join(rows["hashes"]), dtype=np.uint64)
+    places = np.frombuffer(b"".join(rows["places"]), dtype=np.uint16)
+    counts = np.frombuffer(b"".join(rows["counts"]), dtype=np.uint32).astype(np.int64)
+    order = np.argsort(hashes)
+    same = hashes[order]
+    begin = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
+    total = np.empty(len(hashes), dtype=np.int64)
+    total[order] = np.repeat(np.add.reduceat(counts[order], begin), np.diff(np.append(begin, len(same))))
+    ends = np.cumsum([len(h) // 8 for h in rows["hashes"]])
+    out = []
+    for chunk, end, size in zip(rows["chunk"], ends.tolist(), np.diff(ends, prepend=0).tolist()):
+        at = np.flatnonzero(total[end - size : end] > 1) + end - size
+        if len(at):
+            out.append((None, chunk, hashes[at].tobytes(), places[at].tobytes(), total[at].tobytes(), None, None))
+    names = ["bucket", "chunk", "hashes", "places", "counts", "sizes", "keys"]
+    return pd.DataFrame(out, columns=names).astype({"bucket": "Int64"})
+
+
+def _prefixes(threshold: Fraction):
+    """Of one chunk the sets whose prefixes have shingles of other sets, and these, rarest first."""
+
+    def joined(values: pd.Series, kind) -> np.ndarray:
+        return np.frombuffer(b"".join(values), dtype=kind)
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows["sizes"].notna()
+        about = [np.frombuffer(x, dtype=np.int64).reshape(2, -1) for x in rows["sizes"][own]]
+        places, sizes = np.concatenate(about, axis=1)
+        names = joined(rows["keys"][own], "V16")
+        n = np.zeros(places.max() + 1, dtype=np.int64)
+        key = np.zeros(len(n), dtype="V16")
+        n[places], key[places] = sizes, names
+
+        hashes, place = joined(rows["hashes"][~own], np.uint64), joined(rows["places"][~own], np.uint16)
+        total = joined(rows["counts"][~own], np.int64)
+        several = place == SEVERAL
+        known, first = np.unique(hashes[several], return_index=True)
+        counts = total[several][first]
+        local, where = joined(rows["hashes"][own], np.uint64), joined(rows["places"][own], np.uint16)
+        hashes = np.concatenate((hashes[~several], local))
+        place = np.concatenate((place[~several], where)).astype(np.int64)
+        total = np.concatenate((total[~several], counts[np.searchsorted(known, local)]))
+
+        a, b = threshold.numerator, threshold.denominator
+        shared = np.bincount(place, minlength=len(n))
+        skip = n - shared
+        take = np.maximum(n + (-a * n // b) + 1 - skip, 0)
+        begin = np.cumsum(shared) - shared
+        keep = take[place] > 0
+        if keep.any():
+            # Only sets that are in some list are put in order.
+            hashes, place, total = hashes[keep], place[keep], total[keep]
+            order = np.lexsort((hashes, total, place))
+            hashes, place = hashes[order].astype(np.int64), place[order]
+            begin = np.searchsorted(place, np.arange(len(n)))
+        out = []
+        for i in np.flatnonzero(take).tolist():
+            prefix = hashes[begin[i] : begin[i] + take[i]]
+            name = key[i].tobytes()
+            seed = name if skip[i] else set_key(np.append(prefix, n[i]))
+            group = int.from_bytes(seed[:8], "little", signed=True)
+            out.append((name, n[i], skip[i], group, prefix))
+        return pd.DataFrame(out, columns=["key", "n", "skip", "g", "prefix"])
+
+    return choose
+
+
+def prefixes(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """Classes that share a shingle of their prefix: ``key``, ``n``, ``prefix`` without what is theirs
+    alone, the number of such (``skip``), and ``g``, equal for equal prefixes."""
+    sets = rows.where("found is not null")
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    sent = sets.select("chunk", "place", "n", "key", "found")
+    sent = sent.mapInPandas(_sent(max(-(-total // CHUNK_SHINGLES), 1)), BLOB)
+    blobs = stored(sent, "blobs", CHUNK_ROWS // 8)
+    back = blobs.where("bucket is not null").groupBy("bucket").applyInPandas(_counted, BLOB)
+    own = blobs.where("bucket is null")
+    chosen = back.union(own).groupBy("chunk").applyInPandas(_prefixes(threshold), PREFIX)
+    found = stored(chosen.dropDuplicates(["key"]), "prefixes")
+    drop_stored(blobs)
+    return found
 
 
 def grouped(classes: DataFrame) -> DataFrame:
-    """Groups of classes with the same prefix and size: ``q``, ``n``, ``prefix`` and ``members``."""
+    """Groups of classes with the same prefix and size: ``q``, ``n``, ``skip``, ``prefix``, ``members``."""
     most = classes.groupBy("g", "n").count().agg(F.max("count")).first()[0] or 1
     part = F.pmod(F.xxhash64("key"), F.lit(-(-most // GROUP_PART)))
     return (
         classes.groupBy("g", "n", part.alias("part"))
         .agg(
+            F.first("skip").alias("skip"),
             F.first("prefix").alias("prefix"),
             F.collect_list(F.struct("key", "bits")).alias("members"),
         )
-        .select(F.xxhash64("g", "n", "part").alias("q"), "n", "prefix", "members")
+        .select(F.xxhash64("g", "n", "part").alias("q"), "n", "skip", "prefix", "members")
     )
 
 
 def postings(groups: DataFrame) -> DataFrame:
-    """Places of groups in the posting lists of two groups or more, by pairs of list blocks."""
-    entries = groups.select("q", "n", F.posexplode("prefix").alias("place", "token"))
+    """Places of groups in the posting lists of two groups or more, with their block of the list."""
+    entries = groups.select("q", "skip", F.posexplode("prefix").alias("pos", "token"))
+    entries = entries.select("q", "token", (F.col("skip") + F.col("pos")).alias("place"))
     shared = entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
     listed = entries.join(shared, "token").select(
@@ -177,15 +288,19 @@ def postings(groups: DataFrame) -> DataFrame:
         F.col("q").alias("token"), "q", F.lit(0).alias("place"), F.lit(1).alias("blocks"),
         F.lit(0).alias("block"),
     )
-    return listed.unionByName(alone).withColumn(
-        "other", F.explode(F.expr("sequence(0, blocks - 1)"))
-    ).select(
-        "token", "q", "place", "block",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-    )
+    return listed.unionByName(alone)
+
+
+def paired(lists: DataFrame, diagonal: bool) -> DataFrame:
+    """List entries by pairs of blocks, or by blocks alone."""
+    if diagonal:
+        return lists.withColumns({"i": F.col("block"), "j": F.col("block")})
+    return lists.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns(
+        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
+    )
 
 
-def _passing(threshold: Fraction, spares: int):
+def _passing(threshold: Fraction, spares: int, forest: int):
     """Finds, in whole posting lists, pairs of members that may link and are not connected.
 
     Rows come sorted by list, then size; a list that a batch breaks off waits for the next one.
@@ -200,33 +315,60 @@ def _passing(threshold: Fraction, spares: int):
             whole = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0
             rest = rows.iloc[whole:]
             if whole:
-                yield _pairs_in(rows.iloc[:whole], threshold, spares)
+                yield _pairs_in(rows.iloc[:whole], threshold, spares, forest)
         if rest is not None and len(rest):
-            yield _pairs_in(rest, threshold, spares)
+            yield _pairs_in(rest, threshold, spares, forest)
 
     return find
 
 
-def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFrame:
+def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int, forest: int) -> pd.DataFrame:
     a, b = threshold.numerator, threshold.denominator
     token, i, j, n, place, block, q = (
         rows[c].to_numpy(np.int64) for c in ("token", "i", "j", "n", "place", "block", "q")
     )
     label = pd.factorize(rows["label"])[0]
-    names, failed = rows["key"].tolist(), rows["failed"].tolist()
+    names = rows["key"].tolist()
+    failed = {k: set(f) for k, f in zip(names, rows["failed"]) if f is not None}
     bits = np.frombuffer(b"".join(rows["bits"]), dtype=np.uint64).reshape(-1, BITS // 64)
+    low = np.frombuffer(b"".join(name[:8] for name in names), dtype=np.uint64)
     starts = np.ones(len(rows), dtype=bool)
     starts[1:] = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-    number = np.cumsum(starts) - 1
-    end = np.append(np.flatnonzero(starts)[1:], len(rows))[number]
+    number, begin = np.cumsum(starts) - 1, np.flatnonzero(starts)
+    end = np.append(begin[1:], len(rows))[number]
+    # Nodes are the components of one list.
+    node = np.unique(number * (label.max() + 1) + label, return_inverse=True)[1]
+    parent = list(range(node.max() + 1))
+    given = [0] * len(rows)
+    out = []
 
-    found, x, step = [], np.arange(len(rows)), 0
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def take(found: list[np.ndarray]) -> None:
+        # All lists take pairs in one order, likely links first, so that they choose the same ones.
+        left, right, differ = np.concatenate(found, axis=1)
+        order = np.lexsort((mix(low[left] + low[right]), differ))
+        for x, y in zip(left[order].tolist(), right[order].tolist()):
+            one, two = root(node[x]), root(node[y])
+            if one == two and max(given[x], given[y]) >= spares:
+                continue
+            if names[x] in failed and names[y] in failed[names[x]]:
+                continue
+            parent[one] = two
+            given[x] += 1
+            given[y] += 1
+            out.append(sorted((names[x], names[y])))
+
+    found, size, x, step = [], 0, np.arange(len(rows)), 0
     while len(x):
         step += 1  # all pairs of rows of a list that are so many rows apart
         x = x[x + step < end[x]]
         x = x[n[x + step] * a <= n[x] * b]
         y = x + step
-        good = (label[x] != label[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
+        good = (node[x] != node[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
         left, right = x[good], y[good]
         total = n[left] + n[right]
         need = least_overlap(threshold, total)
@@ -237,30 +379,15 @@ def _pairs_in(rows: pd.DataFrame, threshold: Fraction, spares: int) -> pd.DataFr
         differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1).astype(np.int64)
         near = differ <= spare
         found.append(np.stack([left[near], right[near], differ[near]]))
-
-    parent: dict[tuple[int, int], tuple[int, int]] = {}
-    given = [0] * len(rows)
-
-    def root(node: tuple[int, int]) -> tuple[int, int]:
-        while parent.get(node, node) != node:
-            parent[node] = node = parent.get(parent[node], parent[node])
-        return node
-
-    # All lists take their pairs in one order, likely links first, so that they choose the same ones.
-    left, right, differ = np.concatenate(found, axis=1)
-    low = np.frombuffer(b"".join(name[:8] for name in names), dtype=np.uint64)
-    order = np.lexsort((mix(low[left] + low[right]), differ))
-    out = []
-    for x, y in zip(left[order].tolist(), right[order].tolist()):
-        if failed[x] is not None and names[y] in set(failed[x]):
-            continue
-        one, two = root((number[x], label[x])), root((number[x], label[y]))
-        if one == two and max(given[x], given[y]) >= spares:
-            continue
-        parent[one] = two
-        given[x] += 1
-        given[y] += 1
-        out.append(sorted((names[x], names[y])))
+        size += int(near.sum())
+        if size >= forest:
+            take(found)
+            found, size = [], 0
+            node = np.array([root(v) for v in range(len(parent))])[node]
+            whole = np.logical_and.reduceat(node == node[begin][number], begin)
+            x = x[~whole[number[x]]]  # lists of one component are done
+    if found:
+        take(found)
     return pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -279,18 +406,12 @@ def likely(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFr
     return pairs.join(left, "a").join(right, "b").select("a", "b", linked)
 
 
-def sets_of(docs: DataFrame, names: DataFrame, width: int) -> DataFrame:
+def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
     """The whole sets of these names: ``key`` and ``found``."""
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket")
     wanted = np.zeros(BUCKETS, dtype=bool)
     wanted[names.select(bucket).distinct().toPandas()["bucket"].to_numpy()] = True
-    flags = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for texts in by_chars(rows["body"]):
-                found = shingle_sets(texts, width)
-                yield pd.DataFrame({"key": [set_key(s) for s in found], "found": [s.tobytes() for s in found]})
+    flags = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     @F.pandas_udf("boolean")
     def is_wanted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -298,9 +419,9 @@ def sets_of(docs: DataFrame, names: DataFrame, width: int) -> DataFrame:
         for numbers in batches:
             yield pd.Series(table[numbers.to_numpy()], index=numbers.index)
 
-    made = docs.mapInPandas(sets, "key binary, found binary")
-    made = made.where(is_wanted(bucket)).groupBy("key").agg(F.first("found").alias("found"))
-    return made.join(names, "key", "left_semi")
+    # The bit table is looked up on names alone, so that no set goes to Python for it.
+    near = rows.where("found is not null").select("key", "found").where(is_wanted(bucket))
+    return near.join(names, "key", "left_semi").dropDuplicates(["key"])
 
 
 def verified(sets: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
@@ -327,22 +448,18 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     component, and the component's name, null for an empty set."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("body"))
     docs = docs.withColumn("h", F.xxhash64("body"))
-    rows = prepare(docs, width, threshold)
-    classes = rows.where("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("g").alias("g"),
-        F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
-    )
-    sketches = rows.where("n > 0").groupBy("key").agg(
-        F.first("n").alias("n"), F.first("wide").alias("wide")
-    )
-    groups = cut_lineage(grouped(classes))
-    lists = cut_lineage(postings(groups))
-    release(docs.sparkSession)
+    rows = set_rows(docs, width)
+    listed = prefixes(rows, threshold)
+    sketches = rows.where("found is not null").select("key", "n", "bits", "wide")
+    sketches = sketches.join(listed.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    sketches = stored(sketches, "sketches")
+    groups = stored(grouped(listed.join(sketches.select("key", "bits"), "key")), "groups")
+    lists = stored(postings(groups), "lists")
     tried: DataFrame | None = None
     roots: DataFrame | None = None
     labels: DataFrame | None = None
     sets: list[DataFrame] = []
-    step, diagonal = 0, not lists.where("i < j").isEmpty()
+    step, diagonal = 0, not lists.where("blocks > 1").isEmpty()
     while True:
         members = groups.join(lists.select("q").distinct(), "q", "left_semi").select(
             "q", "n", F.explode("members").alias("m")
@@ -360,14 +477,19 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
                 .withColumn("label", F.coalesce("root", "key"))
                 .join(failed, "key", "left")
             )
-        chosen = lists.where("i = j") if diagonal else lists
+        open_lists = lists
+        if labels is not None:  # lists of more than one component
+            range_of = members.groupBy("q").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+            mixed = lists.join(range_of, "q").groupBy("token")
+            mixed = mixed.agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+            open_lists = lists.join(mixed.select("token"), "token", "left_semi")
         entries = (
-            chosen.join(members, "q")
+            paired(open_lists, diagonal).join(members, "q")
             .select("token", "i", "j", "block", "q", "n", "place", "key", "bits", "label", "failed")
             .repartition("token", "i", "j")
             .sortWithinPartitions("token", "i", "j", "n", "q", "key")
         )
-        find = _passing(threshold, SPARES * step)
+        find = _passing(threshold, SPARES * step, FOREST_PAIRS)
         pairs = entries.mapInPandas(find, "a binary, b binary").distinct()
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
@@ -382,22 +504,23 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         for known in sets:
             names = names.join(known.select("key"), "key", "left_anti")
         if not names.isEmpty():  # as in the first round; later ones mostly pair what was paired before
-            sets.append(stored(sets_of(docs, names, width), "sets"))
+            sets.append(stored(sets_of(rows, names), "known"))
         known = reduce(DataFrame.union, sets) if sets else None
         new = verified(known, unknown, threshold) if sets else unknown
         new = new.union(judged.where("linked is not null"))
         new = new if tried is None else tried.union(new)
         before, tried = tried, stored(new, "tried", PAIRS_AT_ONCE)
         drop_stored(pairs, judged, before)
-        release(docs.sparkSession)
         if roots is not None and hasattr(roots, "stored_path"):
             drop_stored(roots)
         roots = components(tried.where("linked").select("a", "b"))
         labels = roots.select(F.col("node").alias("key"), "root")
         step, diagonal = step + 1, False
-    drop_stored(tried, *sets)
+    sets.append(rows)  # only its narrow columns are needed from here on
+    rows = stored(rows.select("doc_id", "h", "n", "key"), "names")
+    drop_stored(tried, listed, sketches, groups, lists, *sets)
 
-    least = classes.select("key", "least")
+    least = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     if labels is not None:
         named = least.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
         ids = named.groupBy("root").agg(F.min("least").alias("component_id"))

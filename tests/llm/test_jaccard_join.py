@@ -66,6 +66,10 @@ def corpus(seed):
 def test_components(spark, monkeypatch, width, threshold, block, part):
     monkeypatch.setattr(j, "LIST_BLOCK", block)
     monkeypatch.setattr(j, "GROUP_PART", part)
+    if block < 1000:
+        monkeypatch.setattr(j, "FOREST_PAIRS", 3)
+        monkeypatch.setattr(j, "CHUNK_ROWS", 5)
+        monkeypatch.setattr(j, "CHUNK_SHINGLES", 300)
     rows = corpus(width)
     docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, key string")
     found = [tuple(r) for r in j.components_of(docs, width, threshold).collect()]
@@ -103,3 +107,47 @@ def test_sketches_never_reject_a_link():
         b = np.unique(np.concatenate((a[: rng.integers(250, 300)], rng.integers(0, 1 << 63, 20, dtype=np.uint64))))
         bits = np.frombuffer(j.sketch(a), np.uint64) ^ np.frombuffer(j.sketch(b), np.uint64)
         assert np.bitwise_count(bits).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("rows,shingles", [(1 << 13, 1 << 20), (3, 200)])
+def test_prefixes_are_in_the_order_of_exact_counts(spark, monkeypatch, rows, shingles):
+    monkeypatch.setattr(j, "CHUNK_ROWS", rows)
+    monkeypatch.setattr(j, "CHUNK_SHINGLES", shingles)
+    texts = sorted({t for _, t in corpus(3) if t})
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, h long, body string")
+    threshold = Fraction(4, 5)
+    found = {bytes(r["key"]): r for r in j.prefixes(j.set_rows(docs, 3), threshold).collect()}
+    sets = {shingles_of.tobytes(): shingles_of for shingles_of in j.shingle_sets(texts, 3) if len(shingles_of)}
+    names = {j.set_key(s): s for s in sets.values()}
+    chunks = {}
+    for r in j.set_rows(docs, 3).where("found is not null").select("chunk", "key").distinct().collect():
+        chunks.setdefault(r["chunk"], []).append(names[bytes(r["key"])])
+    counts = {}
+    for members in chunks.values():  # equal sets of different chunks count once a chunk
+        for member in members:
+            for x in member.tolist():
+                counts[x] = counts.get(x, 0) + 1
+    want = {}
+    for key, members in names.items():
+        order = sorted(members.tolist(), key=lambda x: (counts[x], x))
+        prefix = order[: j.prefix_size(threshold, len(order))]
+        alone = sum(counts[x] == 1 for x in order)
+        if alone < len(prefix):
+            want[key] = (len(order), alone, [x - (1 << 64) if x >> 63 else x for x in prefix[alone:]])
+    assert {k: (r["n"], r["skip"], r["prefix"]) for k, r in found.items()} == want
+    assert want and len(want) < len(names)
+
+
+def test_a_large_group_of_near_copies_stays_in_bounds():
+    """In lists of close copies a forest is found without holding the pairs of all members."""
+    rng, size = np.random.default_rng(2), 3000
+    common = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    rows = []
+    for i in range(size):
+        members = np.unique(np.append(common[1:], np.uint64(i + 1)))
+        rows.append((7, 0, 0, 0, i, 300, 0, j.set_key(members), j.sketch(members), None))
+    names = ["token", "i", "j", "block", "q", "n", "place", "key", "bits", "failed"]
+    frame = j.pd.DataFrame(rows, columns=names).assign(label=lambda f: f["key"])
+    found = j._pairs_in(frame, Fraction(9, 10), 0, 10_000)
+    assert len(found) == size - 1
+    assert len(set(found["a"]) | set(found["b"])) == size

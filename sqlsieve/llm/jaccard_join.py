@@ -19,7 +19,7 @@ very many documents share is in a prefix only where there is little else.
 Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
 are cut into parts. A list whose members are connected already is not looked at again.
 
-The order comes from exact counts. Texts are read once: their sets are written in chunks of bounded
+The order comes from exact counts of the first 48 bits of each shingle's hash. Texts are read once: their sets are written in chunks of bounded
 size, with equal sets of a chunk once. Each chunk sends its distinct shingles to buckets of their
 hashes, a shingle that several of its sets have as one entry with their number, so a shingle of very
 many documents comes to its bucket once a chunk; back go the counts above one. What no other set
@@ -66,6 +66,7 @@ ROW = (
     "doc_id long, h long, chunk long, place int, n long, key binary, bits binary, wide binary, "
     "found binary"
 )
+BLOB_NAMES = ["bucket", "chunk", "hashes", "places", "counts", "sizes", "keys"]
 BLOB = "bucket long, chunk long, hashes binary, places binary, counts binary, sizes binary, keys binary"
 PREFIX = "key binary, n long, skip long, g long, prefix array<long>"
 
@@ -132,12 +133,27 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
     return stored(docs.mapInPandas(describe, ROW), "sets")
 
 
+def pack(tokens: np.ndarray) -> bytes:
+    """Sorted tokens of 48 bits, their first bytes first, then their second ones: equal bytes lie together."""
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+
+
+def unpack(packed: pd.Series) -> np.ndarray:
+    """The tokens of several packs, in their order."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for pack in packed:
+        rows = np.zeros((len(pack) // 6, 8), dtype=np.uint8)
+        rows[:, 2:] = np.frombuffer(pack, dtype=np.uint8).reshape(6, -1).T
+        out.append(rows.view(">u8").ravel().astype(np.uint64))
+    return np.concatenate(out)
+
+
 def _sent(buckets: int):
     """Cuts the distinct shingles of each chunk by bucket; what several sets have stays with it, too."""
 
     def part(chunk: int, rows: list[tuple[int, int, bytes, bytes]]) -> pd.DataFrame:
         places, sizes, keys, sets = zip(*rows)
-        flat = np.frombuffer(b"".join(sets), dtype=np.uint64)
+        flat = np.frombuffer(b"".join(sets), dtype=np.uint64) >> np.uint64(16)
         place = np.repeat(np.array(places, dtype=np.uint16), sizes)
         order = np.argsort(flat, kind="stable")
         flat, place = flat[order], place[order]
@@ -145,19 +161,20 @@ def _sent(buckets: int):
         count = np.diff(np.append(begin, len(flat)))
         several = np.repeat(count > 1, count)
         own = (
-            None, chunk, flat[several].tobytes(), place[several].tobytes(), None,
+            chunk % buckets, chunk, pack(flat[several]), place[several].tobytes(), None,
             np.array([places, sizes], dtype=np.int64).tobytes(), b"".join(keys),
         )
         flat, place = flat[begin], np.where(count > 1, SEVERAL, place[begin]).astype(np.uint16)
         count = count.astype(np.uint32)
-        bucket = ((flat >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        bucket = ((flat >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() + [len(flat)]
-        out = [
-            (int(bucket[i]), chunk, flat[i:j].tobytes(), place[i:j].tobytes(), count[i:j].tobytes(), None, None)
-            for i, j in zip(cuts, cuts[1:])
-        ]
-        names = ["bucket", "chunk", "hashes", "places", "counts", "sizes", "keys"]
-        return pd.DataFrame([own, *out], columns=names).astype({"bucket": "Int64"})
+        out = [own]
+        for i, j in zip(cuts, cuts[1:]):
+            more = count[i:j][place[i:j] == SEVERAL]  # the others are ones
+            out.append(
+                (int(bucket[i]), chunk, pack(flat[i:j]), place[i:j].tobytes(), more.tobytes(), None, None)
+            )
+        return pd.DataFrame(out, columns=BLOB_NAMES)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, kept = None, []
@@ -175,23 +192,31 @@ def _sent(buckets: int):
 
 
 def _counted(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket the entries whose shingle several sets of the corpus have, with their number."""
-    hashes = np.frombuffer(b"".join(rows["hashes"]), dtype=np.uint64)
+    """Of one bucket the entries whose shingle several sets of the corpus have, with their number.
+
+    What a chunk keeps for itself only passes through.
+    """
+    own = rows[rows["sizes"].notna()]
+    rows = rows[rows["sizes"].isna()]
+    hashes = unpack(rows["hashes"])
+    if not len(hashes):
+        return own
     places = np.frombuffer(b"".join(rows["places"]), dtype=np.uint16)
-    counts = np.frombuffer(b"".join(rows["counts"]), dtype=np.uint32).astype(np.int64)
+    counts = np.ones(len(hashes), dtype=np.int64)
+    counts[places == SEVERAL] = np.frombuffer(b"".join(rows["counts"]), dtype=np.uint32)
     order = np.argsort(hashes)
     same = hashes[order]
     begin = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
     total = np.empty(len(hashes), dtype=np.int64)
     total[order] = np.repeat(np.add.reduceat(counts[order], begin), np.diff(np.append(begin, len(same))))
-    ends = np.cumsum([len(h) // 8 for h in rows["hashes"]])
+    total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
+    ends = np.cumsum([len(p) // 2 for p in rows["places"]])
     out = []
     for chunk, end, size in zip(rows["chunk"], ends.tolist(), np.diff(ends, prepend=0).tolist()):
         at = np.flatnonzero(total[end - size : end] > 1) + end - size
         if len(at):
-            out.append((None, chunk, hashes[at].tobytes(), places[at].tobytes(), total[at].tobytes(), None, None))
-    names = ["bucket", "chunk", "hashes", "places", "counts", "sizes", "keys"]
-    return pd.DataFrame(out, columns=names).astype({"bucket": "Int64"})
+            out.append((0, chunk, pack(hashes[at]), places[at].tobytes(), total[at].tobytes(), None, None))
+    return pd.concat([own, pd.DataFrame(out, columns=BLOB_NAMES)])
 
 
 def _prefixes(threshold: Fraction):
@@ -209,12 +234,12 @@ def _prefixes(threshold: Fraction):
         key = np.zeros(len(n), dtype="V16")
         n[places], key[places] = sizes, names
 
-        hashes, place = joined(rows["hashes"][~own], np.uint64), joined(rows["places"][~own], np.uint16)
-        total = joined(rows["counts"][~own], np.int64)
+        hashes, place = unpack(rows["hashes"][~own]), joined(rows["places"][~own], np.uint16)
+        total = joined(rows["counts"][~own], np.uint32)
         several = place == SEVERAL
         known, first = np.unique(hashes[several], return_index=True)
         counts = total[several][first]
-        local, where = joined(rows["hashes"][own], np.uint64), joined(rows["places"][own], np.uint16)
+        local, where = unpack(rows["hashes"][own]), joined(rows["places"][own], np.uint16)
         hashes = np.concatenate((hashes[~several], local))
         place = np.concatenate((place[~several], where)).astype(np.int64)
         total = np.concatenate((total[~several], counts[np.searchsorted(known, local)]))
@@ -250,13 +275,9 @@ def prefixes(rows: DataFrame, threshold: Fraction) -> DataFrame:
     total = sets.agg(F.sum("n")).first()[0] or 0
     sent = sets.select("chunk", "place", "n", "key", "found")
     sent = sent.mapInPandas(_sent(max(-(-total // CHUNK_SHINGLES), 1)), BLOB)
-    blobs = stored(sent, "blobs", CHUNK_ROWS // 8)
-    back = blobs.where("bucket is not null").groupBy("bucket").applyInPandas(_counted, BLOB)
-    own = blobs.where("bucket is null")
-    chosen = back.union(own).groupBy("chunk").applyInPandas(_prefixes(threshold), PREFIX)
-    found = stored(chosen.dropDuplicates(["key"]), "prefixes")
-    drop_stored(blobs)
-    return found
+    back = sent.groupBy("bucket").applyInPandas(_counted, BLOB)
+    chosen = back.groupBy("chunk").applyInPandas(_prefixes(threshold), PREFIX)
+    return stored(chosen.dropDuplicates(["key"]), "prefixes", CHUNK_ROWS // 8)
 
 
 def grouped(classes: DataFrame) -> DataFrame:

@@ -19,13 +19,16 @@ very many documents share is in a prefix only where there is little else.
 Long posting lists are cut into blocks, and each pair of blocks is a list of its own; large groups
 are cut into parts. A list whose members are connected already is not looked at again.
 
-The order comes from exact counts of the first 48 bits of each shingle's hash. Texts are read once: their sets are written in chunks of bounded
-size, with equal sets of a chunk once. Each chunk sends its distinct shingles to buckets of their
-hashes, a shingle that several of its sets have as one entry with their number, so a shingle of very
-many documents comes to its bucket once a chunk; back go the counts above one. What no other set
-has needs no list, and a set with more shingles of its own than its prefix is long is in none.
-Later steps take whole sets from the written table, chosen by a bit table of fixed size and an exact
-join, once sketches as wide as the sets have ruled out what they can.
+The order comes from exact counts of the first 48 bits of each shingle's hash. Texts are cut into
+chunks of bounded size, with equal sets of a chunk once. Each chunk sends its distinct shingles to
+buckets of their hashes, a shingle that several of its sets have as one entry with their number, so
+a shingle of very many documents comes to its bucket once a chunk; back go the counts above one.
+What no other set has needs no list, and a set with more shingles of its own than its prefix is long
+is in none. Whole sets are larger than the texts and are not written: a pass over the texts writes
+names, sizes and sketches, a second one sends the chunks. Sets that later steps need, once sketches
+as wide as the sets have ruled out what they can, come from their texts, which a bit table of fixed
+size and an exact join choose. A task that runs again must find the same rows, so documents that are
+not read from a table should be written to one first.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
 same with a chance of less than one in 10**10.
@@ -100,10 +103,10 @@ def differing(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def set_rows(docs: DataFrame, width: int) -> DataFrame:
-    """Per document its set, the set's size, name and sketches, and its place in a chunk.
+def _described(width: int, whole: bool):
+    """Names and sizes of sets and their places in chunks; with ``whole`` the sets, else sketches.
 
-    ``found``, the set itself, is null where an earlier row of the chunk has the same one.
+    ``found`` or ``wide`` is null where an earlier row of the chunk has the same set.
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,8 +124,10 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
                     if new:
                         seen.add(key)
                         shingles += n
-                    kept = found.tobytes() if new else None
-                    out.append((chunk, place, n, key, sketch(found), wide_sketch(found), kept))
+                    bits = None if whole else sketch(found)
+                    wide = wide_sketch(found) if new and not whole else None
+                    kept = found.tobytes() if new and whole else None
+                    out.append((chunk, place, n, key, bits, wide, kept))
                 names = ["chunk", "place", "n", "key", "bits", "wide", "found"]
                 part = pd.DataFrame(out, columns=names)
                 for place, name in enumerate(("doc_id", "h")):
@@ -130,7 +135,12 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
                 begin += len(texts)
                 yield part
 
-    return stored(docs.mapInPandas(describe, ROW), "sets")
+    return describe
+
+
+def set_rows(docs: DataFrame, width: int, whole: bool = True) -> DataFrame:
+    """Per document its set, or sketches of it, the set's size, name and place in a chunk."""
+    return docs.mapInPandas(_described(width, whole), ROW)
 
 
 def pack(tokens: np.ndarray) -> bytes:
@@ -148,8 +158,9 @@ def unpack(packed: pd.Series) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sent(buckets: int):
+def _sent(width: int, buckets: int):
     """Cuts the distinct shingles of each chunk by bucket; what several sets have stays with it, too."""
+    describe = _described(width, True)
 
     def part(chunk: int, rows: list[tuple[int, int, bytes, bytes]]) -> pd.DataFrame:
         places, sizes, keys, sets = zip(*rows)
@@ -178,7 +189,8 @@ def _sent(buckets: int):
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, kept = None, []
-        for rows in batches:
+        for rows in describe(batches):  # in one worker with it, not in a second one beside it
+            rows = rows[rows["found"].notna()]
             for chunk, *row in zip(rows["chunk"], rows["place"], rows["n"], rows["key"], rows["found"]):
                 if kept and chunk != now:
                     yield part(now, kept)
@@ -268,13 +280,13 @@ def _prefixes(threshold: Fraction):
     return choose
 
 
-def prefixes(rows: DataFrame, threshold: Fraction) -> DataFrame:
+def prefixes(docs: DataFrame, width: int, threshold: Fraction, total: int) -> DataFrame:
     """Classes that share a shingle of their prefix: ``key``, ``n``, ``prefix`` without what is theirs
-    alone, the number of such (``skip``), and ``g``, equal for equal prefixes."""
-    sets = rows.where("found is not null")
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    sent = sets.select("chunk", "place", "n", "key", "found")
-    sent = sent.mapInPandas(_sent(max(-(-total // CHUNK_SHINGLES), 1)), BLOB)
+    alone, the number of such (``skip``), and ``g``, equal for equal prefixes.
+
+    ``total``: about how many shingles the sets have.
+    """
+    sent = docs.mapInPandas(_sent(width, max(-(-total // CHUNK_SHINGLES), 1)), BLOB)
     back = sent.groupBy("bucket").applyInPandas(_counted, BLOB)
     chosen = back.groupBy("chunk").applyInPandas(_prefixes(threshold), PREFIX)
     return stored(chosen.dropDuplicates(["key"]), "prefixes", CHUNK_ROWS // 8)
@@ -427,11 +439,12 @@ def likely(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFr
     return pairs.join(left, "a").join(right, "b").select("a", "b", linked)
 
 
-def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, width: int, rows: DataFrame, names: DataFrame) -> DataFrame:
     """The whole sets of these names: ``key`` and ``found``."""
-    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    bucket = F.pmod(F.col("h"), F.lit(BUCKETS)).cast("int").alias("bucket")
     wanted = np.zeros(BUCKETS, dtype=bool)
-    wanted[names.select(bucket).distinct().toPandas()["bucket"].to_numpy()] = True
+    texts = rows.where("wide is not null").join(names, "key", "left_semi")
+    wanted[texts.select(bucket).distinct().toPandas()["bucket"].to_numpy()] = True
     flags = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     @F.pandas_udf("boolean")
@@ -440,9 +453,9 @@ def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
         for numbers in batches:
             yield pd.Series(table[numbers.to_numpy()], index=numbers.index)
 
-    # The bit table is looked up on names alone, so that no set goes to Python for it.
-    near = rows.where("found is not null").select("key", "found").where(is_wanted(bucket))
-    return near.join(names, "key", "left_semi").dropDuplicates(["key"])
+    # The bit table is looked up on hashes alone, so that no text goes to Python for it.
+    near = set_rows(docs.where(is_wanted(bucket)), width).where("found is not null")
+    return near.select("key", "found").join(names, "key", "left_semi").dropDuplicates(["key"])
 
 
 def verified(sets: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
@@ -469,9 +482,11 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     component, and the component's name, null for an empty set."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("body"))
     docs = docs.withColumn("h", F.xxhash64("body"))
-    rows = set_rows(docs, width)
-    listed = prefixes(rows, threshold)
-    sketches = rows.where("found is not null").select("key", "n", "bits", "wide")
+    rows = set_rows(docs, width, whole=False).select("doc_id", "h", "n", "key", "bits", "wide")
+    rows = stored(rows, "sets")
+    total = rows.where("wide is not null").agg(F.sum("n")).first()[0] or 0
+    listed = prefixes(docs, width, threshold, total)
+    sketches = rows.where("wide is not null").select("key", "n", "bits", "wide")
     sketches = sketches.join(listed.select("key"), "key", "left_semi").dropDuplicates(["key"])
     sketches = stored(sketches, "sketches")
     groups = stored(grouped(listed.join(sketches.select("key", "bits"), "key")), "groups")
@@ -525,7 +540,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         for known in sets:
             names = names.join(known.select("key"), "key", "left_anti")
         if not names.isEmpty():  # as in the first round; later ones mostly pair what was paired before
-            sets.append(stored(sets_of(rows, names), "known"))
+            sets.append(stored(sets_of(docs, width, rows, names), "known"))
         known = reduce(DataFrame.union, sets) if sets else None
         new = verified(known, unknown, threshold) if sets else unknown
         new = new.union(judged.where("linked is not null"))

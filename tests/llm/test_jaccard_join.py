@@ -116,7 +116,7 @@ def test_prefixes_are_in_the_order_of_exact_counts(spark, monkeypatch, rows, shi
     texts = sorted({t for _, t in corpus(3) if t})
     docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, h long, body string")
     threshold = Fraction(4, 5)
-    found = {bytes(r["key"]): r for r in j.prefixes(j.set_rows(docs, 3), threshold).collect()}
+    found = {bytes(r["key"]): r for r in j.prefixes(docs, 3, threshold, 5_000).collect()}
     sets = {shingles_of.tobytes(): shingles_of for shingles_of in j.shingle_sets(texts, 3) if len(shingles_of)}
     names = {j.set_key(s): s for s in sets.values()}
     chunks = {}

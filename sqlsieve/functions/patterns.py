@@ -1,8 +1,10 @@
 """Compile the phrase lists of ``rules.py`` into regular expressions.
 
-Two flavours of the same phrases: ``SPARK`` for Catalyst's Java regexes, with the character
+Three flavours of the same phrases: ``SPARK`` for Catalyst's Java regexes, with the character
 classes spelled out so that letters, digits and white space mean what they mean in Unicode text,
-and ``RE2`` for SQL engines whose regexes know neither lookarounds nor atomic groups.
+``ASCII`` for the same regexes on upper-cased texts of that alphabet alone, where they need no case
+folding and only small character classes, and ``RE2`` for SQL engines whose regexes know neither
+lookarounds nor atomic groups.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ class Flavour(NamedTuple):
     word_start: str
     word_end: str
     atomic: bool
+    upper: bool = False
 
 
 SPARK = Flavour(
@@ -44,6 +47,18 @@ SPARK = Flavour(
     word_end=r"(?![\p{L}\p{N}_])",
     atomic=True,
 )
+# What SPARK finds in a text of ASCII characters, this finds in the upper-cased text.
+ASCII = Flavour(
+    flags="(?s)",
+    space=r"[\t-\r\x1C-\x20]",
+    name="[A-Z0-9_]",
+    digit="[0-9]",
+    non_end=r"[^\n\r\x0B\f\x1C-\x1E]",
+    word_start="(?<![A-Z0-9_])",
+    word_end="(?![A-Z0-9_])",
+    atomic=True,
+    upper=True,
+)
 RE2 = Flavour(
     flags="(?is)",
     space=r"\s",
@@ -73,11 +88,12 @@ def _piece(text: str, fl: Flavour) -> str:
         "one": r"[^\n]",
         "opt": fl.non_end + "?",
     }
+    literal = (lambda t: escape(t.upper())) if fl.upper else escape
     out, at = "", 0
     for m in _PLACEHOLDER.finditer(text):
-        out += escape(text[at:m.start()]) + atoms[m.group(1)]
+        out += literal(text[at:m.start()]) + atoms[m.group(1)]
         at = m.end()
-    return out + escape(text[at:])
+    return out + literal(text[at:])
 
 
 def _token(token: str, fl: Flavour) -> str:
@@ -147,6 +163,11 @@ def is_span(text: str) -> bool:
     return " ... " in text
 
 
+def longest_word(text: str) -> str:
+    """The longest word of a literal text, without which the text cannot occur."""
+    return max(re.findall(r"\w+", _PLACEHOLDER.sub(" ", text)), key=len)
+
+
 def guard_words(text: str) -> list[list[str]]:
     """Plain upper-case words without which a phrase cannot occur.
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules, text
-from .dialect import finds_any, folded, is_dialect
-from .patterns import any_phrase, any_text, either
+from .dialect import finds_any, folded, is_dialect, may_hold
+from .patterns import any_phrase, any_text, either, longest_word
 from .text import any_of, as_column, let, split_lines
 
 
@@ -42,7 +42,8 @@ def comments_ok(split: Column) -> Column:
 def not_generated(split: Column, upper: Column | None = None) -> Column:
     """No generator's note in the first lines. ``upper`` may be that of the whole text."""
     head = F.array_join(F.slice(split, 1, rules.HEADER_LINES), "\n")
-    return ~finds_any(head, rules.GENERATED_PHRASES, upper)
+    found = finds_any(head, rules.GENERATED_PHRASES)
+    return ~found if upper is None else ~(may_hold(upper, rules.GENERATED_PHRASES) & found)
 
 
 # Rules over the whole text.
@@ -59,17 +60,24 @@ def is_migration_path(path: Column | str) -> Column:
     )
 
 
-def is_migration_header(content: Column | str) -> Column:
+def is_migration_header(content: Column | str, upper: Column | None = None) -> Column:
+    """``upper`` is the folded whole text if already at hand."""
     start = F.substring(as_column(content), 1, rules.MIGRATION_HEADER_CHARS)
-    return start.rlike(
+    found = start.rlike(
         either(
             any_phrase(rules.MIGRATION_HEADER_PHRASES), any_text(rules.MIGRATION_HEADER_TEXTS)
         )
     )
+    if upper is None:
+        return found
+    words = [longest_word(t) for t in rules.MIGRATION_HEADER_TEXTS]
+    return may_hold(upper, rules.MIGRATION_HEADER_PHRASES + words) & found
 
 
-def is_migration(path: Column | str, content: Column | str) -> Column:
-    return is_migration_path(path) | is_migration_header(content)
+def is_migration(
+    path: Column | str, content: Column | str, upper: Column | None = None
+) -> Column:
+    return is_migration_path(path) | is_migration_header(content, upper)
 
 
 def has_statement(content: Column | str) -> Column:
@@ -88,7 +96,7 @@ def quality_rules(
         ("alnum", alnum_ok(content)),
         ("comments", comments_ok(split)),
         ("autogen", not_generated(split, upper)),
-        ("migration", ~is_migration(path, content)),
+        ("migration", ~is_migration(path, content, upper)),
         ("dialect", is_dialect(content, upper)),
         ("statement", has_statement(content)),
     ]

@@ -1,8 +1,13 @@
 """Each marker with one text that shows it and one near miss, and every threshold on both sides."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from sqlsieve.functions import dialect, quality, rules
+from sqlsieve.functions.patterns import ASCII, any_phrase
+from sqlsieve.functions.text import split_lines
 
 STRONG = [
     ("x\nGO\ny", "GOAL"), ("go", "a_go"), ("(nolock)", "nolocks"), ("NOEXPAND", "NOEXPANDS"),
@@ -198,3 +203,29 @@ def test_dialect_and_statement(values):
 def test_many_merges_stay_linear(values):
     text = "MERGE " * 3300
     assert values([text], dialect.is_modern("content")) == [False]
+
+
+def test_ascii_texts_have_the_same_matches_upper_cased(values):
+    """The flavour for upper-cased ASCII texts finds what the Unicode one finds in the texts themselves."""
+    rng = random.Random(11)
+    words = [w for m, n in STRONG + FOREIGN + MODERN for w in (m, n)]
+    glue = [" ", "\n", "\x1c", "\x1f", "_", "9", "(", ".", "\t", "\x0b", "@", "-"]
+    texts = ["".join(rng.choice(words) + rng.choice(glue) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    lists = [rules.DIALECT_MARKERS, rules.FOREIGN_MARKERS, rules.MODERN_MARKERS, *[p for _, _, p in rules.FEATURES]]
+    lists += [rules.GENERATED_PHRASES, rules.MIGRATION_HEADER_PHRASES]
+    text = F.col("content")
+    columns = [F.upper(text).rlike(any_phrase(p, ASCII)) == text.rlike(any_phrase(p)) for p in lists]
+    assert all(all(r) for r in values(texts + [t.lower() for t in texts], *columns))
+
+
+def test_notes_of_migrations_and_generators_with_the_folded_text_at_hand(values):
+    texts = ["-- migration id: 7", "-- Mıgratıon İd = 7", "x", "this migration was auto-generated", 600 * "-" + "migration id: 7",
+             "[dbo].[__efmigrations", "-- generated by tool", 40 * "x\n" + "generated by tool"]
+    upper, text = dialect.folded(F.col("content")), F.col("content")
+    lines = split_lines(text)
+    found = values(
+        texts,
+        quality.is_migration_header(text, upper) == quality.is_migration_header(text),
+        quality.not_generated(lines, upper) == quality.not_generated(lines),
+    )
+    assert found == [(True, True)] * len(texts)

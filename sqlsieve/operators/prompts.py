@@ -7,7 +7,7 @@ The model call stays outside: prompts leave as a table, answers come back as one
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -67,17 +67,20 @@ def prompt_id(
     return F.sha2(F.concat_ws("\x00", F.lit(version), F.lit(digest), chunk), 256)
 
 
-def file_chunks(records: DataFrame, max_chunks: int | None = None) -> DataFrame:
+def file_chunks(
+    records: DataFrame, max_chunks: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per chunk of each file, numbered from 1, short ones included.
 
-    ``max_chunks`` keeps the first ones of each file.
+    ``max_chunks`` keeps the first ones of each file; ``keep`` names more columns of the file.
     """
     keyed = with_rank_key(with_content(records))
     chunks = extract_chunks("content")
     capped = chunks if max_chunks is None else F.slice(chunks, 1, max_chunks)
     chunks = keyed.select(
-        *FILE_COLUMNS, *RANK_COLUMNS, "content_hash", F.posexplode(capped).alias("_pos", "chunk")
-    )
+        *FILE_COLUMNS, *RANK_COLUMNS, "content_hash", *keep,
+        F.posexplode(capped).alias("_pos", "chunk"),
+    )
     return chunks.withColumn("chunk_no", F.col("_pos") + 1).drop("_pos")
 
 
@@ -91,13 +94,15 @@ def prompt_table(
     template: str = TEMPLATE,
     version: str = TEMPLATE_VERSION,
     max_chunks: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Prompts with their file's columns and rank key. No shuffle."""
-    return sendable(file_chunks(records, max_chunks)).select(
+    """Prompts with their file's columns, those that ``keep`` names too, and rank key. No shuffle."""
+    return sendable(file_chunks(records, max_chunks, keep)).select(
         prompt_id(F.col("chunk"), version, template).alias("prompt_id"),
         *FILE_COLUMNS,
         *RANK_COLUMNS,
         "content_hash",
+        *keep,
         "chunk_no",
         render_prompt(F.col("chunk"), template).alias("prompt"),
     )

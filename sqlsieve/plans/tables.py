@@ -19,6 +19,9 @@ from ..session import new_table_path, spread
 from ..sources.blobs import save_store
 from . import fixtures
 
+#: Written files of so many texts are read again by a task each.
+ROWS_PER_FILE = 700_000
+
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -40,7 +43,8 @@ class Tables:
         query = fixtures.SQL_FILES_RICH if rich else fixtures.SQL_FILES
         orders = self("orders").select("o_orderkey", "o_custkey")
         return self.stored(
-            "rich_files" if rich else "sql_files", lambda: self.sql(query, orders=spread(orders))
+            "rich_files" if rich else "sql_files",
+            lambda: self.sql(query, orders=spread(orders, ROWS_PER_FILE)),
         )
 
     def _flat_repos(self) -> DataFrame:
@@ -133,17 +137,19 @@ class Tables:
 
     def prompts(self) -> DataFrame:
         """The prompt table as it leaves for the model."""
-        return self.stored("prompts", lambda: prompt_table(self.corpus_records()))
+        return self._numbered_prompts().drop("file_id")
+
+    def _numbered_prompts(self) -> DataFrame:
+        """The prompt table with the numbers of the files; contents are cut into chunks for it alone."""
+        return self.stored("prompts", lambda: prompt_table(self.corpus_records(), keep=["file_id"]))
 
     def responses(self) -> DataFrame:
         """The answer table as it comes back."""
         return self.stored("responses", self._responses)
 
     def _responses(self) -> DataFrame:
-        records = self.corpus_records()
-        # The prompt id depends on the chunk alone, so the file's number may travel as its source.
-        ids = prompt_table(records.withColumn("source", F.col("file_id").cast("string")))
-        keys = ids.groupBy("prompt_id").agg(F.min(F.col("source").cast("long")).alias("file_id"))
+        ids = self._numbered_prompts()
+        keys = ids.groupBy("prompt_id").agg(F.min("file_id").alias("file_id"))
         return self.sql(fixtures.RESPONSES, prompt_keys=keys)
 
 

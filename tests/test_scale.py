@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sqlsieve.operators import corpus, gold, joins, numbering, repos
+from sqlsieve.plans import tables as given
 from sqlsieve.plans.queries import REGISTRY
 from sqlsieve.plans.tables import Tables
+from sqlsieve.session import spread
 from sqlsieve.sources import blobs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -229,3 +231,26 @@ def test_a_store_is_opened_again(spark, tmp_path):
     assert joined.count() == 50 and all("data" not in m for m in exchanges(joined)[0])
     for table in ("store_one", "store_two"):
         spark.sql(f"drop table {table}")
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    """All rows in one of many pieces, as a file of one row group comes: no task keeps them."""
+    clumped = spark.range(0, 64_000, 1, 16).where("id < 4000")
+    assert clumped.rdd.getNumPartitions() == 16
+    sizes = spread(clumped, 100).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 40 and max(r["count"] for r in sizes) <= 110
+    assert rows(spread(clumped)) == rows(clumped)
+    assert spread(clumped).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_contents_are_cut_into_chunks_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(given, "_stored", {})
+    cut = given.prompt_table
+    monkeypatch.setattr(given, "prompt_table", lambda *a, **k: calls.append(1) or cut(*a, **k))
+    t = Tables(spark, FOLDER)
+    asked, answered = t.prompts(), t.responses()
+    assert len(calls) == 1 and "file_id" not in asked.columns
+    ids = {r[0] for r in asked.select("prompt_id").collect()}
+    found = [r[0] for r in answered.select("prompt_id").collect()]
+    assert found and set(found) <= ids and len(set(found)) == len(found)

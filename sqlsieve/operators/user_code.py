@@ -1,7 +1,13 @@
-"""The caller's own Python over batches of rows."""
+"""The caller's own Python over batches of rows.
+
+Pandas leaves accessors, such as the one behind ``.str``, on the objects that they refer to. Batches in
+such circles would stay in a worker until a full collection, which is rare, so the caller's code gets a
+view of each batch and the views are collected before the next one.
+"""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,7 +25,9 @@ def keep_if(test: Callable[..., pd.Series], *columns: str) -> Column:
 
     @F.pandas_udf(BooleanType())
     def run(*series: pd.Series) -> pd.Series:
-        return pd.Series(test(*series)).astype(bool)
+        kept = pd.Series(test(*[s.copy(deep=False) for s in series])).astype(bool)
+        gc.collect(1)
+        return kept
 
     return run(*columns)
 
@@ -31,6 +39,8 @@ def map_batches(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield change(batch)
+            changed = change(batch.copy(deep=False))
+            gc.collect(1)
+            yield changed
 
     return df.mapInPandas(run, schema)

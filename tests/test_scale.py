@@ -1,12 +1,15 @@
 """Hot keys, caps and numbering: same rows as the plain form, and no task with a whole group."""
 
+import gc
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sqlsieve.operators import corpus, gold, joins, numbering, repos
+from sqlsieve.operators.user_code import keep_if
 from sqlsieve.plans import tables as given
 from sqlsieve.plans.queries import REGISTRY
 from sqlsieve.plans.tables import Tables
@@ -254,3 +257,19 @@ def test_contents_are_cut_into_chunks_once(spark, monkeypatch):
     ids = {r[0] for r in asked.select("prompt_id").collect()}
     found = [r[0] for r in answered.select("prompt_id").collect()]
     assert found and set(found) <= ids and len(set(found)) == len(found)
+
+
+def test_batches_do_not_stay_in_a_worker(spark):
+    """Objects that the caller's code ties into a circle are gone when the next batch comes."""
+
+    def grown(texts):
+        seen = sum(isinstance(o, pd.Series) and len(o) == 100 for o in gc.get_objects())
+        return (texts.str.len() > 0) & (seen <= 12)
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        texts = spark.range(0, 10_000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("t"))
+        assert texts.where(keep_if(grown, "t")).count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

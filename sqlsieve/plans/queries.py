@@ -506,6 +506,11 @@ def _outcomes(t: Tables) -> DataFrame:
     return prompts.with_outcome(prompts.with_answers(t.prompts(), t.responses()))
 
 
+def _written_outcomes(t: Tables) -> DataFrame:
+    """The outcomes for cuts and sorts, which pass over them several times: joined and parsed once."""
+    return t.stored("outcomes", lambda: _outcomes(t))
+
+
 @query(twin("select repo_name, path, chunk_no, outcome from outcomes", "outcomes"))
 def answer_outcomes(t: Tables) -> DataFrame:
     return _outcomes(t).select("repo_name", "path", "chunk_no", "outcome")
@@ -533,7 +538,7 @@ _TOP = f"""select * from outcomes where outcome = 'accepted'
     "outcomes", "top", top=_TOP,
 ))
 def top_pairs(t: Tables) -> DataFrame:
-    pairs = prompts.top_pairs(_outcomes(t), PAIR_CAP)
+    pairs = prompts.top_pairs(_written_outcomes(t), PAIR_CAP)
     return pairs.drop("prompt_id", "chunk_no").withColumn("tsql_features", listed("tsql_features"))
 
 
@@ -548,7 +553,7 @@ def resumed_pairs(t: Tables) -> DataFrame:
     """The first 10 pairs written, then the first 20 into the same folder: none lies there twice."""
     path = new_table_path(t.spark, "resumed")
     for n in (10, 20):
-        sinks.write_pairs(prompts.top_pairs(_outcomes(t), n), path)
+        sinks.write_pairs(prompts.top_pairs(_written_outcomes(t), n), path)
     raw = t.spark.read.json(f"{path}/raw")
     return raw.select("prompt_id", "source_path", "source_repo", "instruction")
 
@@ -569,7 +574,7 @@ def recovered_pairs(t: Tables) -> DataFrame:
     Each form must hold each pair once. Forms without a key are told apart by their texts.
     """
     path = new_table_path(t.spark, "recovered")
-    pairs = t.stored("all_pairs", lambda: prompts.top_pairs(_outcomes(t)))
+    pairs = t.stored("all_pairs", lambda: prompts.top_pairs(_written_outcomes(t)))
     sinks.write_pairs(pairs.where(F.pmod(F.xxhash64("prompt_id"), F.lit(2)) == 0), path)
 
     def failing(rows: DataFrame, folder: str) -> None:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sqlsieve.operators import corpus, gold, joins, numbering, repos
+from sqlsieve.operators import corpus, gold, joins, numbering, prompts, repos
 from sqlsieve.operators.user_code import keep_if
 from sqlsieve.plans import tables as given
 from sqlsieve.plans.queries import REGISTRY
@@ -273,3 +273,14 @@ def test_batches_do_not_stay_in_a_worker(spark):
         assert texts.where(keep_if(grown, "t")).count() == 10_000
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+@pytest.mark.parametrize("name", ["top_pairs", "resumed_pairs", "recovered_pairs"])
+def test_answers_meet_their_prompts_once(spark, monkeypatch, name):
+    """Cuts and sorts pass over written outcomes and not over the join again."""
+    seen = []
+    cut = prompts.top_pairs
+    monkeypatch.setattr(given, "_stored", {})
+    monkeypatch.setattr(prompts, "top_pairs", lambda df, *a: seen.append(df) or cut(df, *a))
+    REGISTRY[name].run(Tables(spark, FOLDER))
+    assert seen and not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)

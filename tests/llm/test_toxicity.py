@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from sqlsieve.llm import toxicity
 
 
@@ -90,3 +92,27 @@ def test_whole_texts_are_trained_on_and_ids_once(spark, monkeypatch):
     marked = toxicity.features("grublik vorzak xemmpo")
     assert any(set(marked.tolist()) & set(r.tolist()) for r in taken[0])
     assert models[0][0][marked].max() > 0
+
+
+def test_only_features_that_tell_classes_apart_reach_the_driver(spark, monkeypatch):
+    taken = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: taken.append(a) or fit(*a))
+    rows = [(i, t + f" only{i}here", k) for i, t, k in corpus(200)]
+    docs, labels = tables(spark, rows)
+    model = toxicity.train(docs, labels)
+    (found, toxic, share), = taken
+    known = [(toxicity.features(t), k) for i, t, k in rows if zlib.crc32(str(i).encode()) % 5]
+    assert len(found) <= len(known) and sum(map(len, found)) < sum(len(f) for f, _ in known) / 2
+    seen = {}
+    for f in found:
+        for bucket in f.tolist():
+            seen[bucket] = seen.get(bucket, 0) + 1
+    assert seen and min(seen.values()) >= toxicity.LEAST_TEXTS
+    whole = {f.tobytes(): f for f, _ in known}.values()
+    matched = [next(w for w in whole if len(np.setdiff1d(f, w)) == 0) for f in found if len(f)]
+    assert len(matched) > len(found) / 2
+    # The model is that of whole texts, whatever number of features is summed at a time.
+    monkeypatch.setattr(toxicity, "FEATURES_AT_ONCE", 7)
+    again = fit(found, toxic, share)
+    assert (again[0] == model[0]).all() and again[1] == model[1]

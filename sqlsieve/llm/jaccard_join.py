@@ -26,8 +26,8 @@ a shingle of very many documents comes to its bucket once a chunk; back go the c
 What no other set has needs no list, and a set with more shingles of its own than its prefix is long
 is in none. Whole sets are larger than the texts and are not written: a pass over the texts writes
 names, sizes and sketches, a second one sends the chunks. Sets that later steps need, once sketches
-as wide as the sets have ruled out what they can, come from their texts, which a bit table of fixed
-size and an exact join choose. A task that runs again must find the same rows, so documents that are
+as wide as the sets have ruled out what they can, come from their texts, which buckets of their hashes,
+of a fixed number, and an exact join choose. A task that runs again must find the same rows, so documents that are
 not read from a table should be written to one first.
 
 Sets hold 64-bit hashes of shingles; two different shingles of a pair of documents are taken as the
@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_chars, drop_stored, free_name, or_empty, stored
+from .common import by_chars, drop_stored, free_name, or_empty, stored, trim, trimmed
 from .components import components
 from .shingles import mix, set_key, shingle_sets
 
@@ -62,6 +62,8 @@ PAIRS_AT_ONCE = 256  # pairs of whole sets that go to Python together
 FOREST_PAIRS = 200_000  # pairs that are put in order together
 GROUP_PART = 64
 BUCKETS = 1 << 20
+TEXTS_AT_ONCE = 1 << 10  # texts that go to Python together
+CHARS_AT_ONCE = 1 << 18  # characters whose shingles are made together
 CHUNK_ROWS = 1 << 13
 CHUNK_SHINGLES = 1 << 20
 SEVERAL = 0xFFFF  # in place of the place of a set: several sets of the chunk have the shingle
@@ -113,7 +115,7 @@ def _described(width: int, whole: bool):
         chunk, seen, shingles = TaskContext.get().partitionId() << 32, set(), 0
         for rows in batches:
             begin = 0
-            for texts in by_chars(rows["body"]):
+            for texts in by_chars(rows["body"], CHARS_AT_ONCE):
                 out = []
                 for found in shingle_sets(texts, width):
                     n, key = len(found), set_key(found)
@@ -134,6 +136,7 @@ def _described(width: int, whole: bool):
                     part.insert(place, name, rows[name].iloc[begin : begin + len(texts)].array)
                 begin += len(texts)
                 yield part
+        trim()
 
     return describe
 
@@ -199,6 +202,8 @@ def _sent(width: int, buckets: int):
                 kept.append(row)
         if kept:
             yield part(now, kept)
+            kept = []
+        trim()
 
     return send
 
@@ -287,8 +292,8 @@ def prefixes(docs: DataFrame, width: int, threshold: Fraction, total: int) -> Da
     ``total``: about how many shingles the sets have.
     """
     sent = docs.mapInPandas(_sent(width, max(-(-total // CHUNK_SHINGLES), 1)), BLOB)
-    back = sent.groupBy("bucket").applyInPandas(_counted, BLOB)
-    chosen = back.groupBy("chunk").applyInPandas(_prefixes(threshold), PREFIX)
+    back = sent.groupBy("bucket").applyInPandas(trimmed(_counted), BLOB)
+    chosen = back.groupBy("chunk").applyInPandas(trimmed(_prefixes(threshold)), PREFIX)
     return stored(chosen.dropDuplicates(["key"]), "prefixes", CHUNK_ROWS // 8)
 
 
@@ -351,6 +356,7 @@ def _passing(threshold: Fraction, spares: int, forest: int):
                 yield _pairs_in(rows.iloc[:whole], threshold, spares, forest)
         if rest is not None and len(rest):
             yield _pairs_in(rest, threshold, spares, forest)
+        trim()
 
     return find
 
@@ -442,19 +448,12 @@ def likely(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFr
 def sets_of(docs: DataFrame, width: int, rows: DataFrame, names: DataFrame) -> DataFrame:
     """The whole sets of these names: ``key`` and ``found``."""
     bucket = F.pmod(F.col("h"), F.lit(BUCKETS)).cast("int").alias("bucket")
-    wanted = np.zeros(BUCKETS, dtype=bool)
     texts = rows.where("wide is not null").join(names, "key", "left_semi")
-    wanted[texts.select(bucket).distinct().toPandas()["bucket"].to_numpy()] = True
-    flags = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted))
-
-    @F.pandas_udf("boolean")
-    def is_wanted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = np.unpackbits(flags.value).astype(bool)
-        for numbers in batches:
-            yield pd.Series(table[numbers.to_numpy()], index=numbers.index)
-
-    # The bit table is looked up on hashes alone, so that no text goes to Python for it.
-    near = set_rows(docs.where(is_wanted(bucket)), width).where("found is not null")
+    # At most so many numbers are broadcast. Texts of other buckets are neither shuffled nor go to
+    # Python, and a task has one worker, not a second one that looks them up.
+    wanted = F.broadcast(texts.select(bucket).distinct())
+    chosen = docs.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").drop("bucket")
+    near = set_rows(chosen, width).where("found is not null")
     return near.select("key", "found").join(names, "key", "left_semi").dropDuplicates(["key"])
 
 
@@ -483,7 +482,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("body"))
     docs = docs.withColumn("h", F.xxhash64("body"))
     rows = set_rows(docs, width, whole=False).select("doc_id", "h", "n", "key", "bits", "wide")
-    rows = stored(rows, "sets")
+    rows = stored(rows, "sets", TEXTS_AT_ONCE)
     total = rows.where("wide is not null").agg(F.sum("n")).first()[0] or 0
     listed = prefixes(docs, width, threshold, total)
     sketches = rows.where("wide is not null").select("key", "n", "bits", "wide")
@@ -540,7 +539,7 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         for known in sets:
             names = names.join(known.select("key"), "key", "left_anti")
         if not names.isEmpty():  # as in the first round; later ones mostly pair what was paired before
-            sets.append(stored(sets_of(docs, width, rows, names), "known"))
+            sets.append(stored(sets_of(docs, width, rows, names), "known", TEXTS_AT_ONCE))
         known = reduce(DataFrame.union, sets) if sets else None
         new = verified(known, unknown, threshold) if sets else unknown
         new = new.union(judged.where("linked is not null"))

@@ -151,3 +151,27 @@ def test_a_large_group_of_near_copies_stays_in_bounds():
     found = j._pairs_in(frame, Fraction(9, 10), 0, 10_000)
     assert len(found) == size - 1
     assert len(set(found["a"]) | set(found["b"])) == size
+
+
+def test_whole_sets_come_from_one_worker_a_task(spark, capsys):
+    """A second Python worker beside the one that makes sets is memory that every task takes."""
+    texts = [t for _, t in corpus(5)] + [None, ""]
+    docs = spark.createDataFrame([(i, t or "") for i, t in enumerate(texts)], "doc_id long, body string")
+    docs = docs.withColumn("h", j.F.xxhash64("body"))
+    rows = j.set_rows(docs, 3, whole=False)
+    sets = {j.set_key(s): s.tobytes() for s in j.shingle_sets([t or "" for t in texts], 3) if len(s)}
+    names = spark.createDataFrame([(k,) for k in sorted(sets)[::2]], "key binary")
+    found = j.sets_of(docs, 3, rows.localCheckpoint(), names)
+    assert {bytes(r["key"]): bytes(r["found"]) for r in found.collect()} == {k: sets[k] for k in sorted(sets)[::2]}
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInPandas") >= 1 and "ArrowEvalPython" not in plan
+
+
+def test_a_worker_gives_freed_memory_back(monkeypatch):
+    called = []
+    monkeypatch.setattr(j, "trim", lambda: called.append(1))
+    rows = j.pd.DataFrame({"doc_id": [1, 2], "h": [1, 2], "body": ["a b c d", "e f g h"]})
+    monkeypatch.setattr(j, "TaskContext", type("T", (), {"get": lambda: type("C", (), {"partitionId": lambda s: 0})()}))
+    assert sum(map(len, j._described(3, True)(iter([rows])))) == 2 and called == [1]
+    assert sum(map(len, j._sent(3, 4)(iter([rows])))) >= 2 and len(called) >= 2

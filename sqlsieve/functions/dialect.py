@@ -27,7 +27,7 @@ def folded(text: Column) -> Column:
 
     def fold_rest(upper: Column) -> Column:
         rest = reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), _UNFOLDED, upper)
-        return F.when(F.octet_length(upper) == F.length(upper), upper).otherwise(rest)
+        return F.when(F.octet_length(text) == F.length(text), upper).otherwise(rest)
 
     return let(F.upper(text), fold_rest)
 

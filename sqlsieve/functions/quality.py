@@ -28,11 +28,11 @@ def line_count_ok(split: Column) -> Column:
 
 
 def longest_line_ok(split: Column) -> Column:
-    return text.longest_line(split) <= rules.MAX_LINE_LENGTH
+    return text.all_lines_within(split, rules.MAX_LINE_LENGTH)
 
 
 def mean_line_ok(split: Column) -> Column:
-    return text.mean_line_length(split) <= rules.MAX_MEAN_LINE_LENGTH
+    return text.mean_line_within(split, rules.MAX_MEAN_LINE_LENGTH)
 
 
 def comments_ok(split: Column) -> Column:
@@ -50,7 +50,7 @@ def not_generated(split: Column, upper: Column | None = None) -> Column:
 
 
 def alnum_ok(content: Column | str) -> Column:
-    return text.alnum_share(content) >= rules.MIN_ALNUM_SHARE
+    return text.alnum_share_from(content, rules.MIN_ALNUM_SHARE)
 
 
 def is_migration_path(path: Column | str) -> Column:

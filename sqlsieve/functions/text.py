@@ -6,17 +6,19 @@ one expression wherever Catalyst moves it, also when a filter is pushed below th
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import LINE_END, LINE_ENDS, SPACE_CHARS, escape
+from .patterns import INLINE_SPACES, LINE_END, LINE_ENDS, SPACE_CHARS, escape
 from .rules import COMMENT_STARTS
 
-_INLINE_SPACE_CHARS = "".join(c for c in SPACE_CHARS if len(f"a{c}b".splitlines()) == 1)
 _RARE_LINE_ENDS = [c for c in SPACE_CHARS if len(f"a{c}b".splitlines()) == 2 and c != "\n"]
+_ASCII_ALNUM = string.digits + string.ascii_letters
+_COMMENT = rf"\A[{INLINE_SPACES}]*+(?:{'|'.join(escape(s) for s in COMMENT_STARTS)})"
 
 
 def as_column(c: Column | str) -> Column:
@@ -37,20 +39,30 @@ def strip(text: Column | str) -> Column:
     return F.btrim(as_column(text), F.lit(SPACE_CHARS))
 
 
+def has_rare_end(text: Column) -> Column:
+    """Holds a line end other than a newline. Only texts beyond ASCII are searched for those beyond it."""
+
+    def holds(ends: list[str]) -> Column:
+        return any_of([text.contains(c) for c in ends])
+
+    beyond = [c for c in _RARE_LINE_ENDS if not c.isascii()]
+    return holds([c for c in _RARE_LINE_ENDS if c.isascii()]) | (
+        (F.octet_length(text) > F.length(text)) & holds(beyond)
+    )
+
+
 def split_lines(text: Column | str) -> Column:
     """Lines without their ends, plus an empty one after a final line end.
 
     Plain newlines are the fast path; the other line ends are rewritten first where they occur.
+    A replacement compares the text at each byte, so it costs more than all of the searches.
     """
-    unix = F.replace(as_column(text), F.lit("\r\n"), F.lit("\n"))
-    plain = let(
-        unix,
-        lambda t: F.when(
-            any_of([t.contains(c) for c in _RARE_LINE_ENDS]),
-            F.regexp_replace(t, f"[{LINE_ENDS}]", "\n"),
-        ).otherwise(t),
-    )
-    return F.split(plain, "\n")
+
+    def plain(t: Column) -> Column:
+        unix = F.replace(t, F.lit("\r\n"), F.lit("\n"))
+        return F.when(has_rare_end(t), F.regexp_replace(unix, f"[{LINE_ENDS}]", "\n")).otherwise(t)
+
+    return F.split(let(as_column(text), plain), "\n")
 
 
 def lines(text: Column | str) -> Column:
@@ -77,7 +89,7 @@ def lines_with_ends(text: Column | str) -> Column:
         lambda t: any_of([t.contains(c) for c in _RARE_LINE_ENDS]),
     )
     return F.when(
-        odd_ends, F.regexp_extract_all(text, F.lit(rf"(?s).*?{LINE_END}|.+\z"), F.lit(0))
+        has_rare_end(text) & odd_ends, F.regexp_extract_all(text, F.lit(rf"(?s).*?{LINE_END}|.+\z"), F.lit(0))
     ).otherwise(let(F.split(text, "\n"), by_newline))
 
 
@@ -93,28 +105,31 @@ def longest_line(split: Column) -> Column:
     return F.array_max(F.transform(split, F.length))
 
 
+def all_lines_within(split: Column, most: int) -> Column:
+    """No line is longer. Bytes, whose number is at hand, settle it for nearly all of them."""
+    return F.forall(split, lambda line: (F.octet_length(line) <= most) | (F.length(line) <= most))
+
+
 def chars_in_lines(split: Column) -> Column:
     return F.aggregate(split, F.lit(0), lambda acc, line: acc + F.length(line))
 
 
 def comment_lines(split: Column) -> Column:
     """Lines whose first visible characters open a comment."""
-    starts = "|".join(escape(s) for s in COMMENT_STARTS)
-    width = max(map(len, COMMENT_STARTS))
-    return F.size(
-        F.filter(
-            split,
-            lambda line: F.substring(F.ltrim(line, F.lit(_INLINE_SPACE_CHARS)), 1, width).rlike(
-                rf"\A(?:{starts})"
-            ),
-        )
-    )
+    return F.size(F.filter(split, lambda line: line.rlike(_COMMENT)))
 
 
 def mean_line_length(split: Column) -> Column:
     return chars_in_lines(split) / F.greatest(line_count(split), F.lit(1))
 
 
+def mean_line_within(split: Column, most: int) -> Column:
+    """The mean length is no more; characters are counted where the bytes are too many."""
+    size = F.aggregate(split, F.lit(0), lambda acc, line: acc + F.octet_length(line))
+    few = size <= F.greatest(line_count(split), F.lit(1)) * most
+    return F.when(few, F.lit(True)).otherwise(mean_line_length(split) <= most)
+
+
 def comment_share(split: Column) -> Column:
     return comment_lines(split) / F.greatest(line_count(split), F.lit(1))
 
@@ -132,12 +147,28 @@ def line_stats(text: Column | str) -> Column:
     )
 
 
+def _alnum_chars(t: Column) -> Column:
+    ascii_only = F.octet_length(t) == F.length(t)
+    plain = F.regexp_replace(t, f"[^{_ASCII_ALNUM}]+", "")
+    # What stays of a text of ASCII characters is as many bytes as characters.
+    return F.when(ascii_only, F.octet_length(plain)).otherwise(
+        F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
+    )
+
+
 def alnum_share(text: Column | str) -> Column:
-    def share(t: Column) -> Column:
-        kept = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
-        return kept / F.greatest(F.length(t), F.lit(1))
+    return let(as_column(text), lambda t: _alnum_chars(t) / F.greatest(F.length(t), F.lit(1)))
+
+
+def alnum_share_from(text: Column | str, least: float) -> Column:
+    """The share is at least that. The first half of most texts has enough for the whole."""
+
+    def enough(t: Column) -> Column:
+        head = let(F.substring(t, F.lit(1), F.ceil(F.length(t) / 2).cast("int")), _alnum_chars)
+        settled = head / F.greatest(F.length(t), F.lit(1)) >= least
+        return F.when(settled, F.lit(True)).otherwise(alnum_share(t) >= least)
 
-    return let(as_column(text), share)
+    return let(as_column(text), enough)
 
 
 def path_suffix(path: Column | str) -> Column:

@@ -17,7 +17,7 @@ from ..operators import corpus, gold, prompts, ranking, report, repos
 from ..operators.numbering import assign_parts
 from ..operators.packing import pack_groups
 from ..operators.user_code import keep_if, map_batches
-from ..session import new_table_path, spread
+from ..session import new_table_path, spread, tasks_for
 from ..sources import blobs, commits, jsonl, shards, sinks
 from ..streaming import collect
 from . import marked, twins
@@ -890,7 +890,8 @@ def stream_collect(t: Tables) -> DataFrame:
         F.length("content").cast("bigint").alias("size"),
     )
     out, done = new_table_path(t.spark, "stream-out"), new_table_path(t.spark, "stream-done")
-    collect.write_stream(collect.stream_files(files), out, done).awaitTermination()
+    records = collect.stream_files(files, tasks_for(t.sql_files()))
+    collect.write_stream(records, out, done).awaitTermination()
     back = jsonl.read_corpus(t.spark, [out], "*.json")
     return back.select(
         "path", "repo_name", listed("tsql_features").alias("tags"), F.md5("content").alias("digest")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules
@@ -45,9 +46,17 @@ def write_dataset_stream(
     )
 
 
-def stream_files(files: DataFrame) -> DataFrame:
-    """Records of a stream of files that come with their content; no state."""
-    return dataset_records(kept(files))
+def stream_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Records of a stream of files that come with their content; no state.
+
+    ``tasks`` deals the rows of a micro-batch evenly over so many: else a task judges all that a piece
+    of its input holds, which is very many texts where these are well compressed.
+    """
+    if tasks is None:
+        return dataset_records(kept(files))
+    # The rules ask for a column that only the dealt rows have, so that they are not applied before.
+    dealt = files.repartition(tasks).withColumn("_task", F.spark_partition_id())
+    return dataset_records(kept(dealt, "_task"))
 
 
 def first_seen_names(rows: DataFrame, column: str = "repo_name") -> DataFrame:

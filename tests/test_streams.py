@@ -2,6 +2,8 @@
 
 import gzip
 
+from pyspark.sql import functions as F
+
 from sqlsieve.functions.chunking import extract_chunks
 from sqlsieve.plans.tables import Tables
 from sqlsieve.sources import blobs, sinks
@@ -75,3 +77,19 @@ def test_chunks_stream_as_they_batch(spark, tmp_path):
 def test_packed_blobs_are_gzip(spark):
     row = Tables(spark, FOLDER).blobs().where("blob_id = 'blob-shared'").first()
     assert gzip.decompress(bytes(row.data)).startswith(b"CREATE OR ALTER PROCEDURE")
+
+
+def test_file_stream_is_dealt_before_it_is_judged(spark, tmp_path):
+    """One file of one piece: its rows are judged by as many tasks as asked for."""
+    files = Tables(spark, FOLDER).sql_files().withColumn("detected_licenses", F.array().cast("array<string>"))
+    files = files.withColumn("size", F.col("file_id")).drop("source", "stars")
+    source, out, done = (str(tmp_path / n) for n in ("in", "out", "done"))
+    files.coalesce(1).write.parquet(source)
+    records = collect.stream_files(spark.readStream.schema(files.schema).parquet(source), 6)
+    collect.write_stream(records, out, done).awaitTermination()
+    found = spark.read.schema("path string, size long").json(out)
+    expected = collect.stream_files(files).select("path", "size")
+    assert rows(found) == rows(expected)
+    assert found.select(F.input_file_name()).distinct().count() == 6
+    plan = collect.stream_files(files, 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Repartition") < plan.index("Relation")

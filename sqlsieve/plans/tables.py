@@ -15,12 +15,13 @@ from ..functions.dialect import feature_tags, is_modern
 from ..operators.corpus import kept
 from ..operators.prompts import prompt_table
 from ..operators.repos import is_sql_path
-from ..session import new_table_path, spread
+from ..session import new_table_path, spread, tasks_for
 from ..sources.blobs import save_store
 from . import fixtures
 
 #: Written files of so many texts are read again by a task each.
 ROWS_PER_FILE = 700_000
+LEAST_BUCKETS = 16
 
 _stored: dict[tuple[str, str, str], str] = {}
 
@@ -71,8 +72,11 @@ class Tables:
     def blobs(self) -> DataFrame:
         return self.stored("blobs", self._blobs)
 
-    def blob_store(self, buckets: int = 16) -> DataFrame:
-        """The blobs bucketed by their id."""
+    def blob_store(self, buckets: int | None = None) -> DataFrame:
+        """The blobs bucketed by their id.
+
+        A task unpacks and judges the contents of a bucket, so buckets grow in number and not in size.
+        """
         key = (self.spark.sparkContext.applicationId, self.folder, "blob_store")
         if key in _stored and self.spark.catalog.tableExists(_stored[key]):
             try:
@@ -82,7 +86,8 @@ class Tables:
                     raise
         path = new_table_path(self.spark, "blob_store")
         _stored[key] = "blob_store_" + path[-32:]
-        return save_store(self.blobs(), _stored[key], path, buckets)
+        rows = self.blobs()
+        return save_store(rows, _stored[key], path, buckets or max(LEAST_BUCKETS, tasks_for(rows)))
 
     def _index(self) -> DataFrame:
         rows = self.sql(fixtures.INDEX_ROWS, sql_files=self.sql_files())

@@ -284,3 +284,17 @@ def test_answers_meet_their_prompts_once(spark, monkeypatch, name):
     monkeypatch.setattr(prompts, "top_pairs", lambda df, *a: seen.append(df) or cut(df, *a))
     REGISTRY[name].run(Tables(spark, FOLDER))
     assert seen and not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+
+
+def test_buckets_grow_in_number(spark, monkeypatch):
+    """The contents of a bucket are unpacked and judged by one task."""
+    monkeypatch.setattr(given, "tasks_for", lambda rows: -(-rows.count() // 50))
+    monkeypatch.setattr(given, "_stored", dict(given._stored))
+    given._stored.pop((spark.sparkContext.applicationId, FOLDER, "blob_store"), None)
+    tables = Tables(spark, FOLDER)
+    store, n = tables.blob_store(), -(-tables.blobs().count() // 50)
+    name = given._stored[(spark.sparkContext.applicationId, FOLDER, "blob_store")]
+    described = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {name}").collect()}
+    assert n > 16 and int(described["Num Buckets"]) == n
+    assert rows(store.select("blob_id")) == rows(tables.blobs().select("blob_id"))
+    spark.sql(f"drop table {name}")

@@ -23,6 +23,21 @@ def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> D
     return counts.where(F.col("_rows") > rows_per_split).select(key, splits.alias("_splits"))
 
 
+def frequent_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> list:
+    """Keys that more than ``rows_per_split`` rows share, or one row in 10,000 if that is more.
+
+    Candidates come from bounded counters inside the tasks, at most 10,000 of them, so that near-unique
+    keys are not shuffled to find none; the candidates are then counted exactly.
+    """
+    n = df.count()
+    if n <= rows_per_split:
+        return []
+    support = max(rows_per_split / n, 1.01e-4)
+    found = df.stat.freqItems([key], support).first()[0]
+    counts = df.where(F.col(key).isin(list(found))).groupBy(key).count()
+    return [r[key] for r in counts.where(F.col("count") > rows_per_split).collect()]
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

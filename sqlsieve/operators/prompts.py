@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.answers import parse_answer
 from ..functions.chunking import extract_chunks
-from ..session import delete_path, write_table
+from ..session import ROWS_PER_TASK, delete_path, tasks_for, write_table
 from .corpus import with_content
-from .joins import ROWS_PER_SPLIT, salted_join
+from .joins import ROWS_PER_SPLIT, frequent_keys, salted_join
 from .numbering import number_rows
 from .ranking import RANK_COLUMNS, TIE_COLUMNS, rank_order, with_rank_key
 
@@ -210,14 +210,29 @@ def top_pairs(outcomes: DataFrame, max_pairs: int | None = None) -> DataFrame:
     return first.orderBy(*prompt_order()).select("prompt_id", "chunk_no", *pair_columns())
 
 
-def distinct_prompts(prompts: DataFrame) -> DataFrame:
-    """One row per prompt id, at the place of its best-ranked file."""
+def distinct_prompts(prompts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per prompt id, at the place of its best-ranked file.
+
+    Whole prompts are sorted by their ids for this. They go to tasks of about ``rows_per_task`` rows
+    first and are sorted there alone: how many rows a piece of a compressed file holds says the
+    file, and a chunk with more copies than that is spread by what tells copies apart.
+    """
     place = F.struct(
         *[(-F.col(c)).alias(c) for c in RANK_COLUMNS], *TIE_COLUMNS, F.col("chunk_no")
     )
-    first = prompts.groupBy("prompt_id").agg(
-        F.first("prompt").alias("prompt"), F.min(place).alias("_place")
-    )
+
+    def first_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("prompt_id").agg(
+            F.first("prompt").alias("prompt"), F.min(place).alias("_place")
+        )
+
+    tasks = tasks_for(prompts, rows_per_task)
+    hot = frequent_keys(prompts, "prompt_id", rows_per_task)
+    is_hot = F.coalesce(F.col("prompt_id").isin(hot), F.lit(False))
+    first = first_of((prompts.where(~is_hot) if hot else prompts).repartition(tasks, "prompt_id"))
+    if hot:
+        copies = prompts.where(is_hot).repartition(tasks, "prompt_id", *COPY_COLUMNS)
+        first = first.unionByName(first_of(copies))
     return first.select(
         "prompt_id",
         "prompt",

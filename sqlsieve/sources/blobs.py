@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..operators.corpus import dataset_records, kept, small_enough, with_blob
-from ..operators.joins import ROWS_PER_SPLIT
+from ..operators.joins import ROWS_PER_SPLIT, frequent_keys
 
 INDEX_SCHEMA = (
     "blob_id string, src_encoding string, length_bytes bigint, is_vendor boolean, "
@@ -76,18 +76,8 @@ def open_store(spark: SparkSession, table: str, path: str, buckets: int) -> Data
 
 
 def hot_blobs(index: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> list[str]:
-    """Blobs that more than ``rows_per_split`` index rows share, or one row in 10,000 if that is more.
-
-    Candidates come from bounded counters inside the tasks, at most 10,000 of them, so that the near-unique
-    ids are not shuffled to find none; the candidates are then counted exactly.
-    """
-    n = index.count()
-    if n <= rows_per_split:
-        return []
-    support = max(rows_per_split / n, 1.01e-4)
-    found = index.stat.freqItems(["blob_id"], support).first()[0]
-    counts = index.where(F.col("blob_id").isin(list(found))).groupBy("blob_id").count()
-    return [r["blob_id"] for r in counts.where(F.col("count") > rows_per_split).collect()]
+    """Blobs that so many index rows share that these are set apart."""
+    return frequent_keys(index, "blob_id", rows_per_split)
 
 
 def attach_content(

@@ -286,6 +286,29 @@ def test_answers_meet_their_prompts_once(spark, monkeypatch, name):
     assert seen and not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
 
 
+def test_distinct_prompts_come_in_bounded_tasks(spark):
+    """Rows of one packed piece are sorted by many tasks, before and after; so are the copies of one chunk."""
+    n = F.col("id")
+    copies = spark.range(9000, numPartitions=1).select(
+        F.when(n % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (n % 2000).cast("string"))).alias("prompt_id"),
+        (n % 2).cast("int").alias("is_modern"), (n % 5).cast("int").alias("is_repo"),
+        (n % 7).cast("int").alias("feature_score"), (n % 11).alias("n_stars"),
+        F.concat(F.lit("r"), (n % 13).cast("string")).alias("repo_name"), n.cast("string").alias("path"),
+        F.xxhash64("id").alias("content_hash"), F.lit(1).alias("chunk_no"),
+    ).withColumn("prompt", F.concat(F.lit("ask "), "prompt_id"))
+    got = prompts.distinct_prompts(copies, rows_per_task=500)
+    place = [-F.col(c) for c in ("is_modern", "is_repo", "feature_score", "n_stars")]
+    order = W.partitionBy("prompt_id").orderBy(*place, "repo_name", "path", "content_hash", "chunk_no")
+    plain = copies.withColumn("no", F.row_number().over(order)).where("no = 1").select(got.columns)
+    assert rows(got) == rows(plain)
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) <= 500
+    # The rows are sorted once they have been dealt, and not in the one piece they come in.
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    deals = [line for line in text.splitlines() if "Exchange" in line or "Aggregate" in line]
+    assert "REPARTITION_BY_NUM" in deals[-1]
+
+
 def test_buckets_grow_in_number(spark, monkeypatch):
     """The contents of a bucket are unpacked and judged by one task."""
     monkeypatch.setattr(given, "tasks_for", lambda rows: -(-rows.count() // 50))

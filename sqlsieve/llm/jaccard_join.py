@@ -570,9 +570,12 @@ def classed(docs: DataFrame, width: int, threshold: Fraction) -> DataFrame:
         least = least.select("key", F.col("key").alias("root"), F.col("least").alias("component_id"))
     found = rows.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.join(least, "key", "left").select(
+    found = found.join(least, "key", "left").select(
         "doc_id", "h", F.col("n").alias("n_shingles"), own.alias("component_id"), "root"
     )
+    found = stored(found, "classed")  # callers use it more than once
+    drop_stored(rows, roots)
+    return found
 
 
 def components_of(docs: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:

@@ -95,3 +95,9 @@ def test_links_of_a_round_are_not_gone_over_in_the_next(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(brute(rows, 2, Fraction(3, 5)), key=str)
     links = [link for call in given for link in call]
     assert len(given) > 1 and len(links) == len(set(links))
+
+
+def test_what_follows_the_classes_is_planned_without_them(spark):
+    docs = spark.createDataFrame(corpus(1), "doc_id long, text string")
+    plan = j.one_of_each(docs)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join ") == 1

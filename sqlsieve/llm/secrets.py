@@ -17,6 +17,11 @@ random is random. The rule needs only counts by class and p value, rounded up to
 of a decade, over all documents; the rest is one pass without a shuffle. What is not cleared is a span
 of the kind ``random``.
 
+Two guards go over each text: ``RUN`` finds ``LEAST`` key characters in a row, which every token, access
+key id and hexadecimal run has, and ``NAMED`` a secret's name before its sign. Only texts that pass
+one are searched for the spans that it stands for. ``secret_spans`` leaves the texts out, so what was
+found in them is written, counted and judged from there: the texts are read once.
+
 Everything is DataFrame functions. The counts that come to the driver are one number for each
 class: at most one for each alphabet times the powers of two up to the longest text.
 
@@ -28,20 +33,27 @@ of a new one is replaced.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import free_name, or_empty, others, running
+from ..functions.text import let
+from .common import free_name, or_empty, others, running, stored
 
-ASSIGN = (
-    r"(?i:(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+))"
-)
+NAMES = "password|passwd|secret|token|api_?key"
+ASSIGN = rf"(?i:({NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+))"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
-HEX = r"[0-9a-f]{24,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 LEAST = 20
-TOKEN = rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
+#: One by one, as the JVM looks a class of single characters up in one table.
+KEY = string.ascii_letters + string.digits + "+/_-"
+TOKEN = rf"(?<![{KEY}])[{KEY}]{{{LEAST},}}+={{0,2}}"
+#: Goes over each character once: shorter runs are taken with what follows them, and not tried again.
+RUN = rf"\A(?:[{KEY}]{{0,{LEAST - 1}}}+[^{KEY}]+)*+[{KEY}]{{{LEAST}}}"
+#: Holds wherever ``ASSIGN`` does; the JVM looks back at a bounded number of spaces only.
+NAMED = rf"[:=](?<=(?:(?i:{NAMES})[\"']?\x20{{0,8}}|\x20{{9}})[:=])"
 UUID = r"^(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$"
 KINDS = ("assign", "access", "hex", "random")
 COMMON = "ETAOINSHRDLUCMFWYPVBGKJQXZ"
@@ -58,49 +70,99 @@ STEPS = 20
 LAST_STEP = 400
 MARK = "[SECRET]"
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
+CANDIDATE = f"struct<span:{SPAN},class:string,step:int>"
 
 
-def spans(text: Column, pattern: str, kind: int, value: int | None = None, least: int = 0) -> Column:
-    """Matches of a pattern as spans in code points, leftmost and not overlapping.
+def matches(text: Column, pattern: str, value: int = 0) -> Column:
+    """Matches of a pattern, leftmost and not overlapping.
 
-    A match whose group ``value`` is shorter than ``least`` is dropped.
+    Each with its start and end in code points, its ``word`` and the ``value`` of a group in it.
     """
-    body = F.when(text.rlike(pattern), text).otherwise("")
-    hits = F.regexp_extract_all(body, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(body, pattern)
-    sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
-    ends = running(sizes)
-    found = F.zip_with(
-        ends, hits,
-        lambda e, h: F.struct(
-            (e - F.length(h)).alias("start"), F.lit(kind).alias("kind"), e.alias("end")
-        ),
-    )
-    if value is not None:
-        values = F.regexp_extract_all(body, F.lit(f"({pattern})"), F.lit(value + 1))
-        long = F.transform(values, lambda v: F.length(v) >= least)
-        found = F.filter(found, lambda s, i: F.get(long, i))
-    return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(f"array<{SPAN}>"))
-
-
-def known_spans(text: Column) -> Column:
-    """Spans of the known forms, by start, then kind."""
-    return F.array_sort(
-        F.concat(
-            spans(text, ASSIGN, 0, value=2, least=6),
-            spans(text, ACCESS, 1),
-            spans(text, HEX, 2),
-        )
-    )
+
+    def taken(group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1))
+
+    def placed(m: Column) -> Column:
+        hits = m["hits"]
+        gaps = F.slice(m["gaps"], 1, F.size(hits))
+        ends = let(F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h)), running)
+        return F.transform(
+            ends,
+            lambda e, i: F.struct(
+                (e - F.length(F.get(hits, i))).alias("start"), e.alias("end"),
+                F.get(hits, i).alias("word"), F.get(m["values"], i).alias("value"),
+            ),
+        )
+
+    hits = taken(0).alias("hits")
+    values = taken(value).alias("values")
+    found = F.struct(hits, values, F.split(text, pattern).alias("gaps"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint,word:string,value:string>>")
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(none)
+
+
+def span(match: Column, kind: int) -> Column:
+    return F.struct(match["start"].alias("start"), F.lit(kind).alias("kind"), match["end"].alias("end"))
+
+
+def spans(text: Column, pattern: str, kind: int, value: int = 0, least: int = 0) -> Column:
+    """Matches as spans. A match whose group ``value`` is shorter than ``least`` is dropped."""
+    long = F.filter(matches(text, pattern, value), lambda m: F.length(m["value"]) >= least)
+    return F.transform(long, lambda m: span(m, kind))
+
+
+def known_spans(text: Column, run: Column) -> Column:
+    """Spans of the known forms, by start, then kind. ``run``: whether ``RUN`` is in the text."""
+    none = F.array().cast(f"array<{SPAN}>")
+    named = (text.contains(":") | text.contains("=")) & text.rlike(NAMED)
+    assigned = F.when(named, spans(text, ASSIGN, 0, value=2, least=6)).otherwise(none)
+    long = F.concat(spans(text, ACCESS, 1), spans(text, HEX, 2))
+    return F.array_sort(F.concat(assigned, F.when(run, long).otherwise(none)))
+
+
+def numbers_below(places: Column, marks: Column, equal: bool) -> Column:
+    """For each of the ascending ``places`` how many of ``marks`` are below it, or ``equal`` to it."""
+    asks = F.transform(places, lambda p: F.struct(p.alias("at"), F.lit(equal).alias("late")))
+    marked = F.transform(marks, lambda m: F.struct(m.alias("at"), F.lit(not equal).alias("late")))
+    mark = lambda e: e["late"] != F.lit(equal)
+
+    def counted(events: Column) -> Column:
+        numbers = let(F.transform(events, lambda e: mark(e).cast("long")), running)
+        return F.filter(numbers, lambda n, i: ~mark(F.get(events, i)))
+
+    return let(F.array_sort(F.concat(asks, marked)), counted)
+
+
+def untouched(found: Column, known: Column) -> Column:
+    """The tokens among matches that no known span touches.
+
+    Access key ids and hexadecimal runs lie within tokens, so their patterns tell; where names and their
+    values lie is known, by start and not overlapping.
+    """
+    free = F.filter(found, lambda m: ~m["word"].rlike(ACCESS) & ~m["word"].rlike(HEX))
+    assigned = F.filter(known, lambda s: s["kind"] == 0)
+
+    def apart(x: Column) -> Column:
+        free, assigned = x["free"], x["assigned"]
+        over = numbers_below(free["start"], assigned["end"], equal=True)
+        begun = numbers_below(free["end"], assigned["start"], equal=False)
+        same = F.zip_with(begun, over, lambda b, o: b == o)
+        kept = let(same, lambda s: F.filter(free, lambda m, i: F.get(s, i)))
+        return F.when(F.size(assigned) == 0, free).otherwise(kept)
+
+    return let(F.struct(free.alias("free"), assigned.alias("assigned")), apart)
 
 
 def plain(token: Column) -> Column:
     """The token without padding and without the separators of even groups and UUIDs."""
-    body = F.regexp_replace(token, "=+$", "")
-    sizes = F.array_distinct(F.transform(F.split(body, "[-_]"), lambda g: F.length(g)))
-    even = (F.size(sizes) == 1) & (F.get(sizes, F.lit(0)) > 1)
-    grouped = body.rlike("[-_]") & (even | body.rlike(UUID))
-    return F.when(grouped, F.translate(body, "-_", "")).otherwise(F.translate(body, "-_", "+/"))
+
+    def joined(body: Column) -> Column:
+        sizes = F.array_distinct(F.transform(F.split(body, "[-_]"), lambda g: F.length(g)))
+        even = let(sizes, lambda s: (F.size(s) == 1) & (F.get(s, F.lit(0)) > 1))
+        grouped = body.rlike("[-_]") & (even | body.rlike(UUID))
+        return F.when(grouped, F.translate(body, "-_", "")).otherwise(F.translate(body, "-_", "+/"))
+
+    return let(F.regexp_replace(token, "=+$", ""), joined)
 
 
 def encoding(body: Column) -> Column:
@@ -171,16 +233,12 @@ def _battery(v: Column, k: Column) -> Column:
 
 def tokens(text: Column, known: Column) -> Column:
     """Candidates outside the known spans: span, class of length and encoding, and p value's step."""
-    found = spans(text, TOKEN, 3)
-    free = F.filter(
-        found,
-        lambda s: ~F.exists(known, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])),
-    )
 
-    def tested(s: Column) -> Column:
-        token = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
-        body = plain(token)
-        return F.struct(s.alias("span"), body.alias("body"), encoding(body).alias("kind"))
+    def tested(m: Column) -> Column:
+        return let(
+            F.struct(span(m, 3).alias("span"), plain(m["word"]).alias("body")),
+            lambda t: F.struct(t["span"].alias("span"), t["body"].alias("body"), encoding(t["body"]).alias("kind")),
+        )
 
     def rated(t: Column) -> Column:
         p = F.greatest(p_value(t["body"], t["kind"]), F.lit(1e-25))
@@ -189,6 +247,7 @@ def tokens(text: Column, known: Column) -> Column:
         name = F.concat(t["kind"], F.lit(":"), size)
         return F.struct(t["span"].alias("span"), name.alias("class"), step.alias("step"))
 
+    free = untouched(matches(text, TOKEN), known)
     candidates = F.filter(F.transform(free, tested), lambda t: t["kind"].isNotNull())
     return F.transform(candidates, rated)
 
@@ -209,12 +268,17 @@ def cleared_from(candidates: DataFrame, rate: float = RATE) -> dict[str, int]:
     return {r["class"]: r["step"] for r in first.collect()}
 
 
-def scan(docs: DataFrame, name: str = "spans", text: str = "text", rate: float = RATE) -> DataFrame:
-    """``docs`` with all spans, by start, then kind, in code points with the end left out."""
-    kept = others(docs, name)
+def searched(docs: DataFrame, kept: list[Column], text: str = "text") -> DataFrame:
+    """Per document a ``row`` of the columns ``kept``, its known spans and its candidates."""
+    body, run, known = F.col("body"), F.col("run"), F.col("known")
     rows = docs.select(F.struct(*kept).alias("row"), or_empty(docs[f"`{text}`"]).alias("body"))
-    rows = rows.withColumn("known", known_spans(F.col("body")))
-    rows = rows.withColumn("tokens", tokens(F.col("body"), F.col("known")))
+    rows = rows.withColumn("run", body.rlike(RUN)).withColumn("known", known_spans(body, run))
+    found = F.when(run, tokens(body, known)).otherwise(F.array().cast(f"array<{CANDIDATE}>"))
+    return rows.select("row", "known", found.alias("tokens"))
+
+
+def judged(rows: DataFrame, name: str, rate: float = RATE) -> DataFrame:
+    """The columns of ``row``, and all spans but those of tokens that are cleared."""
     first = cleared_from(rows.select(F.explode("tokens").alias("t")).select("t.*"), rate)
     limits = [F.lit(x) for pair in sorted(first.items()) for x in pair]
 
@@ -228,6 +292,11 @@ def scan(docs: DataFrame, name: str = "spans", text: str = "text", rate: float =
     return rows.select("row.*", F.array_sort(F.concat("known", added)).alias(name))
 
 
+def scan(docs: DataFrame, name: str = "spans", text: str = "text", rate: float = RATE) -> DataFrame:
+    """``docs`` with all spans, by start, then kind, in code points with the end left out."""
+    return judged(searched(docs, others(docs, name), text), name, rate)
+
+
 def listed(found: Column) -> Column:
     """Spans as ``kind:start:end``, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -269,7 +338,7 @@ def redact(docs: DataFrame, text: str = "text", rate: float = RATE) -> DataFrame
 
 def secret_spans(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """Per document the numbers of known forms, their digest, and all spans."""
-    found = scan(docs.select("doc_id", "text"), "found", rate=rate)
+    found = judged(stored(searched(docs, [docs["doc_id"]]), "secret-candidates"), "found", rate)
     base = F.filter("found", lambda s: s["kind"] < 3)
     kinds = F.transform("found", lambda s: s["kind"])
     numbers = [

@@ -48,6 +48,48 @@ def test_known_forms(spark):
     assert secrets.secret_spans(docs.limit(0)).count() == 0
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    found = []
+    for m in re.finditer("[A-Za-z0-9+/_-]{20,}={0,2}", text):
+        body, groups = m[0].rstrip("="), {len(g) for g in re.split("[-_]", m[0].rstrip("="))}
+        if len(groups) == 1 and max(groups) > 1:
+            body = re.sub("[-_]", "", body)
+        mixed = re.search("[A-Za-z]", body) and re.search("[0-9]|[a-z][A-Z]", body)
+        if mixed and not any(a < m.end() and m.start() < b for a, _, b in known(text)):
+            found.append((m.start(), m.end()))
+    return found
+
+
+def mixed_texts() -> list[str]:
+    rng = random.Random(17)
+    parts = [
+        "g7" * 9, "g7" * 10, "Zq" * 10, "x", "9", "/", "-", "_", "+", "=", "==", ".", " ", "\n", "é", "😀", ":", "AKIA" + "Q7" * 8,
+        "0a" * 11, "0a" * 12, "token=", "Secret: ", "passwd" + " " * 8 + "=", "password" + " " * 12 + "= ", "api_key\" :'", "abcdef",
+    ]
+    return ["".join(rng.choice(parts) for _ in range(n)) for n in [*range(1, 25)] * 30 + [4000]]
+
+
+def test_candidates_lie_outside_known_spans(spark):
+    rows = list(enumerate([*mixed_texts(), "", None]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["row"]["doc_id"]: r for r in secrets.searched(docs, [docs["doc_id"]]).collect()}
+    for key, text in rows:
+        assert [tuple(s) for s in found[key]["known"]] == known(text or "")
+        assert [(t["span"]["start"], t["span"]["end"]) for t in found[key]["tokens"]] == candidates(text or ""), text
+    assert sum(len(r["tokens"]) for r in found.values()) > 500
+
+
+def test_texts_are_read_once(spark, tmp_path):
+    """What was found in them is written, counted and judged; the result does not go back to the texts."""
+    rows = [(i, f"use {k} here") for i, k in enumerate(keys(20, 40))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    assert any(str(tmp_path) in f for f in docs.inputFiles())
+    found = secrets.secret_spans(docs)
+    assert not any(str(tmp_path) in f for f in found.inputFiles())
+    assert found.count() == len(rows)
+
+
 def keys(n: int, size: int) -> list[str]:
     rng = random.Random(size)
     alphabet = secrets.ALPHABETS["base64"]

@@ -43,9 +43,9 @@ from ..functions.text import let
 from .common import free_name, or_empty, others, running, stored
 
 NAMES = "password|passwd|secret|token|api_?key"
-ASSIGN = rf"(?i:({NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+))"
+ASSIGN = rf"(?=[AaPpSsTt])(?i:({NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+))"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
-HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
+HEX = r"[0-9a-f](?<![0-9a-f]{2})[0-9a-f]{23,}+"
 LEAST = 20
 #: One by one, as the JVM looks a class of single characters up in one table.
 KEY = string.ascii_letters + string.digits + "+/_-"
@@ -70,54 +70,55 @@ STEPS = 20
 LAST_STEP = 400
 MARK = "[SECRET]"
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
-CANDIDATE = f"struct<span:{SPAN},class:string,step:int>"
+MATCH = "struct<start:bigint,end:bigint,word:string>"
 
 
-def matches(text: Column, pattern: str, value: int = 0) -> Column:
-    """Matches of a pattern, leftmost and not overlapping.
+def matches(text: Column, pattern: str) -> Column:
+    """Matches of a pattern, leftmost and not overlapping, each with its start and end in code points."""
 
-    Each with its start and end in code points, its ``word`` and the ``value`` of a group in it.
-    """
-
-    def taken(group: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1))
-
-    def placed(m: Column) -> Column:
-        hits = m["hits"]
-        gaps = F.slice(m["gaps"], 1, F.size(hits))
-        ends = let(F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h)), running)
-        return F.transform(
-            ends,
-            lambda e, i: F.struct(
-                (e - F.length(F.get(hits, i))).alias("start"), e.alias("end"),
-                F.get(hits, i).alias("word"), F.get(m["values"], i).alias("value"),
-            ),
-        )
+    def placed(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern), 1, F.size(hits))
+        sizes = F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h))
 
-    hits = taken(0).alias("hits")
-    values = taken(value).alias("values")
-    found = F.struct(hits, values, F.split(text, pattern).alias("gaps"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,word:string,value:string>>")
-    return F.when(text.rlike(pattern), let(found, placed)).otherwise(none)
+        def one(end: Column, i: Column) -> Column:
+            word = F.get(hits, i)
+            return F.struct((end - F.length(word)).alias("start"), end.alias("end"), word.alias("word"))
 
+        found = F.transform(let(sizes, running), one)
+        return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(f"array<{MATCH}>"))
 
-def span(match: Column, kind: int) -> Column:
-    return F.struct(match["start"].alias("start"), F.lit(kind).alias("kind"), match["end"].alias("end"))
+    return let(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), placed)
 
 
-def spans(text: Column, pattern: str, kind: int, value: int = 0, least: int = 0) -> Column:
-    """Matches as spans. A match whose group ``value`` is shorter than ``least`` is dropped."""
-    long = F.filter(matches(text, pattern, value), lambda m: F.length(m["value"]) >= least)
-    return F.transform(long, lambda m: span(m, kind))
+def span(match: Column, kind: int, before: Column | int = 0) -> Column:
+    start, end = match["start"] + before, match["end"] + before
+    return F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
 
 
-def known_spans(text: Column, run: Column) -> Column:
-    """Spans of the known forms, by start, then kind. ``run``: whether ``RUN`` is in the text."""
-    none = F.array().cast(f"array<{SPAN}>")
+def assigned_spans(text: Column) -> Column:
+    """Spans of assignments to a secret's name, of values of at least six characters."""
     named = (text.contains(":") | text.contains("=")) & text.rlike(NAMED)
-    assigned = F.when(named, spans(text, ASSIGN, 0, value=2, least=6)).otherwise(none)
-    long = F.concat(spans(text, ACCESS, 1), spans(text, HEX, 2))
-    return F.array_sort(F.concat(assigned, F.when(run, long).otherwise(none)))
+    long = F.filter(matches(text, ASSIGN), lambda m: F.length(F.regexp_extract(m["word"], ASSIGN, 2)) >= 6)
+    none = F.array().cast(f"array<{SPAN}>")
+    return F.when(named, F.transform(long, lambda m: span(m, 0))).otherwise(none)
+
+
+def long_runs(text: Column) -> Column:
+    """Matches of ``TOKEN``."""
+    none = F.array().cast(f"array<{MATCH}>")
+    return F.when(text.rlike(RUN), matches(text, TOKEN)).otherwise(none)
+
+
+def spans_within(runs: Column, pattern: str, kind: int) -> Column:
+    """Spans of a pattern that matches within long runs only."""
+    part = lambda r: F.transform(matches(r["word"], pattern), lambda m: span(m, kind, r["start"]))
+    return F.flatten(F.transform(F.filter(runs, lambda r: r["word"].rlike(pattern)), part))
+
+
+def known_spans(text: Column, runs: Column) -> Column:
+    """Spans of the known forms, by start, then kind. ``runs``: the text's ``long_runs``."""
+    within = [spans_within(runs, ACCESS, 1), spans_within(runs, HEX, 2)]
+    return F.array_sort(F.concat(assigned_spans(text), *within))
 
 
 def numbers_below(places: Column, marks: Column, equal: bool) -> Column:
@@ -133,13 +134,13 @@ def numbers_below(places: Column, marks: Column, equal: bool) -> Column:
     return let(F.array_sort(F.concat(asks, marked)), counted)
 
 
-def untouched(found: Column, known: Column) -> Column:
-    """The tokens among matches that no known span touches.
+def untouched(runs: Column, known: Column) -> Column:
+    """The long runs that no known span touches.
 
-    Access key ids and hexadecimal runs lie within tokens, so their patterns tell; where names and their
+    Access key ids and hexadecimal runs lie within them, so their patterns tell; where names and their
     values lie is known, by start and not overlapping.
     """
-    free = F.filter(found, lambda m: ~m["word"].rlike(ACCESS) & ~m["word"].rlike(HEX))
+    free = F.filter(runs, lambda r: ~r["word"].rlike(ACCESS) & ~r["word"].rlike(HEX))
     assigned = F.filter(known, lambda s: s["kind"] == 0)
 
     def apart(x: Column) -> Column:
@@ -181,7 +182,7 @@ def encoding(body: Column) -> Column:
 def _tail(z: Column) -> Column:
     """Chance that a standard normal value is above ``z``, to three digits."""
     z = F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))
-    return 1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z))
+    return let(z, lambda z: 1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z)))
 
 
 def p_value(body: Column, kind: Column) -> Column:
@@ -189,50 +190,72 @@ def p_value(body: Column, kind: Column) -> Column:
     folded = F.when(kind == "hex", F.lower(body)).when(
         kind.isin("base32", "base36"), F.upper(body)
     )
-    chars = F.filter(F.split(F.coalesce(folded, body), ""), lambda c: c != "")
     alphabet = F.lit(ALPHABETS["base64"])
     for name in ALPHABETS:
         alphabet = F.when(kind == name, F.lit(ALPHABETS[name])).otherwise(alphabet)
-    size = F.length(alphabet)
-    state = F.struct(
-        F.transform(chars, lambda c: F.instr(alphabet, c) - 1).alias("v"), size.alias("k")
-    )
-    return F.element_at(F.transform(F.array(state), lambda s: _battery(s["v"], s["k"])), 1)
+
+    def tested(s: Column) -> Column:
+        chars = F.filter(F.split(s["body"], ""), lambda c: c != "")
+        numbers = F.transform(chars, lambda c: F.instr(s["alphabet"], c) - 1)
+        return let(numbers, lambda v: _battery(v, F.length(s["alphabet"])))
+
+    return let(F.struct(F.coalesce(folded, body).alias("body"), alphabet.alias("alphabet")), tested)
+
+
+def _squared(d: Column, by: Column) -> Column:
+    return let(d, lambda d: d * d / by)
 
 
 def _battery(v: Column, k: Column) -> Column:
+    """What a test uses more than once is bound: an expression within a lambda is worked out at each element."""
     zero = F.lit(0.0)
     n = F.size(v).cast("double")
     total = lambda a: F.aggregate(a, zero, lambda x, y: x + y)
-    share = lambda test: total(F.transform(v, lambda x: test(x).cast("double")))
-    chi = zero
-    for q in range(4):
-        seen = share(lambda x, q=q: F.floor(x * 4 / k) == q)
-        quarter = n * (F.ceil(k * (q + 1) / 4) - F.ceil(k * q / 4)) / k
-        chi = chi + (seen - quarter) * (seen - quarter) / quarter
+    share = lambda a, test: F.size(F.filter(a, lambda x: test(x))).cast("double")
+    before, after = F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1)
+
+    def chi(quarters: Column) -> Column:
+        out = zero
+        for q in range(4):
+            seen = share(quarters, lambda x, q=q: x == q)
+            quarter = n * (F.ceil(k * (q + 1) / 4) - F.ceil(k * q / 4)) / k
+            out = out + _squared(seen - quarter, quarter)
+        return out
+
     spread = 2.0 / 27
-    uniform = _tail((F.pow(chi / 3, F.lit(1.0 / 3)) - (1 - spread)) / math.sqrt(spread))
+    chi_squared = let(F.transform(v, lambda x: F.floor(x * 4 / k)), chi)
+    uniform = _tail((F.pow(chi_squared / 3, F.lit(1.0 / 3)) - (1 - spread)) / math.sqrt(spread))
 
-    before, after = F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1)
-    high = share(lambda x: x * 2 >= k)
     changes = total(
         F.zip_with(before, after, lambda a, b: ((a * 2 >= k) != (b * 2 >= k)).cast("double"))
     )
-    mean = 2 * high * (n - high) / n
-    variance = mean * (mean - 1) / (n - 1)
-    z = F.abs(changes - mean) / F.sqrt(variance)
-    runs = F.when(variance > 0, F.least(F.lit(1.0), 2 * _tail(z))).otherwise(zero)
-
-    middle = total(F.transform(v, lambda x: x.cast("double"))) / n
-    squares = total(F.transform(v, lambda x: (x - middle) * (x - middle)))
-    products = total(F.zip_with(before, after, lambda a, b: (a - middle) * (b - middle)))
-    z = F.abs(products / squares) * F.sqrt(n)
-    serial = F.when(squares > 0, F.least(F.lit(1.0), 2 * _tail(z))).otherwise(zero)
+    mean = let(share(v, lambda x: x * 2 >= k), lambda high: 2 * high * (n - high) / n)
+
+    def runs_test(mean: Column) -> Column:
+        def tested(variance: Column) -> Column:
+            z = F.abs(changes - mean) / F.sqrt(variance)
+            return F.when(variance > 0, F.least(F.lit(1.0), 2 * _tail(z))).otherwise(zero)
+
+        return let(mean * (mean - 1) / (n - 1), tested)
+
+    runs = let(mean, runs_test)
+
+    def serial_test(middle: Column) -> Column:
+        squares = total(F.transform(v, lambda x: (x - middle) * (x - middle)))
+        products = total(F.zip_with(before, after, lambda a, b: (a - middle) * (b - middle)))
+
+        def tested(squares: Column) -> Column:
+            z = F.abs(products / squares) * F.sqrt(n)
+            return F.when(squares > 0, F.least(F.lit(1.0), 2 * _tail(z))).otherwise(zero)
+
+        return let(squares, tested)
+
+    serial = let(total(F.transform(v, lambda x: x.cast("double"))) / n, serial_test)
     return F.least(F.lit(1.0), 3 * F.least(uniform, runs, serial))
 
 
-def tokens(text: Column, known: Column) -> Column:
-    """Candidates outside the known spans: span, class of length and encoding, and p value's step."""
+def tokens(runs: Column, known: Column) -> Column:
+    """Candidates among long runs, outside the known spans: span, class of length and encoding, and p value's step."""
 
     def tested(m: Column) -> Column:
         return let(
@@ -247,8 +270,7 @@ def tokens(text: Column, known: Column) -> Column:
         name = F.concat(t["kind"], F.lit(":"), size)
         return F.struct(t["span"].alias("span"), name.alias("class"), step.alias("step"))
 
-    free = untouched(matches(text, TOKEN), known)
-    candidates = F.filter(F.transform(free, tested), lambda t: t["kind"].isNotNull())
+    candidates = F.filter(F.transform(untouched(runs, known), tested), lambda t: t["kind"].isNotNull())
     return F.transform(candidates, rated)
 
 
@@ -270,11 +292,10 @@ def cleared_from(candidates: DataFrame, rate: float = RATE) -> dict[str, int]:
 
 def searched(docs: DataFrame, kept: list[Column], text: str = "text") -> DataFrame:
     """Per document a ``row`` of the columns ``kept``, its known spans and its candidates."""
-    body, run, known = F.col("body"), F.col("run"), F.col("known")
+    body, runs, known = F.col("body"), F.col("runs"), F.col("known")
     rows = docs.select(F.struct(*kept).alias("row"), or_empty(docs[f"`{text}`"]).alias("body"))
-    rows = rows.withColumn("run", body.rlike(RUN)).withColumn("known", known_spans(body, run))
-    found = F.when(run, tokens(body, known)).otherwise(F.array().cast(f"array<{CANDIDATE}>"))
-    return rows.select("row", "known", found.alias("tokens"))
+    rows = rows.withColumn("runs", long_runs(body)).withColumn("known", known_spans(body, runs))
+    return rows.select("row", "known", tokens(runs, known).alias("tokens"))
 
 
 def judged(rows: DataFrame, name: str, rate: float = RATE) -> DataFrame:
